@@ -11,6 +11,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text worked on at once inside a task; longer single texts are taken whole.
@@ -48,7 +49,7 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES):
     text = batch.column(column)
     if len(text) == 0:
         return
-    lengths = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     block = np.cumsum(lengths) // limit
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(text)]))
     for a, b in zip(cuts[:-1], cuts[1:]):
@@ -60,7 +61,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if pa.types.is_large_string(column.type) is False:
         column = column.cast(pa.large_string())
     if column.null_count:
-        column = pa.compute.fill_null(column, "")
+        column = pc.fill_null(column, "")
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if buffers[2] is None or offsets[-1] == offsets[0]:

@@ -32,11 +32,17 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(token_store.read(spark, common.materialize(files, "token-files-list")))
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import substring
+
+    return substring.digest(substring.mark_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op10_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import pieces
 
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack_pieces, op7_token_files, op10_piece_codes)}
+QUERIES = {f.__name__: f for f in (op2_pack_pieces, op7_token_files, op9_repeated_passages, op10_piece_codes)}
 ORACLES: dict[str, str] = {}

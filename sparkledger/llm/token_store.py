@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -152,7 +153,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: s
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(attempt)
                 keys = rows.column(0)
-                out.write(_group(pa.compute.fill_null(keys, 0).to_numpy(), keys.is_null().to_numpy(zero_copy_only=False), ids, np.diff(bounds), seen))
+                out.write(_group(pc.fill_null(keys, 0).to_numpy(), keys.is_null().to_numpy(zero_copy_only=False), ids, np.diff(bounds), seen))
                 docs_seen, seen = docs_seen + len(keys), seen + len(ids)
         if out is not None:
             out.close()
