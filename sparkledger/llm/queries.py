@@ -24,6 +24,12 @@ def op2_pack_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
 
 
+def op3_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import licenses
+
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import minhash
 
@@ -50,5 +56,5 @@ def op10_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack_pieces, op5_near_duplicates, op7_token_files, op9_repeated_passages, op10_piece_codes)}
+QUERIES = {f.__name__: f for f in (op2_pack_pieces, op3_license_spans, op5_near_duplicates, op7_token_files, op9_repeated_passages, op10_piece_codes)}
 ORACLES: dict[str, str] = {}
