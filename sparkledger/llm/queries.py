@@ -18,6 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import quality_lm
+
+    return quality_lm.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_pack_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import packing
 
@@ -56,5 +62,5 @@ def op10_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack_pieces, op3_license_spans, op5_near_duplicates, op7_token_files, op9_repeated_passages, op10_piece_codes)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op5_near_duplicates, op7_token_files, op9_repeated_passages, op10_piece_codes)}
 ORACLES: dict[str, str] = {}
