@@ -42,6 +42,14 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op6_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import warc
+
+    path = common.shared_dir(spark, "warc")
+    archives = common.materialize(warc.write(_table(spark, sf_dir, "pages"), path), "warc-list")
+    return warc.read(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import token_store
 
@@ -62,5 +70,19 @@ def op10_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op5_near_duplicates, op7_token_files, op9_repeated_passages, op10_piece_codes)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op5_near_duplicates, op6_warc_archives, op7_token_files, op9_repeated_passages, op10_piece_codes)}
+ORACLES: dict[str, str] = {
+    "op6_warc_archives": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p
+        ), f AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM d
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+        FROM f
+    """,
+}
