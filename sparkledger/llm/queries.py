@@ -36,6 +36,12 @@ def op3_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import vector_dedup
+
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import minhash
 
@@ -58,6 +64,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(token_store.read(spark, common.materialize(files, "token-files-list")))
 
 
+def op8_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import ann
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import substring
 
@@ -70,8 +83,36 @@ def op10_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op5_near_duplicates, op6_warc_archives, op7_token_files, op9_repeated_passages, op10_piece_codes)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op4_near_vectors, op5_near_duplicates, op6_warc_archives, op7_token_files, op8_one_bit_search, op9_repeated_passages, op10_piece_codes)}
 ORACLES: dict[str, str] = {
+    "op4_near_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS x, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS size FROM embeddings
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+            WHERE a.vec_id <> b.vec_id AND a.size > 0 AND b.size > 0 AND list_inner_product(a.x, b.x) / (a.size * b.size) >= 0.9
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM v
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+        ), degree AS (
+            SELECT a, count(*) AS n FROM links GROUP BY a
+        ), least AS (
+            SELECT a, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN least ON least.a = vec_id LEFT JOIN degree ON degree.a = vec_id
+    """,
+    "op8_one_bit_search": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+        ), s AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x) AS score
+            FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+    """,
     "op6_warc_archives": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html FROM pages

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks a worker remembers; beyond it the memory is emptied. It bounds memory only, never results.
-REMEMBERED = 1_200_000
+REMEMBERED = 900_000
 _PLAIN = r"^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<b>[!-&(-/:-@\[-`{-~]*)$"
 _tables: dict[str, "ChunkTable"] = {}
 
