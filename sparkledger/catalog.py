@@ -1,4 +1,654 @@
-"""The registered queries and their SQL."""
+"""The registered queries over the ledger views, each with the SQL that gives the same rows in DuckDB."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sparkledger.functions import exprs, rules
+from sparkledger.operators import checks, coverage, decisions, layout, matching, quality, registry, summaries, transfers
+from sparkledger.plans.adapters import VIEWS, view, with_views
+from sparkledger.streaming import incremental
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(sql: str | None, *views: str):
+    """Registers a query under its function's name: it gets its views as DataFrames, the SQL gets them in front."""
+
+    def put(build):
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(*[view(spark, sf_dir, v) if v in VIEWS else spark.read.parquet(f"{sf_dir}/{v}.parquet") for v in views])
+
+        QUERIES[build.__name__] = query
+        if sql is not None:
+            ORACLES[build.__name__] = with_views(sql, *[v for v in views if v in VIEWS])
+        return build
+
+    return put
+
+
+_CATEGORY = rules.sql_case("description", rules.BANK_RULES, "uncategorized")
+_LABEL = rules.sql_case("description", rules.BANK_RULES, "UNCATEGORIZED", 2)
+_MATCH1 = "a.src = b.src AND a.dst = b.dst AND abs(a.cents - b.cents) <= 1"
+_TWO_PASS = f"""
+    p1 AS (SELECT 'same_day' AS pass, a.leg_id AS left_id, b.leg_id AS right_id, 0 AS day_diff, abs(a.cents - b.cents) AS cents_diff
+           FROM legs_out a JOIN legs_in b ON {_MATCH1} AND a.date = b.date),
+    p2 AS (SELECT 'within_days' AS pass, a.leg_id AS left_id, b.leg_id AS right_id, abs(a.date - b.date) AS day_diff, abs(a.cents - b.cents) AS cents_diff
+           FROM legs_out a JOIN legs_in b ON {_MATCH1} AND abs(a.date - b.date) BETWEEN 1 AND 3
+           WHERE a.leg_id NOT IN (SELECT left_id FROM p1) AND b.leg_id NOT IN (SELECT right_id FROM p1)),
+    pairs AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2)
+"""
+_BOTH = ("legs_out", "legs_in")
+
+
+@register(f"SELECT entity, category, count(*) AS n, coalesce(sum(debit), 0)::BIGINT AS debit, coalesce(sum(credit), 0)::BIGINT AS credit FROM (SELECT *, {_CATEGORY} AS category FROM ledger) GROUP BY 1, 2", "ledger")
+def category_by_entity(ledger):
+    return summaries.by_category(rules.categorize(ledger))
+
+
+@register(f"SELECT txn_id, {_CATEGORY} AS category, {_LABEL} AS category_label FROM ledger", "ledger")
+def categorize_rows(ledger):
+    return rules.categorize(ledger).select("txn_id", "category", "category_label")
+
+
+@register(f"SELECT n, n_known, round(n_known / n, 6) AS rate FROM (SELECT count(*) AS n, count(*) FILTER (category <> 'uncategorized') AS n_known FROM (SELECT {_CATEGORY} AS category FROM ledger))", "ledger")
+def categorization_rate(ledger):
+    return summaries.categorization_rate(rules.categorize(ledger))
+
+
+@register(
+    f"""SELECT substring(coalesce(description, ''), 1, 40) AS pattern, count(*) AS n, coalesce(sum(debit), 0)::BIGINT AS debit, coalesce(sum(credit), 0)::BIGINT AS credit
+        FROM (SELECT *, {_CATEGORY} AS category FROM ledger) WHERE category = 'uncategorized' GROUP BY 1
+        ORDER BY coalesce(sum(debit), 0) + coalesce(sum(credit), 0) DESC, 1 LIMIT 30""",
+    "ledger",
+)
+def uncategorized_patterns_top30(ledger):
+    return summaries.uncategorized_patterns(rules.categorize(ledger))
+
+
+@register(
+    """SELECT entity, coalesce(sum(debit), 0)::BIGINT AS debit, coalesce(sum(credit), 0)::BIGINT AS credit, count(*) AS n, count(DISTINCT file_name) AS n_files,
+              min(date) AS first_date, max(date) AS last_date, array_to_string(list_sort(list(DISTINCT account)), ', ') AS accounts,
+              (coalesce(sum(credit), 0) - coalesce(sum(debit), 0))::BIGINT AS net FROM ledger GROUP BY entity""",
+    "ledger",
+)
+def entity_summary(ledger):
+    return summaries.entity_summary(ledger)
+
+
+@register(
+    """SELECT account, first(balance ORDER BY date, balance) AS opening, last(balance ORDER BY date, balance) AS closing,
+              first(balance - net ORDER BY date, balance, net) AS opening_before
+       FROM (SELECT *, coalesce(credit, 0) - coalesce(debit, 0) AS net FROM balances) WHERE balance IS NOT NULL GROUP BY account""",
+    "balances",
+)
+def entity_opening_closing(balances):
+    return summaries.opening_closing(balances, "account")
+
+
+@register(
+    "SELECT CASE WHEN grouping(entity) = 1 THEN 'TOTAL' ELSE entity END AS entity, count(*) AS n, coalesce(sum(debit), 0)::BIGINT AS debit, coalesce(sum(credit), 0)::BIGINT AS credit FROM ledger GROUP BY ROLLUP (entity)",
+    "ledger",
+)
+def entity_grand_total(ledger):
+    return summaries.grand_total(ledger)
+
+
+@register("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1", "lineitem")
+def duplicate_groups(lineitem):
+    return summaries.duplicate_groups(lineitem, ["l_orderkey", "l_linenumber"])
+
+
+_RUNNING = """
+    s AS (SELECT *, sum(coalesce(credit, 0) - coalesce(debit, 0)) OVER w AS cum, first_value(balance IS NOT NULL) OVER w AS starts FROM balances WINDOW w AS (PARTITION BY account ORDER BY date, txn_id ROWS UNBOUNDED PRECEDING)),
+    o AS (SELECT *, last_value(balance - cum IGNORE NULLS) OVER (PARTITION BY account ORDER BY date, txn_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS anchor FROM s),
+    d AS (SELECT *, {when} AS diff FROM o)
+    SELECT account, count(diff) AS n_checked, count(*) FILTER (abs(diff) > 2) AS n_bad, coalesce(sum(abs(diff)) FILTER (abs(diff) > 2), 0)::BIGINT AS amount_bad,
+           CASE WHEN count(diff) > 0 THEN count(*) FILTER (abs(diff) > 2) = 0 END AS passed FROM d GROUP BY account
+"""
+
+
+@register("WITH " + _RUNNING.format(when="CASE WHEN starts THEN balance - (anchor + cum) END"), "balances")
+def running_balance_strict(balances):
+    return checks.balance_check(checks.running_balance(balances, "account", ["date", "txn_id"], 2), "account")
+
+
+@register("WITH " + _RUNNING.format(when="balance - (anchor + cum)"), "balances")
+def running_balance_hidden(balances):
+    return checks.balance_check(checks.running_balance(balances, "account", ["date", "txn_id"], 2, need_first=False), "account")
+
+
+@register(
+    """WITH d AS (SELECT account, balance - (lag(balance) OVER (PARTITION BY account ORDER BY date, txn_id) + coalesce(credit, 0) - coalesce(debit, 0)) AS diff FROM balances)
+       SELECT account, count(diff) AS n_pairs, count(*) FILTER (abs(diff) > 5) AS n_bad, CASE WHEN count(diff) > 0 THEN count(*) FILTER (abs(diff) > 5) * 100 < 5 * count(diff) END AS passed FROM d GROUP BY account""",
+    "balances",
+)
+def running_balance_pairwise(balances):
+    return checks.pairwise_balance(balances, "account", ["date", "txn_id"], 5)
+
+
+@register("SELECT file_name, count(*) AS n_rows, count(*) FILTER (coalesce(debit, 0) = 0 AND coalesce(credit, 0) = 0) AS n_no_amount, count(*) FILTER (date IS NULL) AS n_bad_date, min(date) AS period_start, max(date) AS period_end FROM ledger GROUP BY 1", "ledger")
+def file_checks(ledger):
+    return checks.file_checks(ledger, "file_name")
+
+
+@register("SELECT l_returnflag, (count(l_linenumber) - count(DISTINCT l_linenumber))::BIGINT AS n_repeated FROM lineitem GROUP BY 1", "lineitem")
+def sequence_duplicates(lineitem):
+    return checks.sequence_duplicates(lineitem, "l_returnflag", "l_linenumber")
+
+
+@register(
+    """WITH c AS (SELECT DISTINCT account, month FROM files WHERE source_type = 'csv'), s AS (SELECT DISTINCT file_name, account, month FROM files WHERE source_type <> 'csv')
+       SELECT file_name, count(*) AS n_months FROM s LEFT JOIN c USING (account, month) GROUP BY file_name HAVING count(*) = count(*) FILTER (EXISTS (SELECT 1 FROM c x WHERE x.account = s.account AND x.month = s.month))""",
+    "files",
+)
+def coverage_prune(files):
+    return coverage.prune_covered(files)
+
+
+@register(
+    """WITH r AS (SELECT account, min(CAST(month || '-01' AS DATE)) AS a, max(CAST(month || '-01' AS DATE)) AS b FROM files WHERE source_type = 'pdf' GROUP BY account),
+       m AS (SELECT account, strftime(unnest(generate_series(a, b, INTERVAL 1 MONTH)), '%Y-%m') AS month FROM r)
+       SELECT account, month FROM m WHERE NOT EXISTS (SELECT 1 FROM files f WHERE f.account = m.account AND f.month = m.month AND f.source_type = 'pdf')""",
+    "files",
+)
+def month_gaps(files):
+    return coverage.month_gaps(files.where("source_type = 'pdf'"))
+
+
+_ACCOUNTS = {f"{k:07d}": f"NATION_{k}" for k in range(0, 25, 2)}
+_KNOWN = "(" + ", ".join(f"'{a}'" for a in _ACCOUNTS) + ")"
+
+
+@register(
+    f"""WITH a AS (SELECT txn_id, CASE WHEN txn_id % 3 = 0 THEN lpad(account, 5, '0') WHEN txn_id % 3 = 1 THEN ' ' || lpad(account, 6, '0') ELSE lpad(account, 8, '0') END AS raw FROM ledger),
+        n AS (SELECT txn_id, raw, CASE length(trim(raw)) WHEN 5 THEN '00' || trim(raw) WHEN 6 THEN '0' || trim(raw) ELSE trim(raw) END AS account FROM a)
+        SELECT txn_id, account, CASE WHEN account IN {_KNOWN} THEN account WHEN '0' || account IN {_KNOWN} THEN '0' || account
+               WHEN regexp_replace(account, '^0', '') IN {_KNOWN} THEN regexp_replace(account, '^0', '') ELSE 'Unknown (' || account || ')' END AS resolved FROM n""",
+    "ledger",
+)
+def account_normalize_resolve(ledger):
+    padded = lambda n: F.lpad("account", n, "0")
+    raw = F.when(F.col("txn_id") % 3 == 0, padded(5)).when(F.col("txn_id") % 3 == 1, F.concat(F.lit(" "), padded(6))).otherwise(padded(8))
+    known = F.create_map(*[F.lit(x) for item in _ACCOUNTS.items() for x in item])
+    rows = ledger.select("txn_id", exprs.normalize_account(raw).alias("account"))
+    return rows.withColumn("resolved", transfers.resolve_account(F.col("account"), known))
+
+
+@register(
+    """SELECT txn_id, 'entity_mismatch' AS type, 'NATION_' || CAST(txn_id % 25 AS VARCHAR) AS hint, entity FROM ledger WHERE 'NATION_' || CAST(txn_id % 25 AS VARCHAR) <> entity""",
+    "ledger",
+)
+def entity_override_anomalies(ledger):
+    hint = F.concat(F.lit("NATION_"), (F.col("txn_id") % 25).cast("string"))
+    return ledger.select("txn_id", F.lit("entity_mismatch").alias("type"), hint.alias("hint"), "entity").where("hint <> entity")
+
+
+def _detect_sql() -> str:
+    whens = []
+    for pattern, sign, kind, name in transfers.PATTERNS:
+        p = "'(?i)" + pattern.replace("'", "''") + "'"
+        got = f"trim(regexp_extract(description, {p}, 1))"
+        if kind == "owner":
+            other = f"'{transfers.OWNER}'"
+        elif kind == "account":
+            other = f"CASE length({got}) WHEN 5 THEN '00' || {got} WHEN 6 THEN '0' || {got} ELSE {got} END"
+        else:
+            other = f"'{kind}' || {got}"
+        way = "out" if sign == "debit" else "in"
+        whens.append(f"WHEN regexp_matches(coalesce(description, ''), {p}) AND coalesce({sign}, 0) <> 0 THEN {{'transfer_type': '{name}', 'direction': '{way}', 'counterparty': {other}, 'amount': {sign}}}")
+    return f"SELECT txn_id, t.transfer_type AS transfer_type, t.direction AS direction, t.counterparty AS counterparty, t.amount AS amount FROM (SELECT txn_id, CASE {' '.join(whens)} END AS t FROM ledger) WHERE t IS NOT NULL"
+
+
+@register(_detect_sql(), "ledger")
+def detect_transfers(ledger):
+    return transfers.detect(ledger).select("txn_id", "transfer_type", "direction", "counterparty", "amount")
+
+
+@register(f"SELECT counterparty, sum(amount)::BIGINT AS cents, count(*) AS n, min(date) AS first_date, max(date) AS last_date FROM ({_detect_sql()}) JOIN ledger USING (txn_id) WHERE transfer_type IN ('interac_out', 'interac_in') GROUP BY 1", "ledger")
+def external_recipients(ledger):
+    return summaries.recipients(transfers.detect(ledger).where("transfer_type in ('interac_out', 'interac_in')"))
+
+
+_KEY = "date, cents, src, dst"
+
+
+@register(
+    f"""WITH o AS (SELECT *, row_number() OVER (PARTITION BY {_KEY} ORDER BY leg_id) AS nth FROM legs_out), i AS (SELECT *, row_number() OVER (PARTITION BY {_KEY} ORDER BY leg_id) AS nth FROM legs_in)
+        SELECT o.leg_id AS left_id, i.leg_id AS right_id, date, cents FROM o JOIN i USING ({_KEY}, nth)""",
+    *_BOTH,
+)
+def match_exact_key(outs, ins):
+    return transfers.match_exact(outs, ins)
+
+
+def _legs(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("leg_id", "id")
+
+
+@register(f"WITH {_TWO_PASS} SELECT pass, left_id, right_id, CAST(day_diff AS INTEGER) AS day_diff, cents_diff FROM pairs", *_BOTH)
+def match_two_pass(outs, ins):
+    return matching.two_pass(_legs(outs), _legs(ins)).select("pass", "left_id", "right_id", "day_diff", "cents_diff")
+
+
+@register(f"WITH {_TWO_PASS} SELECT leg_id AS id, date, cents, src, dst FROM legs_out WHERE leg_id NOT IN (SELECT left_id FROM pairs) ORDER BY cents DESC, date, leg_id LIMIT 30", *_BOTH)
+def unmatched_out(outs, ins):
+    left = matching.without(_legs(outs), matching.two_pass(_legs(outs), _legs(ins)), "left_id")
+    return left.select("id", "date", "cents", "src", "dst").orderBy(F.desc("cents"), "date", "id").limit(30)
+
+
+@register(f"WITH {_TWO_PASS} SELECT leg_id AS id, date, cents, src, dst FROM legs_in WHERE leg_id NOT IN (SELECT right_id FROM pairs)", *_BOTH)
+def unmatched_in(outs, ins):
+    left = matching.without(_legs(ins), matching.two_pass(_legs(outs), _legs(ins)), "right_id")
+    return left.select("id", "date", "cents", "src", "dst")
+
+
+@register(
+    f"""WITH {_TWO_PASS}, n AS (SELECT (SELECT count(*) FROM pairs) AS n_pairs, (SELECT count(*) FROM legs_out) AS n_out, (SELECT count(*) FROM legs_in) AS n_in)
+        SELECT n_pairs, n_out, n_in, n_out - n_pairs AS unmatched_out, n_in - n_pairs AS unmatched_in, round(n_pairs / n_out, 6) AS rate FROM n""",
+    *_BOTH,
+)
+def match_stats(outs, ins):
+    return summaries.match_stats(matching.two_pass(_legs(outs), _legs(ins)), outs, ins)
+
+
+_AXIS = list(range(25))
+
+
+@register(
+    "SELECT src, " + ", ".join(f'(sum(cents) FILTER (dst = {k}))::BIGINT AS "{k}"' for k in _AXIS) + ", sum(cents)::BIGINT AS total FROM legs_out GROUP BY src",
+    "legs_out",
+)
+def transfer_matrix(outs):
+    return transfers.transfer_matrix(outs, _AXIS)
+
+
+_MONTHLY = "SELECT strftime(date, '%Y-%m') AS month, src, dst, sum(cents)::BIGINT AS cents FROM legs_out WHERE src <> dst GROUP BY 1, 2, 3 HAVING sum(cents) > 0"
+
+
+@register(_MONTHLY, "legs_out")
+def monthly_matrix(outs):
+    return transfers.monthly_matrix(outs)
+
+
+@register(f"SELECT month, sum(cents)::BIGINT AS cents, count(DISTINCT src) AS n_src, count(DISTINCT dst) AS n_dst FROM ({_MONTHLY}) GROUP BY month", "legs_out")
+def month_active_axes(outs):
+    return transfers.active_axes(transfers.monthly_matrix(outs))
+
+
+def _owner_sql(key: str) -> str:
+    return f"""SELECT {key}, repaid, advanced, repaid + advanced AS total, CASE WHEN repaid + advanced <> 0 THEN round(advanced / (repaid + advanced), 6) END AS share
+        FROM (SELECT {key}, coalesce(sum(debit), 0)::BIGINT AS repaid, coalesce(sum(credit), 0)::BIGINT AS advanced FROM ledger WHERE regexp_matches(coalesce(description, ''), '(?i)Owner_[AB]') GROUP BY 1)"""
+
+
+def _owned(ledger: DataFrame) -> DataFrame:
+    return ledger.where(rules.matches(F.coalesce("description", F.lit("")), "Owner_[AB]"))
+
+
+@register(_owner_sql("month"), "ledger")
+def owner_split_by_month(ledger):
+    return summaries.owner_split(_owned(ledger), "month")
+
+
+@register(_owner_sql("entity"), "ledger")
+def owner_split_by_entity(ledger):
+    return summaries.owner_split(_owned(ledger), "entity")
+
+
+def _cards(card: DataFrame) -> DataFrame:
+    rows = card.withColumn("_r", rules.classify_card(F.col("description"), F.col("cents") / 100))
+    kept = rows.select(*card.columns, "_r.class", "_r.category", "_r.label", "_r.status", F.col("_r.business_amount").alias("_b"))
+    return kept.withColumn("business_cents", F.when(F.col("_b").isNull(), None).when(F.col("_b") == 0, 0).otherwise(F.col("cents")).cast("long")).drop("_b")
+
+
+def _card_sql() -> str:
+    """class, status and business part as the ladder gives them."""
+    steps = []
+    for name in ("FLAG", "CARD_FEE", "VERIFY", "TEAM_BUILDING", "PERSONAL"):
+        for pattern, category, _ in rules.CARD_RULES[name]:
+            cls = "CARD_FEE" if category == "card_fee" and name == "VERIFY" else name
+            steps.append((pattern, cls, "0" if cls in ("CARD_FEE", "PERSONAL") else "NULL"))
+    test = lambda p: "regexp_matches(description, '(?i)" + p.replace("'", "''") + "')"
+    whens = [f"WHEN {test(p)} THEN {{'class': '{c}', 'b': {b}::BIGINT}}" for p, c, b in steps]
+    whens += [f"WHEN {test('SAQ')} AND cents >= 30000 THEN {{'class': 'BUSINESS', 'b': cents}}", f"WHEN {test('SAQ')} THEN {{'class': 'PERSONAL', 'b': 0::BIGINT}}"]
+    whens += [f"WHEN {test(p)} THEN {{'class': 'BUSINESS', 'b': cents}}" for p, _, _ in rules.CARD_RULES["BUSINESS"]]
+    return f"classified AS (SELECT * EXCLUDE (r), r['class'] AS class, r['b'] AS business_cents FROM (SELECT *, CASE {' '.join(whens)} ELSE {{'class': 'VERIFY', 'b': NULL::BIGINT}} END AS r FROM card))"
+
+
+@register(f"WITH {_card_sql()} SELECT l_orderkey, l_linenumber, cents, card, description, class, business_cents FROM classified", "card")
+def card_classify(card):
+    return _cards(card).select("l_orderkey", "l_linenumber", "cents", "card", "description", "class", "business_cents")
+
+
+@register(
+    f"""WITH {_card_sql()} SELECT class, count(*) AS n, sum(cents)::BIGINT AS cents, coalesce(sum(business_cents), 0)::BIGINT AS business,
+        coalesce(sum(cents) FILTER (business_cents IS NULL), 0)::BIGINT AS pending, round(100.0::DOUBLE * sum(cents) / (SELECT sum(cents) FROM classified), 4) AS percent FROM classified GROUP BY class""",
+    "card",
+)
+def card_class_summary(card):
+    return summaries.class_summary(_cards(card))
+
+
+@register(
+    f"""WITH {_card_sql()} SELECT card, CASE WHEN grouping(class) = 1 THEN 'ALL' ELSE class END AS class, count(*) AS n, sum(cents)::BIGINT AS cents
+        FROM classified GROUP BY ROLLUP (card, class) HAVING grouping(card) = 0""",
+    "card",
+)
+def card_by_class(card):
+    return summaries.by_card(_cards(card))
+
+
+@register(f"WITH {_card_sql()} SELECT l_orderkey, l_linenumber, cents, description FROM classified WHERE class = 'VERIFY'", "card")
+def review_queue(card):
+    return summaries.review_queue(_cards(card)).select("l_orderkey", "l_linenumber", "cents", "description")
+
+
+_KEYS = "s.card = b.tab"
+_GRADUATED = f"""
+    g1 AS (SELECT 'EXACT' AS pass, 1.0::DOUBLE AS confidence, s.id AS left_id, b.id AS right_id FROM stmt s JOIN book b ON {_KEYS} AND s.cents = b.cents AND s.date = b.date),
+    g2 AS (SELECT 'DATE_FUZZY' AS pass, round(1 - 0.1::DOUBLE * abs(s.date - b.date), 4) AS confidence, s.id AS left_id, b.id AS right_id FROM stmt s JOIN book b ON {_KEYS} AND s.cents = b.cents AND abs(s.date - b.date) <= 3
+           WHERE s.id NOT IN (SELECT left_id FROM g1) AND b.id NOT IN (SELECT right_id FROM g1)),
+    g3 AS (SELECT 'AMOUNT_FUZZY' AS pass, round(0.8::DOUBLE - 0.1::DOUBLE * abs(s.date - b.date) - 0.02::DOUBLE * abs(s.cents - b.cents), 4) AS confidence, s.id AS left_id, b.id AS right_id
+           FROM stmt s JOIN book b ON {_KEYS} AND abs(s.cents - b.cents) <= 5 AND abs(s.date - b.date) <= 3
+           WHERE s.id NOT IN (SELECT left_id FROM g1 UNION SELECT left_id FROM g2) AND b.id NOT IN (SELECT right_id FROM g1 UNION SELECT right_id FROM g2))
+"""
+
+
+@register(f"WITH {_GRADUATED} SELECT * FROM g1 UNION ALL SELECT * FROM g2 UNION ALL SELECT * FROM g3", "stmt", "book")
+def graduated_match(stmt, book):
+    return matching.graduated(stmt, book, passes=3).select("pass", "confidence", "left_id", "right_id")
+
+
+@register(
+    """SELECT cents, date, coalesce(l.n, 0) AS n_left, coalesce(r.n, 0) AS n_right FROM (SELECT cents, date, count(*) AS n FROM stmt GROUP BY 1, 2) l
+       FULL JOIN (SELECT cents, date, count(*) AS n FROM book GROUP BY 1, 2) r USING (cents, date) WHERE coalesce(l.n, 0) <> coalesce(r.n, 0)""",
+    "stmt", "book",
+)
+def group_count_match(stmt, book):
+    return matching.group_counts(stmt, book)
+
+
+def _parts(stmt: DataFrame) -> DataFrame:
+    """Every ninth statement row cut into two or three parts."""
+    third = F.floor(F.col("cents") / F.lit(3)).cast("long")
+    three = F.array(third, third + 1, F.col("cents") - 2 * third - 1)
+    two = F.array(third, F.col("cents") - third)
+    cut = F.posexplode(F.when(F.col("id") % 2 == 0, three).otherwise(two))
+    return stmt.where("id % 9 = 0").select("card", "date", F.col("id").alias("of"), cut.alias("k", "cents")).select((F.col("of") * 10 + F.col("k")).alias("id"), "card", "date", "cents")
+
+
+@register(
+    """WITH l AS (SELECT id, card, date, cents, cents // 3 AS t FROM stmt WHERE id % 9 = 0),
+       p AS (SELECT id * 10 + k AS id, card, date, CASE WHEN k = 0 THEN t WHEN id % 2 = 1 THEN cents - t WHEN k = 1 THEN t + 1 ELSE cents - 2 * t - 1 END AS cents FROM l, range(3) r(k) WHERE k < 3 - id % 2),
+       near AS (SELECT l.id AS left_id, l.cents AS whole, p.id, p.cents FROM l JOIN p ON l.card = p.card AND abs(l.date - p.date) <= 1 AND p.cents <= l.cents + 5),
+       s AS (SELECT a.left_id, [a.id, b.id] AS part_ids, abs(a.cents + b.cents - a.whole) AS diff FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id
+             UNION ALL SELECT a.left_id, [a.id, b.id, c.id], abs(a.cents + b.cents + c.cents - a.whole) FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id JOIN near c ON a.left_id = c.left_id AND b.id < c.id)
+       SELECT left_id, array_to_string(part_ids, ',') AS parts, diff FROM s WHERE diff <= 5 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY diff, len(part_ids), part_ids) = 1""",
+    "stmt",
+)
+def split_match(stmt):
+    found = matching.split_match(stmt.where("id % 9 = 0"), _parts(stmt), ("card", "card"))
+    return found.select("left_id", F.array_join(F.col("part_ids").cast("array<string>"), ",").alias("parts"), "diff")
+
+
+@register(
+    """WITH f AS (SELECT * FROM book QUALIFY row_number() OVER (PARTITION BY tab ORDER BY date, id) <= 20),
+       h AS (SELECT f.tab, s.card, count(DISTINCT f.id) AS n_matched FROM f JOIN stmt s ON abs(f.cents - s.cents) <= 4 AND abs(f.date - s.date) <= 5 GROUP BY 1, 2)
+       SELECT h.tab, card, n_matched, n_sample FROM h JOIN (SELECT tab, count(*) AS n_sample FROM f GROUP BY 1) USING (tab) QUALIFY row_number() OVER (PARTITION BY h.tab ORDER BY n_matched DESC, card) = 1""",
+    "stmt", "book",
+)
+def fingerprint(stmt, book):
+    return matching.fingerprint(stmt, book)
+
+
+@register(
+    """SELECT card, month, coalesce(a, 0) AS stmt_cents, coalesce(b, 0) AS book_cents, coalesce(a, 0) - coalesce(b, 0) AS diff
+       FROM (SELECT card, strftime(date, '%Y-%m') AS month, sum(cents)::BIGINT AS a FROM stmt GROUP BY 1, 2) FULL JOIN (SELECT tab AS card, strftime(date, '%Y-%m') AS month, sum(cents)::BIGINT AS b FROM book GROUP BY 1, 2) USING (card, month)
+       WHERE coalesce(a, 0) <> coalesce(b, 0)""",
+    "stmt", "book",
+)
+def monthly_totals_diff(stmt, book):
+    return matching.monthly_difference(stmt, book)
+
+
+@register(
+    """SELECT cents, l.id AS left_id, r.id AS right_id FROM (SELECT cents, min(id) AS id FROM stmt WHERE cents % 100 <> 0 GROUP BY 1 HAVING count(*) = 1) l
+       JOIN (SELECT cents, min(id) AS id FROM book WHERE cents % 100 <> 0 GROUP BY 1 HAVING count(*) = 1) r USING (cents)""",
+    "stmt", "book",
+)
+def unique_amounts(stmt, book):
+    return matching.unique_amounts(stmt, book)
+
+
+@register(
+    """SELECT tab, card, (least(b2, s2) - greatest(b1, s1) + 1)::INTEGER AS days FROM (SELECT tab, min(date) AS b1, max(date) AS b2 FROM book GROUP BY 1)
+       JOIN (SELECT card, min(date) AS s1, max(date) AS s2 FROM stmt GROUP BY 1) ON b1 <= s2 AND s1 <= b2""",
+    "stmt", "book",
+)
+def range_overlap(stmt, book):
+    return matching.range_overlap(stmt, book)
+
+
+@register("SELECT p_partkey, round(1 - levenshtein(p_name, p_type)::DOUBLE / greatest(length(p_name), length(p_type)), 6) AS alike FROM part", "part")
+def description_similarity(part):
+    return part.select("p_partkey", F.round(exprs.similarity(F.col("p_name"), F.col("p_type")), 6).alias("alike"))
+
+
+@register("SELECT txn_id AS row_id, sha256(concat_ws(chr(31), CAST(date AS VARCHAR), coalesce(CAST(debit AS VARCHAR), ''), coalesce(CAST(credit AS VARCHAR), ''), coalesce(description, ''), file_name)) AS txn_hash FROM ledger", "ledger")
+def txn_ids(ledger):
+    return ledger.select(F.col("txn_id").alias("row_id"), exprs.transaction_id("date", "debit", "credit", "description", "file_name").alias("txn_hash"))
+
+
+@register("SELECT file_name, count(*) AS n, coalesce(sum(debit), 0)::BIGINT AS debit, coalesce(sum(credit), 0)::BIGINT AS credit FROM ledger GROUP BY 1", "ledger")
+def control_totals(ledger):
+    return summaries.control_totals(ledger)
+
+
+@register(
+    """SELECT coalesce(month, 'ALL') AS month, coalesce(status, 'ALL') AS status, count(*) AS n, sum(cents)::BIGINT AS cents
+       FROM (SELECT month, CASE WHEN debit IS NULL AND credit IS NULL THEN 'BLOCKED' WHEN txn_id % 2 = 0 THEN 'OPEN' ELSE 'NEEDS_REVIEW' END AS status, coalesce(debit, credit, 0) AS cents FROM ledger)
+       GROUP BY GROUPING SETS ((), (month), (status))""",
+    "ledger",
+)
+def review_summary(ledger):
+    status = F.when(F.col("debit").isNull() & F.col("credit").isNull(), "BLOCKED").when(F.col("txn_id") % 2 == 0, "OPEN").otherwise("NEEDS_REVIEW")
+    return summaries.review_summary(ledger.select("month", status.alias("status"), F.coalesce("debit", "credit", F.lit(0)).alias("cents")))
+
+
+_NEXT = """
+    fresh AS (SELECT path, upper(domain) AS label, row_number() OVER (PARTITION BY domain ORDER BY path) AS nth FROM registry_new WHERE path NOT IN (SELECT path FROM registry_old)),
+    taken AS (SELECT split_part(source_id, '-', 2) AS label, CAST(split_part(source_id, '-', 3) AS INTEGER) AS k FROM registry_old),
+    free AS (SELECT label, k, row_number() OVER (PARTITION BY label ORDER BY k) AS nth FROM (SELECT DISTINCT label FROM fresh), range(1, 1000) r(k) WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.label = fresh.label AND t.k = r.k)),
+    made AS (SELECT path, 'SRC-' || label || '-' || lpad(CAST(k AS VARCHAR), 3, '0') AS source_id FROM fresh JOIN free USING (label, nth))
+""".replace("t.label = fresh.label", "t.label = d.label").replace("FROM fresh), range", "FROM fresh) d, range")
+
+
+@register(
+    f"""WITH {_NEXT} SELECT path, coalesce(o.source_id, m.source_id) AS source_id, coalesce(n.sha256, o.sha256) AS sha256, coalesce(o.first_seen, DATE '2024-06-01') AS first_seen,
+        CASE WHEN n.path IS NULL THEN 'removed' WHEN o.path IS NULL THEN 'added' WHEN o.sha256 <> n.sha256 THEN 'changed' ELSE 'same' END AS status
+        FROM registry_old o FULL JOIN registry_new n USING (path) LEFT JOIN made m USING (path)""",
+    "registry_old", "registry_new",
+)
+def registry_merge(old, new):
+    return registry.merge(old, new, "2024-06-01")
+
+
+@register(
+    """SELECT o.path AS path, 'hash_changed' AS alert FROM registry_old o JOIN registry_new n USING (path) WHERE o.sha256 <> n.sha256
+       UNION ALL SELECT path, 'removed' FROM registry_old WHERE path NOT IN (SELECT path FROM registry_new)""",
+    "registry_old", "registry_new",
+)
+def registry_alerts(old, new):
+    return registry.alerts(old, new)
+
+
+@register(f"WITH {_NEXT} SELECT path, source_id FROM made", "registry_old", "registry_new")
+def source_ids(old, new):
+    fresh = new.join(old.select("path"), "path", "left_anti").select("path", "domain")
+    return registry.next_ids(fresh, old).select("path", "source_id")
+
+
+_VIOLATIONS = """
+    r AS (SELECT *, upper(trim(coalesce(confidence_status, ''))) AS st FROM schedule),
+    v AS (SELECT id, 'status_empty' AS rule FROM r WHERE st = ''
+          UNION ALL SELECT id, 'status_forbidden' FROM r WHERE st IN ('VERIFY', 'TBD', 'MAYBE', 'LOOK INTO')
+          UNION ALL SELECT id, 'status_unknown' FROM r WHERE st NOT IN ('CONFIRMED', 'INFERRED', 'NEEDS_REVIEW', 'BLOCKED', 'VERIFY', 'TBD', 'MAYBE', 'LOOK INTO', '')
+          UNION ALL SELECT id, 'placeholder_entity' FROM r WHERE regexp_matches(entity, '^<[^>]+>$')
+          UNION ALL SELECT id, 'missing_source_id' FROM r WHERE amount IS NOT NULL AND st <> 'BLOCKED' AND trim(source_id) = ''
+          UNION ALL SELECT id, 'missing_source' FROM r WHERE amount IS NOT NULL AND st <> 'BLOCKED' AND trim(source) = ''
+          UNION ALL SELECT id, 'source_not_registered' FROM r WHERE st = 'CONFIRMED' AND trim(source_id) <> '' AND source_id NOT IN (SELECT source_id FROM registry_old)
+          UNION ALL SELECT id, 'inferred_at_handoff' FROM r WHERE st = 'INFERRED')
+"""
+
+
+@register(f"WITH {_VIOLATIONS} SELECT CAST(id AS VARCHAR) AS row_id, rule FROM v", "schedule", "registry_old")
+def violations(schedule, old):
+    return quality.schedule_violations(schedule, "creditor-schedule.csv", "handoff", old).select("row_id", "rule")
+
+
+@register(f"WITH {_VIOLATIONS} SELECT (CASE WHEN count(*) > 0 THEN 1 ELSE 0 END)::INTEGER AS verdict, count(*) AS n FROM v", "schedule", "registry_old")
+def package_verdict(schedule, old):
+    return quality.verdict(quality.schedule_violations(schedule, "creditor-schedule.csv", "handoff", old))
+
+
+@register("SELECT doc_id, m.marker AS marker FROM documents, (VALUES ('the '), ('de '), ('License')) m(marker) WHERE NOT contains(coalesce(text, ''), m.marker)", "documents")
+def section_markers(documents):
+    return quality.missing_sections(documents, ["the ", "de ", "License"], "doc_id")
+
+
+_STANDING = "SELECT * FROM decisions d WHERE NOT EXISTS (SELECT 1 FROM decisions c WHERE c.corrects = d.ts AND c.entity = d.entity AND c.field = d.field)"
+
+
+@register(f"SELECT entity, field, max(ts) AS ts, arg_max(value, ts) AS value FROM ({_STANDING}) GROUP BY 1, 2", "decisions")
+def effective_decisions(log):
+    return decisions.effective(log)
+
+
+@register("SELECT ts, entity, field, value FROM decisions ORDER BY ts DESC LIMIT 10", "decisions")
+def decisions_tail(log):
+    return decisions.tail(log).select("ts", "entity", "field", "value")
+
+
+@register("SELECT seq, confidence_status, basis FROM decisions WHERE contains(' ' || lower(basis) || ' ', 'art.')", "decisions")
+def legal_wording(log):
+    return log.where(exprs.has_legal_wording(F.col("basis"))).select("seq", "confidence_status", "basis")
+
+
+@register("SELECT txn_id, date FROM ledger WHERE DATE '2001-08-01' - date > 2000", "ledger")
+def stale_items(ledger):
+    return quality.stale(ledger, "date", "2001-08-01", 2000).select("txn_id", "date")
+
+
+@register(
+    """SELECT entity, coalesce(sum(amount) FILTER (confidence_status = 'CONFIRMED'), 0)::BIGINT AS confirmed, count(*) FILTER (confidence_status = 'CONFIRMED') AS n_confirmed,
+              count(*) FILTER (confidence_status IN ('INFERRED', 'NEEDS_REVIEW')) AS n_open, count(*) FILTER (confidence_status = 'BLOCKED') AS n_blocked FROM schedule GROUP BY 1""",
+    "schedule",
+)
+def confirmed_totals(schedule):
+    return quality.confirmed_totals(schedule)
+
+
+_ROWS = """
+    g AS (SELECT *, CASE WHEN top - lag(top) OVER w > 3 OR lag(top) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM words WINDOW w AS (PARTITION BY doc_id, page ORDER BY top, word_seq)),
+    rows_ AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY top, word_seq ROWS UNBOUNDED PRECEDING)::BIGINT AS row FROM g)
+"""
+
+
+@register(f"WITH {_ROWS} SELECT doc_id, page, row, string_agg(text, ' ' ORDER BY x0, word_seq) AS text, min(word_seq) AS word_seq, min(top) AS top, count(*) AS n_words FROM rows_ GROUP BY 1, 2, 3", "words")
+def layout_rows(words):
+    return layout.row_texts(layout.rows_by_gap(words, 3.0))
+
+
+@register(f"WITH {_ROWS} SELECT doc_id, page, word_seq, row FROM rows_", "words")
+def layout_anchor_rows(words):
+    """Words of neighbouring rows lie further apart than the tolerance here, so anchors and gaps give the same rows, numbered by first word instead."""
+    rows = layout.rows_by_anchor(words, 3.0)
+    from pyspark.sql import Window
+
+    top = F.min("top").over(Window.partitionBy("doc_id", "page", "row"))
+    return rows.withColumn("_t", top).select("doc_id", "page", "word_seq", F.dense_rank().over(Window.partitionBy("doc_id", "page").orderBy("_t")).cast("long").alias("row"))
+
+
+@register(
+    "SELECT doc_id, page, word_seq, CASE WHEN (x0 + x1) / 2 < 150 THEN 'debit' WHEN (x0 + x1) / 2 < 300 THEN 'credit' ELSE 'balance' END AS col FROM words",
+    "words",
+)
+def layout_columns(words):
+    bounds = [(F.lit(150.0), "debit"), (F.lit(300.0), "credit"), (None, "balance")]
+    return words.select("doc_id", "page", "word_seq", layout.amount_column(F.col("x0"), F.col("x1"), bounds).alias("col"))
+
+
+@register(
+    f"""WITH {_ROWS}, t AS (SELECT doc_id, page, row, bool_or(text = 'purchase') AS enter, bool_or(text = 'logout' OR text = 'refund') AS leave FROM rows_ GROUP BY 1, 2, 3),
+        m AS (SELECT *, last_value(CASE WHEN leave THEN 0 WHEN enter THEN 1 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY page, row ROWS UNBOUNDED PRECEDING) AS s FROM t)
+        SELECT doc_id, page, row, coalesce(s = 1, false) AS in_section FROM m""",
+    "words",
+)
+def section_carry(words):
+    rows = layout.rows_by_gap(words, 3.0).groupBy("doc_id", "page", "row").agg(F.bool_or(F.col("text") == "purchase").alias("enter"), F.bool_or(F.col("text").isin("logout", "refund")).alias("leave"))
+    return layout.carry_sections(rows, F.col("enter"), F.col("leave")).select("doc_id", "page", "row", "in_section")
+
+
+@register(
+    """SELECT txn_id, CAST(coalesce(debit, credit, 0) AS DOUBLE) / 100 * CASE WHEN txn_id % 4 IN (1, 2) THEN -1 ELSE 1 END AS amount FROM ledger""",
+    "ledger",
+)
+def parse_amounts(ledger):
+    """Amounts written in four styles are read back."""
+    cents = F.coalesce("debit", "credit", F.lit(0))
+    whole, part = F.floor(cents / 100).cast("string"), F.lpad((cents % 100).cast("string"), 2, "0")
+    dot, comma = F.concat(whole, F.lit("."), part), F.concat(whole, F.lit(","), part)
+    style = F.col("txn_id") % 4
+    read = (
+        F.when(style == 0, exprs.parse_amount(dot)).when(style == 1, exprs.parse_amount(F.concat(F.lit("("), comma, F.lit(")")), "french"))
+        .when(style == 2, exprs.parse_amount(F.concat(comma, F.lit(" CR")), "credit")).otherwise(exprs.parse_french_float(comma))
+    )
+    return ledger.select("txn_id", read.cast("double").alias("amount"))
+
+
+@register("SELECT txn_id, date FROM ledger", "ledger")
+def parse_dates(ledger):
+    """Dates written in three ways, with French and English months, are read back."""
+    french = F.element_at(F.array(*[F.lit(m) for m in ("janv", "fév", "mars", "avr", "mai", "juin", "juil", "août", "sept", "oct", "nov", "déc")]), F.month("date"))
+    iso = F.col("date").cast("string")
+    named = F.concat_ws(" ", F.dayofmonth("date"), french, F.year("date"))
+    english = F.concat_ws(" ", F.dayofmonth("date"), F.date_format("date", "MMM"), F.year("date"))
+    style = F.col("txn_id") % 4
+    text = F.when(style == 0, iso).when(style == 1, F.replace(iso, F.lit("-"), F.lit("/"))).when(style == 2, named).otherwise(english)
+    return ledger.select("txn_id", exprs.normalize_date(text).alias("date"))
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet*").parquet(sf_dir)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _places(spark: SparkSession, name: str) -> tuple[str, str]:
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{path}/out", f"{path}/state"
+
+
+def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once, through a stream with a watermark."""
+    rows = incremental.once(_stream(spark, sf_dir).select("event_id", "ts", "user_id"), "event_id", "ts", "60 days")
+    return incremental.run_available(rows, *_places(spark, "ingest")).select("event_id", "user_id")
+
+
+def stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and whole-cent sums by day, through a stream."""
+    rows = _stream(spark, sf_dir).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    return incremental.run_available(incremental.daily_totals(rows, "ts", "cents"), *_places(spark, "daily"), mode="complete")
+
+
+QUERIES |= {"stream_ingest_once": stream_ingest_once, "stream_daily_totals": stream_daily_totals}
+ORACLES |= {
+    "stream_ingest_once": "SELECT DISTINCT event_id, user_id FROM events",
+    "stream_daily_totals": "SELECT CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS total FROM events GROUP BY 1",
+}
