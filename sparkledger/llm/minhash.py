@@ -201,10 +201,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                 values, bounds = _sets(part.column(1), size)
                 yield pa.RecordBatch.from_arrays([part.column(0), common.binary_array(values, bounds)], names=["id", "shingles"])
 
-    full = common.materialize(source.join(nodes, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"), "sets")
+    full = common.materialize(source.join(nodes.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"), "sets")
 
     def confirm(chosen: DataFrame) -> DataFrame:
-        both = chosen.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+        # Merge joins at every size: what is small now is not at scale, and a hot side can be split.
+        both = chosen.hint("merge").join(full.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").hint("merge").join(full.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
 
     either = pairs.select("a", "b", "alike").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "alike"))
