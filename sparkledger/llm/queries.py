@@ -113,6 +113,45 @@ ORACLES: dict[str, str] = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
     """,
+    "op9_repeated_passages": """
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 19), ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)
+        ), later AS (
+            SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + unnest(range(20)) AS j, true AS out FROM later
+        ), words AS (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w
+        ), kept AS (
+            SELECT doc_id, count(*) AS n_words, count(out) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (out IS NULL) AS t
+            FROM words LEFT JOIN gone USING (doc_id, j) GROUP BY doc_id
+        )
+        SELECT w.doc_id AS doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)
+    """,
+    "op5_near_duplicates": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 2), ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM w
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+        ), least AS (
+            SELECT a, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT w.doc_id AS doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+        FROM w JOIN least ON least.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+    """,
     "op6_warc_archives": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html FROM pages

@@ -228,6 +228,19 @@ def test_registered_queries(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
 
 
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_same_rows_as_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    found = con.execute(queries.ORACLES[name])
+    columns = [c[0] for c in found.description]
+    rows = queries.QUERIES[name](spark, SF).select(*columns).collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, found.fetchall()))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
