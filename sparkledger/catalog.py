@@ -187,6 +187,22 @@ def entity_override_anomalies(ledger):
     return ledger.select("txn_id", F.lit("entity_mismatch").alias("type"), hint.alias("hint"), "entity").where("hint <> entity")
 
 
+_HINT = "'NATION_' || CAST(txn_id % 3 + CAST(account AS INTEGER) AS VARCHAR)"
+
+
+@register(
+    f"""WITH d AS (SELECT file_name, date, description, debit, credit, count(*) AS n FROM ledger GROUP BY ALL HAVING count(*) > 1)
+        SELECT 'duplicates' AS type, file_name, '' AS detail, sum(n)::BIGINT AS n FROM d GROUP BY 2
+        UNION ALL SELECT 'entity_mismatch', file_name, {_HINT} || ' is ' || entity, count(*) FROM ledger WHERE {_HINT} <> entity AND account NOT IN ('3', '4') GROUP BY 2, 3""",
+    "ledger",
+)
+def anomaly_feed(ledger):
+    hint = F.concat(F.lit("NATION_"), (F.col("txn_id") % 3 + F.col("account").cast("int")).cast("string"))
+    accounts = ledger.select("account", "entity").distinct().where("account not in ('3', '4')")
+    judged = summaries.override_entity(ledger.drop("entity").withColumn("hint", hint), accounts)
+    return summaries.anomalies(summaries.duplicate_groups(ledger, ["file_name", "date", "description", "debit", "credit"]), judged.where("mismatch"))
+
+
 def _detect_sql() -> str:
     whens = []
     for pattern, sign, kind, name in transfers.PATTERNS:
@@ -255,6 +271,15 @@ def match_stats(outs, ins):
     return summaries.match_stats(matching.two_pass(_legs(outs), _legs(ins)), outs, ins)
 
 
+@register(
+    """SELECT a.leg_id AS left_id, b.leg_id AS right_id, abs(a.date - b.date)::INTEGER AS day_diff FROM legs_out a JOIN legs_in b ON a.src = b.src AND a.dst = b.dst AND a.cents = b.cents
+       AND abs(a.date - b.date) <= CASE WHEN day(a.date) >= 29 OR day(a.date) <= 2 THEN 5 ELSE 3 END""",
+    *_BOTH,
+)
+def month_boundary_candidates(outs, ins):
+    return matching.candidates(_legs(outs), _legs(ins), [("src", "src"), ("dst", "dst")], 0, 3, month_end_days=5).select("left_id", "right_id", "day_diff")
+
+
 _AXIS = list(range(25))
 
 
@@ -647,8 +672,19 @@ def stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.run_available(incremental.daily_totals(rows, "ts", "cents"), *_places(spark, "daily"), mode="complete")
 
 
-QUERIES |= {"stream_ingest_once": stream_ingest_once, "stream_daily_totals": stream_daily_totals}
+def stream_leg_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legs of both directions as two streams, joined within three days."""
+    streams = []
+    for name in ("legs_out", "legs_in"):
+        path, _ = _places(spark, name)
+        view(spark, sf_dir, name).withColumn("ts", F.col("date").cast("timestamp")).write.parquet(path)
+        streams.append(incremental.read_new_files(spark, path, spark.read.parquet(path).schema))
+    return incremental.run_available(incremental.leg_candidates(*streams), *_places(spark, "legs")).select("left_id", "right_id")
+
+
+QUERIES |= {"stream_ingest_once": stream_ingest_once, "stream_daily_totals": stream_daily_totals, "stream_leg_candidates": stream_leg_candidates}
 ORACLES |= {
+    "stream_leg_candidates": with_views("SELECT a.leg_id AS left_id, b.leg_id AS right_id FROM legs_out a JOIN legs_in b ON a.src = b.src AND a.dst = b.dst AND a.cents = b.cents AND abs(a.date - b.date) <= 3", *_BOTH),
     "stream_ingest_once": "SELECT DISTINCT event_id, user_id FROM events",
     "stream_daily_totals": "SELECT CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS total FROM events GROUP BY 1",
 }

@@ -120,3 +120,13 @@ def detect_pdf_format(pages: DataFrame) -> DataFrame:
         .when(up.contains("BONIDOLLARS") | up.contains("4530 92"), "desj_visa_perso_pdf").when(up.contains("DESJARDINS") | up.contains("CAISSE"), "desjardins_pdf").otherwise("unknown")
     )
     return pages.select("doc_id", format.alias("format"))
+
+
+def merge_amounts(words: DataFrame, style: str = "plain", join: bool = False) -> DataFrame:
+    """By row and column (col) of amount words: their sum, or the amount that the joined fragments spell."""
+    from sparkledger.functions.exprs import parse_amount
+
+    if not join:
+        return words.groupBy(*PAGE, "row", "col").agg(F.sum(parse_amount(F.col("text"), style)).alias("amount"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda w: w["text"]), "")
+    return words.groupBy(*PAGE, "row", "col").agg(text.alias("_t")).select(*PAGE, "row", "col", parse_amount(F.col("_t"), style).alias("amount"))

@@ -45,8 +45,11 @@ def _near(cents: Column, tolerance: int) -> Column:
     return F.explode(F.array(bucket - 1, bucket, bucket + 1))
 
 
-def candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], cents: int, days: int) -> DataFrame:
-    """Pairs with equal keys, amounts at most ``cents`` and dates at most ``days`` apart: left_id, right_id, day_diff, cents_diff."""
+def candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], cents: int, days: int, month_end_days: int | None = None) -> DataFrame:
+    """Pairs with equal keys, amounts at most ``cents`` and dates at most ``days`` apart: left_id, right_id, day_diff, cents_diff.
+
+    With ``month_end_days`` left dates from the 29th to the 2nd may be that many days off instead.
+    """
     a = left.select(*[F.col(k).alias(f"_k{i}") for i, (k, _) in enumerate(keys)], F.col("id").alias("left_id"), F.col("date").alias("_ld"), F.col("cents").alias("_lc"))
     b = right.select(*[F.col(k).alias(f"_k{i}") for i, (_, k) in enumerate(keys)], F.col("id").alias("right_id"), F.col("date").alias("_rd"), F.col("cents").alias("_rc"))
     on = [f"_k{i}" for i in range(len(keys))]
@@ -55,7 +58,9 @@ def candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], c
     else:
         a, b = a.withColumn("_b", F.col("_lc")), b.withColumn("_b", F.col("_rc"))
     day, diff = F.abs(F.datediff("_ld", "_rd")), F.abs(F.col("_lc") - F.col("_rc"))
-    pairs = a.join(b, [*on, "_b"]).where((day <= days) & (diff <= cents))
+    border = (F.dayofmonth("_ld") >= 29) | (F.dayofmonth("_ld") <= 2)
+    allowed = F.lit(days) if month_end_days is None else F.when(border, month_end_days).otherwise(days)
+    pairs = a.join(b, [*on, "_b"]).where((day <= allowed) & (diff <= cents))
     return pairs.select("left_id", "right_id", day.alias("day_diff"), diff.alias("cents_diff"))
 
 

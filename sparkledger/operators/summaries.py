@@ -118,3 +118,20 @@ def bursts(entries: DataFrame, key: str, entered: str, about: str, hours: int =
     near = Window.partitionBy(key).orderBy(F.col("_s")).rangeBetween(-3600 * hours, 3600 * hours)
     out = entries.withColumn("_s", seconds).withColumn("n_months", F.size(F.collect_set(exprs.month_of(F.col(about))).over(near)))
     return out.where(F.col("n_months") >= months).drop("_s")
+
+
+def anomalies(duplicates: DataFrame, mismatches: DataFrame, unknown_files: DataFrame | None = None) -> DataFrame:
+    """One feed (type, file_name, detail, n) of duplicate groups (file_name, n), entity mismatches (file_name, hint, entity) and files without a format."""
+    feed = duplicates.groupBy("file_name").agg(F.sum("n").alias("n")).select(F.lit("duplicates").alias("type"), "file_name", F.lit("").alias("detail"), "n")
+    wrong = mismatches.groupBy("file_name", F.concat(F.col("hint"), F.lit(" is "), F.col("entity")).alias("detail")).agg(F.count("*").alias("n"))
+    feed = feed.unionByName(wrong.select(F.lit("entity_mismatch").alias("type"), "file_name", "detail", "n"))
+    if unknown_files is not None:
+        feed = feed.unionByName(unknown_files.select(F.lit("unknown_format").alias("type"), "file_name", F.lit("").alias("detail"), F.lit(1).cast("long").alias("n")))
+    return feed
+
+
+def override_entity(rows: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Adds entity and mismatch: the account's entity (accounts: account, entity) wins over the path's hint."""
+    known = accounts.select("account", F.col("entity").alias("_known"))
+    joined = rows.join(known, "account", "left")
+    return joined.withColumns({"entity": F.coalesce("_known", "hint"), "mismatch": F.coalesce(F.col("_known") != F.col("hint"), F.lit(False))}).drop("_known")

@@ -245,6 +245,27 @@ def test_layout(spark):
     assert [r.v for r in when.collect()] == [D(2024, 12, 28), D(2025, 1, 3)]
 
 
+def test_amounts_of_a_row_are_merged(spark):
+    rows = [("d", 1, 1, "debit", 10.0, "475.60-"), ("d", 1, 1, "debit", 20.0, "1 000.00"), ("d", 1, 2, "debit", 20.0, "205,09"), ("d", 1, 2, "debit", 10.0, "1")]
+    words = spark.createDataFrame(rows, "doc_id string, page int, row int, col string, x0 double, text string")
+    assert float(layout.merge_amounts(words.where("row = 1")).first().amount) == 524.4
+    assert float(layout.merge_amounts(words.where("row = 2"), "french", join=True).first().amount) == 1205.09
+
+
+def test_month_ends_have_more_days(spark):
+    a = spark.createDataFrame([(1, D(2024, 1, 30), 5, 1, 2), (2, D(2024, 1, 10), 5, 1, 3)], LEG)
+    b = spark.createDataFrame([(11, D(2024, 2, 4), 5, 1, 2), (12, D(2024, 1, 15), 5, 1, 3)], LEG)
+    got = matching.candidates(a, b, [("src", "src"), ("dst", "dst")], 0, 3, month_end_days=5).collect()
+    assert [(r.left_id, r.right_id, r.day_diff) for r in got] == [(1, 11, 5)]
+
+
+def test_bursts_and_wrong_months(spark):
+    rows = [("t", dt.datetime(2024, 6, 1, 9, k), D(2024, 1 + k, 1), f"f_2024-0{1 + k}.csv") for k in range(3)] + [("t", dt.datetime(2024, 6, 3), D(2024, 6, 1), "f_2024-05.csv")]
+    df = spark.createDataFrame(rows, "tab string, entered timestamp, date date, file_name string")
+    assert summaries.bursts(df, "tab", "entered", "date").count() == 3
+    assert [r.file_name for r in quality.wrong_month(df).collect()] == ["f_2024-05.csv"]
+
+
 def test_summaries_and_coverage(spark):
     cards = spark.createDataFrame([("A", 100, None), ("A", 300, 0), ("B", 600, 600)], "class string, cents long, business_cents long")
     rows = {r["class"]: (r.n, r.cents, r.business, r.pending, float(r.percent)) for r in summaries.class_summary(cards).collect()}
