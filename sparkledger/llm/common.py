@@ -7,7 +7,10 @@ the mixed word hashes, so the cost is a few vector operations per byte and per w
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text worked on at once inside a task; longer single texts are taken whole.
-SLICE_BYTES = 8 << 20
-_PIECE = 2 << 20
+SLICE_BYTES = 4 << 20
+_PIECE = 512 << 10
 _BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers: dict[int, np.ndarray] = {}
@@ -44,6 +47,23 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: What operators keep in a worker between tasks: how to let go of it, by operator.
+caches: dict[str, Callable[[], None]] = {}
+
+
+def begin(operator: str) -> None:
+    """At a task's start: lets go of what other operators keep in this worker, and returns freed memory to the machine."""
+    for name, clear in caches.items():
+        if name != operator:
+            clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library returns it by itself or not at all
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES):
     """Cuts a record batch into runs of rows with about ``limit`` bytes in a string column, one row at least."""
     text = batch.column(column)
@@ -154,7 +174,7 @@ def window_hashes(words: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
     if n < size:
         return np.empty(0, np.uint64)
     base, out = (_WORD_BASE + 2 * seed) | 1, np.empty(n - size + 1, np.uint64)
-    inverse, step = pow(base, -1, 2**64), 1 << 20
+    inverse, step = pow(base, -1, 2**64), 1 << 18
     for low in range(0, len(out), step):
         part = words[low : min(low + step, len(out)) + size - 1]
         sums = np.empty(len(part) + 1, np.uint64)

@@ -192,6 +192,7 @@ class Scanner:
 
 
 _scanners: dict[tuple, Scanner] = {}
+common.caches["licenses"] = _scanners.clear
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,6 +205,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col
     templates = templates or TEMPLATES
 
     def tasks(batches):
+        common.begin("licenses")
         key = tuple(templates)
         if key not in _scanners:
             _scanners[key] = Scanner(templates)

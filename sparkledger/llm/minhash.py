@@ -68,6 +68,7 @@ def signatures(rows: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, a 128-bit hash of the set (h1, h2) and the minima of (doc_id, text) rows."""
 
     def tasks(batches):
+        common.begin("minhash")
         for batch in batches:
             for part in common.slices(batch, 1):
                 values, bounds = _sets(part.column(1), size)
@@ -92,6 +93,7 @@ def _matrix(column: pa.Array, kind: str, width: int) -> np.ndarray:
 
 def _trees(batches):
     """A row for each tree of each class: its sort prefix and a sketch, the low byte of every minimum."""
+    common.begin("minhash")
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
@@ -196,6 +198,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
     def sets(batches):
+        common.begin("minhash")
         for batch in batches:
             for part in common.slices(batch, 1):
                 values, bounds = _sets(part.column(1), size)

@@ -42,6 +42,7 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1,
         raise ValueError("the sequence length must be a power of two")
 
     def tasks(batches):
+        common.begin("words")
         for batch in batches:
             for part in common.slices(batch, 1):
                 ids, bounds = wordbpe.encode_column(part.column(1), tokenizer, end_id)

@@ -9,7 +9,7 @@ are encoded whole.
 
 from __future__ import annotations
 
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,9 @@ from sparkledger.llm.wordbpe import gather
 
 MARKER = "▁"
 #: Marked words a worker remembers; it bounds memory only.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _models: dict[str, "MarkedWords"] = {}
+common.caches["pieces"] = _models.clear
 
 
 class MarkedWords:
@@ -33,8 +34,8 @@ class MarkedWords:
         # Chunking holds only for models that keep blanks, mark the start, and never put a marker inside a piece.
         inside = any(MARKER in self.model.id_to_piece(i).lstrip(MARKER) for i in range(self.model.get_piece_size()))
         self.chunked = not inside and self.model.decode(self.model.encode("a  b ")) == "a  b " and self.model.encode("b c") == self.model.encode("b") + self.model.encode("c")
-        self.blank = [self.model.piece_to_id(MARKER)]
-        self.known: dict[str, list[int]] = {}
+        self.blank = array("i", [self.model.piece_to_id(MARKER)]).tobytes()
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
 
     def table(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the distinct chunks in a row, with bounds. A chunk may end with the space that parts it from the next."""
@@ -42,14 +43,14 @@ class MarkedWords:
             self.known.clear()
         new = [c for c in distinct if c not in self.known]
         words = [c[:-1] if c.endswith(" ") and c.strip(" ") else c for c in new]
-        found = dict(zip(new, self.model.encode(words, num_threads=1)))
+        found = dict(zip(new, (array("i", ids).tobytes() for ids in self.model.encode(words, num_threads=1))))
         if "" in found:
             found[""] = self.blank
         parts = [found[c] if c in found else self.known[c] for c in distinct]
         self.known.update((k, v) for k, v in found.items() if len(k) < 256)
         bounds = np.zeros(len(parts) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)), out=bounds[1:])
-        return np.fromiter(chain.from_iterable(parts), np.int32, bounds[-1]), bounds
+        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4, out=bounds[1:])
+        return np.frombuffer(b"".join(parts), np.int32), bounds
 
     def encode_column(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, with bounds for each text; a null is an empty text."""
@@ -90,6 +91,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     """
 
     def tasks(batches):
+        common.begin("pieces")
         table = marked_words(model)
         for batch in batches:
             for part in common.slices(batch, 1, 4 << 20):

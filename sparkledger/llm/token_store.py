@@ -142,6 +142,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: s
     from pyarrow import fs
 
     def tasks(batches):
+        common.begin("words")
         part = TaskContext.get().partitionId()
         store, root = fs.FileSystem.from_uri(path)
         name, docs_seen, seen, out = f"{root}/part-{part:06d}.s8b", 0, 0, None

@@ -9,16 +9,19 @@ trailing punctuation go straight to the BPE model, others through the whole libr
 from __future__ import annotations
 
 import os
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from sparkledger.llm import common
+
 #: Chunks a worker remembers; beyond it the memory is emptied. It bounds memory only, never results.
-REMEMBERED = 900_000
+REMEMBERED = 400_000
 _PLAIN = r"^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<b>[!-&(-/:-@\[-`{-~]*)$"
 _tables: dict[str, "ChunkTable"] = {}
+common.caches["words"] = _tables.clear
 
 
 def _byte_letters() -> dict[int, str]:
@@ -32,7 +35,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class ChunkTable:
-    """Chunk to ids, as one growing array of ids with bounds."""
+    """Chunk to ids; the ids of a chunk are kept as unsigned 32-bit numbers in a bytes object."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,8 +47,8 @@ class ChunkTable:
         self.direct = self._splits_plainly()
 
     def clear(self):
-        self.chunks: dict[str, tuple[int, ...]] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _splits_plainly(self) -> bool:
         """Whether letters and punctuation may go to the model by themselves: checked on probes with this file."""
@@ -56,25 +59,25 @@ class ChunkTable:
                 return False
         return True
 
-    def _whole(self, chunks: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    def _letters(self, part: str) -> tuple[int, ...]:
+    def _letters(self, part: str) -> bytes:
         got = self.known.get(part)
         if got is None:
             mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            got = self.known[part] = tuple(t.id for t in self.model.tokenize(mapped))
+            got = self.known[part] = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         return got
 
-    def _plain(self, chunk: str) -> tuple[int, ...]:
+    def _plain(self, chunk: str) -> bytes:
         core = chunk.rstrip("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
         if not core.isalpha():
-            return ()
-        return self._letters(core.lower()) + (self._letters(chunk[len(core) :]) if len(core) < len(chunk) else ())
+            return b""
+        return self._letters(core.lower()) + (self._letters(chunk[len(core) :]) if len(core) < len(chunk) else b"")
 
-    def _encode(self, new: pa.Array) -> list[tuple[int, ...]]:
+    def _encode(self, new: pa.Array) -> list[bytes]:
         """Ids of chunks that are not in the table."""
-        found: list[tuple[int, ...]] = [()] * len(new)
+        found: list[bytes] = [b""] * len(new)
         odd = np.arange(len(new))
         if self.direct:
             parts = pc.extract_regex(new, pattern=_PLAIN)
@@ -83,7 +86,7 @@ class ChunkTable:
             chosen = parts.take(pa.array(at))
             cores, tails = pc.utf8_lower(chosen.field("a")).dictionary_encode(), chosen.field("b").dictionary_encode()
             core_ids = [self._letters(x) for x in cores.dictionary.to_pylist()]
-            tail_ids = [self._letters(x) if x else () for x in tails.dictionary.to_pylist()]
+            tail_ids = [self._letters(x) if x else b"" for x in tails.dictionary.to_pylist()]
             for k, a, b in zip(at.tolist(), cores.indices.to_pylist(), tails.indices.to_pylist()):
                 found[k] = core_ids[a] + tail_ids[b]
         for k, ids in zip(odd.tolist(), self._whole(new.take(pa.array(odd)).to_pylist())):
@@ -103,8 +106,8 @@ class ChunkTable:
                 if len(texts[k]) < 64:
                     self.chunks[texts[k]] = ids
         bounds = np.zeros(len(found) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)), out=bounds[1:])
-        return np.fromiter(chain.from_iterable(found), np.uint32, bounds[-1]), bounds
+        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=bounds[1:])
+        return np.frombuffer(b"".join(found), np.uint32), bounds
 
 
 def chunk_table(path: str) -> ChunkTable:
