@@ -28,9 +28,9 @@ from sparkledger.llm import common
 
 #: Difference covers by modulus.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 6, 8, 18), 31: (0, 1, 3, 8, 12, 18)}
-GROUPS_PER_PARTITION = 8
+GROUPS_PER_PARTITION = 2
 #: Anchors that a task gathers before it sends them on.
-HELD = 3_000_000
+HELD = 2_000_000
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -102,8 +102,11 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep_cols])
     source = source.withColumn("_group", F.pmod(F.xxhash64("_id", "_text"), F.lit(groups)).cast("int"))
 
+    sent_columns = ["kind", "bucket", "group", "hashes", "groups"]
+
     def anchors(batches):
-        """Entries for buckets (kind 0: group or -1 and its hashes) and, for hashes that the task itself met again, for groups (kind 1)."""
+        """Entries for buckets (kind 0: hashes and the group of each, or -1) and, for hashes that the task itself met again, for groups (kind 1)."""
+        common.begin("substring")
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush():
@@ -116,24 +119,17 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
             again[1:] |= ~new[1:]
             again[:-1] |= ~new[1:]
             # What occurs once here goes to its bucket with its group; what occurs again goes once, without one.
-            send = new
-            group = np.where(again, -1, groups_of)[send]
-            bucket = (hashes[send] >> np.uint64(40)) % np.uint64(buckets)
-            key = bucket.astype(np.int64) * (groups + 1) + group + 1
-            keys, packed = _blobs({"hashes": hashes[send]}, key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(keys), np.int32)), pa.array((keys // (groups + 1)).astype(np.int32)), pa.array((keys % (groups + 1) - 1).astype(np.int32)), packed["hashes"]],
-                names=["kind", "bucket", "group", "hashes"],
-            )
+            group, sent = np.where(again, -1, groups_of)[new].astype(np.int32), hashes[new]
+            bucket = ((sent >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(group, kind="stable")  # equal groups lie together and compress well
+            keys, packed = _blobs({"hashes": sent[order], "groups": group[order]}, bucket[order])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), pa.array(keys.astype(np.int32)), pa.nulls(len(keys), pa.int32()), packed["hashes"], packed["groups"]], names=sent_columns)
             mine, owner = hashes[again], groups_of[again]
             order = np.lexsort((mine, owner))
             mine, owner = mine[order], owner[order]
             once = np.concatenate(([True], (mine[1:] != mine[:-1]) | (owner[1:] != owner[:-1])))[: len(mine)]
             keys, packed = _blobs({"hashes": mine[once]}, owner[once])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(keys), np.int32)), pa.array((keys % buckets).astype(np.int32)), pa.array(keys.astype(np.int32)), packed["hashes"]],
-                names=["kind", "bucket", "group", "hashes"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(keys), np.int32)), pa.array((keys % buckets).astype(np.int32)), pa.array(keys.astype(np.int32)), packed["hashes"], pa.nulls(len(keys), pa.binary())], names=sent_columns)
 
         for batch in batches:
             for part in common.slices(batch, 1):
@@ -143,15 +139,14 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
                 held.append((found[at], part.column(0).to_numpy()[words.row[at]]))
             if sum(len(x[0]) for x in held) > HELD:
                 yield from flush()
-        if held:
+        if any(len(x[0]) for x in held):
             yield from flush()
 
     def recurring(table: pa.Table) -> pa.Table:
         """Of a bucket: by group, the hashes of its anchors that occur again anywhere. What tasks know already passes through."""
         passed = table.filter(pc.equal(table["kind"], 1)).select(["group", "hashes"])
         table = table.filter(pc.equal(table["kind"], 0))
-        hashes, sizes = _joined(table["hashes"], np.uint64), _sizes(table["hashes"].combine_chunks(), 8)
-        group = np.repeat(table["group"].to_numpy(), sizes)
+        hashes, group = _joined(table["hashes"], np.uint64), _joined(table["groups"], np.int32)
         values, counts = np.unique(hashes, return_counts=True)
         many = np.union1d(values[counts > 1], hashes[group < 0])
         mine = (group >= 0) & _member(hashes, many)
@@ -227,7 +222,7 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
                 kept.append(_without(raw, mine).decode() if n_removed[k] else text[k].as_py())
         return pa.table({"_id": left["_id"], **{c: left[c] for c in keep_cols}, "n_words": pa.array(words.counts), "n_removed": pa.array(n_removed), "kept_text": pa.array(kept, pa.string())})
 
-    sent = source.select("_group", "_text").mapInArrow(anchors, "kind int, bucket int, group int, hashes binary")
+    sent = source.select("_group", "_text").mapInArrow(anchors, "kind int, bucket int, group int, hashes binary, groups binary")
     candidates = sent.groupBy("bucket").applyInArrow(recurring, "group int, hashes binary")
     places = source.groupBy("_group").cogroup(candidates.groupBy("group")).applyInArrow(windows, "bucket int, group int, hashes binary, ids binary, starts binary")
     lost = places.groupBy("bucket").applyInArrow(later, "group int, hashes binary")
