@@ -4,9 +4,11 @@ A text's set is its distinct shingles of consecutive words.  Texts with equal se
 the class's smallest doc_id goes on.  Each tree of the forest sorts the classes by a run of their minima;
 a region is what shares the tree's first ``LEAST_DEPTH`` minima, and a class meets its ``REACH`` next ones
 in that order.  So a small region is compared in full at the least depth, and within a larger one a class
-meets those with which it shares the longest prefixes: the depth adapts to the region.  Pairs are sifted
-by all minima, then confirmed on the full sets: first each class's most alike partner, then the pairs
-that still lie in different groups.
+first meets those with which it shares the longest prefixes.  Pairs are sifted by all minima, then
+confirmed on the full sets: first each class's most alike partner, then the pairs that still lie in
+different groups.  What is then left of a larger region, its pairs from different groups, is compared in
+full too: its rows are dealt into blocks of bounded size, and each pair of blocks counts all its
+intersections at once.  No pair that shares a region goes unmet.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ TREES, DEPTH, LEAST_DEPTH, REACH = 12, 6, 3, 10
 #: A pair is confirmed in full if its estimate is at most this far below the threshold: more than five standard errors.
 MARGIN = 0.25
 _MINIMA = TREES * DEPTH
+#: A block of a crowded region: about so many shingles, and so many that each row counts for besides its own.
+BLOCK, ROW = 1 << 20, 800
 
 
 def _sets(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +111,8 @@ def _trees(batches):
 
 
 def _neighbours(least: float):
-    """Over rows sorted by tree and prefix: pairs within reach that share a region and look alike, and the rows at both ends."""
+    """Over rows sorted by tree and prefix: pairs within reach that share a region and look alike, the rows at both ends,
+    and, without a sketch, the rows of regions that go beyond the reach."""
 
     def tasks(batches):
         held, first = None, True
@@ -127,6 +132,13 @@ def _neighbours(least: float):
                     keep = alike >= least
                     a, b, alike = a[keep], b[keep], alike[keep]
                     yield _found(np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), alike)
+                a = np.arange(max(len(ids) - REACH, 0))  # rows with another of their region REACH behind them: so have all between
+                long = a[(tree[a] == tree[a + REACH]) & (prefix[a, :LEAST_DEPTH] == prefix[a + REACH, :LEAST_DEPTH]).all(1)]
+                inside = np.zeros(len(ids) + 1, np.int64)
+                np.add.at(inside, long, 1)
+                np.add.at(inside, long + REACH + 1, -1) if len(long) else None
+                inside = np.cumsum(inside)[:-1] > 0
+                yield _crowd(tree[inside], prefix[inside, :LEAST_DEPTH], ids[inside])
                 if first:
                     yield _ends(*(x[:REACH] for x in rows))
                     first = False
@@ -153,6 +165,129 @@ def _ends(tree, prefix, ids, sketch) -> pa.RecordBatch:
     )
 
 
+def _crowd(tree, prefix, ids) -> pa.RecordBatch:
+    n = len(ids)
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.array(tree.astype(np.int32)), common.binary_array(prefix.astype(">u4").ravel(), np.arange(n + 1) * LEAST_DEPTH), pa.array(ids), pa.nulls(n, pa.binary())],
+        names=["a", "b", "alike", "tree", "prefix", "id", "sketch"],
+    )
+
+
+def _intersections(x: np.ndarray, x_row: np.ndarray, n: int, y: np.ndarray, y_row: np.ndarray, m: int) -> np.ndarray:
+    """How many values each of ``n`` sets shares with each of ``m``; sets are (value, row) entries."""
+    shared = np.zeros((n, m), np.float32)  # exact up to 2**24
+    both = np.intersect1d(x, y)
+    if not len(both):
+        return shared
+
+    def entries(values, row):
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        mine = both[at] == values
+        order = np.argsort(at[mine], kind="stable")
+        return at[mine][order], row[mine][order]
+
+    (x_at, x_row), (y_at, y_row) = entries(x, x_row), entries(y, y_row)
+    x_low, y_low = np.searchsorted(x_at, np.arange(len(both) + 1)), np.searchsorted(y_at, np.arange(len(both) + 1))
+    x_times, y_times = np.diff(x_low), np.diff(y_low)
+    times = x_times * y_times
+    common_ones = times * 100 > n * m
+    place = np.cumsum(common_ones) - 1
+    for low in range(0, int(common_ones.sum()), 2048):  # frequent values as products of 0/1 matrices
+        sides = []
+        for at, row, k in ((x_at, x_row, n), (y_at, y_row, m)):
+            mine = common_ones[at] & (place[at] >= low) & (place[at] < low + 2048)
+            side = np.zeros((k, 2048), np.float32)
+            side[row[mine], place[at[mine]] - low] = 1
+            sides.append(side)
+        shared += sides[0] @ sides[1].T
+    rare = np.flatnonzero(~common_ones)  # the others pair by pair
+    block = np.cumsum(times[rare]) >> 22
+    for part in np.split(rare, np.flatnonzero(np.diff(block)) + 1):
+        each = times[part]
+        which = np.repeat(np.arange(len(part)), each)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(each) - each, each)
+        across = y_times[part][which]
+        pairs = x_row[x_low[part][which] + nth // across] * m + y_row[y_low[part][which] + nth % across]
+        shared += np.bincount(pairs, minlength=n * m).reshape(n, m)
+    return shared
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few links as join what the links (a, b) join."""
+    names, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b, of = ends[: len(a)], ends[len(a) :], np.arange(len(names))
+    while True:
+        now = of.copy()
+        least = np.minimum(of[a], of[b])
+        for side in (a, b):
+            np.minimum.at(now, side, least)
+            np.minimum.at(now, of[side], least)
+        now = now[now]
+        if (now == of).all():
+            apart = np.flatnonzero(of != np.arange(len(names)))
+            return names[of[apart]], names[apart]
+        of = now
+
+
+def _compare(percent: int):
+    """Two blocks, or one with itself, of rows with their group and set: links between groups, as few as join them."""
+
+    def table(rows: pa.Table) -> pa.Table:
+        second, group = rows["second"].to_numpy(), rows["group"].to_numpy()
+        sets = rows["shingles"].combine_chunks()
+        sides = []
+        for k in (False, True):
+            mine = np.flatnonzero(second == k)
+            if not len(mine):  # a block with itself
+                sides.append(sides[0] if sides else None)
+                continue
+            found = [np.frombuffer(sets[i].as_buffer(), np.uint64) for i in mine.tolist()]
+            sizes = np.array([len(v) for v in found])
+            sides.append((np.concatenate(found), np.repeat(np.arange(len(mine)), sizes), sizes, group[mine]))
+        if sides[0] is None:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        (x, x_row, x_size, x_group), (y, y_row, y_size, y_group) = sides
+        shared = _intersections(x, x_row, len(x_size), y, y_row, len(y_size)).astype(np.int64)
+        a, b = np.nonzero((100 * shared >= percent * (x_size[:, None] + y_size[None, :] - shared)) & (x_group[:, None] != y_group[None, :]))
+        a, b = _forest(x_group[a], y_group[b])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return table
+
+
+def _crowded(crowd: DataFrame, percent: int, sets) -> DataFrame:
+    """Links (a, b) between groups from crowded regions: rows (tree, prefix, id, group, n); ``sets`` gives the sets of ids.
+
+    Pairs of one group need no comparison.  A group too large for a block has blocks of its own, which do not
+    meet each other; smaller groups are dealt whole.
+    """
+    region = ["tree", "prefix"]
+    weight = F.col("n") + ROW
+    groups = crowd.groupBy(*region, "group").agg(F.sum(weight).alias("w"), F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("mark"))
+    large = F.col("w") > BLOCK
+    regions = groups.groupBy(*region).agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum("mark").alias("mark"), F.sum(F.when(~large, F.col("w"))).alias("rest")).where("groups > 1")
+    # Trees in which a region holds the same rows need it once.
+    regions = regions.groupBy("n", "mark").agg(F.min_by(F.struct(*region, "rest"), F.struct(*region)).alias("r")).select("r.*")
+    blocks_of = lambda w: F.greatest(F.ceil(w / BLOCK), F.lit(1)).cast("int")
+    groups = groups.join(regions, region).withColumns({"own": F.when(large, F.col("group")), "many": blocks_of(F.when(large, F.col("w")).otherwise(F.coalesce("rest", F.lit(0))))})
+    groups = common.materialize(groups.select(*region, "group", "own", "many"), "crowd-groups")
+    rows = crowd.hint("merge").join(groups, [*region, "group"])
+    salt = F.when(F.col("own").isNull(), F.xxhash64("group")).otherwise(F.xxhash64("id"))
+    rows = common.materialize(rows.select(*region, "own", F.pmod(salt, F.col("many")).cast("int").alias("block"), "id", "group"), "crowd-rows")
+
+    blocks = groups.groupBy(*region, "own").agg(F.max("many").alias("many")).select(*region, "own", F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("block"))
+    place = F.struct(F.coalesce("own", F.lit(-1)).alias("own"), F.col("own").isNotNull().alias("large"), "block")
+    blocks = blocks.select(*region, place.alias("at"))
+    pairs = blocks.withColumnRenamed("at", "x").join(blocks.withColumnRenamed("at", "y"), region)
+    pairs = pairs.where("x <= y and not (x.large and y.large and x.own = y.own)")
+    pairs = common.materialize(pairs, "crowd-pairs")
+    meets = pairs.select(*region, F.col("x").alias("at"), "x", "y", F.lit(False).alias("second")).unionByName(pairs.where("x <> y").select(*region, F.col("y").alias("at"), "x", "y", F.lit(True).alias("second")))
+    full = common.materialize(sets(rows.select(F.col("id").alias("doc_id")).distinct()), "crowd-sets")
+    dealt = rows.select(*region, place.alias("at"), "id", "group").hint("merge").join(meets, [*region, "at"]).hint("merge").join(full, "id")
+    links = dealt.groupBy(*region, "x", "y").applyInArrow(_compare(percent), "a long, b long")
+    return links.distinct()
+
+
 def _confirm(percent: int):
     """Pairs with both sets: those with 100 * intersection >= percent * union."""
 
@@ -190,8 +325,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     least = percent / 100 - MARGIN
     met = common.materialize(ordered.mapInArrow(_neighbours(least), _NEIGHBOURS), "neighbours")
     # Where a partition ends its order goes on in the next: as many rows as there are partitions, times the reach.
-    seams = met.where("a is null").select("tree", "prefix", "id", "sketch").repartition(1).sortWithinPartitions("tree", "prefix", "id")
-    across = seams.mapInArrow(_neighbours(least), _NEIGHBOURS)
+    seams = met.where("a is null and sketch is not null").select("tree", "prefix", "id", "sketch").repartition(1).sortWithinPartitions("tree", "prefix", "id")
+    across = common.materialize(seams.mapInArrow(_neighbours(least), _NEIGHBOURS), "seams")
     pairs = met.where("a is not null").select("a", "b", "alike").unionByName(across.where("a is not null").select("a", "b", "alike"))
     pairs = common.materialize(pairs.distinct(), "pairs")
 
@@ -204,7 +339,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                 values, bounds = _sets(part.column(1), size)
                 yield pa.RecordBatch.from_arrays([part.column(0), common.binary_array(values, bounds)], names=["id", "shingles"])
 
-    full = common.materialize(source.join(nodes.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"), "sets")
+    sets_of = lambda ids: source.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, shingles binary")
+    full = common.materialize(sets_of(nodes), "sets")
 
     def confirm(chosen: DataFrame) -> DataFrame:
         # Merge joins at every size: what is small now is not at scale, and a hot side can be split.
@@ -220,11 +356,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     apart = apart.withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")}).where("of_a <> of_b")
     late = confirm(common.materialize(apart.join(best, ["a", "b"], "left_anti").select("a", "b"), "apart"))
     late = late.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
-    merged = components(late).select(F.col("id").alias("component"), F.col("component").alias("merged"))
-    # Groups that merged later pass the name on to all their members, and to a group's first itself.
-    named = group.join(merged, "component", "left").select("id", F.coalesce("merged", "component").alias("component"))
-    named = named.unionByName(merged.select(F.col("component").alias("id"), F.col("merged").alias("component")))
-    named = named.groupBy("id").agg(F.min("component").alias("component"))
+
+    def renamed(group: DataFrame, links: DataFrame) -> DataFrame:
+        # Groups that merged later pass the name on to all their members, and to a group's first itself.
+        merged = components(links).select(F.col("id").alias("component"), F.col("component").alias("merged"))
+        names = group.join(merged, "component", "left").select("id", F.coalesce("merged", "component").alias("component"))
+        names = names.unionByName(merged.select(F.col("component").alias("id"), F.col("merged").alias("component")))
+        return common.materialize(names.groupBy("id").agg(F.min("component").alias("component")), "groups")
+
+    group = renamed(group, late)
+    beyond = lambda df: df.where("a is null and sketch is null").select("tree", "prefix", "id")
+    crowd = beyond(met).unionByName(beyond(across)).distinct()
+    sizes = classes.groupBy("id").agg(F.max("n_shingles").alias("n"))
+    crowd = crowd.hint("merge").join(group, "id", "left").hint("merge").join(sizes, "id").select("tree", "prefix", "id", F.coalesce("component", "id").alias("group"), "n")
+    named = renamed(group, _crowded(common.materialize(crowd, "crowd"), percent, sets_of))
 
     held = classes.select("h1", "h2", "n_shingles", "id").join(named, "id", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "id").alias("_component"))
     out = rows.select("doc_id", "n_shingles", "h1", "h2").join(held, ["h1", "h2", "n_shingles"], "left")

@@ -226,6 +226,23 @@ def test_large_group_of_near_copies_is_one(spark):
     assert {x.doc_id: x.component_id for x in rows} == dict(enumerate(expected))
 
 
+@pytest.mark.parametrize("block", [minhash.BLOCK, 60_000])
+def test_links_in_a_family_just_below_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    common_part = prose(900, 3, 10**6).split()
+    own = [[f"o{k}x{i}" for i in range(100)] for k in range(300)]
+    for k in range(0, 60, 2):  # pairs that share 26 more words: 926 / 1074, the family 900 / 1100
+        own[k + 1][:26] = own[k][:26]
+    for k in range(60, 80):  # a group of its own that is close to itself
+        own[k][:95] = own[60][:95]
+    texts = [" ".join(common_part + x) for x in own]
+    random.Random(4).shuffle(texts)
+    expected = components_by_hand([set(t.split()) for t in texts], 85)
+    assert len(set(expected)) == 300 - 30 - 19
+    rows = minhash.near_duplicates(documents(spark, texts), 1, 85).collect()
+    assert {x.doc_id: x.component_id for x in rows} == dict(enumerate(expected))
+
+
 def phrases_by_hand(text):
     import re
 
