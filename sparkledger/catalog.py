@@ -397,12 +397,17 @@ def group_count_match(stmt, book):
 
 
 def _parts(stmt: DataFrame) -> DataFrame:
-    """Every ninth statement row cut into two or three parts."""
+    """Statement rows cut into two or three parts."""
     third = F.floor(F.col("cents") / F.lit(3)).cast("long")
     three = F.array(third, third + 1, F.col("cents") - 2 * third - 1)
     two = F.array(third, F.col("cents") - third)
     cut = F.posexplode(F.when(F.col("id") % 2 == 0, three).otherwise(two))
-    return stmt.where("id % 9 = 0").select("card", "date", F.col("id").alias("of"), cut.alias("k", "cents")).select((F.col("of") * 10 + F.col("k")).alias("id"), "card", "date", "cents")
+    return stmt.select("card", "date", F.col("id").alias("of"), cut.alias("k", "cents")).select((F.col("of") * 10 + F.col("k")).alias("id"), "card", "date", "cents")
+
+
+def _splits(stmt: DataFrame) -> DataFrame:
+    found = matching.split_match(stmt, _parts(stmt), ("card", "card"))
+    return found.select("left_id", F.array_join(F.col("part_ids").cast("array<string>"), ",").alias("parts"), "diff")
 
 
 @register(
@@ -415,8 +420,20 @@ def _parts(stmt: DataFrame) -> DataFrame:
     "stmt",
 )
 def split_match(stmt):
-    found = matching.split_match(stmt.where("id % 9 = 0"), _parts(stmt), ("card", "card"))
-    return found.select("left_id", F.array_join(F.col("part_ids").cast("array<string>"), ",").alias("parts"), "diff")
+    return _splits(stmt.where("id % 9 = 0"))
+
+
+@register(
+    """WITH l AS (SELECT id, card, date, cents, cents // 3 AS t FROM stmt),
+       p AS (SELECT id * 10 + k AS id, card, date, CASE WHEN k = 0 THEN t WHEN id % 2 = 1 THEN cents - t WHEN k = 1 THEN t + 1 ELSE cents - 2 * t - 1 END AS cents FROM l, range(3) r(k) WHERE k < 3 - id % 2),
+       near AS (SELECT l.id AS left_id, l.cents AS whole, p.id, p.cents FROM l JOIN p ON l.card = p.card AND abs(l.date - p.date) <= 1 AND p.cents <= l.cents + 5),
+       s AS (SELECT a.left_id, [a.id, b.id] AS part_ids, abs(a.cents + b.cents - a.whole) AS diff FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id
+             UNION ALL SELECT a.left_id, [a.id, b.id, c.id], abs(a.cents + b.cents + c.cents - a.whole) FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id JOIN near c ON a.left_id = c.left_id AND b.id < c.id)
+       SELECT left_id, array_to_string(part_ids, ',') AS parts, diff FROM s WHERE diff <= 5 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY diff, len(part_ids), part_ids) = 1""",
+    "stmt",
+)
+def split_match_all(stmt):
+    return _splits(stmt)
 
 
 @register(

@@ -7,6 +7,9 @@ what a single pass over all pairs sorted by preference would choose; no group is
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkledger.functions import exprs
@@ -120,14 +123,19 @@ def suggested(stmt: DataFrame, book: DataFrame, days: int = 7) -> DataFrame:
 
 def split_match(left: DataFrame, parts: DataFrame, key: tuple[str, str], days: int = 1, cents: int = 5) -> DataFrame:
     """One amount as the sum of two or three parts of its key within ``days``: left_id, part_ids, diff; the closest, smallest ids first."""
-    a = left.select(F.col("id").alias("left_id"), F.col(key[0]).alias("k"), F.col("cents").alias("whole"), F.explode(F.sequence(F.date_sub("date", days), F.date_add("date", days))).alias("date"))
-    b = parts.select(F.col("id").alias("part"), F.col(key[1]).alias("k"), "date", F.col("cents").alias("c"))
-    near = a.join(b, ["k", "date"]).where(F.col("c") <= F.col("whole") + cents).select("left_id", "whole", "part", "c")
-    near = materialize(near, "parts")
-    second = near.select("left_id", F.col("part").alias("p2"), F.col("c").alias("c2"))
-    third = near.select("left_id", F.col("part").alias("p3"), F.col("c").alias("c3"))
-    two = near.join(second, "left_id").where("part < p2")
-    three = two.join(third, "left_id").where("p2 < p3")
+    a = left.select(F.col("id").alias("left_id"), F.col(key[0]).alias("k"), F.col("date").alias("day"), F.col("cents").alias("whole"))
+    around = F.explode(F.sequence(F.date_sub("date", days), F.date_add("date", days)))
+    b = parts.select(F.col("id").alias("part"), F.col(key[1]).alias("k"), F.col("cents").alias("c"), around.alias("day"))
+    b = materialize(b.join(a.select("k", "day").distinct(), ["k", "day"], "left_semi"), "parts")
+    # The last part, or the last two by their sum, have what the first leaves: joined on the bucket of that amount.
+    first = a.join(b, ["k", "day"]).where(F.col("c") <= F.col("whole") + cents).withColumn("_b", _near(F.col("whole") - F.col("c"), cents))
+    bucket = lambda amount: F.floor(amount / (cents + 1))
+    second = b.select("k", "day", F.col("part").alias("p2"), F.col("c").alias("c2"))
+    third = b.select("k", "day", F.col("part").alias("p3"), F.col("c").alias("c3"))
+    fits = lambda *amounts: reduce(and_, [F.col(x) <= F.col("whole") + cents for x in amounts])
+    two = first.join(second.withColumn("_b", bucket(F.col("c2"))), ["k", "day", "_b"]).where((F.col("part") < F.col("p2")) & fits("c2"))
+    pairs = second.join(third, ["k", "day"]).where("p2 < p3").withColumn("_b", bucket(F.col("c2") + F.col("c3")))
+    three = first.join(pairs, ["k", "day", "_b"]).where((F.col("part") < F.col("p2")) & fits("c2", "c3"))
     sums = two.select("left_id", F.array("part", "p2").alias("part_ids"), F.abs(F.col("c") + F.col("c2") - F.col("whole")).alias("diff"))
     sums = sums.unionByName(three.select("left_id", F.array("part", "p2", "p3").alias("part_ids"), F.abs(F.col("c") + F.col("c2") + F.col("c3") - F.col("whole")).alias("diff")))
     best = F.row_number().over(Window.partitionBy("left_id").orderBy("diff", F.size("part_ids"), "part_ids"))

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +156,28 @@ def test_split_group_fingerprint(spark):
     assert [(r.tab, r.card, r.n_matched, r.n_sample) for r in matching.fingerprint(stmt, book).collect()] == [("wrong label", "right", 8, 8)]
 
 
+def test_splits_of_all_rows_and_of_a_hot_day(spark):
+    from itertools import combinations
+
+    from sparkledger import catalog
+
+    sf = "/root/testdata/sf0.001"
+    found = {r.left_id for r in catalog.QUERIES["split_match_all"](spark, sf).collect()}
+    assert found == {r.o_orderkey for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()}
+    r = random.Random(5)
+    wholes, amounts = [r.randrange(20000, 90000) for _ in range(12)], [r.randrange(-500, 40000) for _ in range(40)]
+    left = spark.createDataFrame([(k, "c", D(2024, 3, 5), v, "") for k, v in enumerate(wholes)], STMT)
+    parts = spark.createDataFrame([(k, "c", D(2024, 3, 4 + k % 3), v, "") for k, v in enumerate(amounts)], BOOK)
+    expected = {}
+    for k, whole in enumerate(wholes):
+        able = [i for i, v in enumerate(amounts) if v <= whole + 5]
+        sums = [(abs(sum(amounts[i] for i in x) - whole), n, list(x)) for n in (2, 3) for x in combinations(able, n)]
+        if (best := min(sums))[0] <= 5:
+            expected[k] = best[2], best[0]
+    assert len(expected) > 2
+    assert {x.left_id: (x.part_ids, x.diff) for x in matching.split_match(left, parts, ("card", "tab")).collect()} == expected
+
+
 def test_registry_never_gives_an_id_again(spark):
     old = spark.createDataFrame([("a", "SRC-BANK-001", "h1", D(2024, 1, 1)), ("b", "SRC-BANK-003", "h2", D(2024, 1, 1))], "path string, source_id string, sha256 string, first_seen date")
     new = spark.createDataFrame([("b", "h9", "bank"), ("c", "h3", "bank"), ("d", "h4", "bank"), ("e", "h5", "")], "path string, sha256 string, domain string")
