@@ -387,6 +387,24 @@ def graduated_match(stmt, book):
     return matching.graduated(stmt, book, passes=3).select("pass", "confidence", "left_id", "right_id")
 
 
+@register(
+    f"""WITH {_GRADUATED}, g AS (SELECT * FROM g1 UNION ALL SELECT * FROM g2 UNION ALL SELECT * FROM g3),
+        near AS (SELECT s.id AS left_id, b.id AS right_id, abs(s.date - b.date) AS days, 1 - levenshtein(lower(s.description), lower(b.supplier))::DOUBLE / greatest(length(s.description), length(b.supplier)) AS alike
+                 FROM stmt s JOIN book b ON {_KEYS} AND abs(s.date - b.date) <= 7 WHERE s.id NOT IN (SELECT left_id FROM g) AND b.id NOT IN (SELECT right_id FROM g)),
+        scored AS (SELECT *, round(0.6::DOUBLE * alike + 0.4::DOUBLE * (1 - days::DOUBLE / 7), 4) AS confidence FROM near WHERE alike > 0.5),
+        cand AS (SELECT *, row_number() OVER (ORDER BY confidence DESC, left_id, right_id) AS n FROM scored),
+        g4 AS (WITH RECURSIVE walk AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS ls, []::BIGINT[] AS rs
+               UNION ALL SELECT c.n, CASE WHEN list_contains(ls, left_id) OR list_contains(rs, right_id) THEN ls ELSE list_append(ls, left_id) END,
+                                CASE WHEN list_contains(ls, left_id) OR list_contains(rs, right_id) THEN rs ELSE list_append(rs, right_id) END FROM walk w JOIN cand c ON c.n = w.n + 1),
+               used AS (SELECT ls, rs FROM walk ORDER BY n DESC LIMIT 1), pairs AS (SELECT unnest(ls) AS left_id, unnest(rs) AS right_id FROM used)
+               SELECT 'DESCRIPTION_SUGGESTED' AS pass, confidence, left_id, right_id FROM cand JOIN pairs USING (left_id, right_id))
+        SELECT * FROM g UNION ALL SELECT * FROM g4""",
+    "stmt", "book",
+)
+def graduated_match_all(stmt, book):
+    return matching.graduated(stmt, book).select("pass", "confidence", "left_id", "right_id")
+
+
 @register(
     """SELECT cents, date, coalesce(l.n, 0) AS n_left, coalesce(r.n, 0) AS n_right FROM (SELECT cents, date, count(*) AS n FROM stmt GROUP BY 1, 2) l
        FULL JOIN (SELECT cents, date, count(*) AS n FROM book GROUP BY 1, 2) r USING (cents, date) WHERE coalesce(l.n, 0) <> coalesce(r.n, 0)""",

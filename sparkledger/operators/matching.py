@@ -115,8 +115,10 @@ def suggested(stmt: DataFrame, book: DataFrame, days: int = 7) -> DataFrame:
     a = stmt.select(F.col("id").alias("left_id"), F.col("card").alias("k"), F.col("date").alias("ld"), F.col("cents").alias("lc"), F.lower("description").alias("lt"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
     b = book.select(F.col("id").alias("right_id"), F.col("tab").alias("k"), F.col("date").alias("rd"), F.col("cents").alias("rc"), F.lower("supplier").alias("rt"), bucket.alias("b"))
     day = F.abs(F.datediff("ld", "rd"))
-    alike = exprs.similarity(F.col("lt"), F.col("rt"))
-    pairs = a.join(b, ["k", "b"]).where(day <= days).withColumn("alike", alike).where("alike > 0.5")
+    # Texts are compared once for each pair of distinct ones of a card; rows meet only through texts that are alike.
+    texts = a.select("k", "lt").distinct().join(b.select("k", "rt").distinct(), "k")
+    texts = materialize(texts.withColumn("alike", exprs.similarity(F.col("lt"), F.col("rt"))).where("alike > 0.5"), "texts")
+    pairs = a.join(texts, ["k", "lt"]).join(b, ["k", "rt", "b"]).where(day <= days)
     score = F.round(0.6 * F.col("alike") + 0.4 * (1 - day / days), 4)
     return pairs.select(F.lit("DESCRIPTION_SUGGESTED").alias("pass"), score.alias("confidence"), "left_id", "right_id", day.alias("day_diff"), F.abs(F.col("lc") - F.col("rc")).alias("cents_diff"), (-score).alias("unlike"))
 

@@ -142,6 +142,13 @@ def test_graduated_passes(spark):
     assert got == [(0, "EXACT", 1.0, 0), (1, "DATE_FUZZY", 0.8, 1), (2, "AMOUNT_FUZZY", 0.74, 2), (3, "DESCRIPTION_SUGGESTED", 0.7714, 3)]
 
 
+def test_a_registered_query_suggests_by_description(spark):
+    from sparkledger import catalog
+
+    passes = {r["pass"] for r in catalog.QUERIES["graduated_match_all"](spark, "/root/testdata/sf0.001").collect()}
+    assert passes == {"EXACT", "DATE_FUZZY", "AMOUNT_FUZZY", "DESCRIPTION_SUGGESTED"}
+
+
 def test_split_group_fingerprint(spark):
     day = lambda n: D(2024, 3, n)
     left = spark.createDataFrame([(1, "c", day(5), 1000, ""), (2, "c", day(15), 900, "")], STMT)
