@@ -44,7 +44,7 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1,
     def tasks(batches):
         common.begin("words")
         for batch in batches:
-            for part in common.slices(batch, 1):
+            for part in common.slices(batch, 1, wordbpe.SLICE):
                 ids, bounds = wordbpe.encode_column(part.column(1), tokenizer, end_id)
                 sizes = np.diff(bounds)
                 doc, start, length = cut(sizes, longest)

@@ -44,30 +44,42 @@ def _choices(widths: np.ndarray) -> np.ndarray:
     return best
 
 
+def _bit_lengths(values: np.ndarray) -> np.ndarray:
+    """Bits of each value; from 31 bits on 60, which only the escape holds."""
+    widths = _LENGTHS[values & values.dtype.type(0xFFFF)]
+    high = np.flatnonzero(values >> values.dtype.type(16))
+    if len(high):
+        top = values[high] >> values.dtype.type(16)
+        widths[high] = np.where(top < 1 << 14, _LENGTHS[np.minimum(top, 0xFFFF)] + 16, 60)
+    return widths
+
+
+_LENGTHS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the word offset of each block with the number of words at the end."""
-    if len(ids) and int(ids.max()) >= 1 << 60:
+    most = int(ids.max()) if len(ids) else 0
+    if most >= 1 << 60:
         raise ValueError("ids have 60 bits at most")
     blocks = -(-len(ids) // BLOCK)
-    grid = np.zeros((blocks, BLOCK + 64), np.uint64)
-    flat = np.zeros(blocks * BLOCK, np.uint64)
-    flat[: len(ids)] = ids
-    grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
+    # Each block has 64 zeros behind it, so a word's ids can be read past its end.
+    grid = np.zeros((blocks, BLOCK + 64), np.uint32 if most < 1 << 32 else np.uint64)
+    whole = len(ids) // BLOCK
+    grid[:whole, :BLOCK] = ids[: whole * BLOCK].reshape(whole, BLOCK)
     sizes = np.full(blocks, BLOCK)
-    if blocks:
-        sizes[-1] = len(ids) - (blocks - 1) * BLOCK
-    values = grid[:, :BLOCK]
-    widths = np.frexp(values.astype(np.float64))[1].astype(np.uint8)
-    widths[values >= np.uint64(1 << 30)] = 60  # only the escape holds them
-    best = _choices(widths)
+    if whole < blocks:
+        sizes[-1] = len(ids) - whole * BLOCK
+        grid[-1, : sizes[-1]] = ids[whole * BLOCK :]
+    best = _choices(_bit_lengths(np.ascontiguousarray(grid[:, :BLOCK]).ravel()).reshape(blocks, BLOCK))
     # All blocks advance together; the k-th step gives each block its k-th word.
     at, live, taken, steps = np.zeros(blocks, np.int64), np.arange(blocks), [], np.zeros(blocks, np.int64)
-    flat_best, counts8 = best.ravel(), COUNTS.astype(np.int64)
+    flat_best = best.ravel()
     while len(live):
         here = at[live]
         chosen = flat_best[live * BLOCK + here]
         taken.append((live, here, chosen))
-        here = here + counts8[chosen]
+        here = here + COUNTS[chosen]
         at[live] = here
         steps[live] += 1
         live = live[here < sizes[live]]
@@ -77,15 +89,14 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), offsets
     row, pos, sel = (np.concatenate(x) for x in zip(*taken))
     nth = np.repeat(np.arange(len(taken)), [len(x[0]) for x in taken])
-    words = np.empty(len(row), np.uint64)
-    target = offsets[row] + nth
-    words[target] = sel.astype(np.uint64) << np.uint64(60)
-    flat_grid = grid.ravel()
+    words, target, flat_grid = np.empty(len(row), np.uint64), offsets[row] + nth, grid.ravel()
     for k in np.unique(sel):
         mine, n, width = np.flatnonzero(sel == k), int(COUNTS[k]), int(WIDTHS[k])
         base = row[mine] * (BLOCK + 64) + pos[mine]
+        packed = np.full(len(mine), int(k) << 60, np.uint64)
         for j in range(n):
-            words[target[mine]] |= flat_grid[base + j] << np.uint64(j * width)
+            packed |= flat_grid[base + j].astype(np.uint64) << np.uint64(j * width)
+        words[target[mine]] = packed
     return words, offsets
 
 
@@ -148,7 +159,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: s
         name, docs_seen, seen, out = f"{root}/part-{part:06d}.s8b", 0, 0, None
         attempt = f"{root}/_{part:06d}-{TaskContext.get().taskAttemptId()}"
         for batch in batches:
-            for rows in common.slices(batch, 1):
+            for rows in common.slices(batch, 1, wordbpe.SLICE):
                 ids, bounds = wordbpe.encode_column(rows.column(1), tokenizer, end_id)
                 if out is None:
                     store.create_dir(root, recursive=True)
