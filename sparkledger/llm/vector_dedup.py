@@ -1,15 +1,18 @@
 """Near-duplicate vectors through spherical k-means cells.
 
-Centres are fitted on a bounded sample.  A vector belongs to each cell whose centre is at most
-``BESIDE`` less alike than its best one, so neighbours across a border meet.  Cells are cut into blocks
-and each pair of blocks of a cell is one group: it multiplies the blocks, confirms likely pairs in
-double precision, and hands on how many partners each vector has and a spanning forest of the links, so
-what leaves a group grows with its vectors and not with its pairs.  A pair that meets in several cells
-counts in the first of them.
+Equal vectors are one class.  Centres are fitted on a bounded sample.  A class belongs to each cell whose
+centre is at most a margin less alike than its best one; the margin is measured: pairs just at the threshold
+are made around sampled vectors, and it is so wide that all but ``MISSED`` of them share a cell.  Cells are
+cut into blocks and each pair of blocks of a cell is one group: it multiplies the blocks, confirms likely
+pairs in double precision, and hands on how many partners each class has and a spanning forest of the links,
+so what leaves a group grows with its vectors and not with its pairs.  A pair that meets in several cells
+counts in the first of them.  Vectors of different lengths are compared with those of their own length only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -17,8 +20,10 @@ from pyspark.sql import DataFrame, functions as F
 from sparkledger.llm import common, vectors as V
 from sparkledger.llm.components import components
 
-#: Vectors in a cell on average, until there are ``MOST_CELLS``; vectors in a block; how far a second cell may be behind the best.
-CELL, MOST_CELLS, BLOCK, BESIDE = 512, 2048, 2048, 0.1
+#: Classes in a cell on average, until there are ``MOST_CELLS``, which the sample bounds (eight vectors a centre); vectors in a block.
+CELL, MOST_CELLS, BLOCK = 512, 8192, 2048
+#: Share of pairs at the threshold that may share no cell, and pairs it is measured on.
+MISSED, PROBES = 0.0005, 8192
 
 
 def spherical_kmeans(points: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -56,40 +61,82 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
+def margin(points: np.ndarray, centres: np.ndarray, least: float) -> float:
+    """How much less alike than the best a centre may be, so that nearly all pairs with a cosine of ``least`` share one.
+
+    A pair's need is the least, over centres, of the larger of its two shortfalls.
+    """
+    if len(centres) < 2 or points.shape[1] < 2:
+        return 2.0
+    some = points[:PROBES]
+    some = np.tile(some, (-(-PROBES // len(some)), 1))[:PROBES]
+    aside = np.random.default_rng(11).standard_normal(some.shape)
+    aside -= np.einsum("ij,ij->i", aside, some)[:, None] * some
+    other = least * some + np.sqrt(max(0.0, 1 - least * least)) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    needs = []
+    for low in range(0, PROBES, 512):
+        a, b = some[low : low + 512] @ centres.T, other[low : low + 512] @ centres.T
+        needs.append(np.maximum(a.max(1, keepdims=True) - a, b.max(1, keepdims=True) - b).min(1))
+    return float(np.quantile(np.concatenate(needs), 1 - MISSED)) + 1e-9
+
+
 def near_vectors(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per row of ``table``: vec_id, n_links, component_id (smallest linked vec_id) and kept.
 
     Links are pairs with a cosine of ``least`` or more.  What ``vectors.usable`` sets apart links with
     nothing; a null vec_id has no component and is kept.  Rows that share a vec_id fare alike.
     """
-    rows, dimension = V.usable(table, id_col, vector_col)
-    rows = common.materialize(rows, "vectors")
-    n = rows.count()
+    rows = common.materialize(V.usable(table, id_col, vector_col), "vectors")
+    # Counted in each task before the shuffle, so a vector that many rows share weighs little.
+    classes = common.materialize(rows.groupBy("d", "x").agg(F.min("id").alias("id"), F.count("*").alias("size")), "class-vectors")
+    sizes = classes.select(F.col("id").alias("class"), "size")
+    found = [_linked(classes.where(F.col("d") == d), d, n, least) for d, n in sorted(V.lengths(classes).items())]
+    links = reduce(DataFrame.unionByName, found) if found else None
+    own = sizes.select(F.col("class").alias("id"), (F.col("size") - 1).alias("own"))
+    if links is None:
+        known = own.select("id", F.col("own").alias("n_links"), F.lit(None).cast("long").alias("component"))
+    else:
+        links = common.materialize(links, "vector-links")
+        degrees = links.groupBy("id").agg(F.sum("n").alias("n"))
+        groups = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
+        known = own.join(degrees, "id", "left").join(groups, "id", "left").select("id", (F.col("own") + F.coalesce("n", F.lit(0))).alias("n_links"), "component")
+    # A class of one is its own row; only members of larger ones are joined by their vectors.
+    several = classes.where("size > 1").select("d", "x", F.col("id").alias("class"))
+    member = rows.join(several, ["d", "x"], "left").select("id", F.coalesce("class", "id").alias("class"))
+    known = member.join(known.withColumnRenamed("id", "class"), "class").select(F.col("id").alias("vec_id"), "n_links", F.coalesce("component", "class").alias("component"))
+    out = table.select(F.col(id_col).cast("long").alias("vec_id")).join(known, "vec_id", "left")
+    component = F.coalesce("component", "vec_id")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+
+
+def _linked(classes: DataFrame, dimension: int, n: int, least: float) -> DataFrame:
+    """Of classes of one length (id, x, size): id, the smallest id it reaches in a group, and the vectors it links with there."""
     k = int(min(max(1, n // CELL), MOST_CELLS))
-    centres = spherical_kmeans(_unit(V.sample(rows, dimension)), k) if n else np.zeros((1, max(dimension, 1)))
+    points = _unit(V.sample(classes, dimension, n))
+    centres = spherical_kmeans(points, min(k, len(points)))
+    beside = margin(points, centres, least)
 
     def assign(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
                 unit = _unit(V.matrix(part.column(1), "<f8", dimension))
                 alike = unit @ centres.T
-                near = alike >= alike.max(1, keepdims=True) - BESIDE
+                near = alike >= alike.max(1, keepdims=True) - beside
                 bounds = np.concatenate(([0], np.cumsum(near.sum(1))))
-                yield pa.RecordBatch.from_arrays([part.column(0), V.packed(unit), common.list_array(np.nonzero(near)[1], bounds, pa.int32())], names=["id", "x", "cells"])
+                yield pa.RecordBatch.from_arrays([part.column(0), V.packed(unit), part.column(2), common.list_array(np.nonzero(near)[1], bounds, pa.int32())], names=["id", "x", "size", "cells"])
 
-    assigned = common.materialize(rows.mapInArrow(assign, "id long, x binary, cells array<int>"), "cells")
+    assigned = common.materialize(classes.select("id", "x", "size").mapInArrow(assign, "id long, x binary, size long, cells array<int>"), "cells")
     in_cells = assigned.withColumn("cell", F.explode("cells"))
     # As many rows as there are cells, which MOST_CELLS bounds.
-    blocks = {r["cell"]: -(-r["count"] // BLOCK) for r in in_cells.groupBy("cell").count().collect()}
-    counts = F.create_map(*[F.lit(int(x)) for item in sorted(blocks.items()) for x in item]) if blocks else F.create_map(F.lit(0), F.lit(1))
-    placed = in_cells.withColumn("n_blocks", counts[F.col("cell")]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
+    blocks = in_cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    placed = in_cells.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    placed = placed.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "x", "cells")
+    placed = placed.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "x", "size", "cells")
 
     def compare(group: pa.Table) -> pa.Table:
         cell, i, j = (group[c][0].as_py() for c in ("cell", "i", "j"))
-        block, ids, unit = group["block"].to_numpy(), group["id"].to_numpy(), V.matrix(group["x"], "<f8", dimension)
+        block, ids, size, unit = group["block"].to_numpy(), group["id"].to_numpy(), group["size"].to_numpy(), V.matrix(group["x"], "<f8", dimension)
         cells = group["cells"].to_pylist()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         coarse = unit.astype(np.float32)
@@ -113,7 +160,9 @@ def near_vectors(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", v
         first = np.array([min(names[p // len(names)] & names[p % len(names)]) == cell for p in pairs.tolist()], bool)
         if len(a):
             a, b = a[first[inverse]], b[first[inverse]]
-        degree = np.bincount(np.concatenate((a, b)), minlength=len(ids))
+        degree = np.zeros(len(ids), np.int64)
+        np.add.at(degree, a, size[b])
+        np.add.at(degree, b, size[a])
         order = np.argsort(ids)  # roots are smallest ids
         rank = np.empty(len(ids), np.int64)
         rank[order] = np.arange(len(ids))
@@ -121,10 +170,4 @@ def near_vectors(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", v
         linked = np.flatnonzero(degree)
         return pa.table({"id": pa.array(ids[linked]), "root": pa.array(ids[root[linked]]), "n": pa.array(degree[linked])})
 
-    found = common.materialize(placed.groupBy("cell", "i", "j").applyInArrow(compare, "id long, root long, n long"), "vector-links")
-    degrees = found.groupBy("id").agg(F.sum("n").alias("n_links"))
-    groups = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    known = degrees.join(groups, "id", "left")
-    out = table.select(F.col(id_col).cast("long").alias("vec_id")).join(known.withColumnRenamed("id", "vec_id"), "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+    return placed.groupBy("cell", "i", "j").applyInArrow(compare, "id long, root long, n long")

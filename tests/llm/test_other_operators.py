@@ -27,7 +27,7 @@ def clustered(n, d, seed):
     return x.astype(np.float32)
 
 
-ODD = [(900001, None), (900002, [0.0] * 16), (900003, [float("nan")] * 16), (900004, [1.0, None] + [0.0] * 14), (900005, [float("inf")] * 16), (900006, [1.0]), (None, [1.0] * 16), (900007, [])]
+ODD = [(900001, None), (900002, [0.0] * 16), (900003, [float("nan")] * 16), (900004, [1.0, None] + [0.0] * 14), (900005, [float("inf")] * 16), (900006, [1.0, 2.0]), (None, [1.0] * 16), (900007, [])]
 
 
 def test_near_vectors(spark):
@@ -63,10 +63,30 @@ def test_near_vectors_over_cells_and_blocks(spark, monkeypatch):
     assert (found <= links).all() and found.sum() >= 0.98 * links.sum()
 
 
-def test_one_bit_search(spark, monkeypatch):
-    monkeypatch.setattr(ann, "VECTOR_BLOCK", 150)
-    monkeypatch.setattr(ann, "QUERY_BLOCK", 8)
-    x = clustered(500, 16, 3)
+def test_near_vectors_of_several_lengths(spark):
+    items = [(0, [1.0, 0.0]), (1, [2.0, 0.001]), (2, [0.0, 1.0]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, [1.0, 0.0]), (6, [1.0])]
+    rows = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(vectors(spark, items)).collect()}
+    assert rows == {0: (2, 0), 1: (2, 0), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (2, 0), 6: (0, 6)}
+
+
+@pytest.mark.parametrize("d", [2, 4, 8, 16, 64])
+def test_pairs_at_the_threshold_share_a_cell(d):
+    r = np.random.default_rng(d)
+    unit = vector_dedup._unit(r.standard_normal((20_000, d)))
+    centres = vector_dedup.spherical_kmeans(unit, 39)
+    beside = vector_dedup.margin(unit, centres, 0.9)
+    a, t = unit[-4000:], r.standard_normal((4000, d))
+    t -= (t * a).sum(1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * t / np.linalg.norm(t, axis=1, keepdims=True)
+    near = lambda x: (s := x @ centres.T) >= s.max(1, keepdims=True) - beside
+    assert (near(a) & near(b)).any(1).mean() >= 0.998
+
+
+@pytest.mark.parametrize("part_bytes", [16 << 20, 1])
+def test_one_bit_search(spark, monkeypatch, part_bytes):
+    monkeypatch.setattr(ann, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(ann, "BLOCK", 300)
+    x = clustered(3000, 16, 3)
     x[7] = x[9]  # a tie
     table = vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)] + ODD)
     got = ann.search(table, table.where("vec_id % 20 = 0")).collect()
@@ -89,14 +109,24 @@ def test_search_of_small_and_empty_tables(spark):
     assert rows == [(0, 1, 3, 1.0), (0, 2, 20, 0.0), (20, 1, 3, 1.0), (20, 2, 0, 0.0)]
     none = vectors(spark, [])
     assert ann.search(none, none).count() == 0
+    # Lengths are kept apart, whichever is the more common one.
+    mixed = vectors(spark, [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.25, 0.0]), *[(k, [float(k), 1.0, 0.0]) for k in range(3, 9)], (20, [1.0, 2.0, 3.0])])
+    rows = sorted(tuple(r) for r in ann.search(mixed, mixed.where("vec_id % 20 = 0"), 2).collect())
+    assert rows == [(0, 1, 1, 0.5), (0, 2, 2, 0.25), (20, 1, 8, 10.0), (20, 2, 7, 9.0)]
 
 
-def test_estimates_keep_their_bounds():
+@pytest.mark.parametrize("d", [5, 32, 200])
+def test_estimates_keep_their_bounds(d):
     r = np.random.default_rng(5)
-    x, q = r.standard_normal((2000, 32)), r.standard_normal((20, 32))
-    centre, turn = x.mean(0), ann.rotation(32, 256)
-    guess, bound = ann.Codes(x, centre, turn).estimate(q, centre, turn)
-    assert (np.abs(guess - q @ x.T) <= bound).mean() > 0.998
+    x, q = r.standard_normal((2000, d)), r.standard_normal((20, d))
+    x[3] = x.mean(0)
+    centre, turn = x.mean(0), ann.rotation(d, 512)
+    codes = ann.Codes.of(x, centre, turn)
+    inside = []
+    for one in q:
+        guess, bound = codes.estimate(ann.Query(one, centre, turn), 0, 2000)
+        inside.append(np.abs(guess - x @ one) <= bound)
+    assert np.mean(inside) > 0.998
 
 
 PAGES = "page_id long, url string, html string, digest string, path string, first_page string"
