@@ -22,9 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near-duplicates."""
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps the document with the smallest doc_id of each group of near-duplicates; rows that share an id fare each by its own text."""
+    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id", "text_hash").distinct()
+    return docs.withColumn("text_hash", F.xxhash64("text")).join(gone, ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

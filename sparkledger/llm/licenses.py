@@ -32,10 +32,16 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("bsd-3-clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("boost-1.0", """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor."""),
 ]
 #: Words are runs of digits, letters and everything beyond ASCII.
 WORDS = common.byte_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
-LEAST_RUN, LEAST_SHARE, LEAST_WORDS, WIDEST_GAP = 3, 0.7, 20, 8
+LEAST_RUN, LEAST_SHARE, LEAST_WORDS, WIDEST_GAP, LEAST_FILL = 3, 0.7, 20, 8, 0.5
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -142,8 +148,9 @@ class Scanner:
         done += [(template, *chain) for template, chain in open_chains.items()]
         return [(t, a, b, n) for t, a, b, _, n in done]
 
-    def accepts(self, template: int, covered: int) -> bool:
-        return covered >= min(LEAST_WORDS, LEAST_SHARE * self.sizes[template])
+    def accepts(self, template: int, first: int, last: int, covered: int) -> bool:
+        """Enough of the template, and most of what the chain spans: ordinary words here and there make no licence."""
+        return covered >= min(LEAST_WORDS, LEAST_SHARE * self.sizes[template]) and covered >= LEAST_FILL * (last - first + 1)
 
     def scan(self, text: pa.Array):
         """Of each text: words, places, first and last place of base phrases, their labels, all labels, score, spans."""
@@ -178,7 +185,7 @@ class Scanner:
             runs.setdefault(int(row[x]), []).append((x - int(bounds[row[x]]), numbers[x:y].tolist()))
         for r, stretches in runs.items():
             for template, first, last, covered in self.spans(stretches):
-                if self.accepts(template, covered):
+                if self.accepts(template, first, last, covered):
                     share = min(1.0, covered / self.sizes[template])
                     labels[r].add(self.labels[template])
                     score[r] = max(score[r], share)
@@ -195,14 +202,27 @@ _scanners: dict[tuple, Scanner] = {}
 common.caches["licenses"] = _scanners.clear
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def templates_of(table: DataFrame) -> list[tuple[str, str]]:
+    """Label and text of each row of a table of licence texts, at most ``MOST_TEMPLATES`` characters in all; rows with a null are left out."""
+    rows = table.select("label", "text").where("label is not null and text is not null").distinct()
+    if (rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0) > MOST_TEMPLATES:
+        raise ValueError("the licence texts are too large for every task to hold")
+    return sorted((r["label"], r["text"]) for r in rows.collect())
+
+
+#: Characters of licence texts that each task holds as one automaton.
+MOST_TEMPLATES = 4_000_000
+
+
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and spans.
 
     Words count from 0; first_word and last_word are null without a base phrase, and labels are then the
     empty string.  ``score`` is the largest share of a template that a chain covers, 1 with a base phrase.
-    A null text has no words; null and repeated doc_ids are kept; other columns are ignored.
+    A null text has no words; null and repeated doc_ids are kept; other columns are ignored.  ``templates`` is a
+    list of labels and texts, or a table of them (label, text), behind the shipped ones.
     """
-    templates = templates or TEMPLATES
+    templates = TEMPLATES + (templates_of(templates) if isinstance(templates, DataFrame) else list(templates or []))
 
     def tasks(batches):
         common.begin("licenses")

@@ -69,7 +69,7 @@ def minima(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit hash of the set (h1, h2) and the minima of (doc_id, text) rows."""
+    """doc_id, text_hash, n_shingles, a 128-bit hash of the set (h1, h2) and the minima of (doc_id, text, text_hash) rows."""
 
     def tasks(batches):
         common.begin("minhash")
@@ -84,11 +84,11 @@ def signatures(rows: DataFrame, size: int) -> DataFrame:
                     h1[full], h2[full] = np.add.reduceat(mixed, bounds[:-1][full]), np.bitwise_xor.reduceat(common.mix(mixed), bounds[:-1][full])
                 found = minima(values, bounds).ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), common.binary_array(found, np.arange(len(sizes) + 1) * _MINIMA)],
-                    names=["doc_id", "n_shingles", "h1", "h2", "minima"],
+                    [part.column(0), pa.array(sizes), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), common.binary_array(found, np.arange(len(sizes) + 1) * _MINIMA), part.column(2)],
+                    names=["doc_id", "n_shingles", "h1", "h2", "minima", "text_hash"],
                 )
 
-    return rows.mapInArrow(tasks, "doc_id long, n_shingles long, h1 long, h2 long, minima binary")
+    return rows.mapInArrow(tasks, "doc_id long, n_shingles long, h1 long, h2 long, minima binary, text_hash long")
 
 
 def _matrix(column: pa.Array, kind: str, width: int) -> np.ndarray:
@@ -304,17 +304,18 @@ def _confirm(percent: int):
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest linked doc_id) and kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest linked doc_id), kept and text_hash.
 
     Words are lower-cased in A-Z and parted by space and the characters 9 to 13; a set is the distinct
     runs of ``size`` words, or the whole sequence if there are fewer.  Texts are linked if 100 times the
     size of their sets' intersection is at least ``percent`` times that of the union.  Null and empty
     texts link with nothing, and so do rows with a null doc_id (component_id null, kept).  Rows that
-    share a doc_id are judged each by its own text.  Other columns are ignored.
+    share a doc_id are judged each by its own text, told apart by ``text_hash``, Spark's xxhash64 of it.  Other
+    columns are ignored.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = common.materialize(signatures(source, size), "signatures")
+    rows = common.materialize(signatures(source.withColumn("text_hash", F.xxhash64("text")), size), "signatures")
     able = rows.where("n_shingles > 0 and doc_id is not null")
     # The first of equal sets stands for them all; their minima are the same.
     classes = able.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("minima").alias("minima"))
@@ -372,6 +373,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     named = renamed(group, _crowded(common.materialize(crowd, "crowd"), percent, sets_of))
 
     held = classes.select("h1", "h2", "n_shingles", "id").join(named, "id", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "id").alias("_component"))
-    out = rows.select("doc_id", "n_shingles", "h1", "h2").join(held, ["h1", "h2", "n_shingles"], "left")
+    out = rows.select("doc_id", "n_shingles", "h1", "h2", "text_hash").join(held, ["h1", "h2", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("_component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "text_hash")

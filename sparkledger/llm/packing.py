@@ -38,8 +38,8 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1,
     has one piece at least.  Null and repeated doc_ids are packed row by row.  Other columns are ignored.
     Sequence ids are unique longs that sort by bucket.
     """
-    if longest < 1 or longest & (longest - 1):
-        raise ValueError("the sequence length must be a power of two")
+    if longest < 1 or longest & (longest - 1) or longest > 1 << 31:
+        raise ValueError("the sequence length must be a power of two, 2**31 at most")
 
     def tasks(batches):
         common.begin("words")
@@ -57,8 +57,8 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1,
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     pieces = rows.mapInArrow(tasks, "doc_id long, start long, length long, ids binary, doc_tokens long")
     bucket = F.log2("length").cast("int")
-    # The bucket takes the bits above 2**26 partitions of 2**33 rows.
-    sequence = F.shiftleft(F.col("bucket").cast("long"), 59).bitwiseOR(F.monotonically_increasing_id())
+    # The bucket takes five bits above 2**25 partitions of 2**33 rows.
+    sequence = F.shiftleft(F.col("bucket").cast("long"), 58).bitwiseOR(F.monotonically_increasing_id())
     return pieces.withColumn("bucket", bucket).withColumn("sequence_id", sequence).withColumn("offset", F.lit(0).cast("long"))
 
 

@@ -45,7 +45,7 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import minhash
 
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85).drop("text_hash")
 
 
 def op6_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:

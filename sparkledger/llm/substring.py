@@ -11,8 +11,9 @@ shorter run of ``window - p + 1`` words, that starts at a covered position in bo
    sends these windows' hashes with their places to buckets, where the first of all is found;
 4. each group removes the words that later windows cover.
 
-A group is a hash-chosen set of documents that one task can hold; its number follows the number of
-shuffle partitions, and rows between the steps are packed arrays.  Hashes have 64 bits.
+A group is a hash-chosen set of documents.  The numbers of groups and buckets follow the bytes of all texts, so
+a task's share has the same size however large the corpus is, and rows between the steps are packed arrays.
+Hashes have 64 bits.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from sparkledger.llm import common
 
 #: Difference covers by modulus.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 6, 8, 18), 31: (0, 1, 3, 8, 12, 18)}
-GROUPS_PER_PARTITION = 2
+#: Bytes of text that a task works on, about; groups and buckets for each task.
+TASK_BYTES, EACH = 3 << 20, 2
 #: Anchors that a task gathers before it sends them on.
 HELD = 2_000_000
 
@@ -91,9 +93,9 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     so repeated rows fare alike.  ``as_text`` "words" joins kept words by one space; "spans" leaves texts
     without removals as they are and otherwise cuts each removed run with the blanks behind it.
     """
-    spark = docs.sparkSession
-    width = common.shuffle_width(spark)
-    groups, buckets = GROUPS_PER_PARTITION * width, width
+    size = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
+    width = max(1, -(-size // TASK_BYTES))
+    groups = buckets = EACH * width
     modulus, cover = cover_for(window)
     anchor = window - modulus + 1
     covered = np.isin(np.arange(modulus), cover)
@@ -101,6 +103,7 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
 
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep_cols])
     source = source.withColumn("_group", F.pmod(F.xxhash64("_id", "_text"), F.lit(groups)).cast("int"))
+    dealt = source.repartition(width, "_group")
 
     sent_columns = ["kind", "bucket", "group", "hashes", "groups"]
 
@@ -223,12 +226,13 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
         return pa.table({"_id": left["_id"], **{c: left[c] for c in keep_cols}, "n_words": pa.array(words.counts), "n_removed": pa.array(n_removed), "kept_text": pa.array(kept, pa.string())})
 
     sent = source.select("_group", "_text").mapInArrow(anchors, "kind int, bucket int, group int, hashes binary, groups binary")
-    candidates = sent.groupBy("bucket").applyInArrow(recurring, "group int, hashes binary")
-    places = source.groupBy("_group").cogroup(candidates.groupBy("group")).applyInArrow(windows, "bucket int, group int, hashes binary, ids binary, starts binary")
-    lost = places.groupBy("bucket").applyInArrow(later, "group int, hashes binary")
+    candidates = sent.repartition(width, "bucket").groupBy("bucket").applyInArrow(recurring, "group int, hashes binary")
+    candidates = candidates.repartition(width, "group")
+    places = dealt.groupBy("_group").cogroup(candidates.groupBy("group")).applyInArrow(windows, "bucket int, group int, hashes binary, ids binary, starts binary")
+    lost = places.repartition(width, "bucket").groupBy("bucket").applyInArrow(later, "group int, hashes binary").repartition(width, "group")
     kinds = dict(source.dtypes)
     schema = ", ".join(["_id long", *[f"`{c}` {kinds[c]}" for c in keep_cols], "n_words long, n_removed long, kept_text string"])
-    return source.groupBy("_group").cogroup(lost.groupBy("group")).applyInArrow(remove, schema).withColumnRenamed("_id", id_col)
+    return dealt.groupBy("_group").cogroup(lost.groupBy("group")).applyInArrow(remove, schema).withColumnRenamed("_id", id_col)
 
 
 def _without(raw: bytes, removed: np.ndarray) -> bytes:

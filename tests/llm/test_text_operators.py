@@ -66,6 +66,19 @@ def test_packing_covers_each_id_once(spark, tokenizer):
     assert packing.pack(documents(spark, []), WORD).count() == 0
     with pytest.raises(ValueError):
         packing.pack(documents(spark, []), WORD, longest=100)
+    wide = packing.pack(documents(spark, [prose(120_000, 8)]), WORD, longest=1 << 20).collect()
+    assert len({r.sequence_id for r in wide}) == len(wide) and all(r.sequence_id >= 0 for r in wide) and max(r.length for r in wide) >= 1 << 17
+
+
+def test_tokenizers_that_keep_blanks(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    rows = packing.pack(documents(spark, ODD), path).collect()
+    for k, text in enumerate(ODD):
+        own = b"".join(r.ids for r in sorted((r for r in rows if r.doc_id == k), key=lambda r: r.start))
+        assert np.frombuffer(own, "<u4").tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 @settings(max_examples=60, deadline=None)
@@ -136,7 +149,8 @@ def removed_by_hand(docs, window):
 
 
 @pytest.mark.parametrize("window", [3, 8, 20, 50])
-def test_repeated_passages(spark, window):
+def test_repeated_passages(spark, monkeypatch, window):
+    monkeypatch.setattr(substring, "TASK_BYTES", 3 << 20 if window == 8 else 4096)
     r = random.Random(window)
     passages = [prose(r.choice([window - 1, window, window + 5, 90]), 100 + k, 500) for k in range(5)]
     texts = [*ODD]
@@ -268,6 +282,28 @@ def test_license_spans(spark):
     assert rows[len(ODD) + 5].labels == "" and licenses.scan(documents(spark, [])).count() == 0
 
 
+def test_licenses_in_long_edited_and_mixed_texts(spark):
+    full = {label: text for label, text in licenses.TEMPLATES if len(text) > 600}
+    filler = prose(300, 7, 2000)
+    mit, bsd = full["mit"].split(), full["bsd-3-clause"].split()
+    edited = list(mit)
+    for k in range(10, len(edited), 17):
+        edited[k] = "changed"
+    half = len(mit) // 2
+    texts = [
+        f"{filler} {full['zlib']} {filler}", f"{filler} {' '.join(edited)}", f"{' '.join(mit[:half])} {filler} {full['unlicense']} {filler} {' '.join(bsd)}",
+        " ".join(bsd[: len(bsd) // 3]), "the software is " * 40 + filler, filler * 20, "own words one two three four five six seven eight nine ten",
+    ]
+    table = spark.createDataFrame([("own", texts[-1]), (None, "x"), ("y", None)], "label string, text string")
+    rows = {r.doc_id: r for r in licenses.scan(documents(spark, texts), table).collect()}
+    found = [set(filter(None, rows[k].labels.split(","))) for k in range(len(texts))]
+    assert found[0] == {"zlib"} and rows[0].score == 1.0 and "mit" in found[1] and rows[1].score >= 0.8
+    assert {"mit", "unlicense", "bsd-3-clause"} <= found[2] and found[3] & {"bsd", "bsd-3-clause"}
+    assert found[4] == set() and found[5] == set() and found[6] == {"own"}
+    span = next(s for s in rows[0].spans if s.label == "zlib")
+    assert (span.first_word, span.last_word) == (300, 300 + len(licenses._hashes(full["zlib"])) - 1)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=4), st.lists(st.integers(0, 4), max_size=20))
 def test_automaton_gives_longest_runs(lists, text):
