@@ -66,7 +66,7 @@ def month_number(name: Column) -> Column:
 def date_of(year: Column, month: Column, day: Column) -> Column:
     """A date, or null where there is none such."""
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
-    return F.concat_ws("-", pad(year, 4), pad(month, 2), pad(day, 2)).try_cast("date")
+    return F.concat(pad(year, 4), F.lit("-"), pad(month, 2), F.lit("-"), pad(day, 2)).try_cast("date")
 
 
 def normalize_date(text: Column) -> Column:

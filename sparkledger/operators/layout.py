@@ -5,16 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PAGE = ["doc_id", "page"]
-#: By layout the row tolerance, widest x of a date, x of a description and least x of an amount, and the sign style.
-PROFILES = {
-    "desjardins_pdf": (3.0, None, None, None, "plain"),
-    "rbc_pdf": (2.0, None, None, None, "french"),
-    "desjardins_cc_pdf": (2.0, 130.0, (250.0, 470.0), 450.0, "credit"),
-    "rbc_visa_pdf": (2.0, 90.0, (125.0, 300.0), 295.0, "french"),
-    "bdc_mc_pdf": (2.0, 65.0, (180.0, 430.0), 430.0, "english"),
-    "td_visa_pdf": (2.0, 90.0, (130.0, 290.0), 290.0, "auto"),
-    "desj_visa_perso_pdf": (2.0, 130.0, (210.0, 425.0), 465.0, "credit"),
-}
 
 
 def rows_by_gap(words: DataFrame, tolerance: float) -> DataFrame:
@@ -25,17 +15,20 @@ def rows_by_gap(words: DataFrame, tolerance: float) -> DataFrame:
     return words.withColumn("_new", new).withColumn("row", F.sum("_new").over(down.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def rows_by_anchor(words: DataFrame, tolerance: float) -> DataFrame:
+def rows_by_anchor(words: DataFrame, tolerance: float | Column) -> DataFrame:
     """Adds row: a word joins the first row of its page whose first word is within ``tolerance``, else it opens one.
 
+    The tolerance may be a column that is the same for all words of a page.
+
     A page's words are folded in reading order inside one expression; a page bounds what is gathered.
     """
     word = F.struct("word_seq", "top")
-    tops = words.groupBy(*PAGE).agg(F.array_sort(F.collect_list(word)).alias("_words"))
+    limit = F.max(tolerance if isinstance(tolerance, Column) else F.lit(float(tolerance))).alias("_tolerance")
+    tops = words.groupBy(*PAGE).agg(F.array_sort(F.collect_list(word)).alias("_words"), limit)
 
     def place(state: Column, w: Column) -> Column:
         anchors = state["anchors"]
-        near = F.filter(F.sequence(F.lit(1), F.size(anchors)), lambda i: F.abs(F.element_at(anchors, i) - w["top"]) <= tolerance)
+        near = F.filter(F.sequence(F.lit(1), F.size(anchors)), lambda i: F.abs(F.element_at(anchors, i) - w["top"]) <= F.col("_tolerance"))
         known = F.when(F.size(anchors) > 0, F.get(near, F.lit(0)))
         row = F.coalesce(known, F.size(anchors) + 1)
         grown = F.when(known.isNull(), F.array_append(anchors, w["top"])).otherwise(anchors)
@@ -78,10 +71,17 @@ def amount_column(x0: Column, x1: Column, bounds: list[tuple[Column, str]]) -> C
     return found.otherwise(bounds[-1][1])
 
 
-def token_role(profile: str, x0: Column, text: Column) -> Column:
-    """date, amount, description or other, by a layout's x limits."""
-    _, date_x, span, amount_x, _ = PROFILES[profile]
-    return F.when((x0 < date_x), "date").when((x0 > amount_x) & text.rlike("\\d"), "amount").when(x0.between(*span), "description").otherwise("other")
+def token_role(profile: str, x0: Column, text: Column, bounds: dict[str, Column] | None = None) -> Column:
+    """date, code, amount, description or other, by a layout's x limits.
+
+    The two account layouts have none of their own: they need ``bounds`` with the limits of their headers.
+    """
+    from sparkledger.operators.pages import token_flags
+
+    limits = {c: F.lit(None).cast("double") for c in ("code_x", "desc_x", "frais_x", "debit_x")} | (bounds or {})
+    flags = token_flags(x0, text, F.lit(profile), limits)
+    found = F.when(flags["is_date"], "date").when(flags["is_code"], "code").when(flags["is_amount"], "amount")
+    return found.when(flags["is_description"], "description").otherwise("other")
 
 
 def carry_sections(rows: DataFrame, enter: Column, leave: Column) -> DataFrame:
