@@ -2,34 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkledger.functions import exprs, rules
 from sparkledger.operators import checks, coverage, decisions, layout, matching, quality, registry, summaries, transfers
-from sparkledger.plans.adapters import VIEWS, view, with_views
+from sparkledger.plans.adapters import view, with_views
+from sparkledger.plans.register import ORACLES, QUERIES, register
 from sparkledger.streaming import incremental
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(sql: str | None, *views: str):
-    """Registers a query under its function's name: it gets its views as DataFrames, the SQL gets them in front."""
-
-    def put(build):
-        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(*[view(spark, sf_dir, v) if v in VIEWS else spark.read.parquet(f"{sf_dir}/{v}.parquet") for v in views])
-
-        QUERIES[build.__name__] = query
-        if sql is not None:
-            ORACLES[build.__name__] = with_views(sql, *[v for v in views if v in VIEWS])
-        return build
-
-    return put
-
-
 _CATEGORY = rules.sql_case("description", rules.BANK_RULES, "uncategorized")
 _LABEL = rules.sql_case("description", rules.BANK_RULES, "UNCATEGORIZED", 2)
 _MATCH1 = "a.src = b.src AND a.dst = b.dst AND abs(a.cents - b.cents) <= 1"
@@ -324,7 +304,7 @@ def owner_split_by_entity(ledger):
 
 
 def _cards(card: DataFrame) -> DataFrame:
-    rows = card.withColumn("_r", rules.classify_card(F.col("description"), F.col("cents") / 100))
+    rows = rules.classify_cards(card, F.col("cents") / 100)
     kept = rows.select(*card.columns, "_r.class", "_r.category", "_r.label", "_r.status", F.col("_r.business_amount").alias("_b"))
     return kept.withColumn("business_cents", F.when(F.col("_b").isNull(), None).when(F.col("_b") == 0, 0).otherwise(F.col("cents")).cast("long")).drop("_b")
 

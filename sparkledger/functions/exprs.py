@@ -136,6 +136,29 @@ def transaction_id(*columns: str) -> Column:
     return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
 
 
+def with_ids(df, columns: list[str], name: str = "txn_id", order: str | None = None):
+    """Adds an id: a hash of a row's own values and of how often they have come before, so true repeats differ.
+
+    A null and an empty text differ.  Repeats are numbered in order of ``order``, or arbitrarily; the ids of a
+    set of rows are the same either way.
+    """
+    from pyspark.sql import Window
+
+    told = [F.when(F.col(c).isNull(), F.lit("\u0000")).otherwise(F.concat(F.lit("="), F.col(c).cast("string"))) for c in columns]
+    rows = df.withColumn("_values", F.sha2(F.concat_ws("\u001f", *told), 256))
+    nth = F.row_number().over(Window.partitionBy("_values").orderBy(order or F.lit(0)))
+    return rows.withColumn(name, F.sha2(F.concat_ws("\u001f", "_values", nth.cast("string")), 256)).drop("_values")
+
+
+def entity_by_rules(path: Column, rules: list[tuple[str, str]]) -> Column:
+    """The entity of the first rule (pattern, entity) that the last three parts of a path fit; else null."""
+    parts, found = last_path_parts(path), None
+    for pattern, entity in rules:
+        hit = parts.rlike("(?iU)" + pattern)
+        found = F.when(hit, entity) if found is None else found.when(hit, entity)
+    return F.lit(None).cast("string") if found is None else found
+
+
 def similarity(a: Column, b: Column) -> Column:
     """One less the edit distance over the longer length; two empty texts are equal."""
     longest = F.greatest(F.length(a), F.length(b))

@@ -184,6 +184,10 @@ def first_match(text: Column, rules: Sequence[Rule], default: tuple[str, str] |
     return last if found is None else found.otherwise(last)
 
 
+#: Tasks that the rows of one text are dealt to.
+SALTS = 16
+
+
 def categorize(df: DataFrame, rules: Sequence[Rule] = BANK_RULES, text: str = "description") -> DataFrame:
     """Adds category and category_label.
 
@@ -192,7 +196,9 @@ def categorize(df: DataFrame, rules: Sequence[Rule] = BANK_RULES, text: str = "d
     """
     done = df.select(F.coalesce(text, F.lit("")).alias("_text")).distinct()
     done = done.withColumn("_hit", first_match(F.col("_text"), rules, ("uncategorized", "UNCATEGORIZED")))
-    joined = df.withColumn("_text", F.coalesce(text, F.lit(""))).join(done, "_text")
+    # Hot texts (blanks, "deposit") are dealt over several tasks: the few distinct texts repeat for each salt.
+    salted = done.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = df.withColumns({"_text": F.coalesce(text, F.lit("")), "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")}).join(salted, ["_text", "_salt"]).drop("_salt")
     return joined.withColumns({"category": F.col("_hit.category"), "category_label": F.col("_hit.label")}).drop("_text", "_hit")
 
 
@@ -227,6 +233,45 @@ def classify_card(text: Column, amount: Column, rules: dict[str, list[Rule]] = C
     return found.otherwise(result("VERIFY", "unknown", "NEEDS_REVIEW — no rule match", none, "NEEDS_REVIEW"))
 
 
+def classify_cards(cards: DataFrame, amount: Column, text: str = "description", rules: dict[str, list[Rule]] = CARD_RULES, threshold: float = SAQ_THRESHOLD) -> DataFrame:
+    """Adds ``_r``, the ladder's struct, to card rows.
+
+    Each distinct text is classified once, as for an amount below and one at the threshold, and joined back;
+    a business part is then the row's own amount.
+    """
+    key = F.coalesce(text, F.lit(""))
+    low = classify_card(F.col("_text"), F.lit(0.0), rules, threshold)
+    texts = cards.select(key.alias("_text")).distinct().withColumn("_low", low)
+    wine = F.col("_low.category") == "personal_alcohol"  # the one rule that looks at the amount
+    money = amount.cast("decimal(18,2)")
+    fields = {"class": "class", "category": "category", "label": "label", "business_amount": None, "status": "status"}
+    high = {"class": "BUSINESS", "category": "supplier_alcohol", "label": "SAQ (>=$300)", "status": "CONFIRMED"}
+    over = wine & (amount >= threshold)
+    whole = over | (F.col("_low.class") == "BUSINESS")
+    parts = [(F.when(whole, money).otherwise(F.col("_low.business_amount")) if f is None else F.when(over, high[f]).otherwise(F.col(f"_low.{f}"))).alias(name) for name, f in fields.items()]
+    return cards.withColumn("_text", key).join(texts, "_text").withColumn("_r", F.struct(*parts)).drop("_text", "_low")
+
+
+def rules_from_json(text: str | None) -> list[Rule]:
+    """Extra rules from JSON, a list of [pattern, category, label]; what is malformed gives none, and so does an entry of another shape."""
+    import json
+    import re
+
+    try:
+        found = json.loads(text or "[]")
+    except ValueError:
+        return []
+    kept = []
+    for entry in found if isinstance(found, list) else []:
+        if isinstance(entry, list) and len(entry) == 3 and all(isinstance(x, str) for x in entry):
+            try:
+                re.compile(entry[0])
+            except re.error:
+                continue
+            kept.append(tuple(entry))
+    return kept
+
+
 def with_extra(rules: dict[str, list[Rule]], extra: dict[str, list[Rule]]) -> dict[str, list[Rule]]:
     """Rule sets with a caller's own rules behind the shipped ones."""
     return {name: [*rules.get(name, []), *extra.get(name, [])] for name in {**rules, **extra}}

@@ -14,17 +14,29 @@ def running_balance(df: DataFrame, key: str, order: list[str], tolerance: float,
 
     After a row with a balance the sum starts anew from it, so one break is reported once.  With
     ``need_first`` an account whose first row has no balance is not checked; without, checks start at
-    its first balance.  One window by account, in order.
+    its first balance.  Rows are summed within each value of the first column of ``order`` (a day), and
+    only the days of an account follow each other in one window, so a hot account is spread over tasks.
     """
-    ordered = Window.partitionBy(key).orderBy(*order)
-    so_far, before = ordered.rowsBetween(Window.unboundedPreceding, 0), ordered.rowsBetween(Window.unboundedPreceding, -1)
-    out = df.withColumn("_sum", F.sum(_net()).over(so_far)).withColumn("_off", F.col("balance") - F.col("_sum"))
-    out = out.withColumn("expected", F.last("_off", ignorenulls=True).over(before) + F.col("_sum"))
-    if need_first:
-        out = out.withColumn("_first", F.first(F.col("balance").isNotNull()).over(so_far))
-        out = out.withColumn("expected", F.when(F.col("_first"), F.col("expected"))).drop("_first")
-    out = out.withColumn("diff", F.col("balance") - F.col("expected"))
-    return out.withColumn("mismatch", F.abs("diff") > tolerance).drop("_sum", "_off")
+    day = order[0]
+    within = Window.partitionBy(key, day).orderBy(*order)
+    so_far, before = within.rowsBetween(Window.unboundedPreceding, 0), within.rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_cum", F.sum(_net()).over(so_far)).withColumn("_rest", F.col("balance") - F.col("_cum"))
+    rows = rows.withColumn("_before", F.last("_rest", ignorenulls=True).over(before))
+    place = F.struct(*order)
+    days = rows.groupBy(key, day).agg(
+        F.sum(_net()).alias("_total"), F.max_by("_rest", F.when(F.col("_rest").isNotNull(), place)).alias("_last"), F.min_by(F.col("balance").isNotNull(), place).alias("_has")
+    )
+    over = Window.partitionBy(key).orderBy(day)
+    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_prefix", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+    days = days.withColumn("_anchor", F.last(F.col("_last") - F.col("_prefix"), ignorenulls=True).over(earlier))
+    days = days.withColumn("_first", F.first("_has").over(over.rowsBetween(Window.unboundedPreceding, 0)))
+    days = days.select(F.col(key).alias("_k"), F.col(day).alias("_day"), "_prefix", "_anchor", "_first")
+    out = rows.join(days, rows[key].eqNullSafe(days["_k"]) & rows[day].eqNullSafe(days["_day"]))
+    expected = F.coalesce(F.col("_before"), F.col("_anchor") + F.col("_prefix")) + F.col("_cum")
+    out = out.withColumn("expected", F.when(F.col("_first"), expected) if need_first else expected)
+    out = out.withColumn("diff", F.col("balance") - F.col("expected")).withColumn("mismatch", F.abs("diff") > tolerance)
+    return out.drop("_cum", "_rest", "_before", "_k", "_day", "_prefix", "_anchor", "_first")
 
 
 def balance_check(checked: DataFrame, key: str) -> DataFrame:
@@ -42,8 +54,15 @@ def mismatches(checked: DataFrame, key: str, order: list[str], most: int = 10) -
 
 def pairwise_balance(df: DataFrame, key: str, order: list[str], tolerance: float, most_percent: int = 5) -> DataFrame:
     """By account: neighbouring rows that both have a balance, how many do not follow, and whether they are few enough."""
-    previous = F.lag("balance").over(Window.partitionBy(key).orderBy(*order))
-    rows = df.withColumn("_diff", F.col("balance") - (previous + _net()))
+    # The row before is one of the same day, or else the last of the day before; only days share a window by account.
+    day = order[0]
+    inside = Window.partitionBy(key, day).orderBy(*order)
+    rows = df.withColumns({"_nth": F.row_number().over(inside), "_within": F.lag("balance").over(inside)})
+    days = rows.groupBy(key, day).agg(F.max_by("balance", F.struct(*order)).alias("_end"))
+    days = days.withColumn("_eve", F.lag("_end").over(Window.partitionBy(key).orderBy(day))).select(F.col(key).alias("_k"), F.col(day).alias("_day"), "_eve")
+    rows = rows.join(days, rows[key].eqNullSafe(days["_k"]) & rows[day].eqNullSafe(days["_day"])).drop("_k", "_day")
+    previous = F.when(F.col("_nth") == 1, F.col("_eve")).otherwise(F.col("_within"))
+    rows = rows.withColumn("_diff", F.col("balance") - (previous + _net()))
     out = rows.groupBy(key).agg(F.count("_diff").alias("n_pairs"), F.count(F.when(F.abs("_diff") > tolerance, 1)).alias("n_bad"))
     return out.withColumn("passed", F.when(F.col("n_pairs") > 0, F.col("n_bad") * 100 < most_percent * F.col("n_pairs")))
 
@@ -67,3 +86,12 @@ def excluded_types(df: DataFrame, key: str, record_type: str, kept: str = "EOP")
     """By file: the other record types that were left out."""
     other = F.when(F.trim(record_type) != kept, F.trim(record_type))
     return df.groupBy(key).agg(F.array_sort(F.collect_set(other)).alias("excluded")).where(F.size("excluded") > 0)
+
+
+def examples(df: DataFrame, key: str, problem: Column, example: Column, most: int = 5) -> DataFrame:
+    """By file: how many rows have the problem, and its first examples, ``most`` of them: a report for people."""
+    rows = df.where(problem).withColumn("_e", example.cast("string"))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy("_e"))
+    first = rows.select(key, "_e").distinct().withColumn("_n", nth).where(F.col("_n") <= most)
+    first = first.groupBy(key).agg(F.array_sort(F.collect_list("_e")).alias("examples"))
+    return rows.groupBy(key).agg(F.count("*").alias("n")).join(first, key)

@@ -130,3 +130,8 @@ def merge_amounts(words: DataFrame, style: str = "plain", join: bool = False) ->
         return words.groupBy(*PAGE, "row", "col").agg(F.sum(parse_amount(F.col("text"), style)).alias("amount"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda w: w["text"]), "")
     return words.groupBy(*PAGE, "row", "col").agg(text.alias("_t")).select(*PAGE, "row", "col", parse_amount(F.col("_t"), style).alias("amount"))
+
+
+def known_documents(pages: DataFrame) -> DataFrame:
+    """Of first-page texts (doc_id, text) the documents of a known layout, with it."""
+    return detect_pdf_format(pages).where("format <> 'unknown'")

@@ -179,11 +179,32 @@ def unique_amounts(stmt: DataFrame, book: DataFrame) -> DataFrame:
 def range_overlap(stmt: DataFrame, book: DataFrame) -> DataFrame:
     """Tabs and cards whose dates overlap, with the days they share. Both sides have a row for each card or tab only."""
     span = lambda df, key, a, b: df.groupBy(F.col(key).alias(key)).agg(F.min("date").alias(a), F.max("date").alias(b))
-    left, right = span(book, "tab", "b1", "b2"), span(stmt, "card", "s1", "s2")
-    both = left.join(right, (F.col("b1") <= F.col("s2")) & (F.col("s1") <= F.col("b2")))
+    # Both meet in the months they cover; a pair counts in the first month that both have.
+    months = lambda a, b: F.explode(F.sequence(F.trunc(a, "month"), F.trunc(b, "month"), F.expr("interval 1 month"))).alias("month")
+    left = span(book, "tab", "b1", "b2").select("*", months("b1", "b2"))
+    right = span(stmt, "card", "s1", "s2").select("*", months("s1", "s2"))
+    both = left.join(right, "month").where((F.col("b1") <= F.col("s2")) & (F.col("s1") <= F.col("b2")) & (F.col("month") == F.greatest(F.trunc("b1", "month"), F.trunc("s1", "month"))))
     return both.select("tab", "card", (F.datediff(F.least("b2", "s2"), F.greatest("b1", "s1")) + 1).alias("days"))
 
 
 def description_mismatch(pairs: DataFrame, least: float = 0.6) -> DataFrame:
     """Matched pairs (left_text, right_text) whose descriptions are less than ``least`` alike."""
     return pairs.where(exprs.similarity(F.lower("left_text"), F.lower("right_text")) < least)
+
+
+def reverse_split(stmt: DataFrame, book: DataFrame, key: tuple[str, str], days: int = 3, cents: int = 5) -> DataFrame:
+    """One book entry as the sum of two or three statement rows of its key within ``days``: left_id is the entry's."""
+    return split_match(book, stmt, (key[1], key[0]), days, cents)
+
+
+def with_confidence(prints: DataFrame) -> DataFrame:
+    """Fingerprints with the share of the sample that matched."""
+    return prints.withColumn("confidence", F.round(F.try_divide(F.col("n_matched"), F.col("n_sample")), 6))
+
+
+def total_differences(stmt: DataFrame, book: DataFrame) -> DataFrame:
+    """Sums of both sides over all, by card and by month, with their difference: what a grouping leaves out is ALL."""
+    side = lambda df, key, name: df.select(F.col(key).alias("card"), exprs.month_of(F.col("date")).alias("month"), *[(F.col("cents") if n == name else F.lit(0)).cast("long").alias(n) for n in ("stmt_cents", "book_cents")])
+    rows = side(stmt, "card", "stmt_cents").unionByName(side(book, "tab", "book_cents"))
+    out = rows.groupingSets([[], [F.col("card")], [F.col("month")]], "card", "month").agg(F.sum("stmt_cents").alias("stmt_cents"), F.sum("book_cents").alias("book_cents"))
+    return out.select(F.coalesce("card", F.lit("ALL")).alias("card"), F.coalesce("month", F.lit("ALL")).alias("month"), "stmt_cents", "book_cents", (F.col("stmt_cents") - F.col("book_cents")).alias("diff"))

@@ -138,3 +138,21 @@ def wrong_month(df: DataFrame) -> DataFrame:
     """Rows whose month is not the one their file is named for."""
     named = F.nullif(F.regexp_extract("file_name", "(\\d{4}-\\d{2})", 1), F.lit(""))
     return df.where(named.isNotNull() & (named != exprs.month_of(F.col("date"))))
+
+
+def column_violations(df: DataFrame, deliverable: str, required: list[str]) -> DataFrame:
+    """A violation for each required column that a deliverable lacks."""
+    lacking = missing_columns(df, required)
+    rows = df.sparkSession.createDataFrame([(c,) for c in lacking], "column string")
+    return rows.select(F.lit(deliverable).alias("deliverable"), F.lit("").alias("row_id"), F.lit("missing_column").alias("rule"), F.lit("error").alias("severity"), F.col("column").alias("detail"))
+
+
+#: The part of a briefing that a row's status puts it in.
+SECTIONS = {"CONFIRMED": "confirmed", "INFERRED": "inferred", "NEEDS_REVIEW": "to review", "BLOCKED": "blocked"}
+
+
+def briefing_sections(df: DataFrame) -> DataFrame:
+    """Rows with the section their status puts them in; a status of no section is left out."""
+    status = F.upper(F.trim("confidence_status"))
+    section = F.create_map(*[F.lit(x) for item in SECTIONS.items() for x in item])[status]
+    return df.withColumn("section", section).where("section is not null")

@@ -15,6 +15,20 @@ DOMAINS = {
     "creditor": ["creditor", "supplier-invoice", "invoice"],
     "intercompany": ["intercompany", "interco"],
 }
+#: Types of documents by words in a document's path, in their order.
+DOCUMENT_TYPES = {
+    "etat_compte_RP": ["rp_etat", "rp-etat", "etat_compte_rp"],
+    "etat_compte_RS": ["rs_etat", "rs-etat", "etat_compte_rs"],
+    "etat_compte_TVQ": ["tvq_etat", "tvq-etat"],
+    "etat_compte_GST": ["gst_etat", "gst-etat", "hst_etat"],
+    "cnesst_cotisation": ["cnesst"],
+    "t2_assessment": ["t2_assessment", "t2-assessment"],
+    "co17_assessment": ["co17_assessment", "co-17"],
+    "bank_statement_pdf": ["bank-statement", "bank_statement"],
+    "cc_statement_pdf": ["cc-statement", "cc_statement", "visa", "mastercard", "amex"],
+    "xlsx_reconciliation": ["reconciliation"],
+    "supplier_invoice_pdf": ["invoice", "facture"],
+}
 #: Kinds of documents that are registered, and folders that are not.
 EXTENSIONS = ["pdf", "csv", "xlsx", "xlsm", "tsv"]
 EXCLUDED = ["output/", "__pycache__", "/templates/", "/legacy/"]
@@ -68,5 +82,5 @@ def scan_documents(files: DataFrame, root: str) -> DataFrame:
     kept = files.withColumn("relative", relative).where(F.lower(name).rlike("\\.(" + "|".join(EXTENSIONS) + ")$") & ~skipped)
     return kept.select(
         F.col("relative").alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"), exprs.keyword_label(F.col("relative"), DOMAINS, "other").alias("domain"),
-        exprs.entity_from_path(F.col("relative")).alias("entity"), exprs.date_on_document(name).alias("date_on_document"),
+        exprs.keyword_label(F.col("relative"), DOCUMENT_TYPES, "").alias("document_type"), exprs.entity_from_path(F.col("relative")).alias("entity"), exprs.date_on_document(name).alias("date_on_document"),
     )

@@ -75,8 +75,8 @@ def class_summary(cards: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.sum("cents").alias("cents"), F.coalesce(F.sum("business_cents"), F.lit(0)).alias("business"),
         F.coalesce(F.sum(F.when(F.col("business_cents").isNull(), F.col("cents"))), F.lit(0)).alias("pending"),
     )
-    whole = out.agg(F.sum("cents").alias("_whole"))  # one row
-    return out.crossJoin(F.broadcast(whole)).withColumn("percent", F.round(F.try_divide(100.0 * F.col("cents"), F.col("_whole")), 4)).drop("_whole")
+    whole = F.sum("cents").over(Window.partitionBy(F.lit(0)))  # over a row for each class
+    return out.withColumn("percent", F.round(F.try_divide(100.0 * F.col("cents"), whole), 4))
 
 
 def by_card(cards: DataFrame) -> DataFrame:
@@ -135,3 +135,32 @@ def override_entity(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     known = accounts.select("account", F.col("entity").alias("_known"))
     joined = rows.join(known, "account", "left")
     return joined.withColumns({"entity": F.coalesce("_known", "hint"), "mismatch": F.coalesce(F.col("_known") != F.col("hint"), F.lit(False))}).drop("_known")
+
+
+def category_report(ledger: DataFrame) -> DataFrame:
+    """Each entity's categories by money spent, with their place."""
+    out = by_category(ledger)
+    place = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("debit"), "category"))
+    return out.withColumn("place", place).orderBy("entity", "place")
+
+
+def recipient_report(transfers: DataFrame, most: int | None = None) -> DataFrame:
+    """Recipients by money moved, all or the first ``most``."""
+    out = recipients(transfers).orderBy(F.desc("cents"), "counterparty")
+    return out.limit(most) if most else out
+
+
+def largest(legs: DataFrame, most: int = 30) -> DataFrame:
+    """The report of the ``most`` largest legs (id, date, cents)."""
+    return legs.orderBy(F.desc("cents"), "date", "id").limit(most)
+
+
+def attach_reports(summary: DataFrame, files: DataFrame) -> DataFrame:
+    """A summary by entity with the warnings and failed files of the file reports (entity_hint, file_name, warnings, ok) that are named for it.
+
+    What is attached is the number of each and their sorted names, a name once.
+    """
+    said = files.groupBy(F.col("entity_hint").alias("entity")).agg(
+        F.count("*").alias("n_reports"), F.coalesce(F.sum(F.size("warnings")), F.lit(0)).alias("n_warnings"), F.array_sort(F.collect_set(F.when(~F.col("ok"), F.col("file_name")))).alias("failed")
+    )
+    return summary.join(said, "entity", "left").withColumns({"n_reports": F.coalesce("n_reports", F.lit(0)), "n_warnings": F.coalesce("n_warnings", F.lit(0)), "failed": F.coalesce("failed", F.array().cast("array<string>"))})

@@ -30,21 +30,102 @@ def resolve_account(account: Column, known: Column) -> Column:
 
 
 def detect(df: DataFrame, known: dict[str, str] | None = None) -> DataFrame:
-    """Rows that are transfers, with transfer_type, direction and counterparty; the first pattern that fits decides."""
-    known_map = F.create_map(*[F.lit(x) for item in known.items() for x in item]) if known else None
-    text, found = F.coalesce("description", F.lit("")), None
-    for pattern, sign, kind, name in PATTERNS:
-        fits = text.rlike(FLAGS + pattern) & exprs.has_amount(F.col(sign))
+    """Rows that are transfers, with transfer_type, direction and counterparty; the first pattern that fits decides.
+
+    A pattern needs an amount on its side, so each distinct description is tested once for either side and
+    joined back; texts that fit no pattern drop their rows before the join.
+    """
+    text = F.coalesce("description", F.lit(""))
+    hits = _hits(df.select(text.alias("_text")).distinct(), known).select("_text", F.inline("_found")).where("transfer_type is not null")
+    debit, credit = exprs.has_amount(F.col("debit")), exprs.has_amount(F.col("credit"))
+    # 1 a debit only, 2 a credit only, 3 both.
+    sides = debit.cast("int") + 2 * credit.cast("int")
+    rows = df.withColumns({"_text": text, "_sides": sides}).where(debit | credit).join(hits, ["_text", "_sides"])
+    return rows.withColumn("amount", F.when(F.col("direction") == "out", F.col("debit")).otherwise(F.col("credit"))).drop("_text", "_sides")
+
+
+def _hits(texts: DataFrame, known: dict[str, str] | None) -> DataFrame:
+    """Of distinct texts (_text): what they are for rows with a debit, a credit, or both."""
+    text, known_map = F.col("_text"), F.create_map(*[F.lit(x) for item in known.items() for x in item]) if known else None
+    tested = texts.select("_text", *[text.rlike(FLAGS + pattern).alias(f"_p{k}") for k, (pattern, *_) in enumerate(PATTERNS)])
+    found = {1: None, 2: None, 3: None}
+    for k, (pattern, sign, kind, name) in enumerate(PATTERNS):
         if kind == "owner":
             other = F.lit(OWNER)
         else:
             got = F.trim(F.regexp_extract(text, FLAGS + pattern, 1))
             account = exprs.normalize_account(got)
             other = (resolve_account(account, known_map) if known_map is not None else account) if kind == "account" else F.concat(F.lit(kind), got)
-        amount = F.col(sign)
-        value = F.struct(F.lit(name).alias("transfer_type"), F.lit("out" if sign == "debit" else "in").alias("direction"), other.alias("counterparty"), amount.alias("amount"))
-        found = F.when(fits, value) if found is None else found.when(fits, value)
-    return df.withColumn("_t", found).where(F.col("_t").isNotNull()).select("*", "_t.*").drop("_t")
+        value = lambda side, name=name, sign=sign, other=other: F.struct(F.lit(side).alias("_sides"), F.lit(name).alias("transfer_type"), F.lit("out" if sign == "debit" else "in").alias("direction"), other.alias("counterparty"))
+        for side in (1, 3) if sign == "debit" else (2, 3):
+            found[side] = F.when(F.col(f"_p{k}"), value(side)) if found[side] is None else found[side].when(F.col(f"_p{k}"), value(side))
+    return tested.withColumn("_found", F.array_compact(F.array(*found.values())))
+
+
+def legs(detected: DataFrame, known: dict[str, str] | None = None, file: str = "file_name") -> DataFrame:
+    """Detected rows (with their own entity and account) as legs: both entities and accounts, amount, type and text.
+
+    The other side of a transfer between accounts is the account's entity, if ``known`` has it.
+    """
+    out, between = F.col("direction") == "out", F.col("transfer_type") == "intercompany"
+    entities = F.create_map(*[F.lit(x) for item in known.items() for x in item]) if known else None
+    other = F.when(between, F.coalesce(F.try_element_at(entities, F.col("counterparty")), F.col("counterparty")) if entities is not None else F.col("counterparty")).otherwise(F.col("counterparty"))
+    other_account = F.when(between, F.col("counterparty"))
+    side = lambda mine, a, b: F.when(mine, a).otherwise(b)
+    return detected.select(
+        "date", "amount", side(out, F.col("entity"), other).alias("source_entity"), side(out, F.col("account"), other_account).alias("source_account"),
+        side(out, other, F.col("entity")).alias("destination_entity"), side(out, other_account, F.col("account")).alias("destination_account"),
+        "transfer_type", "direction", F.lit(False).alias("matched"), "description", F.col(file).alias("file"),
+    )
+
+
+def advances(ledger: DataFrame, pattern: str, to: str, transfer_type: str, file: str = "file_name") -> DataFrame:
+    """Payments to an owner's holding, looked for in all rows: legs whose amount is the debit, 0 where there is only a credit."""
+    rows = ledger.where(F.coalesce("description", F.lit("")).rlike(FLAGS + pattern))
+    return rows.select(
+        "date", F.coalesce("debit", F.lit(0)).alias("amount"), F.col("entity").alias("source_entity"), F.col("account").alias("source_account"), F.lit(to).alias("destination_entity"),
+        F.lit(None).cast("string").alias("destination_account"), F.lit(transfer_type).alias("transfer_type"), F.lit("out").alias("direction"), F.lit(False).alias("matched"), "description", F.col(file).alias("file"),
+    )
+
+
+def owner_legs(legs: DataFrame, holding: str) -> tuple[DataFrame, DataFrame]:
+    """Of one owner: repayments, and advances to the holding."""
+    return legs.where("transfer_type = 'owner_a_reimbursement'"), legs.where((F.col("transfer_type") == "intercompany") & (F.col("destination_entity") == holding))
+
+
+def payments_to(legs: DataFrame, pattern: str) -> DataFrame:
+    """Outgoing payments by name whose receiver, or else text, fits the pattern."""
+    return legs.where((F.col("transfer_type") == "interac_out") & F.coalesce(F.nullif("destination_entity", F.lit("")), "description", F.lit("")).rlike(FLAGS + pattern))
+
+
+def business_only(legs: DataFrame, entities: DataFrame) -> DataFrame:
+    """Legs between two different business entities (entity)."""
+    named = lambda c: entities.select(F.col("entity").alias(c)).distinct()
+    between = legs.where("source_entity <> destination_entity")
+    return between.join(named("source_entity"), "source_entity", "left_semi").join(named("destination_entity"), "destination_entity", "left_semi")
+
+
+def axis(legs: DataFrame) -> DataFrame:
+    """Every entity that is a source or a destination: entity."""
+    return legs.select(F.col("source_entity").alias("entity")).union(legs.select("destination_entity")).distinct().where("entity is not null")
+
+
+def monthly_flows(legs: DataFrame, named: dict[str, str] | None = None) -> DataFrame:
+    """month, src, dst and amount, each flow once: outgoing legs between entities, an owner's repayments from
+    either side, and payments to names that stand for an entity (``named``: part of the name to entity).
+
+    Flows of an entity to itself are left out, but for the named ones.
+    """
+    kind, to = F.col("transfer_type"), None
+    for part, entity in (named or {}).items():
+        hit = F.contains(F.lower("destination_entity"), F.lit(part.lower()))
+        to = F.when(hit, entity) if to is None else to.when(hit, entity)
+    known = to if to is not None else F.lit(None).cast("string")
+    apart = F.col("source_entity") != F.col("destination_entity")
+    dst = F.when((kind == "intercompany") & (F.col("direction") == "out") & apart, F.col("destination_entity"))
+    dst = dst.when((kind == "owner_a_reimbursement") & apart, F.col("destination_entity")).when(kind == "interac_out", known)
+    rows = legs.withColumn("dst", dst).where("dst is not null")
+    return rows.groupBy(F.coalesce(exprs.month_of(F.col("date")), F.lit("unknown")).alias("month"), F.col("source_entity").alias("src"), "dst").agg(F.sum("amount").alias("amount"))
 
 
 def match_exact(outs: DataFrame, ins: DataFrame) -> DataFrame:
@@ -55,10 +136,15 @@ def match_exact(outs: DataFrame, ins: DataFrame) -> DataFrame:
 
 
 def transfer_matrix(legs: DataFrame, axis: list) -> DataFrame:
-    """Source by destination with a row total; ``axis`` lists the destinations, so no job is needed to find them."""
-    wide = legs.groupBy("src").pivot("dst", axis).agg(F.sum("cents"))
-    total = legs.groupBy("src").agg(F.sum("cents").alias("total"))
-    return wide.join(total, "src")
+    """Source by destination with a row total; ``axis`` lists the destinations, so no job is needed to find them.
+
+    What goes to a destination beyond the axis has a column of its own for the time of the sum.
+    """
+    dst = F.when(F.col("dst").isin(axis), F.col("dst").cast("string")).otherwise("_else")
+    names = [str(a) for a in axis]
+    wide = legs.withColumn("_dst", dst).groupBy("src").pivot("_dst", [*names, "_else"]).agg(F.sum("cents"))
+    total = sum((F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in [*names, "_else"]), F.lit(0).cast("long"))
+    return wide.withColumn("total", total).drop("_else")
 
 
 def monthly_matrix(legs: DataFrame) -> DataFrame:

@@ -35,8 +35,9 @@ def decoded(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
 
 def detect_format(files: DataFrame) -> DataFrame:
     """path, format and confidence from the text alone: card header, bank header, else a score over the first ten lines."""
-    lines = F.split(F.trim("text"), "\\r?\\n")
+    lines = F.split(F.regexp_replace("text", "^\\s+|\\s+$", ""), "\\r?\\n")
     first = F.trim(F.get(lines, F.lit(0)))
+    lines = F.filter(lines, lambda line: F.trim(line) != "")
 
     def score(line: Column) -> Column:
         cells = F.transform(F.split(line, ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
@@ -99,10 +100,40 @@ def amex(files: DataFrame) -> DataFrame:
     return kept.select(*[c for c in out.columns if c != "_a"], F.when(F.col("_a") > 0, F.col("_a")).alias("debit"), F.when(F.col("_a") < 0, -F.col("_a")).alias("credit"), zero.alias("balance"))
 
 
+def file_warnings(texts: DataFrame, formats: DataFrame) -> DataFrame:
+    """path and warning, a row for each: of texts (path, text) and their formats (path, format, confidence).
+
+    Bank rows with too few columns, header columns that are missing, formats that are unknown or not sure, and
+    files named for another bank.
+    """
+    both = texts.select("path", "text").join(formats.select("path", "format", "confidence"), "path")
+    lines = F.filter(F.split("text", "\\r?\\n"), lambda line: F.trim(line) != "")
+    short = F.size(F.filter(lines, lambda line: F.size(F.split(line, ",")) < len(DESJARDINS)))
+    cells = F.transform(F.split(F.coalesce(F.get(lines, F.lit(0)), F.lit("")), ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    lacking = F.array_except(F.array(*[F.lit(c) for c in RBC]), cells)
+    of = lambda format: F.col("format") == format
+    found = F.array_compact(
+        F.array(
+            F.when(of("desjardins_csv") & (short > 0), F.concat(short.cast("string"), F.lit(" rows with too few columns"))),
+            F.when(of("rbc_csv") & (F.size(lacking) > 0), F.concat(F.lit("missing columns: "), F.array_join(lacking, ", "))),
+            F.when(of("unknown"), F.lit("unknown format")), F.when(~of("unknown") & (F.col("confidence") != "high"), F.concat(F.lit("format of "), F.col("confidence"), F.lit(" confidence"))),
+            exprs.cross_check(F.element_at(F.split("path", "/"), -1), F.col("format")),
+        )
+    )
+    return both.select("path", F.explode(found).alias("warning"))
+
+
+def with_missing(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """The file reports, and one of format ``missing`` for each expected path (path) that has none."""
+    absent = expected.select("path").distinct().join(files.select("path"), "path", "left_anti")
+    return files.unionByName(absent.withColumns({"format": F.lit("missing"), "confidence": F.lit("low"), "warning": F.lit("no such file")}), allowMissingColumns=True)
+
+
 def read_statements(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """All statement files below ``root``: files (path, format, confidence, is_utf8, warning) and transactions.
 
-    Files that no format fits stay in the first with format unknown and have no transactions.
+    Files that no format fits stay in the first with format unknown and have no transactions.  All warnings
+    are those of ``file_warnings``; files that should be there are added by ``with_missing``.
     """
     texts = decoded(spark, root)
     files = texts.select("path", "is_utf8").join(detect_format(texts), "path")
@@ -121,9 +152,10 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 
 def write_ledger(ledger: DataFrame, path: str) -> None:
     """The ledger by entity, each file in order of date."""
-    ledger.repartition("entity").sortWithinPartitions("entity", "date").write.partitionBy("entity").parquet(path)
+    # By ranges, so that a hot entity's dates lie in several tasks.
+    ledger.repartitionByRange("entity", "date").sortWithinPartitions("entity", "date").write.partitionBy("entity").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, *order: str) -> None:
     """A report as CSV in the given order."""
-    df.orderBy(*order).write.option("header", True).csv(path)
+    df.orderBy(*order).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from sparkledger import catalog
+from sparkledger import catalog_sheets as catalog
 
 SF = "/root/testdata/sf0.001"
 
