@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkledger.plans.shared import materialize
+
 Rule = tuple[str, str, str]
 FLAGS = "(?iU)"
 
@@ -184,22 +186,31 @@ def first_match(text: Column, rules: Sequence[Rule], default: tuple[str, str] |
     return last if found is None else found.otherwise(last)
 
 
-#: Tasks that the rows of one text are dealt to.
-SALTS = 16
+#: Distinct texts of so many bytes are sent to all tasks; with more, the rows of a text are dealt to so many tasks.
+TEXT_BYTES, SALTS = 8 << 20, 16
 
 
-def categorize(df: DataFrame, rules: Sequence[Rule] = BANK_RULES, text: str = "description") -> DataFrame:
-    """Adds category and category_label.
+def by_text(df: DataFrame, text: str, answer: Column) -> DataFrame:
+    """Adds ``_hit``, an answer that depends on a text (``_text``) alone, computed once for each distinct one.
 
-    Descriptions repeat, so each distinct one is classified once and joined back: a chain of more than
-    eighty patterns is then paid per text, not per row.
+    The distinct texts are written and measured: a small table is broadcast, so rows stay where they are; a
+    large one is joined, with the rows of hot texts ("deposit", blanks) dealt to several tasks.
     """
-    done = df.select(F.coalesce(text, F.lit("")).alias("_text")).distinct()
-    done = done.withColumn("_hit", first_match(F.col("_text"), rules, ("uncategorized", "UNCATEGORIZED")))
-    # Hot texts (blanks, "deposit") are dealt over several tasks: the few distinct texts repeat for each salt.
-    salted = done.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = df.withColumns({"_text": F.coalesce(text, F.lit("")), "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")}).join(salted, ["_text", "_salt"]).drop("_salt")
-    return joined.withColumns({"category": F.col("_hit.category"), "category_label": F.col("_hit.label")}).drop("_text", "_hit")
+    key = F.coalesce(text, F.lit(""))
+    texts = materialize(df.select(key.alias("_text")).distinct(), "texts")
+    size = texts.agg(F.sum(F.octet_length("_text") + 64).alias("n")).first()["n"] or 0
+    answers = texts.withColumn("_hit", answer)
+    if size <= TEXT_BYTES:
+        return df.withColumn("_text", key).join(F.broadcast(answers), "_text").drop("_text")
+    answers = answers.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = df.withColumns({"_text": key, "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")})
+    return salted.join(answers, ["_text", "_salt"]).drop("_text", "_salt")
+
+
+def categorize(df: DataFrame, rules: Sequence[Rule] = BANK_RULES, text: str = "description") -> DataFrame:
+    """Adds category and category_label; each distinct description is classified once."""
+    joined = by_text(df, text, first_match(F.col("_text"), rules, ("uncategorized", "UNCATEGORIZED")))
+    return joined.withColumns({"category": F.col("_hit.category"), "category_label": F.col("_hit.label")}).drop("_hit")
 
 
 def classify_card(text: Column, amount: Column, rules: dict[str, list[Rule]] = CARD_RULES, threshold: float = SAQ_THRESHOLD) -> Column:
@@ -239,17 +250,14 @@ def classify_cards(cards: DataFrame, amount: Column, text: str = "description",
     Each distinct text is classified once, as for an amount below and one at the threshold, and joined back;
     a business part is then the row's own amount.
     """
-    key = F.coalesce(text, F.lit(""))
-    low = classify_card(F.col("_text"), F.lit(0.0), rules, threshold)
-    texts = cards.select(key.alias("_text")).distinct().withColumn("_low", low)
-    wine = F.col("_low.category") == "personal_alcohol"  # the one rule that looks at the amount
+    wine = F.col("_hit.category") == "personal_alcohol"  # the one rule that looks at the amount
     money = amount.cast("decimal(18,2)")
     fields = {"class": "class", "category": "category", "label": "label", "business_amount": None, "status": "status"}
     high = {"class": "BUSINESS", "category": "supplier_alcohol", "label": "SAQ (>=$300)", "status": "CONFIRMED"}
     over = wine & (amount >= threshold)
-    whole = over | (F.col("_low.class") == "BUSINESS")
-    parts = [(F.when(whole, money).otherwise(F.col("_low.business_amount")) if f is None else F.when(over, high[f]).otherwise(F.col(f"_low.{f}"))).alias(name) for name, f in fields.items()]
-    return cards.withColumn("_text", key).join(texts, "_text").withColumn("_r", F.struct(*parts)).drop("_text", "_low")
+    whole = over | (F.col("_hit.class") == "BUSINESS")
+    parts = [(F.when(whole, money).otherwise(F.col("_hit.business_amount")) if f is None else F.when(over, high[f]).otherwise(F.col(f"_hit.{f}"))).alias(name) for name, f in fields.items()]
+    return by_text(cards, text, classify_card(F.col("_text"), F.lit(0.0), rules, threshold)).withColumn("_r", F.struct(*parts)).drop("_hit")
 
 
 def rules_from_json(text: str | None) -> list[Rule]:

@@ -18,6 +18,8 @@ PATTERNS = [
     (r"Virement envoy[ée]\s+(.*)", "debit", "Transfer: ", "interac_out"),
     (r"Virement re[çc]u\s+(.*)", "credit", "Transfer: ", "interac_in"),
 ]
+#: What every pattern begins with.
+FIRST_WORD = "Virement"
 OWNER = "Owner A (personal)"
 
 
@@ -32,34 +34,24 @@ def resolve_account(account: Column, known: Column) -> Column:
 def detect(df: DataFrame, known: dict[str, str] | None = None) -> DataFrame:
     """Rows that are transfers, with transfer_type, direction and counterparty; the first pattern that fits decides.
 
-    A pattern needs an amount on its side, so each distinct description is tested once for either side and
-    joined back; texts that fit no pattern drop their rows before the join.
+    All patterns share their first word, so one test sets most rows aside; rows stay where they are.
     """
-    text = F.coalesce("description", F.lit(""))
-    hits = _hits(df.select(text.alias("_text")).distinct(), known).select("_text", F.inline("_found")).where("transfer_type is not null")
-    debit, credit = exprs.has_amount(F.col("debit")), exprs.has_amount(F.col("credit"))
-    # 1 a debit only, 2 a credit only, 3 both.
-    sides = debit.cast("int") + 2 * credit.cast("int")
-    rows = df.withColumns({"_text": text, "_sides": sides}).where(debit | credit).join(hits, ["_text", "_sides"])
-    return rows.withColumn("amount", F.when(F.col("direction") == "out", F.col("debit")).otherwise(F.col("credit"))).drop("_text", "_sides")
-
-
-def _hits(texts: DataFrame, known: dict[str, str] | None) -> DataFrame:
-    """Of distinct texts (_text): what they are for rows with a debit, a credit, or both."""
-    text, known_map = F.col("_text"), F.create_map(*[F.lit(x) for item in known.items() for x in item]) if known else None
-    tested = texts.select("_text", *[text.rlike(FLAGS + pattern).alias(f"_p{k}") for k, (pattern, *_) in enumerate(PATTERNS)])
-    found = {1: None, 2: None, 3: None}
-    for k, (pattern, sign, kind, name) in enumerate(PATTERNS):
+    known_map = F.create_map(*[F.lit(x) for item in known.items() for x in item]) if known else None
+    text, found = F.coalesce("description", F.lit("")), None
+    for pattern, sign, kind, name in PATTERNS:
         if kind == "owner":
             other = F.lit(OWNER)
         else:
             got = F.trim(F.regexp_extract(text, FLAGS + pattern, 1))
             account = exprs.normalize_account(got)
             other = (resolve_account(account, known_map) if known_map is not None else account) if kind == "account" else F.concat(F.lit(kind), got)
-        value = lambda side, name=name, sign=sign, other=other: F.struct(F.lit(side).alias("_sides"), F.lit(name).alias("transfer_type"), F.lit("out" if sign == "debit" else "in").alias("direction"), other.alias("counterparty"))
-        for side in (1, 3) if sign == "debit" else (2, 3):
-            found[side] = F.when(F.col(f"_p{k}"), value(side)) if found[side] is None else found[side].when(F.col(f"_p{k}"), value(side))
-    return tested.withColumn("_found", F.array_compact(F.array(*found.values())))
+        value = F.struct(F.lit(name).alias("transfer_type"), F.lit("out" if sign == "debit" else "in").alias("direction"), other.alias("counterparty"), F.col(sign).alias("amount"))
+        fits = exprs.has_amount(F.col(sign)) & text.rlike(FLAGS + pattern)
+        found = F.when(fits, value) if found is None else found.when(fits, value)
+    moved = exprs.has_amount(F.col("debit")) | exprs.has_amount(F.col("credit"))
+    maybe = df.where(moved & text.rlike(FLAGS + FIRST_WORD))
+    # Of at most one struct a row: the ladder is worked out once, however often its fields are used.
+    return maybe.select("*", F.inline(F.array_compact(F.array(found))))
 
 
 def legs(detected: DataFrame, known: dict[str, str] | None = None, file: str = "file_name") -> DataFrame:
