@@ -24,7 +24,7 @@ from sparkledger.llm import common, vectors as V
 #: Bits of a code for each component, and at least; bits of a query's component; standard errors; vectors ranked before any bound.
 BITS_EACH, LEAST_BITS, PLANES, DEVIATIONS, FIRST = 2, 128, 4, 3.5, 64
 #: Bytes of original vectors in a part, and vectors that a query meets at once.
-PART_BYTES, BLOCK = 16 << 20, 8192
+PART_BYTES, BLOCK = 4 << 20, 8192
 #: One part in so many comes first.
 PILOT = 8
 

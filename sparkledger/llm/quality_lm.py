@@ -4,8 +4,9 @@ Bytes are folded to ``SYMBOLS`` symbols, so a language has at most ``SYMBOLS **
 large the corpus is.  Counts cover all trusted text; discounts, context totals and interpolated
 probabilities come from joins of the count tables, which Spark shards by language and context.  A
 language's finished table is dense and of fixed size (``TABLE_BYTES``).  Tables are written to the shared
-folder, and the tasks that score texts read those of a fixed number of languages at a time.  A text's perplexity is held against quantiles of the
-perplexities of all trusted texts of its language.
+folder, and the tasks that score texts read those of a fixed number of languages at a time.  A text's
+perplexity is held against quantiles of its language's trusted texts, each scored by a model of the half of
+them that it is not in.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ BROADCAST_BYTES = 32 << 20
 #: Bytes of text a task counts or scores at once.
 SLICE = 2 << 20
 _BOUNDARY = 30
+#: How much further out than the sample's quantiles the limits are, over the root of its size.
+UNSURE = 3.0
 
 
 def _symbols() -> np.ndarray:
@@ -218,28 +221,48 @@ def _with_trusted(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, "_id", "left_semi")
 
 
-def classify(docs: DataFrame, labels: DataFrame, low: float = 0.002, high: float = 0.995, slack: float = 1.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep_cols: tuple[str, ...] = ()) -> DataFrame:
+#: Marks the tables of the two halves of a language's trusted texts; no language name holds it.
+_HALF = "\x00"
+
+
+def classify(docs: DataFrame, labels: DataFrame, low: float = 0.002, high: float = 0.995, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep_cols: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: its id, ``keep_cols``, language, perplexity, thresholds (low_limit, high_limit) and accepted.
 
-    Perplexity is two to the bits per symbol.  A text is accepted if its perplexity lies between the
-    quantiles ``low`` and ``high`` of all trusted texts of its language, each widened by the factor
-    ``slack``: trusted texts are scored by a model that has seen them, other clean texts are not.  A null language is one of its
-    own; a language without trusted text has no perplexity and its texts are accepted.  Null and empty
-    texts are not.  Repeated rows fare alike.
+    Perplexity is two to the bits per symbol by the model of all trusted texts of the language.  A text is
+    accepted if its perplexity lies between the quantiles ``low`` and ``high`` of its language's trusted
+    texts.  The upper one is of held-out text: each half is scored by a model of the other half.  The lower
+    one is of texts that the model has seen, as trusted texts in ``docs`` are the easiest of good ones.  They lie
+    further from the median by ``UNSURE`` parts in the root of the number of texts, in bits, so that the
+    ends of a small sample do not pass for those of all good text.  A null
+    language is one of its own; a language without trusted text has no perplexity, and one whose trusted
+    texts all fall in one half has no limits; their texts are accepted.  Null and empty texts are not.
+    Repeated rows fare alike.
     """
     named = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.coalesce(lang_col, F.lit("")).alias("_lang"), *[F.col(c) for c in keep_cols if c != text_col])
     ids = common.materialize(trusted_ids(labels), "trusted")
-    trusted = _with_trusted(named.select("_id", "_lang", "_text"), ids)
-    counts = common.materialize(count_grams(trusted.select("_lang", "_text")), "gram-counts")
+    half = F.pmod(F.xxhash64("_id"), F.lit(2)).cast("string")
+    trusted = _with_trusted(named.select("_id", "_lang", "_text"), ids).withColumn("_own", F.col("_lang"))
+    halves = trusted.withColumn("_lang", F.concat("_own", F.lit(_HALF), half))
+    counts = common.materialize(count_grams(halves.select("_lang", "_text")), "gram-counts")
+    own = F.substring_index("lang", _HALF, 1)
+    every = counts.groupBy(own.alias("lang"), "g").agg(F.sum("c").alias("c"))
     path = common.shared_dir(docs.sparkSession, "gram-tables")
-    train(counts).write.parquet(path)
-    langs = sorted(r["lang"] for r in docs.sparkSession.read.parquet(path).select("lang").collect())  # a row for each language
-    scores = _scored(trusted, path, langs, ["_lang"]).where("_bits is not null")
-    quantiles = scores.groupBy("_lang").agg(F.percentile_approx("_bits", [low, high], 20000).alias("q")).collect()
-    limits = {r["_lang"]: (2 ** r["q"][0] / slack, 2 ** r["q"][1] * slack) for r in quantiles}
+    train(common.materialize(counts.unionByName(every), "gram-counts-all")).write.parquet(path)
+    langs = sorted(r["lang"] for r in docs.sparkSession.read.parquet(path).select("lang").collect())  # three rows for each language
+    other = F.concat("_own", F.lit(_HALF), F.when(half == "0", "1").otherwise("0"))
+    halved, whole = [x for x in langs if _HALF in x], [x for x in langs if _HALF not in x]
+    unseen = _scored(trusted.withColumn("_lang", other), path, halved, ["_own"]).withColumn("_seen", F.lit(None).cast("double"))
+    seen = _scored(trusted, path, whole, ["_own"]).select("_own", F.lit(None).cast("double").alias("_bits"), "_bytes", F.col("_bits").alias("_seen"))
+    at = lambda c, q: F.percentile_approx(c, q, 20000)
+    ends = F.array(at("_seen", low), at("_bits", 0.5), at("_bits", high))
+    quantiles = unseen.unionByName(seen).groupBy("_own").agg(ends.alias("q"), F.count("_bits").alias("n")).where("n > 0").collect()
+    limits = {}
+    for r in quantiles:
+        (a, middle, b), unsure = r["q"], UNSURE / r["n"] ** 0.5
+        limits[r["_own"]] = (2 ** (a - unsure * (middle - a)), 2 ** (b + unsure * (b - middle)))
 
     columns = ["_id", "_lang", *["_text" if c == text_col else c for c in keep_cols]]
-    scored = _scored(named, path, langs, columns)
+    scored = _scored(named, path, whole, columns)
     # A row for each language that has trusted text.
     spark: SparkSession = docs.sparkSession
     table = spark.createDataFrame([(k, *v) for k, v in sorted(limits.items())], "_lang string, low_limit double, high_limit double")

@@ -238,14 +238,27 @@ def test_quality_model(spark):
     assert len(got) == len(rows)
     by = {x.doc_id: x for x in got}
     assert not by[100].accepted and not by[101].accepted and not by[102].accepted and not by[103].accepted
-    assert by[104].accepted and by[104].perplexity is None and by[105].accepted and by[None].accepted and by[106].accepted
-    assert all(by[k].accepted for k in range(80))
-    p = kneser_ney([good[3], *good[:60]])  # the third text is there twice
+    assert by[104].accepted and by[104].perplexity is None and by[105].accepted and by[105].perplexity is None
+
+    def bits(p, text):
+        s = [quality_lm._BOUNDARY] * 3 + [int(quality_lm._TABLE[b]) for b in text.encode()]
+        return -sum(math.log2(p(tuple(s[i : i + 4]))) for i in range(len(s) - 3)) / (len(s) - 3)
+
+    keys = [*range(60), 3]  # the third text is there twice
+    p = kneser_ney([good[k] for k in keys])
     for key in (0, 70, 100):
-        data = by[key].text.encode()
-        s = [quality_lm._BOUNDARY] * 3 + [int(quality_lm._TABLE[b]) for b in data]
-        bits = -sum(math.log2(p(tuple(s[i : i + 4]))) for i in range(len(data))) / len(data)
-        assert abs(math.log2(by[key].perplexity) - bits) < 0.01
+        assert abs(math.log2(by[key].perplexity) - bits(p, by[key].text)) < 0.01
+    # Each half of the trusted texts is held against the other's model; of 61 scores the quantiles are the ends.
+    half = {r.id: r.h for r in spark.range(60).selectExpr("id", "pmod(xxhash64(id), 2) AS h").collect()}
+    models = {h: kneser_ney([good[k] for k in keys if half[k] != h]) for h in (0, 1)}
+    held = [bits(models[half[k]], good[k]) for k in keys]
+    middle, unsure = sorted(held)[30], quality_lm.UNSURE / 61**0.5
+    least = min(bits(p, good[k]) for k in keys)
+    low, high = least - unsure * (middle - least), max(held) + unsure * (max(held) - middle)
+    assert abs(math.log2(by[0].low_limit) - low) < 0.01 and abs(math.log2(by[0].high_limit) - high) < 0.01
+    for k in [*range(80), 106, None]:
+        assert by[k].accepted == (by[k].low_limit <= by[k].perplexity <= by[k].high_limit)
+    assert all(by[k].accepted for k in range(80))
     assert quality_lm.classify(docs.limit(0), labels).count() == 0
     assert quality_lm.classify(docs, labels.limit(0)).where("accepted").count() == len(rows) - 2
 
