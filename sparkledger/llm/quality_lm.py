@@ -23,7 +23,7 @@ GRAMS = SYMBOLS**ORDER
 #: A language's table: log2 probabilities in half precision.
 TABLE_BYTES = 2 * GRAMS
 #: Languages whose tables a task holds together; more are scored in several passes.
-TOGETHER = 12
+TOGETHER = 4
 #: Trusted ids up to this size are sent to all tasks; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Bytes of text a task counts or scores at once.

@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from sparkledger.llm import common
 
 #: Parts a worker remembers; beyond it the memory is emptied. It bounds memory only, never results.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Bytes of text encoded at once.
-SLICE = 8 << 20
+SLICE = 4 << 20
 _PLAIN = r"^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<b>[!-&(-/:-@\[-`{-~]*)$"
 _tables: dict[str, "ChunkTable"] = {}
 common.caches["words"] = _tables.clear
