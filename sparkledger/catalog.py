@@ -501,8 +501,8 @@ def review_summary(ledger):
 _NEXT = """
     fresh AS (SELECT path, upper(domain) AS label, row_number() OVER (PARTITION BY domain ORDER BY path) AS nth FROM registry_new WHERE path NOT IN (SELECT path FROM registry_old)),
     taken AS (SELECT split_part(source_id, '-', 2) AS label, CAST(split_part(source_id, '-', 3) AS INTEGER) AS k FROM registry_old),
-    free AS (SELECT label, k, row_number() OVER (PARTITION BY label ORDER BY k) AS nth FROM (SELECT DISTINCT label FROM fresh), range(1, 1000) r(k) WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.label = fresh.label AND t.k = r.k)),
-    made AS (SELECT path, 'SRC-' || label || '-' || lpad(CAST(k AS VARCHAR), 3, '0') AS source_id FROM fresh JOIN free USING (label, nth))
+    free AS (SELECT label, k, row_number() OVER (PARTITION BY label ORDER BY k) AS nth FROM (SELECT DISTINCT label FROM fresh), range(1, (SELECT count(*) FROM registry_new) + (SELECT count(*) FROM registry_old) + 1) r(k) WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.label = fresh.label AND t.k = r.k)),
+    made AS (SELECT path, 'SRC-' || label || '-' || CASE WHEN k < 1000 THEN lpad(CAST(k AS VARCHAR), 3, '0') ELSE CAST(k AS VARCHAR) END AS source_id FROM fresh JOIN free USING (label, nth))
 """.replace("t.label = fresh.label", "t.label = d.label").replace("FROM fresh), range", "FROM fresh) d, range")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkledger.functions import exprs
+from sparkledger.plans.shared import materialize
 
 #: Domains by words in a document's path, in their order.
 DOMAINS = {
@@ -34,20 +35,34 @@ EXTENSIONS = ["pdf", "csv", "xlsx", "xlsm", "tsv"]
 EXCLUDED = ["output/", "__pycache__", "/templates/", "/legacy/"]
 
 
+def _numbered(rows: DataFrame, order: str, name: str) -> DataFrame:
+    """Adds _n, a row's place in its ``_label`` by ``order``, from 1.
+
+    Rows are dealt by ranges, and each range counts on from those before it, so a label may lie in many tasks.
+    """
+    ranged = materialize(rows.repartitionByRange("_label", order).withColumn("_range", F.spark_partition_id()), name)
+    earlier = Window.partitionBy("_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy("_label", "_range").agg(F.count("*").alias("_rows")).select("_label", "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_label", "_range").orderBy(order))
+    return ranged.withColumn("_place", place).join(before, ["_label", "_range"]).withColumn("_n", F.col("_before") + F.col("_place")).drop("_before", "_place", "_range")
+
+
 def next_ids(new: DataFrame, used: DataFrame) -> DataFrame:
     """Gives each row of ``new`` (path, domain) the lowest source_id of its domain that ``used`` (source_id) does not have, in order of paths.
 
     Free numbers run up to the used ones plus the new rows, so they always suffice.
     """
     label = F.upper(F.coalesce(F.nullif(F.col("domain"), F.lit("")), F.lit("other")))
-    wanted = new.select("path", "domain", label.alias("_label")).withColumn("_n", F.row_number().over(Window.partitionBy("_label").orderBy("path")))
-    taken = used.select(F.regexp_extract("source_id", "^SRC-(.+)-(\\d+)$", 1).alias("_label"), F.regexp_extract("source_id", "^SRC-(.+)-(\\d+)$", 2).alias("_d")).where("_d <> ''")
-    taken = taken.select("_label", F.col("_d").cast("int").alias("_number")).distinct()
-    count = taken.groupBy("_label").agg(F.count("*").alias("_used"))
-    limits = wanted.groupBy("_label").agg(F.count("*").alias("_new")).join(count, "_label", "left")
-    every = limits.select("_label", F.explode(F.sequence(F.lit(1), (F.col("_new") + F.coalesce("_used", F.lit(0))).cast("int"))).alias("_number"))
-    free = every.join(taken, ["_label", "_number"], "left_anti").withColumn("_n", F.row_number().over(Window.partitionBy("_label").orderBy("_number")))
-    made = F.concat(F.lit("SRC-"), F.col("_label"), F.lit("-"), F.when(F.length(F.col("_number").cast("string")) < 3, F.lpad(F.col("_number").cast("string"), 3, "0")).otherwise(F.col("_number").cast("string")))
+    wanted = _numbered(new.select("path", "domain", label.alias("_label")), "path", "registry-wanted")
+    part = lambda k: F.regexp_extract("source_id", "^SRC-(.+)-(\\d+)$", k)
+    taken = used.select(part(1).alias("_label"), F.nullif(part(2), F.lit("")).try_cast("long").alias("_number")).where("_number is not null").distinct()
+    taken = _numbered(taken, "_number", "registry-taken")
+    counts = wanted.groupBy("_label").agg(F.count("*").alias("_new"))
+    beyond = taken.join(counts, "_label").select("_label", (F.col("_new") + F.col("_n")).alias("_number"))
+    every = wanted.select("_label", F.col("_n").alias("_number")).unionByName(beyond)
+    free = _numbered(every.join(taken.select("_label", "_number"), ["_label", "_number"], "left_anti"), "_number", "registry-free")
+    number = F.col("_number").cast("string")
+    made = F.concat(F.lit("SRC-"), F.col("_label"), F.lit("-"), F.when(F.length(number) < 3, F.lpad(number, 3, "0")).otherwise(number))
     return wanted.join(free, ["_label", "_n"]).select("path", "domain", made.alias("source_id"))
 
 

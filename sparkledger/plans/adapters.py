@@ -74,13 +74,14 @@ VIEWS: dict[str, str] = {
         FROM ledger WHERE CAST(account AS INT) % 4 = 2 OR CAST(account AS INT) % 4 = 1 AND CAST(substring(month, 6, 2) AS INT) % 2 = 0 GROUP BY 1, 2, 3, 4
     """,
     "registry_old": """
-        SELECT 'docs/' || n_name || '.csv' AS path, 'SRC-BANK-' || lpad(CAST(n_nationkey + 1 AS STRING), 3, '0') AS source_id,
-               sha2(n_name || CASE WHEN n_nationkey % 6 = 0 THEN 'x' ELSE '' END, 256) AS sha256, DATE '2024-01-01' AS first_seen, 'bank' AS domain
-        FROM nation WHERE n_nationkey % 5 <> 4
+        SELECT 'docs/' || source || '/' || CAST(doc_id AS STRING) || '.csv' AS path,
+               'SRC-BANK-' || CASE WHEN doc_id < 999 THEN lpad(CAST(doc_id + 1 AS STRING), 3, '0') ELSE CAST(doc_id + 1 AS STRING) END AS source_id,
+               sha2(coalesce(text, '') || CASE WHEN doc_id % 6 = 0 THEN 'x' ELSE '' END, 256) AS sha256, DATE '2024-01-01' AS first_seen, 'bank' AS domain
+        FROM documents WHERE doc_id % 5 <> 4
     """,
     "registry_new": """
-        SELECT 'docs/' || n_name || '.csv' AS path, sha2(n_name, 256) AS sha256, CASE WHEN n_nationkey % 2 = 0 THEN 'bank' ELSE 'tax' END AS domain
-        FROM nation WHERE n_nationkey % 7 <> 3
+        SELECT 'docs/' || source || '/' || CAST(doc_id AS STRING) || '.csv' AS path, sha2(coalesce(text, ''), 256) AS sha256, CASE WHEN doc_id % 2 = 0 THEN 'bank' ELSE 'tax' END AS domain
+        FROM documents WHERE doc_id % 7 <> 3
     """,
     "decisions": """
         SELECT s_suppkey AS seq, 'E' || CAST(s_nationkey AS STRING) AS entity, 'f' || CAST(s_suppkey % 4 AS STRING) AS field,
@@ -99,12 +100,12 @@ VIEWS: dict[str, str] = {
         FROM customer
     """,
     "words": """
-        SELECT event_id % 400 AS doc_id, event_id % 3 AS page, event_id AS word_seq, event_type AS text,
+        SELECT CAST(floor(event_id / 60) AS BIGINT) AS doc_id, event_id % 3 AS page, event_id AS word_seq, event_type AS text,
                CAST((event_id * 37) % 500 AS DOUBLE) AS x0, CAST((event_id * 37) % 500 + 20 AS DOUBLE) AS x1, CAST((event_id % 7) * 20 + event_id % 2 AS DOUBLE) AS top
         FROM events
     """,
 }
-_USES = {name: [t for t in [*VIEWS, "orders", "customer", "lineitem", "part", "nation", "supplier", "events"] if re.search(rf"(FROM|JOIN) {t}\b", sql)] for name, sql in VIEWS.items()}
+_USES = {name: [t for t in [*VIEWS, "orders", "customer", "lineitem", "part", "nation", "supplier", "events", "documents"] if re.search(rf"(FROM|JOIN) {t}\b", sql)] for name, sql in VIEWS.items()}
 
 
 def _needed(names: list[str]) -> list[str]:
