@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sparkledger.llm import common, minhash, packing, quality_lm, substring
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: What a row that goes takes in a broadcast table; texts are shuffled to meet those rows only if these are too many.
+GONE_BYTES = 32
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +26,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near-duplicates; rows that share an id fare each by its own text."""
     gone = minhash.near_duplicates(docs).where("not kept").select("doc_id", "text_hash").distinct()
-    return docs.withColumn("text_hash", F.xxhash64("text")).join(gone, ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
+    gone = common.materialize(gone, "gone")
+    few = gone.count() * GONE_BYTES <= quality_lm.BROADCAST_BYTES
+    keyed = docs.withColumn("text_hash", F.xxhash64("text"))
+    return keyed.join(F.broadcast(gone) if few else gone.hint("merge"), ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
