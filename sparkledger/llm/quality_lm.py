@@ -1,12 +1,13 @@
-"""A quality classifier: interpolated modified Kneser-Ney n-grams over text symbols, and quantiles by language.
-
-Bytes are folded to ``SYMBOLS`` symbols, so a language has at most ``SYMBOLS ** ORDER`` n-grams however
-large the corpus is.  Counts cover all trusted text; discounts, context totals and interpolated
-probabilities come from joins of the count tables, which Spark shards by language and context.  A
-language's finished table is dense and of fixed size (``TABLE_BYTES``).  Tables are written to the shared
-folder, and the tasks that score texts read those of a fixed number of languages at a time.  A text's
-perplexity is held against quantiles of its language's trusted texts, each scored by a model of the half of
-them that it is not in.
+"""A quality classifier: interpolated modified Kneser-Ney n-grams over the bytes of texts, and quantiles by language.
+
+n-grams are of ``ORDER`` unfolded bytes, so their number grows with the corpus.  Each slice of the texts
+(``ROWS`` rows of a file) lists its distinct n-grams once; sums over all slices are the counts.  Discounts,
+context totals, lower orders and interpolated probabilities come from shuffle joins of count tables that
+Spark shards by n-gram or context: a context has at most 256 n-grams, so none of these keys is hot.  A last
+join brings each slice the scores of its own n-grams, with which it sums up its texts.
+
+Trusted texts are parted in halves by their ids, with counts of their own side by side.  Every text is scored by
+the model of the half that its id is not in, so no text is scored by a model that has seen it.
 """
 
 from __future__ import annotations
@@ -14,200 +15,240 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkledger.llm import common
 
-SYMBOLS, ORDER = 48, 4
-GRAMS = SYMBOLS**ORDER
-#: A language's table: log2 probabilities in half precision.
-TABLE_BYTES = 2 * GRAMS
-#: Languages whose tables a task holds together; more are scored in several passes.
-TOGETHER = 4
+ORDER = 5
+#: Rows of a file that share a table of scores.
+ROWS = 8192
 #: Trusted ids up to this size are sent to all tasks; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Bytes of text a task counts or scores at once.
 SLICE = 2 << 20
-_BOUNDARY = 30
+_BOUNDARY = 10
 #: How much further out than the sample's quantiles the limits are, over the root of its size.
 UNSURE = 3.0
-
-
-def _symbols() -> np.ndarray:
-    """Small letters apart, capitals together, digits together, blanks, line ends, full stop, comma, other ASCII in 7 classes, lead bytes, following bytes in 7."""
-    table = np.array([33 + b % 7 for b in range(128)] + [41 + b % 7 for b in range(64)] + [40] * 64, np.uint8)
-    table[97:123] = np.arange(1, 27)
-    table[65:91], table[48:58] = 27, 28
-    table[[32, 9]], table[10:14], table[46], table[44] = 29, _BOUNDARY, 31, 32
-    return table
-
-
-_TABLE = _symbols()
+#: Scores are kept in parts of a bit, so that those of both models take 32 bits.
+PARTS_OF_BIT = 2048
+_CODE, _CLASS = 8 * ORDER, 60
 
 
 def gram_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each byte the number of the n-gram that ends there; texts begin behind line ends."""
-    s = _TABLE[data].astype(np.int32)
-    padded = np.concatenate((np.full(ORDER - 1, _BOUNDARY, np.int32), s))
-    codes = np.zeros(len(s), np.int32)
+    """For each byte the n-gram that ends there, as a number; texts begin behind line ends."""
+    s = data.astype(np.int64)
+    padded = np.concatenate((np.full(ORDER - 1, _BOUNDARY, np.int64), s))
+    codes = np.zeros(len(s), np.int64)
     for k in range(ORDER):
-        codes *= SYMBOLS
-        codes += padded[k : k + len(s)]
-    starts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    limits = offsets[1:][offsets[:-1] < offsets[1:]]
+        codes <<= 8
+        codes |= padded[k : k + len(s)]
+    full = offsets[:-1] < offsets[1:]
+    starts, limits = offsets[:-1][full], offsets[1:][full]
     for ahead in range(ORDER - 1):  # the first bytes of each text look back into the text before: compute them anew
         at = starts[starts + ahead < limits] + ahead
-        code = np.zeros(len(at), np.int32)
+        code = np.zeros(len(at), np.int64)
         for k in range(ORDER):
             back = ORDER - 1 - k
-            code = code * SYMBOLS + (s[at - back] if back <= ahead else _BOUNDARY)
+            code = (code << 8) | (s[at - back] if back <= ahead else _BOUNDARY)
         codes[at] = code
     return codes
 
 
-def count_grams(trusted: DataFrame) -> DataFrame:
-    """lang, g, c of (lang, text) rows: how often each n-gram occurs in all trusted text of a language."""
+def _keys(part: pa.RecordBatch, langs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of each text, under the number of its language, and each text's offsets among them."""
+    data, offsets = common.text_bytes(part.column(part.schema.get_field_index("_text")))
+    if not len(data):
+        return np.empty(0, np.int64), offsets
+    lang = pc.index_in(part.column(part.schema.get_field_index("_lang")), langs).to_numpy().astype(np.int64)
+    return gram_codes(data, offsets) | np.repeat(lang << _CODE, np.diff(offsets)), offsets
+
+
+def _by_slice(batch: pa.RecordBatch):
+    """Runs of rows of one slice, of about ``SLICE`` bytes: (slice, rows)."""
+    for part in common.slices(batch, batch.schema.get_field_index("_text"), SLICE):
+        of = part.column(part.schema.get_field_index("_slice")).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield int(of[a]), part.slice(a, b - a)
+
+
+def slice_grams(texts: DataFrame, langs: list[str]) -> DataFrame:
+    """slice, g, c0, c1 of (_slice, _lang, _text, _class) rows: the distinct n-grams of each slice, and how often each
+    half's trusted texts (class 1 and 2) hold them.  A slice may be listed in parts."""
+    names = pa.array(langs, pa.string())
+
+    def merged(held):
+        keys, counts = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[heads], np.add.reduceat(counts, heads)
+
+    def flush(at, held):
+        keys, counts = merged(held)
+        kind, (grams, place) = keys >> _CLASS, np.unique(keys & ((1 << _CLASS) - 1), return_inverse=True)
+        seen = np.zeros((2, len(grams)), np.int64)
+        for half in (0, 1):
+            mine = kind == half + 1
+            seen[half, place[mine]] = counts[mine]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), at)), pa.array(grams), pa.array(seen[0]), pa.array(seen[1])], names=["slice", "g", "c0", "c1"])
 
     def tasks(batches):
         common.begin("quality")
-        held: dict[str, np.ndarray] = {}
-
-        def flush():
-            for lang, counts in held.items():
-                g = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g.astype(np.int32)), pa.array(counts[g].astype(np.int64))], names=["lang", "g", "c"])
-            held.clear()
-
+        now, held = None, []
         for batch in batches:
-            for part in common.slices(batch, 1, SLICE):
-                langs = np.array(part.column(0).to_pylist(), object)
-                for lang in sorted(set(langs)):
-                    if lang not in held and len(held) == 4:  # dense counts of few languages at a time
-                        yield from flush()
-                    mine = part.column(1).filter(pa.array(langs == lang))
-                    found, times = np.unique(gram_codes(*common.text_bytes(mine)), return_counts=True)
-                    if lang not in held:
-                        held[lang] = np.zeros(GRAMS, np.int32)
-                    held[lang][found] += times.astype(np.int32)
-        yield from flush()
-
-    return trusted.mapInArrow(tasks, "lang string, g int, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
-
-
-def _order(counts: DataFrame, lower: DataFrame | None, size: int) -> tuple[DataFrame, DataFrame]:
-    """Of one order's counts: interpolated probabilities (lang, g, p) and weights of the lower order (lang, h, w)."""
-    n = lambda k: F.count(F.when(F.col("c") == k, 1))
-    seen = counts.groupBy("lang").agg(n(1).alias("n1"), n(2).alias("n2"), n(3).alias("n3"), n(4).alias("n4"))
-    y = F.coalesce(F.try_divide("n1", F.col("n1") + 2 * F.col("n2")), F.lit(0.5))
-    # A discount that the counts of counts do not give is half its count.
-    ratio = lambda k, m: F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), F.coalesce(k - (k + 1) * y * F.try_divide(F.col(f"n{m}"), F.col(f"n{k}")), F.lit(k / 2))))
-    discounts = seen.select("lang", ratio(1, 2).alias("d1"), ratio(2, 3).alias("d2"), ratio(3, 4).alias("d3"))
-    known = counts.join(discounts, "lang").withColumn("h", F.floor(F.col("g") / SYMBOLS).cast("int"))
-    discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    known = known.withColumn("d", discount)
-    contexts = known.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum("d").alias("left"))
-    contexts = contexts.select("lang", "h", "total", (F.col("left") / F.col("total")).alias("w"))
-    joined = known.join(contexts, ["lang", "h"])
-    own = (F.col("c") - F.col("d")) / F.col("total")
-    if lower is None:
-        return joined.select("lang", "g", (own + F.col("w") / SYMBOLS).alias("p")), contexts.select("lang", "h", "w")
-    below = lower.select("lang", F.col("g").alias("suffix"), F.col("p").alias("q"))
-    joined = joined.withColumn("suffix", F.col("g") % size).join(below, ["lang", "suffix"])
-    return joined.select("lang", "g", (own + F.col("w") * F.col("q")).alias("p")), contexts.select("lang", "h", "w")
-
-
-def train(counts: DataFrame) -> DataFrame:
-    """lang, table: each language's dense log2 probabilities, from its counts of the highest order.
-
-    Lower orders count the distinct n-grams that end in theirs, as Kneser-Ney asks.
-    """
-    orders = [counts]
+            for at, part in _by_slice(batch):
+                if at != now and held:
+                    yield flush(now, held)
+                    held = []
+                now = at
+                keys, offsets = _keys(part, names)
+                if len(keys):
+                    kinds = part.column(part.schema.get_field_index("_class")).to_numpy().astype(np.int64)
+                    held.append(np.unique(keys | np.repeat(kinds << _CLASS, np.diff(offsets)), return_counts=True))
+                    if len(held) == 8:
+                        held = [merged(held)]
+        if held:
+            yield flush(now, held)
+
+    return texts.select("_slice", "_lang", "_text", "_class").mapInArrow(tasks, "slice long, g long, c0 long, c1 long")
+
+
+def _lang(k: int) -> Column:
+    return F.shiftright("g", 8 * k).cast("int")
+
+
+def count_orders(grams: DataFrame) -> dict[int, DataFrame]:
+    """By order: g, c0, c1.  Lower orders count the distinct n-grams that end in theirs, as Kneser-Ney asks; what no trusted text holds counts 0."""
+    counts = {ORDER: common.materialize(grams.groupBy("g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "gram-counts")}
     for k in range(ORDER - 1, 0, -1):
-        orders.append(common.materialize(orders[-1].groupBy("lang", (F.col("g") % SYMBOLS**k).alias("g")).agg(F.count("*").alias("c")), "order-counts"))
-    lower, rows = None, []
-    for k, counted in enumerate(reversed(orders), 1):
-        # Small tables, at most SYMBOLS**k rows a language; written, so that later orders do not compute them again.
-        lower, weights = (common.materialize(t, "order-tables") for t in _order(counted, lower, SYMBOLS ** (k - 1)))
-        rows.append(lower.select("lang", F.lit(k).alias("k"), F.lit(True).alias("p"), "g", F.col("p").alias("x")))
-        rows.append(weights.select("lang", F.lit(k).alias("k"), F.lit(False).alias("p"), F.col("h").alias("g"), F.col("w").alias("x")))
-
-    def pack(table: pa.Table) -> pa.Table:
-        k, p, g, x = (table[c].to_numpy() for c in ("k", "p", "g", "x"))
-        below = np.full(1, 1.0 / SYMBOLS)
-        for order in range(1, ORDER + 1):
-            weights = np.ones(SYMBOLS ** (order - 1))
-            mine = (k == order) & ~p
-            weights[g[mine]] = x[mine]
-            # An n-gram that was not seen has what its context leaves to the lower order; all of it, if the context is new.
-            dense = np.tile(below, SYMBOLS) if order > 1 else np.repeat(below, SYMBOLS)
-            dense = dense * np.repeat(weights, SYMBOLS)
-            mine = (k == order) & p
-            dense[g[mine]] = x[mine]
-            below = dense
-        return pa.table({"lang": [table["lang"][0].as_py()], "table": [np.log2(below).astype("<f2").tobytes()]})
-
-    together = rows[0]
-    for more in rows[1:]:
-        together = together.unionByName(more)
-    return together.groupBy("lang").applyInArrow(pack, "lang string, table binary")
-
-
-def _bits(texts: pa.Array, langs: np.ndarray, tables: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Bits per symbol of each text by its language's table, and bytes; NaN without a table or text."""
-    data, offsets = common.text_bytes(texts)
-    sizes = np.diff(offsets)
-    out = np.full(len(sizes), np.nan)
-    if not len(data):
-        return out, sizes
-    codes = gram_codes(data, offsets)
-    for lang in set(langs):
-        if lang in tables:
-            for k in np.flatnonzero((langs == lang) & (sizes > 0)).tolist():
-                out[k] = -tables[lang][codes[offsets[k] : offsets[k + 1]]].mean(dtype=np.float64)
-    return out, sizes
+        seen = [F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in ("c0", "c1")]
+        counts[k] = common.materialize(counts[k + 1].groupBy(_suffix(k + 1).alias("g")).agg(*seen), "gram-counts")
+    return counts
+
+
+def _suffix(k: int) -> Column:
+    """The n-gram of the next lower order that one of order ``k`` ends in."""
+    return F.shiftleft(F.shiftright("g", 8 * k), 8 * (k - 1)).bitwiseOR(F.col("g").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1).cast("long")))
+
+
+def discounts(counts: dict[int, DataFrame]) -> dict[int, list[tuple]]:
+    """By order, for each language: its number, three discounts of each half, and whether each half has any text."""
+    kinds = [F.count(F.when(F.col(c) == n, 1) if n else F.when(F.col(c) > 0, 1)).alias(f"{c}_{n}") for c in ("c0", "c1") for n in range(5)]
+    every = None
+    for k, table in counts.items():
+        part = table.groupBy(_lang(k).alias("l")).agg(*kinds).withColumn("k", F.lit(k))
+        every = part if every is None else every.unionByName(part)
+    out: dict[int, list[tuple]] = {k: [] for k in counts}
+    for r in every.collect():  # a row for each language and order
+        values = []
+        for c in ("c0", "c1"):
+            n = [r[f"{c}_{i}"] for i in range(5)]
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
+            # A discount that the counts of counts do not give is half its count.
+            values += [max(0.05, min(i - 0.05, i - (i + 1) * y * n[i + 1] / n[i] if n[i] else i / 2)) for i in (1, 2, 3)]
+        out[r["k"]].append((r["l"], *values, r["c0_0"] > 0, r["c1_0"] > 0))
+    return out
 
 
-_held: dict[tuple, dict[str, np.ndarray]] = {}
+def scores(counts: dict[int, DataFrame], less: dict[int, list[tuple]]) -> DataFrame:
+    """g, p0, p1: the interpolated probability of each n-gram of the highest order by each half's model."""
+    spark = counts[ORDER].sparkSession
+    schema = "l int, d01 double, d02 double, d03 double, d11 double, d12 double, d13 double"
+    lower = None
+    for k in range(1, ORDER + 1):
+        table = F.broadcast(spark.createDataFrame([r[:7] for r in less[k]], schema))  # a row for each language
+        taken = lambda i: F.when(F.col(f"c{i}") == 0, 0.0).when(F.col(f"c{i}") == 1, F.col(f"d{i}1")).when(F.col(f"c{i}") == 2, F.col(f"d{i}2")).otherwise(F.col(f"d{i}3"))
+        known = counts[k].withColumn("l", _lang(k)).join(table, "l").select("g", F.shiftright("g", 8).alias("h"), "c0", "c1", taken(0).alias("t0"), taken(1).alias("t1"))
+        contexts = known.groupBy("h").agg(*[F.sum(c).alias(f"all_{c}") for c in ("c0", "c1", "t0", "t1")])
+        joined = known.join(contexts, "h")
+        if lower is None:
+            joined = joined.withColumns({"q0": F.lit(1 / 256), "q1": F.lit(1 / 256)})
+        else:
+            joined = joined.withColumn("suffix", _suffix(k)).join(lower.select(F.col("g").alias("suffix"), F.col("p0").alias("q0"), F.col("p1").alias("q1")), "suffix")
+        # A new context has all its weight in the lower order.
+        p = lambda i: F.when(F.col(f"all_c{i}") > 0, (F.col(f"c{i}") - F.col(f"t{i}") + F.col(f"all_t{i}") * F.col(f"q{i}")) / F.col(f"all_c{i}")).otherwise(F.col(f"q{i}"))
+        lower = joined.select("g", p(0).alias("p0"), p(1).alias("p1"))
+    return lower
+
+
+def answer(grams: DataFrame, found: DataFrame, path: str, folders: int) -> None:
+    """Writes each slice's n-grams with their scores by both models in one number, a folder for each slice or few."""
+    bits = lambda p: F.least(F.round(-F.log2(p) * PARTS_OF_BIT), F.lit(65535)).cast("int")
+    packed = found.select("g", F.shiftleft(bits("p0"), 16).bitwiseOR(bits("p1")).alias("bits"))
+    rows = grams.select("slice", "g").join(packed, "g").withColumn("folder", (F.col("slice") % folders).cast("int"))
+    rows.repartition(folders, "folder").sortWithinPartitions("folder", "slice", "g").write.option("compression", "zstd").partitionBy("folder").parquet(path)
+
+
+class _Scores:
+    """A slice's n-grams and their scores: a table by hash, and what found its place taken apart."""
+
+    def __init__(self, grams: np.ndarray, bits: np.ndarray):
+        self.shift = np.uint64(64 - max(8, int(4 * len(grams)).bit_length()))
+        at = self._place(grams)
+        self.grams, self.bits = np.full(1 << (64 - int(self.shift)), -1, np.int64), np.zeros(1 << (64 - int(self.shift)), np.uint32)
+        self.grams[at], self.bits[at] = grams, bits
+        apart = self.grams[at] != grams
+        self.more, self.more_bits = grams[apart], bits[apart]  # sorted, as the n-grams are
+
+    def _place(self, grams: np.ndarray) -> np.ndarray:
+        return ((grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        at = self._place(grams)
+        out = self.bits[at]
+        other = np.flatnonzero(self.grams[at] != grams)
+        if len(other):
+            k = np.minimum(np.searchsorted(self.more, grams[other]), len(self.more) - 1)
+            if not len(self.more) or (self.more[k] != grams[other]).any():
+                raise ValueError("a text holds n-grams that its slice had not when they were counted")
+            out[other] = self.more_bits[k]
+        return out
+
+
+_held: dict[tuple[str, int], _Scores] = {}
 common.caches["quality"] = _held.clear
 
 
-def _tables(path: str, langs: tuple[str, ...]) -> dict[str, np.ndarray]:
-    """The tables of some languages, from the shared folder; a worker holds one such set."""
+def _scores_of(path: str, at: int, folders: int) -> _Scores:
+    """The scores of a slice, from the shared folder; a worker holds those of one."""
     from pyarrow import dataset, fs
 
-    if (path, langs) not in _held:
-        store, root = fs.FileSystem.from_uri(path)
-        rows = dataset.dataset(root, filesystem=store, format="parquet").to_table(filter=pc.field("lang").isin(langs))
+    if (path, at) not in _held:
         _held.clear()
-        _held[path, langs] = {lang: np.frombuffer(raw.as_buffer(), "<f2") for lang, raw in zip(rows["lang"].to_pylist(), rows["table"])}
-    return _held[path, langs]
+        store, root = fs.FileSystem.from_uri(path)
+        rows = dataset.dataset(f"{root}/folder={at % folders}", filesystem=store, format="parquet").to_table(columns=["g", "bits"], filter=pc.field("slice") == at)
+        grams, bits = rows["g"].to_numpy(), rows["bits"].to_numpy().view(np.uint32)
+        order = np.argsort(grams, kind="stable")  # a slice that was listed in parts has n-grams twice
+        _held[path, at] = _Scores(grams[order], bits[order])
+    return _held[path, at]
 
 
-def _scored(rows: DataFrame, path: str, langs: list[str], columns: list[str]) -> DataFrame:
-    """The rows (``_lang`` and ``_text`` among them) with bits and bytes behind the given columns."""
+def _scored(rows: DataFrame, path: str, folders: int, langs: list[str], known: set[str], columns: list[str]) -> DataFrame:
+    """The given columns with bits per byte (null without text or a model of the language) and bytes."""
     kinds = dict(rows.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in columns] + ["_bits double", "_bytes long"])
-    parts = []
-    for at in range(0, max(len(langs), 1), TOGETHER):
-        mine = tuple(langs[at : at + TOGETHER])
-        # The last pass also takes the languages without a table.
-        chosen = rows if len(langs) <= TOGETHER else rows.where(~F.col("_lang").isin(langs[:at])) if at + TOGETHER >= len(langs) else rows.where(F.col("_lang").isin(*mine))
-
-        def tasks(batches, mine=mine):
-            common.begin("quality")
-            tables = _tables(path, mine) if mine else {}
-            for batch in batches:
-                at_text, at_lang = batch.schema.get_field_index("_text"), batch.schema.get_field_index("_lang")
-                for part in common.slices(batch, at_text, SLICE):
-                    bits, sizes = _bits(part.column(at_text), np.array(part.column(at_lang).to_pylist(), object), tables)
-                    arrays = [part.column(part.schema.get_field_index(c)) for c in columns]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits, mask=np.isnan(bits)), pa.array(sizes)], names=[*columns, "_bits", "_bytes"])
-
-        parts.append(chosen.mapInArrow(tasks, schema))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return out
+    names = pa.array(langs, pa.string())
+
+    def tasks(batches):
+        common.begin("quality")
+        for batch in batches:
+            for at, part in _by_slice(batch):
+                keys, offsets = _keys(part, names)
+                sizes = np.diff(offsets)
+                bits = np.full(len(sizes), np.nan)
+                able = np.array([x in known for x in part.column(part.schema.get_field_index("_lang")).to_pylist()], bool) & (sizes > 0)
+                if able.any():
+                    both = _scores_of(path, at, folders).of(keys)
+                    half = part.column(part.schema.get_field_index("_half")).to_numpy()
+                    for k in np.flatnonzero(able).tolist():  # each text by the other half's model
+                        mine = both[offsets[k] : offsets[k + 1]]
+                        bits[k] = (mine >> 16 if half[k] else mine & 0xFFFF).mean(dtype=np.float64) / PARTS_OF_BIT
+                arrays = [part.column(part.schema.get_field_index(c)) for c in columns]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits, mask=np.isnan(bits)), pa.array(sizes)], names=[*columns, "_bits", "_bytes"])
+
+    return rows.select(*dict.fromkeys(["_slice", "_lang", "_text", "_half", *columns])).mapInArrow(tasks, schema)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -215,56 +256,58 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct()
 
 
-def _with_trusted(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose ``_id`` is trusted; the ids are sent to all tasks only if they are few."""
-    few = ids.count() * 16 <= BROADCAST_BYTES
-    return rows.join(F.broadcast(ids) if few else ids, "_id", "left_semi")
-
-
-#: Marks the tables of the two halves of a language's trusted texts; no language name holds it.
-_HALF = "\x00"
+def _in_slices(docs: DataFrame, columns: list[Column]) -> DataFrame:
+    """The columns and ``_slice``, from the row's place in its file; rows that are not read from Parquet files are written first."""
+    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / ROWS)).bitwiseAND(F.lit((1 << 62) - 1))
+    if "_metadata" not in docs.columns:
+        try:
+            return docs.select(*columns, place.alias("_slice"))
+        except AnalysisException:
+            pass
+    written = common.materialize(docs.select(*columns), "texts")
+    return written.select("*", place.alias("_slice"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, low: float = 0.002, high: float = 0.995, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep_cols: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: its id, ``keep_cols``, language, perplexity, thresholds (low_limit, high_limit) and accepted.
 
-    Perplexity is two to the bits per symbol by the model of all trusted texts of the language.  A text is
-    accepted if its perplexity lies between the quantiles ``low`` and ``high`` of its language's trusted
-    texts.  The upper one is of held-out text: each half is scored by a model of the other half.  The lower
-    one is of texts that the model has seen, as trusted texts in ``docs`` are the easiest of good ones.  They lie
-    further from the median by ``UNSURE`` parts in the root of the number of texts, in bits, so that the
-    ends of a small sample do not pass for those of all good text.  A null
-    language is one of its own; a language without trusted text has no perplexity, and one whose trusted
-    texts all fall in one half has no limits; their texts are accepted.  Null and empty texts are not.
-    Repeated rows fare alike.
+    Perplexity is two to the bits per byte, by the model of the trusted texts of the language in the half that the
+    text's id is not in.  A text is accepted if its perplexity lies between the quantiles ``low`` and ``high`` of
+    its language's trusted texts, all of them held out.  The limits lie further from the median by ``UNSURE``
+    parts in the root of the number of texts, in bits, so that the ends of a small sample do not pass for
+    those of all good text.  A null language is one of its own; a language without trusted text in both
+    halves has no perplexity and no limits; its texts are accepted.  Null and empty texts are not.  Rows that
+    share an id and a text fare alike; a null id is in a half, and not trusted.
     """
-    named = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.coalesce(lang_col, F.lit("")).alias("_lang"), *[F.col(c) for c in keep_cols if c != text_col])
-    ids = common.materialize(trusted_ids(labels), "trusted")
-    half = F.pmod(F.xxhash64("_id"), F.lit(2)).cast("string")
-    trusted = _with_trusted(named.select("_id", "_lang", "_text"), ids).withColumn("_own", F.col("_lang"))
-    halves = trusted.withColumn("_lang", F.concat("_own", F.lit(_HALF), half))
-    counts = common.materialize(count_grams(halves.select("_lang", "_text")), "gram-counts")
-    own = F.substring_index("lang", _HALF, 1)
-    every = counts.groupBy(own.alias("lang"), "g").agg(F.sum("c").alias("c"))
-    path = common.shared_dir(docs.sparkSession, "gram-tables")
-    train(common.materialize(counts.unionByName(every), "gram-counts-all")).write.parquet(path)
-    langs = sorted(r["lang"] for r in docs.sparkSession.read.parquet(path).select("lang").collect())  # three rows for each language
-    other = F.concat("_own", F.lit(_HALF), F.when(half == "0", "1").otherwise("0"))
-    halved, whole = [x for x in langs if _HALF in x], [x for x in langs if _HALF not in x]
-    unseen = _scored(trusted.withColumn("_lang", other), path, halved, ["_own"]).withColumn("_seen", F.lit(None).cast("double"))
-    seen = _scored(trusted, path, whole, ["_own"]).select("_own", F.lit(None).cast("double").alias("_bits"), "_bytes", F.col("_bits").alias("_seen"))
-    at = lambda c, q: F.percentile_approx(c, q, 20000)
-    ends = F.array(at("_seen", low), at("_bits", 0.5), at("_bits", high))
-    quantiles = unseen.unionByName(seen).groupBy("_own").agg(ends.alias("q"), F.count("_bits").alias("n")).where("n > 0").collect()
+    spark: SparkSession = docs.sparkSession
+    columns = [F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.coalesce(lang_col, F.lit("")).alias("_lang"), *[F.col(c) for c in keep_cols if c != text_col]]
+    ids = common.materialize(trusted_ids(labels), "trusted").withColumn("_trusted", F.lit(True))
+    few = ids.count() * 16 <= BROADCAST_BYTES
+    half = F.pmod(F.xxhash64("_id"), F.lit(2)).cast("int")
+    named = _in_slices(docs, columns).withColumn("_half", half)
+    langs = sorted(r["_lang"] for r in named.select("_lang").distinct().collect())
+    if len(langs) >= 1 << (_CLASS - _CODE):
+        raise ValueError("more languages than an n-gram's number has room for")
+    marked = named.join(F.broadcast(ids) if few else ids, "_id", "left").withColumn("_class", F.when(F.col("_trusted"), F.col("_half") + 1).otherwise(0))
+
+    grams = common.materialize(slice_grams(marked, langs), "slice-grams")
+    counts = count_orders(grams)
+    less = discounts(counts)
+    known = {langs[r[0]] for r in less[1] if r[7] and r[8]}
+    folders = max(grams.select("slice").distinct().count(), 1)
+    path = common.shared_dir(spark, "slice-scores")
+    answer(grams, scores(counts, less), path, folders)
+
+    at = lambda q: F.percentile_approx("_bits", q, 20000)
+    held_out = _scored(marked.where("_trusted"), path, folders, langs, known, ["_lang"])
+    quantiles = held_out.groupBy("_lang").agg(F.array(at(low), at(0.5), at(high)).alias("q"), F.count("_bits").alias("n")).where("n > 0").collect()
     limits = {}
     for r in quantiles:
         (a, middle, b), unsure = r["q"], UNSURE / r["n"] ** 0.5
-        limits[r["_own"]] = (2 ** (a - unsure * (middle - a)), 2 ** (b + unsure * (b - middle)))
+        limits[r["_lang"]] = (2 ** (a - unsure * (middle - a)), 2 ** (b + unsure * (b - middle)))
 
-    columns = ["_id", "_lang", *["_text" if c == text_col else c for c in keep_cols]]
-    scored = _scored(named, path, whole, columns)
+    scored = _scored(named, path, folders, langs, known, ["_id", "_lang", *["_text" if c == text_col else c for c in keep_cols]])
     # A row for each language that has trusted text.
-    spark: SparkSession = docs.sparkSession
     table = spark.createDataFrame([(k, *v) for k, v in sorted(limits.items())], "_lang string, low_limit double, high_limit double")
     out = scored.join(F.broadcast(table), "_lang", "left").withColumn("perplexity", F.pow(F.lit(2.0), "_bits"))
     fits = F.col("perplexity").between(F.col("low_limit"), F.col("high_limit"))
