@@ -51,11 +51,8 @@ def shuffle_width(spark: SparkSession) -> int:
 caches: dict[str, Callable[[], None]] = {}
 
 
-def begin(operator: str) -> None:
-    """At a task's start: lets go of what other operators keep in this worker, and returns freed memory to the machine."""
-    for name, clear in caches.items():
-        if name != operator:
-            clear()
+def release() -> None:
+    """Returns freed memory to the machine."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -64,6 +61,14 @@ def begin(operator: str) -> None:
         pass
 
 
+def begin(operator: str) -> None:
+    """At a task's start: lets go of what other operators keep in this worker, and returns freed memory to the machine."""
+    for name, clear in caches.items():
+        if name != operator:
+            clear()
+    release()
+
+
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES):
     """Cuts a record batch into runs of rows with about ``limit`` bytes in a string column, one row at least."""
     text = batch.column(column)

@@ -32,6 +32,8 @@ _BOUNDARY = 10
 UNSURE = 3.0
 #: Scores are kept in parts of a bit, so that those of both models take 32 bits.
 PARTS_OF_BIT = 2048
+#: Files that hold a slice's scores, at most.
+DEALT = 4
 _CODE, _CLASS = 8 * ORDER, 60
 
 
@@ -111,6 +113,8 @@ def slice_grams(texts: DataFrame, langs: list[str]) -> DataFrame:
                         held = [merged(held)]
         if held:
             yield flush(now, held)
+        held = []
+        common.release()  # JVM tasks come next, beside this idle worker
 
     return texts.select("_slice", "_lang", "_text", "_class").mapInArrow(tasks, "slice long, g long, c0 long, c1 long")
 
@@ -178,7 +182,8 @@ def answer(grams: DataFrame, found: DataFrame, path: str, folders: int) -> None:
     bits = lambda p: F.least(F.round(-F.log2(p) * PARTS_OF_BIT), F.lit(65535)).cast("int")
     packed = found.select("g", F.shiftleft(bits("p0"), 16).bitwiseOR(bits("p1")).alias("bits"))
     rows = grams.select("slice", "g").join(packed, "g").withColumn("folder", (F.col("slice") % folders).cast("int"))
-    rows.repartition(folders, "folder").sortWithinPartitions("folder", "slice", "g").write.option("compression", "zstd").partitionBy("folder").parquet(path)
+    # A folder's rows are dealt to several tasks, so that those whose hashes fall together do not make one task long.
+    rows.repartition(folders, "folder", F.col("g") % DEALT).sortWithinPartitions("folder", "slice", "g").write.option("compression", "zstd").partitionBy("folder").parquet(path)
 
 
 class _Scores:
@@ -247,6 +252,8 @@ def _scored(rows: DataFrame, path: str, folders: int, langs: list[str], known: s
                         bits[k] = (mine >> 16 if half[k] else mine & 0xFFFF).mean(dtype=np.float64) / PARTS_OF_BIT
                 arrays = [part.column(part.schema.get_field_index(c)) for c in columns]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits, mask=np.isnan(bits)), pa.array(sizes)], names=[*columns, "_bits", "_bytes"])
+        _held.clear()
+        common.release()
 
     return rows.select(*dict.fromkeys(["_slice", "_lang", "_text", "_half", *columns])).mapInArrow(tasks, schema)
 
