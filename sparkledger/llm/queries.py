@@ -83,7 +83,13 @@ def op10_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op4_near_vectors, op5_near_duplicates, op6_warc_archives, op7_token_files, op8_one_bit_search, op9_repeated_passages, op10_piece_codes)}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import conversations
+
+    return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op4_near_vectors, op5_near_duplicates, op6_warc_archives, op7_token_files, op8_one_bit_search, op9_repeated_passages, op10_piece_codes, op13_conversation_repair)}
 ORACLES: dict[str, str] = {
     "op4_near_vectors": """
         WITH RECURSIVE v AS (
