@@ -47,6 +47,16 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def group_bytes(total: int, least: int = 8 << 20, most: int = 32 << 20) -> int:
+    """Bytes of text in a group: they grow with the root of all text, so that groups and what each sends to each shard stay few."""
+    return min(most, max(least, int(512 * total**0.5)))
+
+
+def width_of(spark: SparkSession, groups: int, most: int = 20_000) -> int:
+    """Partitions for so many groups; beyond ``most`` a partition has several, one after the other."""
+    return max(1, min(groups, max(most, shuffle_width(spark))))
+
+
 #: What operators keep in a worker between tasks: how to let go of it, by operator.
 caches: dict[str, Callable[[], None]] = {}
 
@@ -190,6 +200,15 @@ def window_hashes(words: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
     return out
 
 
+def member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Whether each value is among the sorted ones."""
+    if not len(of):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(of, values)
+    at[at == len(of)] = 0
+    return of[at] == values
+
+
 def row_of(bounds: np.ndarray) -> np.ndarray:
     """For bounds of consecutive runs, the run each element is in."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))

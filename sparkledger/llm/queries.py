@@ -83,13 +83,19 @@ def op10_piece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import phrases
+
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import conversations
 
     return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op4_near_vectors, op5_near_duplicates, op6_warc_archives, op7_token_files, op8_one_bit_search, op9_repeated_passages, op10_piece_codes, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op4_near_vectors, op5_near_duplicates, op6_warc_archives, op7_token_files, op8_one_bit_search, op9_repeated_passages, op10_piece_codes, op11_phrases, op13_conversation_repair)}
 ORACLES: dict[str, str] = {
     "op4_near_vectors": """
         WITH RECURSIVE v AS (
@@ -158,6 +164,30 @@ ORACLES: dict[str, str] = {
         SELECT w.doc_id AS doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
         FROM w JOIN least ON least.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
     """,
+    "op11_phrases": """
+        WITH p AS (
+            SELECT doc_id, coalesce(lang, 'und') AS lang, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\\x0A-\\x0D]+') AS ps FROM documents
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (SELECT lang, unnest(ps) AS piece FROM p)
+        ), f AS (
+            SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase, count(*) AS f
+            FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 4) r(k) WHERE len(ws) >= k) GROUP BY 1, 2, 3 HAVING count(*) >= 10
+        ), n AS (
+            SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY 1
+        ), c AS (
+            SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2
+        ), longer AS (
+            SELECT lang, phrase, max(a) AS m FROM (SELECT lang, ws[1] || ' ' || ws[2] AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, ws[2] || ' ' || ws[3], a FROM c WHERE k = 3) GROUP BY 1, 2
+        ), cuts AS (
+            SELECT *, array_to_string(ws[1:cut], ' ') AS x, array_to_string(ws[cut + 1:k], ' ') AS y FROM c, range(1, 3) r(cut) WHERE cut < k
+        ), scored AS (
+            SELECT cuts.lang, cuts.phrase, a, fx.f AS l, fy.f AS r, cut, (1000000::HUGEINT * a * a) // (fx.f::HUGEINT * fy.f) AS score
+            FROM cuts JOIN f fx ON fx.lang = cuts.lang AND fx.phrase = x JOIN f fy ON fy.lang = cuts.lang AND fy.phrase = y LEFT JOIN longer ON longer.lang = cuts.lang AND longer.phrase = cuts.phrase
+            WHERE m IS NULL OR 100 * m < 50 * a QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, cut) = 1
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+        FROM scored JOIN n USING (lang) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+    """,
     "op6_warc_archives": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html FROM pages

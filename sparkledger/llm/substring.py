@@ -75,15 +75,6 @@ def _sizes(column, width: int) -> np.ndarray:
     return (pc.fill_null(pc.binary_length(column), 0).to_numpy() // width).astype(np.int64)
 
 
-def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Whether each value is among the sorted ones."""
-    if not len(of):
-        return np.zeros(len(values), bool)
-    at = np.searchsorted(of, values)
-    at[at == len(of)] = 0
-    return of[at] == values
-
-
 def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", keep_cols: tuple[str, ...] = (), as_text: str = "words") -> DataFrame:
     """One row per row of ``docs``: its id, the columns in ``keep_cols``, n_words, n_removed and kept_text.
 
@@ -152,7 +143,7 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
         hashes, group = _joined(table["hashes"], np.uint64), _joined(table["groups"], np.int32)
         values, counts = np.unique(hashes, return_counts=True)
         many = np.union1d(values[counts > 1], hashes[group < 0])
-        mine = (group >= 0) & _member(hashes, many)
+        mine = (group >= 0) & common.member(hashes, many)
         keys, packed = _blobs({"hashes": hashes[mine]}, group[mine].astype(np.int64))
         return pa.concat_tables([pa.table({"group": pa.array(keys.astype(np.int32)), "hashes": packed["hashes"]}), passed], promote_options="permissive")
 
@@ -167,7 +158,7 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
         found, whole = words.runs(anchor, 1)
         hit = np.zeros(len(words.hashes) + modulus + 1, np.int32)
         at = np.flatnonzero(whole & covered[(words.place % modulus)[: len(found)]])
-        hit[at] = _member(found[at], again)
+        hit[at] = common.member(found[at], again)
         ahead = np.concatenate(([0], np.cumsum(hit)))
         found, whole = words.runs(window, 2)
         at = np.flatnonzero(whole & (ahead[modulus : modulus + len(found)] > ahead[: len(found)]))
@@ -201,7 +192,7 @@ def mark_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
         at = np.flatnonzero(whole)
         hashes, starts = found[at], words.place[at]
         ids = pc.fill_null(left["_id"].combine_chunks(), lowest).to_numpy()[words.row[at]]
-        gone = _member(hashes, np.unique(_joined(right["hashes"], np.uint64)) if right.num_rows else np.empty(0, np.uint64))
+        gone = common.member(hashes, np.unique(_joined(right["hashes"], np.uint64)) if right.num_rows else np.empty(0, np.uint64))
         order = np.argsort(hashes, kind="stable")
         same = np.concatenate(([False], hashes[order][1:] == hashes[order][:-1]))[: len(order)]
         near = same.copy()
