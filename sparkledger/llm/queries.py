@@ -89,13 +89,19 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkledger.llm import suffixes
+
+    return suffixes.digest(suffixes.mark_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkledger.llm import conversations
 
     return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op4_near_vectors, op5_near_duplicates, op6_warc_archives, op7_token_files, op8_one_bit_search, op9_repeated_passages, op10_piece_codes, op11_phrases, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op2_pack_pieces, op3_license_spans, op4_near_vectors, op5_near_duplicates, op6_warc_archives, op7_token_files, op8_one_bit_search, op9_repeated_passages, op10_piece_codes, op11_phrases, op12_repeated_strings, op13_conversation_repair)}
 ORACLES: dict[str, str] = {
     "op4_near_vectors": """
         WITH RECURSIVE v AS (
