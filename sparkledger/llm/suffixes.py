@@ -383,6 +383,7 @@ def mark_repeats(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
 
     def runs(left: pa.Table, right: pa.Table) -> pa.Table:
         """Of a group: its suffixes that take part, for each level, base and range one front-coded run."""
+        common.begin("suffixes")
         rows = []
         if left.num_rows and right.num_rows:
             data, offsets, _ = text_of(left)
@@ -410,6 +411,7 @@ def mark_repeats(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
 
     def merge(table: pa.Table) -> pa.Table:
         """Of a range: the contexts that hold windows which occur again, with a bit for each distance."""
+        common.begin("suffixes")
         size = widths[table["level"][0].as_py()]
         shared, befores, near, contexts, where = [], [], [], [], []
         for same, _, (before, low, context, bucket) in merged([Run(x.as_py()) for x in table["run"]]):
@@ -446,6 +448,7 @@ def mark_repeats(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         """The group's texts without the bytes of repeated windows."""
+        common.begin("suffixes")
         data, offsets = common.text_bytes(left["_text"].combine_chunks()) if left.num_rows else (np.empty(0, np.uint8), np.zeros(1, np.int64))
         hit = np.zeros(len(data), bool)
         told = right.filter(pc.equal(right["kind"], 2))
@@ -460,18 +463,22 @@ def mark_repeats(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
                         some = mine[low : low + 8192]
                         item, d = np.nonzero(np.unpackbits(bits[np.searchsorted(context, x["context"][some])], axis=1))
                         hit[(x["anchor"][some] - x["base"][some])[item] + piece.low - d] = True
-        upto = np.concatenate(([0], np.cumsum(hit, dtype=np.int64)))
-        place = np.arange(len(data))
-        gone = upto[1:] > upto[np.maximum(place + 1 - window, 0)]
+        gone = np.zeros(len(data), bool)
+        for low in range(0, len(data), PIECE):  # a byte goes if a repeated window begins at most window - 1 bytes ahead of it
+            first = max(0, low - window + 1)
+            upto = np.concatenate((np.zeros(window, np.int32), np.cumsum(hit[first : low + PIECE], dtype=np.int32)))
+            size = min(PIECE, len(data) - low)
+            at = np.arange(low - first, low - first + size)
+            gone[low : low + size] = upto[at + window] > upto[at]
         head = gone.copy()
         head[1:] &= ~gone[:-1]
         starts = offsets[:-1][offsets[:-1] < offsets[1:]]
         head[starts] = gone[starts]
-        sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x, dtype=np.int64)))[offsets])
-        kept, ends = data[~gone], np.concatenate(([0], np.cumsum(~gone, dtype=np.int64)))[offsets]
+        ahead = np.searchsorted(np.flatnonzero(gone), offsets)  # how many go before each text
+        spans = np.diff(np.searchsorted(np.flatnonzero(head), offsets))
         return pa.table({
-            "_id": left["_id"], **{c: left[c] for c in keep_cols}, "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(sums(gone)), "n_spans": pa.array(sums(head)),
-            "kept": common.binary_array(kept, ends),
+            "_id": left["_id"], **{c: left[c] for c in keep_cols}, "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(np.diff(ahead)), "n_spans": pa.array(spans),
+            "kept": common.binary_array(data[~gone], offsets - ahead),
         })
 
     cut = dealt.groupBy("_group").cogroup(verdict.groupBy("group")).applyInArrow(runs, "level int, base int, part int, run binary")
