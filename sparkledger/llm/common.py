@@ -164,18 +164,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, the value of a polynomial at ``base``, an odd number."""
     out = np.empty(len(starts), np.uint64)
     i = 0
-    inverse = pow(_BASE, -1, 2**64)
+    inverse = pow(base, -1, 2**64)
     while i < len(starts):
         j = max(int(np.searchsorted(ends, starts[i] + _PIECE, side="right")), i + 1)
         low = starts[i]
         piece = data[low : ends[j - 1]]
         sums = np.empty(len(piece) + 1, np.uint64)
         sums[0] = 0
-        np.cumsum(_BYTE_CODES[piece] * _power(_BASE, len(piece)), dtype=np.uint64, out=sums[1:])
+        np.cumsum(_BYTE_CODES[piece] * _power(base, len(piece)), dtype=np.uint64, out=sums[1:])
         s, e = starts[i:j] - low, ends[i:j] - low
         h = (sums[e] - sums[s]) * _power(inverse, len(piece))[s]
         out[i:j] = mix(h + (e - s).astype(np.uint64) * np.uint64(_WORD_BASE))

@@ -6,9 +6,13 @@ hashes of its words.  The steps:
 1. each group sorts shortened fingerprints with their counts, cuts them by ranges and sends each range, as
    differences, to its shard together with the group's number, the pointer back to where they occur;
 2. a shard adds up and tells the groups which of theirs are frequent in all; what is rare anywhere ends here;
-3. a group takes the n-grams behind those, counts them by their full fingerprints, verifies every occurrence
-   of one against the text of its first, and only then writes out the phrase as text with its count;
-4. counts are added by language and text, so two phrases never share one, whatever their fingerprints.
+3. a group takes the n-grams behind those, counts them by two full fingerprints from polynomials at different
+   points, verifies every occurrence of one against the text of its first, and sends counts to the shards;
+4. a shard adds up exactly, and points to one group that holds each frequent phrase;
+5. that group alone writes the phrase out as text.
+
+Two different phrases of one group that agree in both fingerprints end the job with an error; those of different
+groups would have to agree in the shortened one and the second one, 93 bits and more.
 
 Scores are exact decimals over the table of frequent phrases.
 """
@@ -33,12 +37,18 @@ LONGEST, SHARD = 3, 4 << 20
 BROADCAST_ROWS = 200_000
 #: Words whose bytes are compared at once.
 COMPARED = 1 << 19
+#: Parts of a language whose best phrases are found apart.
+PARTS = 64
+#: Where the second polynomial is taken.
+SECOND = 0xC2B2AE3D27D4EB4F
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Sorted integers as differences of two or four bytes, of which the largest adds and goes on."""
+    """Sorted integers as differences of one, two or four bytes, of which the largest adds and goes on."""
     steps = np.diff(values, prepend=np.uint64(0)).astype(np.uint64)
-    kind, most = (np.uint16, 0xFFFF) if len(values) and values[-1] // np.uint64(len(values)) < 16384 else (np.uint32, 0xFFFFFFFF)
+    mean = int(values[-1]) // len(values) if len(values) else 0
+    kind = np.uint8 if mean < 128 else np.uint16 if mean < 16384 else np.uint32
+    most = np.iinfo(kind).max
     more = (steps // np.uint64(most)).astype(np.int64)
     out = np.full(len(steps) + int(more.sum()), most, kind)
     out[np.cumsum(more + 1) - 1] = (steps % np.uint64(most)).astype(kind)
@@ -47,7 +57,7 @@ def packed(values: np.ndarray) -> bytes:
 
 def unpacked(blob) -> np.ndarray:
     data = memoryview(blob)
-    kind = np.uint16 if data[0] == 2 else np.uint32
+    kind = {1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]]
     steps = np.frombuffer(data, kind, offset=1)
     return np.cumsum(steps, dtype=np.uint64)[steps != np.iinfo(kind).max]
 
@@ -68,13 +78,18 @@ class Grams:
         raw, places = common.text_bytes(names.dictionary)
         self.seeds = common.word_hashes(raw, places[:-1], places[1:])
 
-    def prints(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+    def second(self) -> np.ndarray:
+        """Other hashes of the words."""
+        return common.word_hashes(self.data, self.starts, self.ends, SECOND)
+
+    def prints(self, size: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Where n-grams of ``size`` words begin, by word, and their fingerprints, which differ by language too."""
+        hashes = self.hashes if hashes is None else hashes
         last = len(self.hashes) - size + 1
         if last <= 0:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
         at = np.flatnonzero((self.row[:last] == self.row[size - 1 :]) & (self.piece[:last] == self.piece[size - 1 :]))
-        return at, common.mix(common.window_hashes(self.hashes, size, 50 + size)[at] ^ self.seeds[self.lang[self.row[at]]])
+        return at, common.mix(common.window_hashes(hashes, size, 50 + size)[at] ^ self.seeds[self.lang[self.row[at]]])
 
     def word_ids(self) -> np.ndarray:
         """A number for each word, equal for equal words: by hash, each word compared with the first of its hash."""
@@ -94,25 +109,31 @@ class Grams:
             ids = np.array([known.setdefault(raw[s:e], len(known)) for s, e in zip(self.starts.tolist(), self.ends.tolist())], np.int64)
         return ids
 
-    def counted(self, size: int, wanted) -> tuple[np.ndarray, np.ndarray]:
-        """Of the n-grams whose fingerprints are wanted: the first place of each different one, and how often it occurs."""
+    def counted(self, size: int, wanted, second: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the n-grams whose fingerprints are wanted, by different one: both fingerprints, the first place, and how often it occurs."""
         at, prints = self.prints(size)
         mine = wanted(prints)
-        at, prints = at[mine], prints[mine]
-        _, first, which, counts = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
-        like = at[first[which]]
-        ids, lang = self.ids, self.lang[self.row]
-        if all(np.array_equal(ids[at + k], ids[like + k]) for k in range(size)) and np.array_equal(lang[at], lang[like]):
-            return at[first], counts
-        keys = np.stack([lang[at], *(ids[at + k] for k in range(size))], 1)  # a collision: counted by words themselves
-        _, first, counts = np.unique(keys, axis=0, return_index=True, return_counts=True)
-        return at[first], counts
+        at, prints, others = at[mine], prints[mine], self.prints(size, second)[1][mine]
+        order = np.lexsort((at, others, prints))
+        at, prints, others = at[order], prints[order], others[order]
+        first = np.flatnonzero(np.concatenate(([True], (prints[1:] != prints[:-1]) | (others[1:] != others[:-1])))[: len(at)])
+        counts = np.diff(first, append=len(at))
+        like = np.repeat(at[first], counts)
+        if not all(np.array_equal(ids[at + k], ids[like + k]) for k in range(size)) or not np.array_equal(self.lang[self.row[at]], self.lang[self.row[like]]):
+            raise ValueError("two phrases agree in both fingerprints; change SECOND")
+        return prints[first], others[first], at[first], counts
+
+
+def _by_shard(codes: np.ndarray, shards: int, span: int) -> list[tuple[int, int, int]]:
+    """Shards with their parts of sorted codes."""
+    marks = [int(c) for c in np.searchsorted(codes, np.arange(1, shards, dtype=np.uint64) * np.uint64(span))]
+    return [(s, a, b) for s, (a, b) in enumerate(zip([0, *marks], [*marks, len(codes)])) if b > a]
 
 
 def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, phrase, size, f of every run of one to three words within a piece that occurs ``least`` times or more in its language.
 
-    A row of size 0 and no phrase holds the number of all words of a language.  A-Z are lower-cased, texts are
+    Rows of size 0 and no phrase hold numbers of words of a language, to be added up.  A-Z are lower-cased, texts are
     cut at ``[.,;:!?\\x0A-\\x0D]`` and those pieces into words at blanks and tabs.  Null texts are empty, a null language is
     ``und``; repeated rows count each time.
     """
@@ -121,8 +142,8 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
     total = source.agg(F.sum(F.octet_length("_text")).alias("n")).first()["n"] or 0
     groups = max(1, math.ceil(total / common.group_bytes(total)))
     width = common.width_of(spark, groups)
-    # Fingerprints are cut to so many bits that only one in about fifty meets another by chance.
-    bits = min(64, max(32, total.bit_length() + 4))
+    # Fingerprints are cut to so many bits that there are more values than n-grams: few rare ones then seem frequent.
+    bits = min(64, max(24, total.bit_length() - 1))
     shards = max(1, math.ceil(total / 2.5 / SHARD))
     cut, span = np.uint64(64 - bits), -(-(1 << bits) // shards)
     dealt = source.select("_text", "_lang", F.pmod(F.xxhash64("_id", "_text"), F.lit(groups)).cast("int").alias("_group")).repartition(width, "_group")
@@ -136,8 +157,7 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
         first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))[: len(codes)])
         counts = np.minimum(np.diff(first, append=len(codes)), least).astype(np.uint8 if least < 256 else np.uint32)
         codes = codes[first]
-        marks = [int(c) for c in np.searchsorted(codes, np.arange(1, shards, dtype=np.uint64) * np.uint64(span))]
-        rows = [(s, a, b) for s, (a, b) in enumerate(zip([0, *marks], [*marks, len(codes)])) if b > a]
+        rows = _by_shard(codes, shards, span)
         return pa.table({
             "shard": pa.array([s for s, _, _ in rows], pa.int32()), "group": pa.array([table["_group"][0].as_py()] * len(rows), pa.int32()),
             "codes": pa.array([packed(codes[a:b] - np.uint64(s * span)) for s, a, b in rows], pa.binary()), "counts": pa.array([counts[a:b].tobytes() for _, a, b in rows], pa.binary()),
@@ -158,29 +178,73 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
                 out.append((group, packed(kept + base)))
         return pa.table({"group": pa.array([g for g, _ in out], pa.int32()), "codes": pa.array([c for _, c in out], pa.binary())})
 
+    def tally(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Of a group: the exact counts of its n-grams whose shortened fingerprints are frequent, for the shards."""
+        common.begin("phrases")
+        rows, codes = [], np.empty(0, np.uint64)
+        if left.num_rows and right.num_rows:
+            grams = Grams(left["_text"].combine_chunks(), left["_lang"].combine_chunks())
+            wanted = np.sort(np.concatenate([unpacked(x.as_buffer()) for x in right["codes"]]))
+            ids, second = grams.word_ids(), grams.second()
+            found = [grams.counted(size, lambda prints: common.member(prints >> cut, wanted), second, ids) for size in range(1, LONGEST + 1)]
+            codes, others, counts = (np.concatenate([f[k] for f in found]) for k in (0, 1, 3))
+            codes >>= cut
+            order = np.lexsort((others, codes))
+            codes, others, counts = codes[order], others[order], counts[order].astype(np.uint32)
+            rows = _by_shard(codes, shards, span)
+        return pa.table({
+            "shard": pa.array([s for s, _, _ in rows], pa.int32()), "group": pa.array([left["_group"][0].as_py()] * len(rows), pa.int32()), "codes": pa.array([packed(codes[a:b] - np.uint64(s * span)) for s, a, b in rows], pa.binary()),
+            "others": pa.array([others[a:b].tobytes() for _, a, b in rows], pa.binary()), "counts": pa.array([counts[a:b].tobytes() for _, a, b in rows], pa.binary()),
+        })
+
+    def settle(table: pa.Table) -> pa.Table:
+        """Of a shard: the phrases that are frequent, each pointed at the first group that holds it, with its count."""
+        codes, others = np.concatenate([unpacked(x.as_buffer()) for x in table["codes"]]), np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["others"]])
+        sizes = [len(x.as_py()) // 4 for x in table["counts"]]
+        counts, group = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]]), np.repeat(table["group"].to_numpy(), sizes)
+        order = np.lexsort((group, others, codes))
+        codes, others, counts, group = codes[order], others[order], counts[order], group[order]
+        first = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (others[1:] != others[:-1])))[: len(codes)])
+        sums = np.add.reduceat(counts.astype(np.int64), first)
+        often = sums >= least
+        others, group, sums = others[first][often], group[first][often], sums[often]
+        order = np.lexsort((others, group))
+        others, group, sums = others[order], group[order], sums[order]
+        cuts = [*np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))[: len(group)]).tolist(), len(group)]
+        parts = list(zip(cuts, cuts[1:]))
+        return pa.table({"group": pa.array([int(group[a]) for a, _ in parts], pa.int32()), "others": pa.array([others[a:b].tobytes() for a, b in parts], pa.binary()), "sums": pa.array([sums[a:b].tobytes() for a, b in parts], pa.binary())})
+
     def write_out(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Of a group: the phrases whose fingerprints are frequent, verified and written out, with the group's counts."""
+        """Of a group: its languages' numbers of words, and the phrases that it was asked for as text with their counts in all."""
+        common.begin("phrases")
         langs, phrases, sizes, counts = [], [], [], []
         if left.num_rows:
             grams = Grams(left["_text"].combine_chunks(), left["_lang"].combine_chunks())
             words = np.bincount(grams.lang[grams.row], minlength=len(grams.langs))
             langs, phrases, sizes, counts = list(grams.langs), [None] * len(words), [0] * len(words), words.tolist()
-            wanted = np.sort(np.concatenate([unpacked(x.as_buffer()) for x in right["codes"]])) if right.num_rows else np.empty(0, np.uint64)
-            grams.ids, raw = grams.word_ids(), grams.data.tobytes()
-            for size in range(1, LONGEST + 1):
-                at, n = grams.counted(size, lambda prints: common.member(prints >> cut, wanted))
-                spans = [[raw[a:b] for a, b in zip(grams.starts[at + k].tolist(), grams.ends[at + k].tolist())] for k in range(size)]
-                phrases += [b" ".join(x).decode() for x in zip(*spans)]
-                langs += [grams.langs[x] for x in grams.lang[grams.row[at]].tolist()]
-                sizes += [size] * len(at)
-                counts += n.tolist()
-        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "size": pa.array(sizes, pa.int32()), "n": pa.array(counts, pa.int64())})
-
-    sifted = dealt.groupBy("_group").applyInArrow(sift, "shard int, group int, codes binary, counts binary")
-    told = sifted.repartition(common.width_of(spark, shards), "shard").groupBy("shard").applyInArrow(frequent, "group int, codes binary").repartition(width, "group")
-    own = dealt.groupBy("_group").cogroup(told.groupBy("group")).applyInArrow(write_out, "lang string, phrase string, size int, n long")
-    summed = own.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f"))
-    return summed.where((F.col("f") >= least) | (F.col("size") == 0) & (F.col("f") > 0))
+            if right.num_rows:
+                asked, sums = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in right[c]]) for c, kind in (("others", np.uint64), ("sums", np.int64)))
+                order = np.argsort(asked)
+                asked, sums = asked[order], sums[order]
+                second, raw = grams.second(), grams.data.tobytes()
+                for size in range(1, LONGEST + 1):
+                    at, others = grams.prints(size, second)
+                    mine = common.member(others, asked)
+                    others, first = np.unique(others[mine], return_index=True)
+                    at = at[mine][first]
+                    spans = [[raw[a:b] for a, b in zip(grams.starts[at + k].tolist(), grams.ends[at + k].tolist())] for k in range(size)]
+                    phrases += [b" ".join(x).decode() for x in zip(*spans)]
+                    langs += [grams.langs[x] for x in grams.lang[grams.row[at]].tolist()]
+                    sizes += [size] * len(at)
+                    counts += sums[np.searchsorted(asked, others)].tolist()
+        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "size": pa.array(sizes, pa.int32()), "f": pa.array(counts, pa.int64())})
+
+    by_shard = lambda df: df.repartition(common.width_of(spark, shards), "shard").groupBy("shard")
+    texts = dealt.groupBy("_group")
+    told = by_shard(texts.applyInArrow(sift, "shard int, group int, codes binary, counts binary")).applyInArrow(frequent, "group int, codes binary")
+    exact = texts.cogroup(told.repartition(width, "group").groupBy("group")).applyInArrow(tally, "shard int, group int, codes binary, others binary, counts binary")
+    asked = by_shard(exact).applyInArrow(settle, "group int, others binary, sums binary")
+    return texts.cogroup(asked.repartition(width, "group").groupBy("group")).applyInArrow(write_out, "lang string, phrase string, size int, f long")
 
 
 def collocations(docs: DataFrame, least: int = 10, inside: int = 50, most: int = 2000, **columns: str) -> DataFrame:
@@ -192,7 +256,7 @@ def collocations(docs: DataFrame, least: int = 10, inside: int = 50, most: int =
     a frequent phrase have no row; an empty table gives none.
     """
     table = common.materialize(frequent_phrases(docs, least, **columns), "phrases")
-    words = table.where("size = 0").select("lang", F.col("f").alias("n"))
+    words = table.where("size = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     known = table.where("size > 0")
     few = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     small = (lambda df: F.broadcast(df)) if few else (lambda df: df)
@@ -211,6 +275,9 @@ def collocations(docs: DataFrame, least: int = 10, inside: int = 50, most: int =
     whole = {c: F.col(c).cast("decimal(38,0)") for c in "alr"}
     exact = parts.withColumns({f"_{c}": v for c, v in whole.items()}).withColumn("score", F.expr("(CAST(1000000 AS DECIMAL(38,0)) * _a * _a) div (_l * _r)"))
     best = exact.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("b")).select("lang", "phrase", "a", "b.score", "b.l", "b.r")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    first = best.withColumn("rank", rank).where(F.col("rank") <= most)
+    # First within parts of a language, so that no task sorts more than ``PARTS`` times ``most`` of one.
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    parted = best.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    parted = parted.withColumn("rank", rank("lang", "_part")).where(F.col("rank") <= most)
+    first = parted.withColumn("rank", rank("lang")).where(F.col("rank") <= most)
     return first.join(words, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", F.col("score").cast("long"))
