@@ -47,9 +47,9 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def group_bytes(total: int, least: int = 8 << 20, most: int = 32 << 20) -> int:
+def group_bytes(total: int, factor: int = 256, least: int = 8 << 20, most: int = 32 << 20) -> int:
     """Bytes of text in a group: they grow with the root of all text, so that groups and what each sends to each shard stay few."""
-    return min(most, max(least, int(256 * total**0.5)))
+    return min(most, max(least, int(factor * total**0.5)))
 
 
 def width_of(spark: SparkSession, groups: int, most: int = 20_000) -> int:

@@ -12,7 +12,7 @@ hashes of its words.  The steps:
 5. that group alone writes the phrase out as text.
 
 Two different phrases of one group that agree in both fingerprints end the job with an error; those of different
-groups would have to agree in the shortened one and the second one, 93 bits and more.
+groups would have to agree in the shortened one and 48 bits of the second one, together 77 bits at 1 GB and more beyond.
 
 Scores are exact decimals over the table of frequent phrases.
 """
@@ -47,7 +47,7 @@ def packed(values: np.ndarray) -> bytes:
     """Sorted integers as differences of one, two or four bytes, of which the largest adds and goes on."""
     steps = np.diff(values, prepend=np.uint64(0)).astype(np.uint64)
     mean = int(values[-1]) // len(values) if len(values) else 0
-    kind = np.uint8 if mean < 128 else np.uint16 if mean < 16384 else np.uint32
+    kind = np.uint8 if mean < 350 else np.uint16 if mean < 16384 else np.uint32
     most = np.iinfo(kind).max
     more = (steps // np.uint64(most)).astype(np.int64)
     out = np.full(len(steps) + int(more.sum()), most, kind)
@@ -62,6 +62,32 @@ def unpacked(blob) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)[steps != np.iinfo(kind).max]
 
 
+def small_counts(counts: np.ndarray) -> bytes:
+    """Counts of a byte each, and those of 255 and more behind them."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def counts_of(blob, n: int) -> np.ndarray:
+    out = np.frombuffer(blob, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(blob, np.int64, offset=n)
+    return out
+
+
+def _six_bytes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def _of_six_bytes(blob) -> np.ndarray:
+    """Values without their lowest 16 bits."""
+    parts = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return np.concatenate((np.zeros((len(parts), 2), np.uint8), parts), 1).view(np.uint64).ravel()
+
+
+def _both(codes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """One number for a shortened and a second fingerprint."""
+    return common.mix(codes + np.uint64(1)) ^ (others >> np.uint64(16) << np.uint64(16))
+
+
 class Grams:
     """Words of a group of texts and the n-grams that lie within pieces."""
 
@@ -140,7 +166,7 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
     spark = docs.sparkSession
     source = docs.select(F.coalesce(text_col, F.lit("")).alias("_text"), F.coalesce(lang_col, F.lit("und")).alias("_lang"), F.col(id_col).alias("_id"))
     total = source.agg(F.sum(F.octet_length("_text")).alias("n")).first()["n"] or 0
-    groups = max(1, math.ceil(total / common.group_bytes(total)))
+    groups = max(1, math.ceil(total / common.group_bytes(total, 400)))
     width = common.width_of(spark, groups)
     # Fingerprints are cut to so many bits that there are more values than n-grams: few rare ones then seem frequent.
     bits = min(64, max(24, total.bit_length() - 1))
@@ -165,7 +191,6 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
 
     def frequent(table: pa.Table) -> pa.Table:
         """Of a shard: by group, which of its fingerprints reach ``least`` over all groups."""
-        base = np.uint64(table["shard"][0].as_py() * span)
         codes = [unpacked(x.as_buffer()) for x in table["codes"]]
         counts = [np.frombuffer(x.as_buffer(), np.uint8 if least < 256 else np.uint32) for x in table["counts"]]
         values, which = np.unique(np.concatenate(codes), return_inverse=True)
@@ -175,8 +200,9 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
             kept = mine[often[which[low : low + len(mine)]]]
             low += len(mine)
             if len(kept):
-                out.append((group, packed(kept + base)))
-        return pa.table({"group": pa.array([g for g, _ in out], pa.int32()), "codes": pa.array([c for _, c in out], pa.binary())})
+                out.append((group, packed(kept)))
+        shard = [table["shard"][0].as_py()] * len(out)
+        return pa.table({"group": pa.array([g for g, _ in out], pa.int32()), "shard": pa.array(shard, pa.int32()), "codes": pa.array([c for _, c in out], pa.binary())})
 
     def tally(left: pa.Table, right: pa.Table) -> pa.Table:
         """Of a group: the exact counts of its n-grams whose shortened fingerprints are frequent, for the shards."""
@@ -184,35 +210,37 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
         rows, codes = [], np.empty(0, np.uint64)
         if left.num_rows and right.num_rows:
             grams = Grams(left["_text"].combine_chunks(), left["_lang"].combine_chunks())
-            wanted = np.sort(np.concatenate([unpacked(x.as_buffer()) for x in right["codes"]]))
+            wanted = np.sort(np.concatenate([unpacked(x.as_buffer()) + np.uint64(s * span) for s, x in zip(right["shard"].to_pylist(), right["codes"])]))
             ids, second = grams.word_ids(), grams.second()
             found = [grams.counted(size, lambda prints: common.member(prints >> cut, wanted), second, ids) for size in range(1, LONGEST + 1)]
             codes, others, counts = (np.concatenate([f[k] for f in found]) for k in (0, 1, 3))
             codes >>= cut
             order = np.lexsort((others, codes))
-            codes, others, counts = codes[order], others[order], counts[order].astype(np.uint32)
+            codes, others, counts = codes[order], others[order], counts[order]
             rows = _by_shard(codes, shards, span)
         return pa.table({
             "shard": pa.array([s for s, _, _ in rows], pa.int32()), "group": pa.array([left["_group"][0].as_py()] * len(rows), pa.int32()), "codes": pa.array([packed(codes[a:b] - np.uint64(s * span)) for s, a, b in rows], pa.binary()),
-            "others": pa.array([others[a:b].tobytes() for _, a, b in rows], pa.binary()), "counts": pa.array([counts[a:b].tobytes() for _, a, b in rows], pa.binary()),
+            "others": pa.array([_six_bytes(others[a:b]) for _, a, b in rows], pa.binary()), "counts": pa.array([small_counts(counts[a:b]) for _, a, b in rows], pa.binary()),
         })
 
     def settle(table: pa.Table) -> pa.Table:
         """Of a shard: the phrases that are frequent, each pointed at the first group that holds it, with its count."""
-        codes, others = np.concatenate([unpacked(x.as_buffer()) for x in table["codes"]]), np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["others"]])
-        sizes = [len(x.as_py()) // 4 for x in table["counts"]]
-        counts, group = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]]), np.repeat(table["group"].to_numpy(), sizes)
+        base = np.uint64(table["shard"][0].as_py() * span)
+        codes, others = [unpacked(x.as_buffer()) for x in table["codes"]], np.concatenate([_of_six_bytes(x.as_buffer()) for x in table["others"]])
+        sizes = [len(x) for x in codes]
+        counts, group = np.concatenate([counts_of(x.as_buffer(), n) for x, n in zip(table["counts"], sizes)]), np.repeat(table["group"].to_numpy(), sizes)
+        codes = np.concatenate(codes) + base
         order = np.lexsort((group, others, codes))
         codes, others, counts, group = codes[order], others[order], counts[order], group[order]
         first = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (others[1:] != others[:-1])))[: len(codes)])
-        sums = np.add.reduceat(counts.astype(np.int64), first)
+        sums = np.add.reduceat(counts, first)
         often = sums >= least
-        others, group, sums = others[first][often], group[first][often], sums[often]
-        order = np.lexsort((others, group))
-        others, group, sums = others[order], group[order], sums[order]
+        keys, group, sums = _both(codes, others)[first][often], group[first][often], sums[often]
+        order = np.lexsort((keys, group))
+        keys, group, sums = keys[order], group[order], sums[order]
         cuts = [*np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))[: len(group)]).tolist(), len(group)]
         parts = list(zip(cuts, cuts[1:]))
-        return pa.table({"group": pa.array([int(group[a]) for a, _ in parts], pa.int32()), "others": pa.array([others[a:b].tobytes() for a, b in parts], pa.binary()), "sums": pa.array([sums[a:b].tobytes() for a, b in parts], pa.binary())})
+        return pa.table({"group": pa.array([int(group[a]) for a, _ in parts], pa.int32()), "keys": pa.array([keys[a:b].tobytes() for a, b in parts], pa.binary()), "sums": pa.array([sums[a:b].tobytes() for a, b in parts], pa.binary())})
 
     def write_out(left: pa.Table, right: pa.Table) -> pa.Table:
         """Of a group: its languages' numbers of words, and the phrases that it was asked for as text with their counts in all."""
@@ -223,27 +251,28 @@ def frequent_phrases(docs: DataFrame, least: int = 10, id_col: str = "doc_id", t
             words = np.bincount(grams.lang[grams.row], minlength=len(grams.langs))
             langs, phrases, sizes, counts = list(grams.langs), [None] * len(words), [0] * len(words), words.tolist()
             if right.num_rows:
-                asked, sums = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in right[c]]) for c, kind in (("others", np.uint64), ("sums", np.int64)))
+                asked, sums = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in right[c]]) for c, kind in (("keys", np.uint64), ("sums", np.int64)))
                 order = np.argsort(asked)
                 asked, sums = asked[order], sums[order]
                 second, raw = grams.second(), grams.data.tobytes()
                 for size in range(1, LONGEST + 1):
-                    at, others = grams.prints(size, second)
-                    mine = common.member(others, asked)
-                    others, first = np.unique(others[mine], return_index=True)
+                    at, prints = grams.prints(size)
+                    keys = _both(prints >> cut, grams.prints(size, second)[1])
+                    mine = common.member(keys, asked)
+                    keys, first = np.unique(keys[mine], return_index=True)
                     at = at[mine][first]
                     spans = [[raw[a:b] for a, b in zip(grams.starts[at + k].tolist(), grams.ends[at + k].tolist())] for k in range(size)]
                     phrases += [b" ".join(x).decode() for x in zip(*spans)]
                     langs += [grams.langs[x] for x in grams.lang[grams.row[at]].tolist()]
                     sizes += [size] * len(at)
-                    counts += sums[np.searchsorted(asked, others)].tolist()
+                    counts += sums[np.searchsorted(asked, keys)].tolist()
         return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "size": pa.array(sizes, pa.int32()), "f": pa.array(counts, pa.int64())})
 
     by_shard = lambda df: df.repartition(common.width_of(spark, shards), "shard").groupBy("shard")
     texts = dealt.groupBy("_group")
-    told = by_shard(texts.applyInArrow(sift, "shard int, group int, codes binary, counts binary")).applyInArrow(frequent, "group int, codes binary")
+    told = by_shard(texts.applyInArrow(sift, "shard int, group int, codes binary, counts binary")).applyInArrow(frequent, "group int, shard int, codes binary")
     exact = texts.cogroup(told.repartition(width, "group").groupBy("group")).applyInArrow(tally, "shard int, group int, codes binary, others binary, counts binary")
-    asked = by_shard(exact).applyInArrow(settle, "group int, others binary, sums binary")
+    asked = by_shard(exact).applyInArrow(settle, "group int, keys binary, sums binary")
     return texts.cogroup(asked.repartition(width, "group").groupBy("group")).applyInArrow(write_out, "lang string, phrase string, size int, f long")
 
 

@@ -58,7 +58,7 @@ def rows_of(seed, texts=60):
 
 @pytest.fixture
 def small_groups(monkeypatch):
-    monkeypatch.setattr(common, "group_bytes", lambda total: 2000)
+    monkeypatch.setattr(common, "group_bytes", lambda total, factor: 2000)
     monkeypatch.setattr(phrases, "SHARD", 3000)
 
 
@@ -110,3 +110,9 @@ def test_collisions_are_found_in_the_text():
 def test_packed_integers(values, scale):
     values = np.unique(np.array([v % (scale * 40) for v in values], np.uint64))
     assert np.array_equal(phrases.unpacked(phrases.packed(values)), values)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(1, 300), st.integers(1, 2**50)), max_size=30))
+def test_small_counts(values):
+    assert phrases.counts_of(phrases.small_counts(np.array(values, np.int64)), len(values)).tolist() == values
