@@ -295,23 +295,33 @@ def registry_round_trip(documents):
     return handoff.load_registry(spark, place).select("source_id", "path", "sha256", "size_bytes", "entity", "domain", "document_type", "date_on_document")
 
 
-@register(
-    """WITH p AS (SELECT id * 10 + k AS id, card, date + CAST(k AS INTEGER) AS date, CASE k WHEN 0 THEN cents // 3 ELSE cents - cents // 3 END AS cents FROM stmt, range(2) r(k) WHERE id % 2 = 1),
+_REVERSE = """WITH p AS (SELECT id * 10 + k AS id, card, date + CAST(k AS INTEGER) AS date, CASE k WHEN 0 THEN cents // 3 ELSE cents - cents // 3 END AS cents FROM stmt, range(2) r(k){where}),
             near AS (SELECT b.id AS left_id, b.cents AS whole, p.id, p.cents FROM book b JOIN p ON b.tab = p.card AND abs(b.date - p.date) <= 3 AND p.cents <= b.cents + 5),
             s AS (SELECT a.left_id, [a.id, b.id] AS part_ids, abs(a.cents + b.cents - a.whole) AS diff FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id
                   UNION ALL SELECT a.left_id, [a.id, b.id, c.id], abs(a.cents + b.cents + c.cents - a.whole) FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id JOIN near c ON a.left_id = c.left_id AND b.id < c.id)
-       SELECT left_id, array_to_string(part_ids, ',') AS parts, diff FROM s WHERE diff <= 5 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY diff, len(part_ids), part_ids) = 1""",
-    "stmt", "book",
-)
-def reverse_split(stmt, book):
-    """Statement rows cut in two, on two days, make up book entries within three days."""
+       SELECT left_id, array_to_string(part_ids, ',') AS parts, diff FROM s WHERE diff <= 5 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY diff, len(part_ids), part_ids) = 1"""
+
+
+def _reversed(stmt, book):
     third = F.floor(F.col("cents") / F.lit(3)).cast("long")
-    cut = stmt.where("id % 2 = 1").select("card", "date", "id", F.posexplode(F.array(third, F.col("cents") - third)).alias("k", "part"))
+    cut = stmt.select("card", "date", "id", F.posexplode(F.array(third, F.col("cents") - third)).alias("k", "part"))
     parts = cut.select((F.col("id") * 10 + F.col("k")).alias("id"), "card", F.date_add("date", F.col("k")).alias("date"), F.col("part").alias("cents"))
     found = matching.reverse_split(parts, book, ("card", "tab"))
     return found.select("left_id", F.array_join(F.col("part_ids").cast("array<string>"), ",").alias("parts"), "diff")
 
 
+@register(_REVERSE.format(where=" WHERE id % 2 = 1"), "stmt", "book")
+def reverse_split(stmt, book):
+    """Of every second statement row; all rows are in ``reverse_split_all``."""
+    return _reversed(stmt.where("id % 2 = 1"), book)
+
+
+@register(_REVERSE.format(where=""), "stmt", "book")
+def reverse_split_all(stmt, book):
+    """Statement rows cut in two, on two days, make up book entries within three days."""
+    return _reversed(stmt, book)
+
+
 @register(
     """WITH o AS (SELECT leg_id, date, cents % 3 AS cents, src, dst, row_number() OVER (PARTITION BY date, cents % 3, src, dst ORDER BY leg_id) AS nth FROM legs_out),
             i AS (SELECT leg_id, date, cents % 3 AS cents, src, dst, row_number() OVER (PARTITION BY date, cents % 3, src, dst ORDER BY leg_id) AS nth FROM legs_in)

@@ -1,27 +1,70 @@
 """Tolerant one-to-one matching and the comparisons around it.
 
 Candidates come from equi-joins on exploded neighbour buckets, never from a range condition alone.
-Among candidates the pair that is best for both sides is taken, and again among what is left, which is
-what a single pass over all pairs sorted by preference would choose; no group is gathered anywhere.
+Pairs fall into islands that share no row, by key and runs of amounts or dates.  An island's pairs stream
+through one task in order of preference, and a pair is taken if both its sides are free, so a chain of
+preferences costs one job however long it is.  Islands of very many pairs are matched in rounds instead, each
+of which takes the pairs that are best for both sides; that gives the same pairs and gathers no group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from collections.abc import Iterator
+from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkledger.functions import exprs
 from sparkledger.plans.shared import materialize
 
 
-def one_to_one(candidates: DataFrame, preference: list[str]) -> DataFrame:
+#: An island of more pairs is matched in rounds.
+LARGE = 4_000_000
+
+
+def one_to_one(candidates: DataFrame, preference: list[str], island: list[str] | None = None) -> DataFrame:
     """Of pairs (left_id, right_id, …) those that a greedy choice in order of ``preference`` makes.
 
-    ``preference`` and then the ids order all pairs.  Each round takes pairs that are first for both
-    sides and drops what they use; rounds end when no pair is left.
+    ``preference`` and then the ids order all pairs.  ``island`` names columns that pairs with a common id have in common;
+    without it, all is one island and matched in rounds.
     """
+    if island is None:
+        return _in_rounds(candidates, preference)
+    pairs = materialize(candidates, "pairs")
+    large = pairs.groupBy(*island).agg(F.count("*").alias("_n")).where(F.col("_n") > LARGE).drop("_n")
+    if large.isEmpty():
+        return _streamed(pairs, preference, island)
+    same = [F.col(c).eqNullSafe(F.col(f"_i{k}")) for k, c in enumerate(island)]
+    large = materialize(large, "islands").toDF(*[f"_i{k}" for k in range(len(island))])
+    rest = _in_rounds(pairs.join(large, same, "left_semi"), preference)
+    return _streamed(pairs.join(large, same, "left_anti"), preference, island).unionByName(rest)
+
+
+def _streamed(pairs: DataFrame, preference: list[str], island: list[str]) -> DataFrame:
+    """Pairs sorted by preference within each island; a task holds only the used ids of the island it is in."""
+    n = len(island)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, left, right = None, set(), set()
+        for batch in batches:
+            taken = []
+            for *where, a, b in zip(*[c.to_pylist() for c in [*batch.columns[:n], batch.column("left_id"), batch.column("right_id")]]):
+                if where != now:
+                    now, left, right = where, set(), set()
+                taken.append(a not in left and b not in right)
+                if taken[-1]:
+                    left.add(a)
+                    right.add(b)
+            yield batch.filter(pa.array(taken, pa.bool_()))
+
+    ordered = pairs.select(*island, *[c for c in pairs.columns if c not in island]).repartition(*island).sortWithinPartitions(*island, *preference, "left_id", "right_id")
+    return ordered.mapInArrow(choose, ordered.schema).select(*pairs.columns)
+
+
+def _in_rounds(candidates: DataFrame, preference: list[str]) -> DataFrame:
+    """Each round takes pairs that are first for both sides and drops what they use; rounds end when no pair is left."""
     left = candidates
     chosen = None
     while True:
@@ -42,6 +85,16 @@ def one_to_one(candidates: DataFrame, preference: list[str]) -> DataFrame:
             return chosen
 
 
+def with_runs(pairs: DataFrame, keys: list[str], value: str, gap: int, name: str = "_run") -> DataFrame:
+    """Adds the first value of the run that ``value`` is in: by key, runs are further than ``gap`` apart."""
+    if gap == 0:
+        return pairs.withColumn(name, F.col(value))
+    order = Window.partitionBy(*keys).orderBy(value)
+    starts = F.when(F.coalesce(F.col(value) - F.lag(value).over(order) > gap, F.lit(True)), F.col(value))
+    runs = pairs.select(*keys, value).distinct().withColumn("_s", starts).withColumn(name, F.max("_s").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
+    return pairs.join(runs, [*keys, value])
+
+
 def _near(cents: Column, tolerance: int) -> Column:
     """The buckets, ``tolerance + 1`` cents wide, in which a partner within the tolerance can be."""
     bucket = F.floor(cents / (tolerance + 1))
@@ -49,7 +102,7 @@ def _near(cents: Column, tolerance: int) -> Column:
 
 
 def candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], cents: int, days: int, month_end_days: int | None = None) -> DataFrame:
-    """Pairs with equal keys, amounts at most ``cents`` and dates at most ``days`` apart: left_id, right_id, day_diff, cents_diff.
+    """Pairs with equal keys, amounts at most ``cents`` and dates at most ``days`` apart: left_id, right_id, day_diff, cents_diff, and for islands their keys and bucket.
 
     With ``month_end_days`` left dates from the 29th to the 2nd may be that many days off instead.
     """
@@ -64,7 +117,17 @@ def candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], c
     border = (F.dayofmonth("_ld") >= 29) | (F.dayofmonth("_ld") <= 2)
     allowed = F.lit(days) if month_end_days is None else F.when(border, month_end_days).otherwise(days)
     pairs = a.join(b, [*on, "_b"]).where((day <= allowed) & (diff <= cents))
-    return pairs.select("left_id", "right_id", day.alias("day_diff"), diff.alias("cents_diff"))
+    width = cents + 1
+    return pairs.select("left_id", "right_id", day.alias("day_diff"), diff.alias("cents_diff"), *on, F.floor(F.col("_lc") / width).alias("_bucket"))
+
+
+def _islands(pairs: DataFrame, keys: int, cents: int) -> tuple[DataFrame, list[str]]:
+    """Candidates with the columns that tell their islands: two left sides of one right side are at most two buckets apart."""
+    on = [f"_k{i}" for i in range(keys)]
+    return with_runs(pairs, on, "_bucket", 2 if cents else 0), [*on, "_run"]
+
+
+_PAIR = ["left_id", "right_id", "day_diff", "cents_diff"]
 
 
 def without(df: DataFrame, matched: DataFrame, side: str) -> DataFrame:
@@ -76,10 +139,11 @@ def two_pass(outs: DataFrame, ins: DataFrame, cents: int = 1, days: int = 3) ->
     """Legs between the same accounts within a cent: those of one day first, then within ``days``: pass, left_id, right_id, day_diff, cents_diff."""
     keys = [("src", "src"), ("dst", "dst")]
     order = ["day_diff", "cents_diff"]
-    pairs = materialize(candidates(outs, ins, keys, cents, days), "candidates")
-    first = one_to_one(pairs.where("day_diff = 0"), order)
+    pairs, island = _islands(materialize(candidates(outs, ins, keys, cents, days), "candidates"), len(keys), cents)
+    pairs = materialize(pairs, "candidates")
+    first = materialize(one_to_one(pairs.where("day_diff = 0"), order, island).select(_PAIR), "first-pass")
     later = pairs.join(first.select("left_id"), "left_id", "left_anti").join(first.select("right_id"), "right_id", "left_anti")
-    second = one_to_one(later, order)
+    second = one_to_one(later, order, island).select(_PAIR)
     return first.withColumn("pass", F.lit("same_day")).unionByName(second.withColumn("pass", F.lit("within_days")))
 
 
@@ -98,50 +162,259 @@ def graduated(stmt: DataFrame, book: DataFrame, passes: int = 4) -> DataFrame:
     ]
     left, right = stmt, book
     for name, cents, days, confidence in steps[:passes]:
-        found = one_to_one(candidates(left, right, keys, cents, days), ["day_diff", "cents_diff"])
+        pairs, island = _islands(candidates(left, right, keys, cents, days), len(keys), cents)
+        found = materialize(one_to_one(pairs, ["day_diff", "cents_diff"], island).select(_PAIR), "pass")
         found = found.select(F.lit(name).alias("pass"), confidence.alias("confidence"), "left_id", "right_id", "day_diff", "cents_diff")
         done = found if done is None else done.unionByName(found)
         left, right = without(left, found, "left_id"), without(right, found, "right_id")
     if passes > 3:
-        found = one_to_one(suggested(left, right), ["unlike"]).drop("unlike")
-        done = done.unionByName(found)
+        pairs = with_runs(suggested(left, right), ["_k0"], "_day", 2 * SUGGESTED_DAYS)
+        done = done.unionByName(one_to_one(pairs, ["unlike"], ["_k0", "_run"]).select(*done.columns))
     return done
 
 
-def suggested(stmt: DataFrame, book: DataFrame, days: int = 7) -> DataFrame:
-    """Candidates by description: same card, dates at most ``days`` apart (by neighbouring date buckets), texts more than half alike."""
-    epoch = lambda c: F.unix_date(c)
-    bucket = F.floor(epoch(F.col("date")) / (days + 1))
-    a = stmt.select(F.col("id").alias("left_id"), F.col("card").alias("k"), F.col("date").alias("ld"), F.col("cents").alias("lc"), F.lower("description").alias("lt"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
-    b = book.select(F.col("id").alias("right_id"), F.col("tab").alias("k"), F.col("date").alias("rd"), F.col("cents").alias("rc"), F.lower("supplier").alias("rt"), bucket.alias("b"))
+#: Days apart at most for a match by description; pairs of texts that one task compares, about.
+SUGGESTED_DAYS, COMPARED = 7, 1 << 22
+
+
+def similar_texts(left: DataFrame, right: DataFrame, least: float, unit: str = "unit") -> DataFrame:
+    """Pairs of texts (unit, text) of a unit that are more than ``least`` alike (``exprs.similarity``): unit, lt, rt, alike.
+
+    Texts alike differ by less than a bounded factor in length, so they meet by classes of length and only within those bounds.
+    Each is split into as many pieces as it may have edits and one more: a text that is alike keeps a piece, at a place that
+    the edits can reach.  ``least`` of 0.75 and more makes pieces long enough to join on; below, they would be single letters
+    that nearly all texts share, and texts are compared by length alone.  The pairs of a crowded unit are dealt to a grid
+    of tasks of about ``COMPARED`` pairs each, so no unit is compared in one task.
+    """
+    a = left.select(F.col(unit).alias("_u"), F.col("text").alias("lt")).distinct()
+    b = right.select(F.col(unit).alias("_u"), F.col("text").alias("rt")).distinct()
+    counts = a.groupBy("_u").agg(F.count("*").alias("_a")).join(b.groupBy("_u").agg(F.count("*").alias("_b")), "_u")
+    grid = materialize(counts.select("_u", F.ceil(F.sqrt(F.col("_a") * F.col("_b") / COMPARED)).cast("int").alias("_g")), "grid")
+    every = F.explode(F.sequence(F.lit(0), F.col("_g") - 1))
+    cell = lambda text: F.pmod(F.xxhash64(text), F.col("_g")).cast("int")
+    a = a.join(grid, "_u").withColumn("_i", cell("lt")).withColumn("_j", every)
+    b = b.join(grid, "_u").withColumn("_j", cell("rt")).withColumn("_i", every)
+    longest, edits = F.greatest(F.length("lt"), F.length("rt")), F.ceil((1 - least) * F.greatest(F.length("lt"), F.length("rt")) - 1e-9) - 1
+    if least >= 0.75:
+        a, b = _keyed(a, "lt", least, True), _keyed(b, "rt", least, False)
+    else:
+        # By classes of length, each ``1 / least`` as long as the one before: only neighbours are near enough.
+        band = lambda text: F.floor(F.log(F.greatest(F.length(text), F.lit(1))) / F.log(F.lit(1 / least))).cast("int") if least > 0 else F.lit(0)
+        a = a.withColumn("_c", F.explode(F.array(*[band("lt") + k for k in (-1, 0, 1)])))
+        b = b.withColumn("_c", band("rt"))
+    near = (F.abs(F.length("lt") - F.length("rt")) <= edits) | (longest == 0)
+    met = a.drop("_g").join(b.drop("_g"), ["_u", "_i", "_j", "_c"]).where(near).select("_u", "lt", "rt")
+    met = met.distinct() if least >= 0.75 else met
+    # Told to stop at the bound, the edit distance of unlike texts costs a band of its table only.
+    close = F.expr(f"levenshtein(lt, rt, cast(greatest(length(lt), length(rt)) * {1 - least} as int) + 1)")
+    alike = met.where(close >= 0).withColumn("alike", exprs.similarity(F.col("lt"), F.col("rt"))).where(F.col("alike") > least)
+    return alike.select(F.col("_u").alias(unit), "lt", "rt", "alike")
+
+
+def _keyed(texts: DataFrame, text: str, least: float, probes: bool) -> DataFrame:
+    """Texts with a key ``_c`` for each piece: its length class, place and letters; ``probes`` look for the pieces of others.
+
+    A text of n letters, compared with any of m letters, has at most e = ceil((1 - least) * max(n, m)) - 1 edits.  The indexed
+    text is cut into pieces by the e of the longest partner it can have, one more than those edits.
+    """
+    n = F.length(text)
+    most = lambda length: F.ceil((1 - least) * F.floor(length / least + 1e-9) - 1e-9).cast("int")
+    at = lambda length, k, pieces: F.floor(length * k / pieces).cast("int")
+    key = lambda length, k, letters: F.xxhash64(length, k, letters)
+    if not probes:
+        pieces = most(n)
+        keys = F.transform(F.sequence(F.lit(0), pieces - 1), lambda k: key(n, k, F.substring(F.col(text), at(n, k, pieces) + 1, at(n, k + 1, pieces) - at(n, k, pieces))))
+        return texts.withColumn("_c", F.explode(F.array_distinct(F.when(n == 0, F.array(F.xxhash64(F.lit("")))).otherwise(keys))))
+    # Lengths of indexed texts that can be alike, their pieces, and the places that as many edits can move a piece to.
+    low, high = F.ceil(n * least - 1e-9).cast("int"), F.floor(n / least + 1e-9).cast("int")
+    by_length = F.transform(F.sequence(F.greatest(low, F.lit(1)), high), lambda m: F.flatten(F.transform(F.sequence(F.lit(0), most(m) - 1), lambda k: F.transform(
+        F.sequence(F.greatest(at(m, k, most(m)) - most(m), F.lit(0)), F.greatest(at(m, k, most(m)) - most(m), F.lit(0), F.least(at(m, k, most(m)) + most(m), n))),
+        lambda p: key(m, k, F.substring(F.col(text), p + 1, at(m, k + 1, most(m)) - at(m, k, most(m)))),
+    ))))
+    return texts.withColumn("_c", F.explode(F.array_distinct(F.when(n == 0, F.array(F.xxhash64(F.lit("")))).otherwise(F.flatten(by_length)))))
+
+
+def suggested(stmt: DataFrame, book: DataFrame, days: int = SUGGESTED_DAYS) -> DataFrame:
+    """Candidates by description: same card, dates at most ``days`` apart, texts more than half alike.
+
+    Rows meet through buckets of dates and texts that are alike.  Texts of a card with few different ones are compared once for the
+    card, those of a card with many only if their dates are in neighbouring buckets, whichever compares fewer pairs.
+    """
+    bucket = F.floor(F.unix_date("date") / (days + 1))
+    a = stmt.select(F.col("id").alias("left_id"), F.col("card").alias("_k0"), F.col("date").alias("ld"), F.col("cents").alias("lc"), F.lower("description").alias("lt"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
+    b = book.select(F.col("id").alias("right_id"), F.col("tab").alias("_k0"), F.col("date").alias("rd"), F.col("cents").alias("rc"), F.lower("supplier").alias("rt"), bucket.alias("b"))
+    a, b = materialize(a, "texts"), materialize(b, "texts")
+    texts = lambda df, text, n: df.groupBy("_k0", "b").agg(F.count_distinct(text).alias(n))
+    dated = texts(a, "lt", "x").join(texts(b, "rt", "y"), ["_k0", "b"]).groupBy("_k0").agg(F.sum(F.col("x") * F.col("y")).alias("dated"))
+    whole = a.groupBy("_k0").agg(F.count_distinct("lt").alias("x")).join(b.groupBy("_k0").agg(F.count_distinct("rt").alias("y")), "_k0").select("_k0", (F.col("x") * F.col("y")).alias("whole"))
+    plan = materialize(dated.join(whole, "_k0").select("_k0", F.when(F.col("dated") < F.col("whole"), True).otherwise(False).alias("_dated")), "plan")
+    # A card's unit is itself or itself and a bucket.
+    unit = F.struct("_k0", F.when(F.col("_dated"), F.col("b")).alias("b"))
+    a, b = a.join(plan, "_k0").withColumn("unit", unit), b.join(plan, "_k0").withColumn("unit", unit)
+    alike = materialize(similar_texts(a.select("unit", F.col("lt").alias("text")), b.select("unit", F.col("rt").alias("text")), 0.5), "texts")
     day = F.abs(F.datediff("ld", "rd"))
-    # Texts are compared once for each pair of distinct ones of a card; rows meet only through texts that are alike.
-    texts = a.select("k", "lt").distinct().join(b.select("k", "rt").distinct(), "k")
-    texts = materialize(texts.withColumn("alike", exprs.similarity(F.col("lt"), F.col("rt"))).where("alike > 0.5"), "texts")
-    pairs = a.join(texts, ["k", "lt"]).join(b, ["k", "rt", "b"]).where(day <= days)
+    pairs = a.drop("_dated").join(alike, ["unit", "lt"]).join(b.drop("_dated", "_k0"), ["unit", "rt", "b"]).where(day <= days)
     score = F.round(0.6 * F.col("alike") + 0.4 * (1 - day / days), 4)
-    return pairs.select(F.lit("DESCRIPTION_SUGGESTED").alias("pass"), score.alias("confidence"), "left_id", "right_id", day.alias("day_diff"), F.abs(F.col("lc") - F.col("rc")).alias("cents_diff"), (-score).alias("unlike"))
+    return pairs.select(
+        F.lit("DESCRIPTION_SUGGESTED").alias("pass"), score.alias("confidence"), "left_id", "right_id", day.alias("day_diff"), F.abs(F.col("lc") - F.col("rc")).alias("cents_diff"), (-score).alias("unlike"),
+        "_k0", F.unix_date("ld").alias("_day"),
+    )
+
+
+#: Pairs of parts that a task holds at once; wholes times parts of a key and day from which they are dealt to more tasks.
+SUMS, DEALT = 1 << 21, 1 << 22
+#: Rows of wholes and parts in a group, about; so few parts are added up in all ways.
+GROUPED, FEW = 50_000, 10
+
+
+class Parts:
+    """The parts of one key and day: finds the best sum of two or three of them for a whole, by sorted sums and searches.
+
+    A sum's key is its amount and the rank of its first part, so one search finds the sum of an amount whose ranks are least
+    among those behind a given part.  Pairs are made by ranges of their sums, ``SUMS`` at once, and only up to what the
+    largest whole leaves.
+    """
+
+    def __init__(self, ids: np.ndarray, cents: np.ndarray, tolerance: int):
+        self.names, rank = np.unique(ids, return_inverse=True)
+        order = np.argsort(cents, kind="stable")
+        self.cents, self.rank, self.tolerance = cents[order], rank[order].astype(np.int64), tolerance
+        self.n = len(self.names) + 1
+
+    def _within(self, sums: np.ndarray, keys: np.ndarray, behind, whole: int, best: tuple | None, size: int, limit: int) -> tuple | None:
+        """The best of a part and one of the sorted sums (keys: sum, first rank), as (difference, size, ranks); better than ``best``."""
+        few = self.cents <= limit
+        rest, rank = whole - self.cents[few], self.rank[few]
+        at = np.searchsorted(sums, rest - self.tolerance)
+        hit = at < len(sums)
+        hit[hit] = sums[at[hit]] <= rest[hit] + self.tolerance
+        rest, rank = rest[hit], rank[hit]
+        for off in range(self.tolerance + 1) if len(rest) else ():
+            if best is not None and (off, size) > best[:2]:
+                break
+            found = []
+            for target in {rest_off for rest_off in (-off, off)}:
+                amount = rest + target
+                k = np.searchsorted(keys, amount * self.n + rank + 1)
+                good = k < len(keys)
+                good[good] = sums[k[good]] == amount[good]
+                if good.any():
+                    first = rank[good].min()
+                    found += [(off, size, (int(first), *behind(int(i)))) for i in k[good][rank[good] == first]]
+            if found:
+                return min(found) if best is None else min(best, *found)
+        return best
+
+    def best(self, wholes: list[tuple[int, int]]) -> dict[int, tuple[int, list]]:
+        """For each (id, amount) that some parts make up within the tolerance: the difference and the ids of the parts."""
+        found: dict[int, tuple | None] = {}
+        if len(self.cents) <= FEW:
+            rows = sorted(zip(self.rank.tolist(), self.cents.tolist()))
+            made = [(sum(c for _, c in x), max(c for _, c in x), size, tuple(r for r, _ in x)) for size in (2, 3) for x in combinations(rows, size) if len({r for r, _ in x}) == size]
+            for k, (_, whole) in enumerate(wholes):
+                found[k] = min(((abs(total - whole), size, ranks) for total, most, size, ranks in made if abs(total - whole) <= self.tolerance and most <= whole + self.tolerance), default=None)
+            return {wholes[k][0]: (v[0], [self.names[r] for r in v[2]]) for k, v in found.items() if v is not None}
+        key = self.cents * self.n + self.rank
+        order = np.argsort(key)
+        single, ranks, keys = self.cents[order], self.rank[order], key[order]
+        for k, (_, whole) in enumerate(wholes):
+            upto = int(np.searchsorted(single, whole + self.tolerance, side="right"))  # no part is more than the whole
+            found[k] = self._within(single[:upto], keys[:upto], lambda i: (int(ranks[i]),), whole, None, 2, whole + self.tolerance)
+        open_ = [k for k in found if found[k] is None or found[k][0] > 0]
+        if open_ and len(self.cents) > 2:
+            if self.cents[0] >= 0:
+                self._three(wholes, found, open_)
+            else:  # with amounts below zero a part may pass a whole that its sum does not: each whole has parts of its own
+                for k in open_:
+                    mine = self.cents <= wholes[k][1] + self.tolerance
+                    part = Parts(self.names[self.rank[mine]], self.cents[mine], self.tolerance)
+                    some = {0: None}
+                    part._three([wholes[k]], some, [0])
+                    if some[0] is not None:
+                        back = np.searchsorted(self.names, part.names)
+                        off, size, ranks_ = some[0]
+                        mine_ = (off, size, tuple(int(back[r]) for r in ranks_))
+                        found[k] = mine_ if found[k] is None else min(found[k], mine_)
+        return {wholes[k][0]: (v[0], [self.names[r] for r in v[2]]) for k, v in found.items() if v is not None}
+
+    def _three(self, wholes, found: dict, open_: list[int]) -> None:
+        amounts = [wholes[k][1] for k in open_]
+        low, high = min(amounts) - self.tolerance - int(self.cents[-1]), max(amounts) + self.tolerance - int(self.cents[0])
+        while low <= high:
+            low, end, sums, keys, second, third = self._pairs(low, high)
+            for k in open_:
+                whole = wholes[k][1]
+                # Sums that end in this range and that the whole can still use.
+                if found[k] is not None and found[k][0] == 0 and found[k][1] == 2:
+                    continue
+                found[k] = self._within(sums, keys, lambda i: (int(second[i]), int(third[i])), whole, found[k], 3, whole + self.tolerance)
+            low = end + 1
+
+    def _pairs(self, low: int, high: int):
+        """Pairs of different parts whose sums lie in [low, end], sorted by key; end is at most high, and so that they are not too many."""
+        n = len(self.cents)
+        later = np.arange(1, n + 1)
+        start = np.maximum(np.searchsorted(self.cents, low - self.cents), later)
+        end, count = high, None
+        while True:
+            stop = np.maximum(np.searchsorted(self.cents, end - self.cents, side="right"), start)
+            count = stop - start
+            if count.sum() <= SUMS or end == low:
+                break
+            end = (low + end) // 2
+        a = np.repeat(np.arange(n), count)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
+        second, third = np.minimum(self.rank[a], self.rank[b]), np.maximum(self.rank[a], self.rank[b])
+        sums, real = self.cents[a] + self.cents[b], second < third
+        sums, second, third = sums[real], second[real], third[real]
+        whole = int(np.abs(sums).max()) if len(sums) else 0
+        order = np.argsort((sums * self.n + second) * self.n + third) if whole < 2**62 // self.n**2 else np.lexsort((third, second, sums))
+        sums, second, third = sums[order], second[order], third[order]
+        return low, end, sums, sums * self.n + second, second, third
 
 
 def split_match(left: DataFrame, parts: DataFrame, key: tuple[str, str], days: int = 1, cents: int = 5) -> DataFrame:
-    """One amount as the sum of two or three parts of its key within ``days``: left_id, part_ids, diff; the closest, smallest ids first."""
-    a = left.select(F.col("id").alias("left_id"), F.col(key[0]).alias("k"), F.col("date").alias("day"), F.col("cents").alias("whole"))
+    """One amount as the sum of two or three parts of its key within ``days``: left_id, part_ids, diff; the closest, then the fewest, smallest ids first.
+
+    No part may exceed the amount by more than ``cents``.  The parts of a key and day are sorted by amount and searched, not
+    joined with each other; where wholes and parts of one are many, the wholes are dealt to several tasks.
+    """
+    a = left.select(F.col("id").alias("left_id"), F.col(key[0]).alias("k"), F.col("date").alias("day"), F.col("cents").alias("whole")).where("whole is not null")
     around = F.explode(F.sequence(F.date_sub("date", days), F.date_add("date", days)))
-    b = parts.select(F.col("id").alias("part"), F.col(key[1]).alias("k"), F.col("cents").alias("c"), around.alias("day"))
-    b = materialize(b.join(a.select("k", "day").distinct(), ["k", "day"], "left_semi"), "parts")
-    # The last part, or the last two by their sum, have what the first leaves: joined on the bucket of that amount.
-    first = a.join(b, ["k", "day"]).where(F.col("c") <= F.col("whole") + cents).withColumn("_b", _near(F.col("whole") - F.col("c"), cents))
-    bucket = lambda amount: F.floor(amount / (cents + 1))
-    second = b.select("k", "day", F.col("part").alias("p2"), F.col("c").alias("c2"))
-    third = b.select("k", "day", F.col("part").alias("p3"), F.col("c").alias("c3"))
-    fits = lambda *amounts: reduce(and_, [F.col(x) <= F.col("whole") + cents for x in amounts])
-    two = first.join(second.withColumn("_b", bucket(F.col("c2"))), ["k", "day", "_b"]).where((F.col("part") < F.col("p2")) & fits("c2"))
-    pairs = second.join(third, ["k", "day"]).where("p2 < p3").withColumn("_b", bucket(F.col("c2") + F.col("c3")))
-    three = first.join(pairs, ["k", "day", "_b"]).where((F.col("part") < F.col("p2")) & fits("c2", "c3"))
-    sums = two.select("left_id", F.array("part", "p2").alias("part_ids"), F.abs(F.col("c") + F.col("c2") - F.col("whole")).alias("diff"))
-    sums = sums.unionByName(three.select("left_id", F.array("part", "p2", "p3").alias("part_ids"), F.abs(F.col("c") + F.col("c2") + F.col("c3") - F.col("whole")).alias("diff")))
-    best = F.row_number().over(Window.partitionBy("left_id").orderBy("diff", F.size("part_ids"), "part_ids"))
-    return sums.where(F.col("diff") <= cents).withColumn("_n", best).where("_n = 1").drop("_n")
+    b = parts.select(F.col("id").alias("part"), F.col(key[1]).alias("k"), F.col("cents").alias("c"), around.alias("day")).where("c is not null and part is not null")
+    sizes = a.groupBy("k", "day").agg(F.count("*").alias("_a")).join(b.groupBy("k", "day").agg(F.count("*").alias("_b")), ["k", "day"])
+    sizes = materialize(sizes.select("k", "day", F.ceil(F.col("_a") * F.col("_b") / DEALT).cast("int").alias("_g"), (F.col("_a") + F.col("_b")).alias("_n")), "sizes")
+    # Many small keys and days share a group.
+    total = sizes.agg(F.sum("_n").alias("n")).first()["n"] or 0
+    groups = F.lit(max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUPED)))
+    a = a.join(sizes, ["k", "day"]).withColumn("_g", F.pmod(F.xxhash64("left_id"), F.col("_g")).cast("int"))
+    b = b.join(sizes, ["k", "day"]).withColumn("_g", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)))
+    a, b = (x.drop("_n").withColumn("_u", F.xxhash64("k", "day", "_g")).withColumn("_h", F.pmod("_u", groups)) for x in (a, b))
+    kind = dict(a.dtypes)["left_id"], dict(b.dtypes)["part"]
+
+    def units(table: pa.Table, *columns: str):
+        """The rows of each key, day and share."""
+        where = list(zip(*(table[c].to_pylist() for c in ("k", "day", "_g"))))
+        found: dict[tuple, list[int]] = {}
+        for i, unit in enumerate(where):
+            found.setdefault(unit, []).append(i)
+        values = [table[c].to_numpy() for c in columns]
+        return {unit: [v[at] for v in values] for unit, at in found.items()}
+
+    def search(wholes: pa.Table, some: pa.Table) -> pa.Table:
+        ids, parts_of, diffs = [], [], []
+        held = units(some, "part", "c") if some.num_rows and wholes.num_rows else {}
+        for unit, (left_ids, amounts) in units(wholes, "left_id", "whole").items() if held else ():
+            if unit in held:
+                part, c = held[unit]
+                for k, (diff, made) in Parts(part, c.astype(np.int64), cents).best(list(zip(left_ids.tolist(), amounts.tolist()))).items():
+                    ids.append(k)
+                    parts_of.append([x.item() if isinstance(x, np.generic) else x for x in made])
+                    diffs.append(diff)
+        return pa.table({"left_id": pa.array(ids, wholes["left_id"].type), "part_ids": pa.array(parts_of, pa.list_(some["part"].type)), "diff": pa.array(diffs, pa.int64())})
+
+    met = a.groupBy("_h").cogroup(b.groupBy("_h"))
+    return met.applyInArrow(search, f"left_id {kind[0]}, part_ids array<{kind[1]}>, diff long")
 
 
 def group_counts(left: DataFrame, right: DataFrame) -> DataFrame:
