@@ -152,6 +152,53 @@ def statement_rows(ledger):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+#: Header lines of account statements whose columns lie in other orders, or are not there, by the month's number modulo three.
+_HEADERS = ["Date,Description,Credit,Debit,Balance", "Date, Credit ,Balance,Description,Debit,Note", "Date,Balance,Description,Debit"]
+
+
+def _odd_texts(ledger: DataFrame) -> DataFrame:
+    """Account statements with columns in three orders, quoted commas, quotes and line ends; bank files with short rows of quoted commas."""
+    money = lambda c: F.when(F.col(c).isNull(), "").otherwise(F.concat(F.floor(F.col(c) / 100).cast("string"), F.lit("."), F.lpad((F.col(c) % 100).cast("string"), 2, "0")))
+    kind, bank = F.substring("month", 6, 2).cast("int") % 3, F.col("account").cast("int") % 2 == 0
+    day, item = F.col("date").cast("string"), F.concat(F.lit('"Item, ""'), F.col("txn_id").cast("string"), F.lit('""\nof two lines"'))
+    debit, credit, none = money("debit"), money("credit"), F.lit("")
+    orders = [(day, item, credit, debit, none), (day, credit, none, item, debit, F.lit('"a,b"')), (day, none, item, debit)]
+    wide = F.concat_ws(",", F.lit("C"), F.lit("0123456"), F.lit("EOP"), F.replace(day, F.lit("-"), F.lit("/")), F.lit("1"), item, none, debit, credit, *[none] * 5)
+    short = F.when(F.col("txn_id") % 5 == 0, F.lit('\n"x,1","y,2,3,4,5,6,7,8,9,10,11","z\n,"')).otherwise("")
+    line = F.when(bank, F.concat(wide, short)).otherwise(F.element_at(F.array(*[F.concat_ws(",", *o) for o in orders]), kind + 1))
+    rows = ledger.where("debit is not null or credit is not null").withColumn("_line", line)
+    docs = rows.groupBy("account", "month").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("txn_id", "_line"))), lambda r: r["_line"]), "\r\n").alias("_t"))
+    head = F.when(bank, "").otherwise(F.concat(F.element_at(F.array(*[F.lit(h) for h in _HEADERS]), kind + 1), F.lit("\r\n\r\n")))
+    return docs.select(F.concat_ws("-", "account", "month").alias("path"), F.concat(head, "_t").alias("text"))
+
+
+_ODD = "CAST(account AS INTEGER) % 2 = 0 AS bank, CAST(substring(month, 6, 2) AS INTEGER) % 3 AS kind"
+
+
+@register(
+    f"""SELECT path, date, 'Item, "' || txn_id || '"' || chr(10) || 'of two lines' AS description, debit, CASE WHEN bank OR kind <> 2 THEN credit END AS credit
+        FROM (SELECT *, account || '-' || month AS path, {_ODD} FROM ledger WHERE debit IS NOT NULL OR credit IS NOT NULL)""",
+    "ledger",
+)
+def statement_rows_by_name(ledger):
+    """Columns are found by the header's names, whatever their order, and records keep quoted line ends."""
+    texts = _odd_texts(ledger)
+    found = texts.join(statements.detect_format(texts), "path").select("path", "text", "format")
+    parts = [scan(found.where(F.col("format") == name)).select(F.col("file_path").alias("path"), "date", "description", _cents("debit").alias("debit"), _cents("credit").alias("credit")) for name, scan in (("desjardins_csv", statements.desjardins), ("rbc_csv", statements.rbc))]
+    return parts[0].unionByName(parts[1])
+
+
+@register(
+    f"""SELECT path, 'missing columns: Credit' AS warning FROM (SELECT DISTINCT account || '-' || month AS path, {_ODD} FROM ledger WHERE debit IS NOT NULL OR credit IS NOT NULL) WHERE NOT bank AND kind = 2
+        UNION ALL SELECT account || '-' || month, count(*) || ' rows with too few columns' FROM ledger WHERE (debit IS NOT NULL OR credit IS NOT NULL) AND CAST(account AS INTEGER) % 2 = 0 AND txn_id % 5 = 0 GROUP BY 1""",
+    "ledger",
+)
+def statement_warnings_by_record(ledger):
+    """Too few columns are counted on parsed records: line ends in quotes begin none, and commas in quotes part nothing."""
+    texts = _odd_texts(ledger)
+    return statements.file_warnings(texts, statements.detect_format(texts))
+
+
 _KNOWN = {f"{k:07d}": f"NATION_{k % 25}" for k in (12345, 123456)}
 
 
