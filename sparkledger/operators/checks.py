@@ -9,14 +9,26 @@ def _net() -> Column:
     return F.coalesce(F.col("credit"), F.lit(0)) - F.coalesce(F.col("debit"), F.lit(0))
 
 
+#: Rows of an account that may share a window.
+HOT = 2_000_000
+
+
 def running_balance(df: DataFrame, key: str, order: list[str], tolerance: float, need_first: bool = True) -> DataFrame:
     """Adds expected and diff: the balance each row should have, going on from the last balance before it.
 
     After a row with a balance the sum starts anew from it, so one break is reported once.  With
     ``need_first`` an account whose first row has no balance is not checked; without, checks start at
-    its first balance.  Rows are summed within each value of the first column of ``order`` (a day), and
-    only the days of an account follow each other in one window, so a hot account is spread over tasks.
+    its first balance.  Up to ``HOT`` rows of an account share a window.  If one has more, rows are summed within each value
+    of the first column of ``order`` (a day), and only the days of an account follow each other in one window.
     """
+    most = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    if most <= HOT:
+        whole = Window.partitionBy(key).orderBy(*order)
+        ahead = whole.rowsBetween(Window.unboundedPreceding, -1)
+        out = df.withColumns({"_cum": F.sum(_net()).over(whole.rowsBetween(Window.unboundedPreceding, 0)), "_first": F.first(F.col("balance").isNotNull()).over(whole.rowsBetween(Window.unboundedPreceding, 0))})
+        expected = F.last(F.col("balance") - F.col("_cum"), ignorenulls=True).over(ahead) + F.col("_cum")
+        out = out.withColumn("expected", expected).withColumn("expected", F.when(F.col("_first"), F.col("expected")) if need_first else F.col("expected"))
+        return out.withColumn("diff", F.col("balance") - F.col("expected")).withColumn("mismatch", F.abs("diff") > tolerance).drop("_cum", "_first")
     day = order[0]
     within = Window.partitionBy(key, day).orderBy(*order)
     so_far, before = within.rowsBetween(Window.unboundedPreceding, 0), within.rowsBetween(Window.unboundedPreceding, -1)

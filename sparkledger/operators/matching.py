@@ -20,26 +20,32 @@ from sparkledger.functions import exprs
 from sparkledger.plans.shared import materialize
 
 
-#: An island of more pairs is matched in rounds.
+#: An island of more pairs is parted further, or matched in rounds.
 LARGE = 4_000_000
 
 
-def one_to_one(candidates: DataFrame, preference: list[str], island: list[str] | None = None) -> DataFrame:
+def one_to_one(candidates: DataFrame, preference: list[str], island: list[str] | None = None, value: str | None = None, gap: int = 0) -> DataFrame:
     """Of pairs (left_id, right_id, …) those that a greedy choice in order of ``preference`` makes.
 
     ``preference`` and then the ids order all pairs.  ``island`` names columns that pairs with a common id have in common;
-    without it, all is one island and matched in rounds.
+    without it, all is one island and matched in rounds.  Islands that are too large are parted into runs of ``value`` if pairs
+    with a common id are at most ``gap`` apart in it.
     """
     if island is None:
         return _in_rounds(candidates, preference)
     pairs = materialize(candidates, "pairs")
-    large = pairs.groupBy(*island).agg(F.count("*").alias("_n")).where(F.col("_n") > LARGE).drop("_n")
-    if large.isEmpty():
+    most = lambda df, keys: df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    if most(pairs, island) <= LARGE:
         return _streamed(pairs, preference, island)
+    if value is not None:
+        pairs, island = materialize(with_runs(pairs, island, value, gap), "runs"), [*island, "_run"]
+        if most(pairs, island) <= LARGE:
+            return _streamed(pairs, preference, island).drop("_run")
+    large = pairs.groupBy(*island).agg(F.count("*").alias("_n")).where(F.col("_n") > LARGE).drop("_n")
     same = [F.col(c).eqNullSafe(F.col(f"_i{k}")) for k, c in enumerate(island)]
     large = materialize(large, "islands").toDF(*[f"_i{k}" for k in range(len(island))])
     rest = _in_rounds(pairs.join(large, same, "left_semi"), preference)
-    return _streamed(pairs.join(large, same, "left_anti"), preference, island).unionByName(rest)
+    return _streamed(pairs.join(large, same, "left_anti"), preference, island).unionByName(rest).drop("_run")
 
 
 def _streamed(pairs: DataFrame, preference: list[str], island: list[str]) -> DataFrame:
@@ -121,12 +127,7 @@ def candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], c
     return pairs.select("left_id", "right_id", day.alias("day_diff"), diff.alias("cents_diff"), *on, F.floor(F.col("_lc") / width).alias("_bucket"))
 
 
-def _islands(pairs: DataFrame, keys: int, cents: int) -> tuple[DataFrame, list[str]]:
-    """Candidates with the columns that tell their islands: two left sides of one right side are at most two buckets apart."""
-    on = [f"_k{i}" for i in range(keys)]
-    return with_runs(pairs, on, "_bucket", 2 if cents else 0), [*on, "_run"]
-
-
+#: What a candidate tells besides its island.
 _PAIR = ["left_id", "right_id", "day_diff", "cents_diff"]
 
 
@@ -139,12 +140,15 @@ def two_pass(outs: DataFrame, ins: DataFrame, cents: int = 1, days: int = 3) ->
     """Legs between the same accounts within a cent: those of one day first, then within ``days``: pass, left_id, right_id, day_diff, cents_diff."""
     keys = [("src", "src"), ("dst", "dst")]
     order = ["day_diff", "cents_diff"]
-    pairs, island = _islands(materialize(candidates(outs, ins, keys, cents, days), "candidates"), len(keys), cents)
-    pairs = materialize(pairs, "candidates")
-    first = materialize(one_to_one(pairs.where("day_diff = 0"), order, island).select(_PAIR), "first-pass")
-    later = pairs.join(first.select("left_id"), "left_id", "left_anti").join(first.select("right_id"), "right_id", "left_anti")
-    second = one_to_one(later, order, island).select(_PAIR)
-    return first.withColumn("pass", F.lit("same_day")).unionByName(second.withColumn("pass", F.lit("within_days")))
+    # Pairs of one day come before all others, so one greedy choice makes both passes.
+    found = _matched(candidates(outs, ins, keys, cents, days), keys, order, cents).select(_PAIR)
+    return found.withColumn("pass", F.when(F.col("day_diff") == 0, "same_day").otherwise("within_days"))
+
+
+def _matched(pairs: DataFrame, keys: list, order: list[str], cents: int) -> DataFrame:
+    """The greedy choice among candidates: islands are keys, and amounts too where they are equal; two left sides of one right side are at most two buckets apart."""
+    on = [f"_k{i}" for i in range(len(keys))]
+    return one_to_one(pairs, order, on, "_bucket", 2) if cents else one_to_one(pairs, order, [*on, "_bucket"])
 
 
 def graduated(stmt: DataFrame, book: DataFrame, passes: int = 4) -> DataFrame:
@@ -153,23 +157,23 @@ def graduated(stmt: DataFrame, book: DataFrame, passes: int = 4) -> DataFrame:
     EXACT (confidence 1), DATE_FUZZY (3 days, less 0.1 a day), AMOUNT_FUZZY (5 cents and 3 days, 0.8 less
     0.1 a day and 0.02 a cent), DESCRIPTION_SUGGESTED (7 days and descriptions more than half alike).
     """
-    keys, done = [("card", "tab")], None
-    day = F.col("day_diff")
+    keys, day, diff = [("card", "tab")], F.col("day_diff"), F.col("cents_diff")
     steps = [
         ("EXACT", 0, 0, F.lit(1.0)),
         ("DATE_FUZZY", 0, 3, F.round(1 - 0.1 * day, 4)),
-        ("AMOUNT_FUZZY", 5, 3, F.round(0.8 - 0.1 * day - 0.02 * F.col("cents_diff"), 4)),
-    ]
-    left, right = stmt, book
-    for name, cents, days, confidence in steps[:passes]:
-        pairs, island = _islands(candidates(left, right, keys, cents, days), len(keys), cents)
-        found = materialize(one_to_one(pairs, ["day_diff", "cents_diff"], island).select(_PAIR), "pass")
-        found = found.select(F.lit(name).alias("pass"), confidence.alias("confidence"), "left_id", "right_id", "day_diff", "cents_diff")
-        done = found if done is None else done.unionByName(found)
-        left, right = without(left, found, "left_id"), without(right, found, "right_id")
+        ("AMOUNT_FUZZY", 5, 3, F.round(0.8 - 0.1 * day - 0.02 * diff, 4)),
+    ][:passes]
+    # A pass sees what those before left, so one greedy choice in order of pass, days and cents makes them all.
+    widest = max(c for _, c, _, _ in steps), max(d for _, _, d, _ in steps)
+    pairs = candidates(stmt, book, keys, *widest)
+    nth = F.coalesce(*[F.when((diff <= c) & (day <= d), k) for k, (_, c, d, _) in enumerate(steps)])
+    found = _matched(pairs.withColumn("_pass", nth), keys, ["_pass", "day_diff", "cents_diff"], widest[0])
+    pick = lambda values: F.coalesce(*[F.when(F.col("_pass") == k, v) for k, v in enumerate(values)])
+    done = found.select(pick([F.lit(n) for n, *_ in steps]).alias("pass"), pick([v for *_, v in steps]).alias("confidence"), *_PAIR)
     if passes > 3:
-        pairs = with_runs(suggested(left, right), ["_k0"], "_day", 2 * SUGGESTED_DAYS)
-        done = done.unionByName(one_to_one(pairs, ["unlike"], ["_k0", "_run"]).select(*done.columns))
+        done = materialize(done, "passes")
+        pairs = suggested(without(stmt, done, "left_id"), without(book, done, "right_id"))
+        done = done.unionByName(one_to_one(pairs, ["unlike"], ["_k0"], "_day", 2 * SUGGESTED_DAYS).select(*done.columns))
     return done
 
 
@@ -383,13 +387,16 @@ def split_match(left: DataFrame, parts: DataFrame, key: tuple[str, str], days: i
     around = F.explode(F.sequence(F.date_sub("date", days), F.date_add("date", days)))
     b = parts.select(F.col("id").alias("part"), F.col(key[1]).alias("k"), F.col("cents").alias("c"), around.alias("day")).where("c is not null and part is not null")
     sizes = a.groupBy("k", "day").agg(F.count("*").alias("_a")).join(b.groupBy("k", "day").agg(F.count("*").alias("_b")), ["k", "day"])
-    sizes = materialize(sizes.select("k", "day", F.ceil(F.col("_a") * F.col("_b") / DEALT).cast("int").alias("_g"), (F.col("_a") + F.col("_b")).alias("_n")), "sizes")
+    known = sizes.agg(F.sum(F.col("_a") + F.col("_b")).alias("n"), F.max(F.col("_a") * F.col("_b")).alias("most")).first()
+    if (known["most"] or 0) > DEALT:
+        crowded = materialize(sizes.where(F.col("_a") * F.col("_b") > DEALT).select("k", "day", F.ceil(F.col("_a") * F.col("_b") / DEALT).cast("int").alias("_n")), "crowded")
+        a = a.join(crowded, ["k", "day"], "left").withColumn("_g", F.coalesce(F.pmod(F.xxhash64("left_id"), F.col("_n")).cast("int"), F.lit(0)))
+        b = b.join(crowded, ["k", "day"], "left").withColumn("_g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_n") - 1, F.lit(0)))))
+    else:
+        a, b = a.withColumn("_g", F.lit(0)), b.withColumn("_g", F.lit(0))
     # Many small keys and days share a group.
-    total = sizes.agg(F.sum("_n").alias("n")).first()["n"] or 0
-    groups = F.lit(max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUPED)))
-    a = a.join(sizes, ["k", "day"]).withColumn("_g", F.pmod(F.xxhash64("left_id"), F.col("_g")).cast("int"))
-    b = b.join(sizes, ["k", "day"]).withColumn("_g", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)))
-    a, b = (x.drop("_n").withColumn("_u", F.xxhash64("k", "day", "_g")).withColumn("_h", F.pmod("_u", groups)) for x in (a, b))
+    groups = F.lit(max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(known["n"] or 0) // GROUPED)))
+    a, b = (x.withColumn("_h", F.pmod(F.xxhash64("k", "day", "_g"), groups)) for x in (a.select("left_id", "k", "day", "whole", "_g"), b.select("part", "k", "day", "c", "_g")))
     kind = dict(a.dtypes)["left_id"], dict(b.dtypes)["part"]
 
     def units(table: pa.Table, *columns: str):
