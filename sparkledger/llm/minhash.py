@@ -318,8 +318,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     rows = common.materialize(signatures(source.withColumn("text_hash", F.xxhash64("text")), size), "signatures")
     able = rows.where("n_shingles > 0 and doc_id is not null")
     # The first of equal sets stands for them all; their minima are the same.
-    classes = able.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("minima").alias("minima"))
-    classes = common.materialize(classes, "classes")
+    classes = able.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("minima").alias("minima"))
+    classes = common.materialize(classes.select("h1", "h2", "n_shingles", F.col("first.doc_id").alias("id"), "first", "minima"), "classes")
+    # Where rows with different sets share a doc_id, a set of theirs is named by its hashes instead.
+    shared = common.materialize(classes.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("_shared")), "shared-ids")
+    several = not shared.isEmpty()
+    if several:
+        classes = classes.join(shared, "id", "left").withColumn("id", F.when(F.col("_shared"), F.xxhash64("h1", "h2", "n_shingles")).otherwise(F.col("id"))).drop("_shared")
+        classes = common.materialize(classes, "classes")
 
     trees = classes.select("id", "minima").mapInArrow(_trees, "tree int, prefix binary, id long, sketch binary")
     ordered = trees.repartitionByRange(common.shuffle_width(spark), "tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
@@ -340,7 +346,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                 values, bounds = _sets(part.column(1), size)
                 yield pa.RecordBatch.from_arrays([part.column(0), common.binary_array(values, bounds)], names=["id", "shingles"])
 
-    sets_of = lambda ids: source.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, shingles binary")
+    def sets_of(ids: DataFrame) -> DataFrame:
+        # A set is made from the text that stands for it, which doc_id alone does not tell.
+        wanted = ids.select(F.col("doc_id").alias("id")).hint("merge").join(classes.select("id", "first"), "id").select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
+        found = source.withColumn("text_hash", F.xxhash64("text")).join(wanted.hint("merge"), ["doc_id", "text_hash"])
+        return found.select("id", "text").mapInArrow(sets, "id long, shingles binary")
+
     full = common.materialize(sets_of(nodes), "sets")
 
     def confirm(chosen: DataFrame) -> DataFrame:
@@ -372,7 +383,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     crowd = crowd.hint("merge").join(group, "id", "left").hint("merge").join(sizes, "id").select("tree", "prefix", "id", F.coalesce("component", "id").alias("group"), "n")
     named = renamed(group, _crowded(common.materialize(crowd, "crowd"), percent, sets_of))
 
-    held = classes.select("h1", "h2", "n_shingles", "id").join(named, "id", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "id").alias("_component"))
+    held = classes.join(named, "id", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "id").alias("_component"), F.col("first.doc_id").alias("_first"))
+    if several:
+        held = common.materialize(held, "held")
+        names = held.groupBy("_component").agg(F.min("_first").alias("_least"))
+        held = held.join(names, "_component").select("h1", "h2", "n_shingles", F.col("_least").alias("_component"))
     out = rows.select("doc_id", "n_shingles", "h1", "h2", "text_hash").join(held, ["h1", "h2", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("_component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "text_hash")

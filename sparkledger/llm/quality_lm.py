@@ -30,8 +30,9 @@ SLICE = 2 << 20
 _BOUNDARY = 10
 #: How much further out than the sample's quantiles the limits are, over the root of its size.
 UNSURE = 3.0
-#: Scores are kept in parts of a bit, so that those of both models take 32 bits.
-PARTS_OF_BIT = 2048
+#: A score takes 16 bits: up to 16 bits a byte in parts of 1/2048, beyond in parts of 1/128.  That ends at 272, which five orders
+#: with contexts of up to 2**52 counts cannot reach.
+PARTS_OF_BIT, FINE, COARSE_PARTS = 2048, 16, 128
 #: Files that hold a slice's scores, at most.
 DEALT = 4
 _CODE, _CLASS = 8 * ORDER, 60
@@ -179,13 +180,22 @@ def scores(counts: dict[int, DataFrame], less: dict[int, list[tuple]]) -> DataFr
 
 def answer(grams: DataFrame, found: DataFrame, path: str, folders: int) -> None:
     """Writes each slice's n-grams with their scores by both models in one number, a folder for each slice or few."""
-    bits = lambda p: F.least(F.round(-F.log2(p) * PARTS_OF_BIT), F.lit(65535)).cast("int")
+    def bits(p: str):
+        score = -F.log2(p)
+        return F.when(score < FINE, F.least(F.round(score * PARTS_OF_BIT), F.lit(FINE * PARTS_OF_BIT - 1))).otherwise(FINE * PARTS_OF_BIT + F.round((score - FINE) * COARSE_PARTS)).cast("int")
+
     packed = found.select("g", F.shiftleft(bits("p0"), 16).bitwiseOR(bits("p1")).alias("bits"))
     rows = grams.select("slice", "g").join(packed, "g").withColumn("folder", (F.col("slice") % folders).cast("int"))
     # A folder's rows are dealt to several tasks, so that those whose hashes fall together do not make one task long.
     rows.repartition(folders, "folder", F.col("g") % DEALT).sortWithinPartitions("folder", "slice", "g").write.option("compression", "zstd").partitionBy("folder").parquet(path)
 
 
+def _score(codes: np.ndarray) -> np.ndarray:
+    """Bits a byte of scores as ``answer`` wrote them."""
+    above = codes.astype(np.int64) - FINE * PARTS_OF_BIT
+    return np.where(above < 0, codes / PARTS_OF_BIT, FINE + above / COARSE_PARTS)
+
+
 class _Scores:
     """A slice's n-grams and their scores: a table by hash, and what found its place taken apart."""
 
@@ -249,7 +259,7 @@ def _scored(rows: DataFrame, path: str, folders: int, langs: list[str], known: s
                     half = part.column(part.schema.get_field_index("_half")).to_numpy()
                     for k in np.flatnonzero(able).tolist():  # each text by the other half's model
                         mine = both[offsets[k] : offsets[k + 1]]
-                        bits[k] = (mine >> 16 if half[k] else mine & 0xFFFF).mean(dtype=np.float64) / PARTS_OF_BIT
+                        bits[k] = _score(mine >> 16 if half[k] else mine & 0xFFFF).mean(dtype=np.float64)
                 arrays = [part.column(part.schema.get_field_index(c)) for c in columns]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits, mask=np.isnan(bits)), pa.array(sizes)], names=[*columns, "_bits", "_bytes"])
         _held.clear()

@@ -2,7 +2,7 @@
 
 Equal vectors are one class.  Centres are fitted on a bounded sample.  A class belongs to each cell whose
 centre is at most a margin less alike than its best one; the margin is measured: pairs just at the threshold
-are made around sampled vectors, and it is so wide that all but ``MISSED`` of them share a cell.  Cells are
+are made around sampled vectors that gave no centre, and it is so wide that all but ``MISSED`` of them share a cell.  Cells are
 cut into blocks and each pair of blocks of a cell is one group: it multiplies the blocks, confirms likely
 pairs in double precision, and hands on how many partners each class has and a spanning forest of the links,
 so what leaves a group grows with its vectors and not with its pairs.  A pair that meets in several cells
@@ -61,10 +61,18 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
+def fitted(points: np.ndarray, k: int, least: float) -> tuple[np.ndarray, float]:
+    """Centres of all points but a quarter, ``PROBES`` at most, and the margin that the pairs around those others need."""
+    aside = min(PROBES, len(points) // 4)
+    fit = points[: len(points) - aside]
+    centres = spherical_kmeans(fit, min(k, len(fit)))
+    return centres, margin(points[len(fit) :] if aside else points, centres, least)
+
+
 def margin(points: np.ndarray, centres: np.ndarray, least: float) -> float:
     """How much less alike than the best a centre may be, so that nearly all pairs with a cosine of ``least`` share one.
 
-    A pair's need is the least, over centres, of the larger of its two shortfalls.
+    ``points`` should have given neither seeds nor means of the centres: such points are closer to them than others.  A pair's need is the least, over centres, of the larger of its two shortfalls.
     """
     if len(centres) < 2 or points.shape[1] < 2:
         return 2.0
@@ -112,9 +120,7 @@ def near_vectors(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", v
 def _linked(classes: DataFrame, dimension: int, n: int, least: float) -> DataFrame:
     """Of classes of one length (id, x, size): id, the smallest id it reaches in a group, and the vectors it links with there."""
     k = int(min(max(1, n // CELL), MOST_CELLS))
-    points = _unit(V.sample(classes, dimension, n))
-    centres = spherical_kmeans(points, min(k, len(points)))
-    beside = margin(points, centres, least)
+    centres, beside = fitted(_unit(V.sample(classes, dimension, n)), k, least)
 
     def assign(batches):
         for batch in batches:

@@ -69,17 +69,33 @@ def test_near_vectors_of_several_lengths(spark):
     assert rows == {0: (2, 0), 1: (2, 0), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (2, 0), 6: (0, 6)}
 
 
+def shared_cells(unit, aside, k, r):
+    """Share of pairs at the threshold around vectors that the fit has not seen which share a cell, and cells of a vector."""
+    centres, beside = vector_dedup.fitted(unit, k, 0.9)
+    t = r.standard_normal(aside.shape)
+    t -= (t * aside).sum(1, keepdims=True) * aside
+    b = 0.9 * aside + np.sqrt(1 - 0.81) * t / np.linalg.norm(t, axis=1, keepdims=True)
+    near = lambda x: (s := x @ centres.T) >= s.max(1, keepdims=True) - beside
+    a, b = near(aside), near(b)
+    return (a & b).any(1).mean(), a.sum(1).mean()
+
+
 @pytest.mark.parametrize("d", [2, 4, 8, 16, 64])
 def test_pairs_at_the_threshold_share_a_cell(d):
     r = np.random.default_rng(d)
-    unit = vector_dedup._unit(r.standard_normal((20_000, d)))
-    centres = vector_dedup.spherical_kmeans(unit, 39)
-    beside = vector_dedup.margin(unit, centres, 0.9)
-    a, t = unit[-4000:], r.standard_normal((4000, d))
-    t -= (t * a).sum(1, keepdims=True) * a
-    b = 0.9 * a + np.sqrt(1 - 0.81) * t / np.linalg.norm(t, axis=1, keepdims=True)
-    near = lambda x: (s := x @ centres.T) >= s.max(1, keepdims=True) - beside
-    assert (near(a) & near(b)).any(1).mean() >= 0.998
+    unit = vector_dedup._unit(r.standard_normal((24_000, d)))
+    assert shared_cells(unit[:20_000], unit[20_000:], 39, r)[0] >= 0.998
+
+
+@pytest.mark.parametrize("clusters", [0, 400])
+def test_pairs_share_a_cell_with_as_many_cells_as_probes(clusters):
+    r = np.random.default_rng(clusters)
+    x = r.standard_normal((65_536 + 1500, 64))
+    if clusters:
+        x = 0.1 * x + r.standard_normal((clusters, 64))[r.integers(0, clusters, len(x))]
+    unit = vector_dedup._unit(x)
+    share, cells = shared_cells(unit[:65_536], unit[65_536:], vector_dedup.MOST_CELLS, r)
+    assert share >= 0.99, (share, cells)
 
 
 @pytest.mark.parametrize("part_bytes", [16 << 20, 1])
@@ -368,3 +384,14 @@ def test_pipeline_against_brute_force(spark):
             expected[r.doc_id] = len(whole.encode((r.text or "") if n_removed == 0 else left, add_special_tokens=False).ids) + 1
     got = {r.doc_id: r.doc_tokens for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == expected
+
+
+def test_scores_of_very_unlikely_bytes_are_not_cut(spark, tmp_path):
+    """A byte of 53 bits, or of 200, keeps them."""
+    probabilities = [0.5, 2.0**-15.9999, 2.0**-16.3, 2.0**-53.25, 2.0**-200.5, 1.0]
+    grams = spark.createDataFrame([(0, k) for k in range(6)], "slice int, g long")
+    found = spark.createDataFrame([(k, p, 0.25) for k, p in enumerate(probabilities)], "g long, p0 double, p1 double")
+    path = f"file://{tmp_path}/scores"
+    quality_lm.answer(grams, found, path, 1)
+    codes = quality_lm._scores_of(path, 0, 1).of(np.arange(6))
+    assert np.allclose(quality_lm._score(codes >> 16), [1, 16, 16.3, 53.25, 200.5, 0], atol=0.005) and np.allclose(quality_lm._score(codes & 0xFFFF), 2)

@@ -225,6 +225,32 @@ def test_near_duplicates_of_odd_tables(spark):
     assert sorted((str(x.doc_id), str(x.component_id), x.kept) for x in rows) == [("5", "5", True), ("5", "5", True), ("6", "6", True), ("None", "None", True)]
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
+    a, b = prose(100, 1, 3000).split(), prose(100, 2, 3000)
+    near = " ".join([*a[:50], "other", *a[51:]])
+    rows = minhash.near_duplicates(documents(spark, [near, " ".join(a), b], [2, 5, 5]), 3, 85).collect()
+    assert sorted((x.doc_id, x.component_id, x.kept) for x in rows) == [(2, 2, True), (5, 2, False), (5, 5, True)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_texts_with_repeated_ids(spark, seed):
+    r = random.Random(seed)
+    texts, ids = [], []
+    for base in range(15):
+        words = prose(60, 300 + base + 50 * seed, 3000).split()
+        for _ in range(r.choice([1, 2, 5])):
+            copy = list(words)
+            for _ in range(r.choice([0, 1, 2, 4])):
+                copy[r.randrange(60)] = f"z{r.random()}"
+            texts.append(" ".join(copy))
+            ids.append(r.randrange(14))
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    root = components_by_hand(sets, 85)
+    least = {c: min(i for i, d in zip(ids, root) if d == c) for c in root}
+    got = minhash.near_duplicates(documents(spark, texts, ids), 3, 85).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted((i, len(s), least[c]) for i, s, c in zip(ids, sets, root))
+
+
 def test_large_group_of_near_copies_is_one(spark):
     r = random.Random(9)
     words = prose(120, 1, 5000).split()
