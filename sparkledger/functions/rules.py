@@ -7,9 +7,12 @@ and their ``\\s`` covers the no-break space.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkledger.plans.shared import materialize
 
@@ -186,25 +189,35 @@ def first_match(text: Column, rules: Sequence[Rule], default: tuple[str, str] |
     return last if found is None else found.otherwise(last)
 
 
-#: Distinct texts of so many bytes are sent to all tasks; with more, the rows of a text are dealt to so many tasks.
-TEXT_BYTES, SALTS = 8 << 20, 16
+#: Distinct texts of so many bytes are sent to all tasks.  With more, a text of more than one row in ``HOT`` is sent alone, and
+#: if a text has fewer than ``REPEATS`` rows on average each row is judged where it is.
+TEXT_BYTES, HOT, REPEATS = 8 << 20, 1000, 2
 
 
 def by_text(df: DataFrame, text: str, answer: Column) -> DataFrame:
     """Adds ``_hit``, an answer that depends on a text (``_text``) alone, computed once for each distinct one.
 
-    The distinct texts are written and measured: a small table is broadcast, so rows stay where they are; a
-    large one is joined, with the rows of hot texts ("deposit", blanks) dealt to several tasks.
+    The distinct texts are counted, written and measured.  A small table is broadcast, so rows stay where they are.  Of a
+    large one the hot texts ("deposit", blanks), of which there are fewer than ``HOT``, are broadcast while they too are small,
+    and only the rows of other texts are shuffled to meet their answers.  Texts that hardly repeat are not looked up at all.
     """
     key = F.coalesce(text, F.lit(""))
-    texts = materialize(df.select(key.alias("_text")).distinct(), "texts")
-    size = texts.agg(F.sum(F.octet_length("_text") + 64).alias("n")).first()["n"] or 0
-    answers = texts.withColumn("_hit", answer)
-    if size <= TEXT_BYTES:
-        return df.withColumn("_text", key).join(F.broadcast(answers), "_text").drop("_text")
-    answers = answers.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = df.withColumns({"_text": key, "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")})
-    return salted.join(answers, ["_text", "_salt"]).drop("_text", "_salt")
+    rows = df.withColumn("_text", key)
+    texts = materialize(rows.groupBy("_text").agg(F.count("*").alias("_n")), "texts")
+    bytes_of = F.sum(F.octet_length("_text") + 64)
+    known = texts.agg(bytes_of.alias("size"), F.sum("_n").alias("rows"), F.count("*").alias("texts")).first()
+    answers = texts.drop("_n").withColumn("_hit", answer)
+    if (known["size"] or 0) <= TEXT_BYTES:
+        return rows.join(F.broadcast(answers), "_text").drop("_text")
+    if known["rows"] < REPEATS * known["texts"]:
+        return rows.withColumn("_hit", answer).drop("_text")
+    hot = texts.where(F.col("_n") * HOT > known["rows"]).drop("_n")
+    size = hot.agg(bytes_of.alias("size")).first()["size"]
+    if size is None or size > max(TEXT_BYTES, 8 << 20):  # none, or long ones: AQE splits a skewed join
+        return rows.join(answers.hint("merge"), "_text").drop("_text")
+    often = rows.join(F.broadcast(hot.withColumn("_hit", answer)), "_text")
+    rest = rows.join(F.broadcast(hot), "_text", "left_anti").join(answers.hint("merge"), "_text")
+    return often.unionByName(rest).drop("_text")
 
 
 def categorize(df: DataFrame, rules: Sequence[Rule] = BANK_RULES, text: str = "description") -> DataFrame:
@@ -260,24 +273,24 @@ def classify_cards(cards: DataFrame, amount: Column, text: str = "description",
     return by_text(cards, text, classify_card(F.col("_text"), F.lit(0.0), rules, threshold)).withColumn("_r", F.struct(*parts)).drop("_hit")
 
 
-def rules_from_json(text: str | None) -> list[Rule]:
-    """Extra rules from JSON, a list of [pattern, category, label]; what is malformed gives none, and so does an entry of another shape."""
-    import json
-    import re
+def fits_engine(pattern: str) -> bool:
+    """Whether Spark can run a pattern: its own engine is asked, in a query of one row."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    try:
+        spark.range(1).select(matches(F.concat(F.lit("a"), F.col("id").cast("string")), pattern).alias("m")).collect()
+    except (PySparkException, Py4JJavaError):  # refused in planning, or by the task
+        return False
+    return True
 
+
+def rules_from_json(text: str | None) -> list[Rule]:
+    """Extra rules from JSON, a list of [pattern, category, label]; what is malformed gives none, and so does an entry of another shape or a pattern that Spark refuses."""
     try:
         found = json.loads(text or "[]")
     except ValueError:
         return []
-    kept = []
-    for entry in found if isinstance(found, list) else []:
-        if isinstance(entry, list) and len(entry) == 3 and all(isinstance(x, str) for x in entry):
-            try:
-                re.compile(entry[0])
-            except re.error:
-                continue
-            kept.append(tuple(entry))
-    return kept
+    shaped = [tuple(e) for e in found if isinstance(e, list) and len(e) == 3 and all(isinstance(x, str) for x in e)] if isinstance(found, list) else []
+    return [entry for entry in shaped if fits_engine(entry[0])]
 
 
 def with_extra(rules: dict[str, list[Rule]], extra: dict[str, list[Rule]]) -> dict[str, list[Rule]]:
