@@ -703,3 +703,38 @@ ORACLES |= {
     "stream_ingest_once": "SELECT DISTINCT event_id, user_id FROM events",
     "stream_daily_totals": "SELECT CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS total FROM events GROUP BY 1",
 }
+
+
+def stream_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth event waits three days for a purchase or click, the one after it: resolved, expired or still open, by keyed state."""
+    rows = _stream(spark, sf_dir).withColumn("key", F.floor(F.col("event_id") / 4).cast("string"))
+    items = rows.where("event_id % 4 = 0").select("key", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    answers = rows.where("event_id % 4 = 1 and event_type in ('purchase', 'click')").select("key", "ts")
+    found = incremental.review_status(incremental.run_review(incremental.review_log(items, answers, 3), *_places(spark, "review")))
+    return found.select(F.col("key").cast("long").alias("key"), "cents", "status")
+
+
+def file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger as CSV files by account, every fifth account with amounts that are none; these are mended and taken again."""
+    place, _ = _places(spark, "files")
+    ledger = view(spark, sf_dir, "ledger").selectExpr("account", "txn_id", "coalesce(debit, credit, 0) AS cents")
+    broken = F.col("account").cast("int") % 5 == 0
+    write = lambda df: df.write.partitionBy("account").mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).csv(f"{place}/in")
+    read = incremental.csv_rows("txn_id long, cents long")
+    write(ledger.withColumn("cents", F.when(broken, "none").otherwise(F.col("cents").cast("string"))))
+    incremental.take_in(spark, f"{place}/in", f"{place}/store", read)
+    write(ledger.where(broken).withColumn("cents", F.col("cents").cast("string")))
+    incremental.take_in(spark, f"{place}/in", f"{place}/store", read)
+    account = F.regexp_extract("_path", "account=(\\d+)/", 1).alias("account")
+    said = incremental.file_log(spark, f"{place}/store").groupBy(account).agg(F.sum("n_broken").alias("n_broken"), F.sum(F.when(F.col("batch") == 0, F.col("n") - F.col("n_broken"))).alias("n_first"))
+    rows = incremental.taken(spark, f"{place}/store").groupBy(account).agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+    return said.join(rows, "account")
+
+
+QUERIES |= {"stream_review": stream_review, "file_outcomes": file_outcomes}
+ORACLES |= {
+    "stream_review": """WITH i AS (SELECT event_id // 4 AS key, ts, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE event_id % 4 = 0), a AS (SELECT event_id // 4 AS key, ts FROM events WHERE event_id % 4 = 1 AND event_type IN ('purchase', 'click')),
+            w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM (SELECT ts FROM i UNION ALL SELECT ts FROM a))
+       SELECT i.key, cents, CASE WHEN a.ts <= i.ts + INTERVAL 3 DAY THEN 'RESOLVED' WHEN i.ts + INTERVAL 3 DAY <= mark THEN 'EXPIRED' ELSE 'OPEN' END AS status FROM i LEFT JOIN a USING (key), w""",
+    "file_outcomes": with_views("SELECT account, sum(CASE WHEN CAST(account AS INTEGER) % 5 = 0 THEN 1 ELSE 0 END)::BIGINT AS n_broken, sum(CASE WHEN CAST(account AS INTEGER) % 5 = 0 THEN 0 ELSE 1 END)::BIGINT AS n_first, count(*) AS n, sum(coalesce(debit, credit, 0))::BIGINT AS cents FROM ledger GROUP BY 1", "ledger"),
+}

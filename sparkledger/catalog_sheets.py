@@ -486,3 +486,19 @@ def path_hints(ledger):
     part = F.element_at(F.array(F.lit("Siam House/ACME"), F.lit("siam"), F.lit("x")), F.col("account").cast("int") % 3 + 1)
     path = F.concat(F.lit("root/"), part, F.lit("/"), F.col("account"), F.lit(".csv"))
     return ledger.select("account").distinct().select("account", exprs.entity_by_rules(path, [("acme", "Acme"), ("siam", "Siam")]).alias("hint"))
+
+
+_ENTERED = "(SELECT account, txn_id, month, txn_id * 60 + txn_id % 7 * 400 AS s FROM ledger)"
+
+
+@register(f"WITH e AS {_ENTERED}, n AS (SELECT a.account, a.txn_id, count(DISTINCT b.month)::INTEGER AS n_months FROM e a JOIN e b ON a.account = b.account AND b.s BETWEEN a.s - 3600 AND a.s + 3600 GROUP BY 1, 2) SELECT * FROM n WHERE n_months >= 5", "ledger")
+def back_dated_bursts(ledger):
+    """Entries of an account that were made within an hour of others about five months or more."""
+    entered = F.timestamp_seconds(F.col("txn_id") * 60 + F.col("txn_id") % 7 * 400)
+    found = summaries.bursts(ledger.select("account", "txn_id", "date", entered.alias("entered")), "account", "entered", "date", months=5)
+    return found.select("account", "txn_id", "n_months")
+
+
+@register("SELECT doc_id, string_agg(upper(text), ' ' ORDER BY word_seq) AS holder FROM words WHERE page = 0 AND x0 > 160 AND x0 < 250 AND top + 200 > 280 AND top + 200 < 310 GROUP BY 1", "words")
+def card_holders(words):
+    return layout.holders(words.withColumn("text", F.upper("text")).withColumn("top", F.col("top") + 200))

@@ -110,6 +110,18 @@ def metadata(pages: DataFrame) -> DataFrame:
     return pages.select("doc_id", pick("\\b((?:19|20)\\d{2})\\b").alias("year"), pick("((?:\\d{4}|[X*]{4})(?: [\\dX*]{2,4}){2,3})").alias("card"), pick("(?i)(?:folio|compte)\\D{0,5}(\\d{5,7})").alias("account"), pick("(?i)(?:caisse|succursale)\\D{0,5}(\\d{3,5})").alias("branch"))
 
 
+#: Where a card statement's first page names the holder (x0 and top, both ends excluded), and how.
+HOLDER_X, HOLDER_TOP, HOLDER_WORD = (160, 250), (280, 310), "^[A-Z]{3,}$"
+
+
+def holders(words: DataFrame) -> DataFrame:
+    """doc_id and holder, the capital words in the holder's place on page 0 in order; documents without any have no row."""
+    inside = lambda c, ends: (F.col(c) > ends[0]) & (F.col(c) < ends[1])
+    said = words.where((F.col("page") == 0) & inside("x0", HOLDER_X) & inside("top", HOLDER_TOP) & F.trim("text").rlike(HOLDER_WORD))
+    named = F.array_sort(F.collect_list(F.struct("word_seq", F.trim("text").alias("t"))))
+    return said.groupBy("doc_id").agg(F.array_join(F.transform(named, lambda w: w["t"]), " ").alias("holder"))
+
+
 def detect_pdf_format(pages: DataFrame) -> DataFrame:
     """From first-page texts (doc_id, text): the layout; the first rule that fits decides."""
     up = F.upper("text")

@@ -431,13 +431,23 @@ def group_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.where("n_left <> n_right")
 
 
+#: Shares that the cards of a common amount are dealt to; a sample row is copied to each.
+CARD_SHARES = 8
+
+
 def fingerprint(stmt: DataFrame, book: DataFrame, sample: int = 20, cents: int = 4, days: int = 5) -> DataFrame:
-    """By tab the card whose rows match most of its first ``sample`` rows: tab, card, n_matched, n_sample."""
+    """By tab the card whose rows match most of its first ``sample`` rows: tab, card, n_matched, n_sample.
+
+    Rows meet by amount, days and a share of the cards, so that an amount which many cards hold, every day, is in many
+    tasks.  Only the sample is copied, to its neighbour amounts and days; each statement row lies in one place.
+    """
     first = book.withColumn("_n", F.row_number().over(Window.partitionBy("tab").orderBy("date", "id"))).where(F.col("_n") <= sample)
     sizes = first.groupBy("tab").agg(F.count("*").alias("n_sample"))
+    day = lambda date, shift=0: F.floor((F.unix_date(date) + shift) / F.lit(days + 1)).cast("long")
     a = first.select("tab", "id", F.col("date").alias("d1"), F.col("cents").alias("c1"), _near(F.col("cents"), cents).alias("b"))
-    b = stmt.select("card", F.col("date").alias("d2"), F.col("cents").alias("c2"), F.floor(F.col("cents") / (cents + 1)).alias("b"))
-    hits = a.join(b, "b").where((F.abs(F.col("c1") - F.col("c2")) <= cents) & (F.abs(F.datediff("d1", "d2")) <= days))
+    a = a.select("*", F.explode(F.sequence(day("d1", -days), day("d1", days))).alias("w")).select("*", F.explode(F.sequence(F.lit(0), F.lit(CARD_SHARES - 1))).alias("s"))
+    b = stmt.select("card", F.col("date").alias("d2"), F.col("cents").alias("c2"), F.floor(F.col("cents") / (cents + 1)).alias("b"), day("date").alias("w"), F.pmod(F.hash("card"), F.lit(CARD_SHARES)).alias("s"))
+    hits = a.join(b, ["b", "w", "s"]).where((F.abs(F.col("c1") - F.col("c2")) <= cents) & (F.abs(F.datediff("d1", "d2")) <= days))
     counted = hits.groupBy("tab", "card").agg(F.count_distinct("id").alias("n_matched"))
     best = counted.withColumn("_n", F.row_number().over(Window.partitionBy("tab").orderBy(F.desc("n_matched"), "card"))).where("_n = 1")
     return best.join(sizes, "tab").select("tab", "card", "n_matched", "n_sample")

@@ -113,11 +113,22 @@ def review_summary(queue: DataFrame) -> DataFrame:
 
 
 def bursts(entries: DataFrame, key: str, entered: str, about: str, hours: int = 1, months: int = 3) -> DataFrame:
-    """Entries made within ``hours`` of others that are about ``months`` months or more: back-dated in one go."""
-    seconds = F.unix_timestamp(entered)
-    near = Window.partitionBy(key).orderBy(F.col("_s")).rangeBetween(-3600 * hours, 3600 * hours)
-    out = entries.withColumn("_s", seconds).withColumn("n_months", F.size(F.collect_set(exprs.month_of(F.col(about))).over(near)))
-    return out.where(F.col("n_months") >= months).drop("_s")
+    """Entries made within ``hours`` of others that are about ``months`` months or more: back-dated in one go.
+
+    Adds n_months.  Entries without a time of entry are in no burst; a null key is a key.  Time is cut into buckets of ``hours``: an
+    entry's frame holds its own bucket whole and parts of its two neighbours, of which the first and last entry about each
+    month decide.  So no key is gathered, and what a row meets grows with months, not with rows.
+    """
+    width = 3600 * hours
+    rows = entries.withColumn("_s", F.unix_timestamp(entered)).where("_s is not null").withColumn("_b", F.floor(F.col("_s") / F.lit(width)))
+    by_month = rows.where(F.col(about).isNotNull()).groupBy(F.col(key).alias("_k"), F.col("_b").alias("_at"), exprs.month_of(F.col(about)).alias("month"))
+    edges = by_month.agg(F.min("_s").alias("first"), F.max("_s").alias("last"))
+    beside = edges.select("_k", F.explode(F.sequence(F.col("_at") - 1, F.col("_at") + 1)).alias("_at"), F.struct("month", "first", "last").alias("e"))
+    frames = beside.groupBy("_k", "_at").agg(F.collect_list("e").alias("_e"))
+    joined = rows.join(frames, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_at")))
+    near = F.filter("_e", lambda e: (e["last"] >= F.col("_s") - width) & (e["first"] <= F.col("_s") + width))
+    out = joined.withColumn("n_months", F.size(F.array_distinct(F.transform(near, lambda e: e["month"]))))
+    return out.where(F.col("n_months") >= months).drop("_s", "_b", "_k", "_at", "_e")
 
 
 def anomalies(duplicates: DataFrame, mismatches: DataFrame, unknown_files: DataFrame | None = None) -> DataFrame:
