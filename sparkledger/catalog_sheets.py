@@ -26,10 +26,22 @@ def _cents(column: str) -> Column:
     return (F.col(column) * 100).cast("long")
 
 
-def _statement_words(ledger: DataFrame) -> DataFrame:
-    """The ledger set as statements of all seven layouts: a document for each account and month, fifteen rows a page."""
+#: A text that each layout passes over.
+_PASSED_OVER = ["SOLDE REPORTÉ", "Solde de clôture", "NOUVEAU SOLDE", "SOUS-TOTAL", "NEW BALANCE", "TOTAL POINTS", "SOMMAIRE"]
+
+
+def _statement_words(ledger: DataFrame, late: bool = False) -> DataFrame:
+    """The ledger set as statements of all seven layouts: a document for each account and month, fifteen rows a page.
+
+    With ``late``, statements are of the month after their rows where a layout can tell (so December's are of the next year), each
+    page ends with a dated amount that the layout passes over, the two account layouts begin with a page that has a row but no
+    header, and the first of them leaves its section for a row and enters it again.
+    """
     rows = ledger.where("debit is not null or credit is not null").withColumns({"doc_id": F.concat_ws("-", "account", "month"), "kind": F.col("account").cast("int") % 7})
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("txn_id")) - 1)
+    rows = rows.withColumn("over", F.lit(False)).withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("txn_id")) - 1)
+    if late:
+        rows = rows.unionByName(rows.where("nth % 15 = 0").withColumn("over", F.lit(True)))
+    place = F.when(F.col("over"), 15).otherwise(F.col("nth") % 15)
     cents, paid = F.coalesce("debit", "credit"), F.col("debit").isNotNull()
     whole, part = F.floor(cents / 100), F.lpad((cents % 100).cast("string"), 2, "0")
     day, month = F.lpad(F.dayofmonth("date").cast("string"), 2, "0"), F.lpad(F.month("date").cast("string"), 2, "0")
@@ -38,7 +50,8 @@ def _statement_words(ledger: DataFrame) -> DataFrame:
     grouped = F.concat(F.format_number(whole, 0), F.lit("."), part)
     back = F.when(paid, comma).otherwise(F.concat(comma, F.lit(" CR")))
     word = lambda text, x0, x1=None: F.struct((F.lit(text) if isinstance(text, str) else text).alias("text"), F.lit(float(x0)).alias("x0"), F.lit(float(x1 or x0 + 10)).alias("x1"))
-    said = lambda x: [word("Item", x), word(F.concat(F.lit("n"), F.col("txn_id").cast("string")), x + 30)]
+    passed = F.element_at(F.array(*[F.lit(t) for t in _PASSED_OVER]), F.col("kind") + 1)
+    said = lambda x: [word(F.when(F.col("over"), passed).otherwise("Item"), x), word(F.concat(F.lit("n"), F.col("txn_id").cast("string")), x + 30)]
     side = lambda a, b: F.when(paid, a).otherwise(b)
     thousand = F.when(whole >= 1000, F.floor(whole / 1000).cast("string")).otherwise("")
     rest = F.concat(F.when(whole >= 1000, F.lpad((whole % 1000).cast("string"), 3, "0")).otherwise(whole.cast("string")), F.lit(","), part)
@@ -52,33 +65,56 @@ def _statement_words(ledger: DataFrame) -> DataFrame:
         [word(day, 40), word(month, 60), *said(220), word(back, 470)],
     ]
     case = lambda values: F.element_at(F.array(*values), F.col("kind") + 1)
-    body = rows.select("doc_id", "month", "kind", F.floor(F.col("nth") / 15).cast("int").alias("page"), (100 + 12 * (F.col("nth") % 15)).cast("double").alias("top"), (F.col("nth") % 15 * 20 + 1000).alias("_n"), case([F.array(*k) for k in kinds]).alias("_w"))
-    year, month = F.substring("month", 1, 4), F.substring("month", 6, 2)
+    body = rows.select("doc_id", "month", "kind", (F.floor(F.col("nth") / 15).cast("int") + (F.when(F.col("kind") < 2, 1).otherwise(0) if late else 0)).alias("page"), (100 + 12 * place).cast("double").alias("top"), (place * 20 + 1000).alias("_n"), case([F.array(*k) for k in kinds]).alias("_w"))
+    began, begun_in = F.substring("month", 1, 4), F.element_at(F.array(*[F.lit(m) for m in _MONTHS]), F.substring("month", 6, 2).cast("int"))
+    stated = F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("-01"))), 1), "yyyy-MM") if late else F.col("month")
+    stated = F.when(F.col("kind").isin(0, 5), F.col("month")).otherwise(stated)
+    year, month = F.substring(stated, 1, 4), F.substring(stated, 6, 2)
     name = F.element_at(F.array(*[F.lit(m) for m in _MONTHS]), month.cast("int"))
     stamp = F.concat(F.lit("Jour 28 Mois "), month, F.lit(" Année "), year)
     heads = [
-        F.concat(F.lit("CAISSE DESJARDINS Folio 12345 "), year), F.concat(F.lit("Banque Royale Du 1 "), name, F.lit(" "), year, F.lit(" au 28 "), name, F.lit(" "), year), F.concat(F.lit("Desjardins AFFAIRES MARGE "), stamp),
+        F.concat(F.lit("CAISSE DESJARDINS Folio 12345 "), year), F.concat(F.lit("Banque Royale Du 1 "), begun_in, F.lit(" "), began, F.lit(" au 28 "), name, F.lit(" "), year), F.concat(F.lit("Desjardins AFFAIRES MARGE "), stamp),
         F.concat(F.lit("RBC Visa 28 "), name, F.lit(" "), year), F.lit("Solutions Mastercard"), F.concat(F.lit("TD Aeroplan Jan 1, "), year, F.lit(" to Jan 28, "), year), F.concat(F.lit("BONIDOLLARS "), stamp),
     ]
-    line = lambda top, *words: F.struct(F.lit(float(top)).alias("top"), F.array(*words).alias("_w"))
+    line = lambda top, *words, page=0: F.struct(F.lit(page).alias("page"), F.lit(float(top)).alias("top"), F.array(*words).alias("_w"))
     first = [line(10, word(h, 20, 500)) for h in heads]
-    bank = line(30, *[word(t, x) for t, x in [("Date", 20), ("Code", 80), ("Description", 110), ("Frais", 250), ("Retrait", 300), ("Dépôt", 380), ("Solde", 460)]])
-    royal = line(30, *[word(t, a, b) for t, a, b in [("Date", 45, 60), ("Description", 90, 140), ("débits", 300, 330), ("($)", 332, 345), ("crédits", 400, 430), ("($)", 432, 445), ("Solde", 500, 530)]])
-    top_lines = [F.array(first[0], bank, line(40, word("EOP", 20), word("OPERATIONS", 60))), F.array(first[1], royal), *[F.array(h) for h in first[2:]]]
+    bank = line(30, *[word(t, x) for t, x in [("Date", 20), ("Code", 80), ("Description", 110), ("Frais", 250), ("Retrait", 300), ("Dépôt", 380), ("Solde", 460)]], page=int(late))
+    royal = line(30, *[word(t, a, b) for t, a, b in [("Date", 45, 60), ("Description", 90, 140), ("débits", 300, 330), ("($)", 332, 345), ("crédits", 400, 430), ("($)", 432, 445), ("Solde", 500, 530)]], page=int(late))
+    stray = lambda top, x, amount, **on: line(top, word("05", x), word("JAN", x + 14), word("Stray", 112), word(amount, 295 if x < 40 else 325, 335), **on)
+    enter = lambda top: line(top, word("EOP", 20), word("OPERATIONS", 60), page=int(late))
+    account, company = [first[0], bank, enter(40)], [first[1], royal]
+    if late:
+        account += [line(50, word("SOMMAIRE DES FRAIS", 20), page=1), stray(60, 20, "9.00", page=1), enter(70), stray(60, 20, "9.00")]
+        company += [stray(60, 45, "9,00")]
+    top_lines = [F.array(*account), F.array(*company), *[F.array(h) for h in first[2:]]]
     head = body.select("doc_id", "month", "kind").distinct().select("doc_id", "month", "kind", F.posexplode(case(top_lines)).alias("_n", "_l"))
-    head = head.select("doc_id", "month", "kind", F.lit(0).alias("page"), F.col("_l.top").alias("top"), (F.col("_n") * 20).cast("long").alias("_n"), F.col("_l._w").alias("_w"))
+    head = head.select("doc_id", "month", "kind", F.col("_l.page").alias("page"), F.col("_l.top").alias("top"), (F.col("_n") * 20).cast("long").alias("_n"), F.col("_l._w").alias("_w"))
     lines = body.withColumn("_n", F.col("_n").cast("long")).unionByName(head)
-    words = lines.select("doc_id", F.concat(F.col("month"), F.lit("-28_x.pdf")).alias("file_name"), "page", "top", "_n", F.posexplode("_w").alias("_k", "_v"))
+    file = F.when(F.col("kind") == 3, F.concat(year, F.lit("."), month, F.lit(".pdf"))).otherwise(F.concat(stated, F.lit("-28_x.pdf"))) if late else F.concat(stated, F.lit("-28_x.pdf"))
+    words = lines.select("doc_id", file.alias("file_name"), "page", "top", "_n", F.posexplode("_w").alias("_k", "_v"))
     return words.select("doc_id", "file_name", "page", (F.col("_n") + F.col("_k")).alias("word_seq"), "_v.text", "_v.x0", "_v.x1", "top").where("text <> ''")
 
 
 _KIND = "CASE CAST(account AS INTEGER) % 7 " + " ".join(f"WHEN {k} THEN '{f}'" for k, f in enumerate(_FORMATS)) + " END"
 
 
-@register(f"SELECT account || '-' || month AS doc_id, {_KIND} AS format, date, 'Item n' || CAST(txn_id AS VARCHAR) AS description, debit, credit FROM ledger WHERE debit IS NOT NULL OR credit IS NOT NULL", "ledger")
+_LISTED = f"SELECT account || '-' || month AS doc_id, {_KIND} AS format, date, 'Item n' || CAST(txn_id AS VARCHAR) AS description, debit, credit FROM ledger WHERE debit IS NOT NULL OR credit IS NOT NULL"
+
+
+def _from_pages(words: DataFrame) -> DataFrame:
+    return pages.transactions(words).select("doc_id", "format", "date", "description", _cents("debit").alias("debit"), _cents("credit").alias("credit"))
+
+
+@register(_LISTED, "ledger")
 def pages_transactions(ledger):
     """Rows set as pages of seven layouts are read back."""
-    return pages.transactions(_statement_words(ledger)).select("doc_id", "format", "date", "description", _cents("debit").alias("debit"), _cents("credit").alias("credit"))
+    return _from_pages(_statement_words(ledger))
+
+
+@register(_LISTED, "ledger")
+def pages_late_statements(ledger):
+    """The same rows from statements of the month after, among lines, pages and sections that are to be passed over."""
+    return _from_pages(_statement_words(ledger, late=True))
 
 
 @register(f"SELECT DISTINCT account || '-' || month AS doc_id, {_KIND} AS format FROM ledger WHERE debit IS NOT NULL OR credit IS NOT NULL", "ledger")
