@@ -10,6 +10,7 @@ from sparkledger import catalog
 from sparkledger.functions import exprs, rules
 from sparkledger.operators import checks, coverage, layout, matching, pages, quality, registry, summaries, transfers
 from sparkledger.plans.register import register
+from sparkledger.plans.shared import materialize
 from sparkledger.sources import handoff, statements
 
 QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
@@ -102,7 +103,8 @@ _LISTED = f"SELECT account || '-' || month AS doc_id, {_KIND} AS format, date, '
 
 
 def _from_pages(words: DataFrame) -> DataFrame:
-    return pages.transactions(words).select("doc_id", "format", "date", "description", _cents("debit").alias("debit"), _cents("credit").alias("credit"))
+    # The words are read several times, so they are written as the table that they stand for.
+    return pages.transactions(materialize(words, "words")).select("doc_id", "format", "date", "description", _cents("debit").alias("debit"), _cents("credit").alias("credit"))
 
 
 @register(_LISTED, "ledger")
@@ -350,18 +352,17 @@ _PATHS = """CASE doc_id % 6 WHEN 0 THEN 'entities/e' || CAST(doc_id % 40 AS VARC
             WHEN 3 THEN 'visa/' || CAST(doc_id AS VARCHAR) || '.csv' WHEN 4 THEN 'notes/' || CAST(doc_id AS VARCHAR) || '.tsv' ELSE 'output/' || CAST(doc_id AS VARCHAR) || '.csv' END"""
 
 
-@register(
-    f"""WITH p AS (SELECT {_PATHS} AS path, doc_id, coalesce(text, '') AS text FROM documents)
-        SELECT CASE WHEN doc_id % 7 = 0 THEN 'SRC-' || CAST(doc_id AS VARCHAR) ELSE 'PATH:' || path END AS source_id, path, sha256(text) AS sha256, octet_length(encode(text))::BIGINT AS size_bytes,
-               CASE WHEN doc_id % 6 = 0 THEN 'e' || CAST(doc_id % 40 AS VARCHAR) ELSE 'global' END AS entity,
-               CASE doc_id % 6 WHEN 0 THEN 'bank' WHEN 1 THEN 'creditor' WHEN 2 THEN 'tax' WHEN 3 THEN 'cc' ELSE 'other' END AS domain,
-               CASE doc_id % 6 WHEN 0 THEN 'bank_statement_pdf' WHEN 1 THEN 'supplier_invoice_pdf' WHEN 2 THEN 'etat_compte_TVQ' WHEN 3 THEN 'cc_statement_pdf' END AS document_type,
-               CASE doc_id % 6 WHEN 0 THEN '2024-0' || CAST(1 + doc_id % 9 AS VARCHAR) || '-01' WHEN 2 THEN '2023-11-0' || CAST(1 + doc_id % 9 AS VARCHAR) END AS date_on_document FROM p WHERE doc_id % 6 <> 5""",
-    "documents",
-)
-def registry_round_trip(documents):
-    """Documents are scanned into a registry, which is written as JSON and read back."""
-    spark, n = documents.sparkSession, F.col("doc_id")
+_REGISTRY = f"""WITH p AS (SELECT {_PATHS} AS path, doc_id, coalesce(text, '') AS text FROM documents)
+    SELECT CASE WHEN doc_id % 7 = 0 THEN 'SRC-' || CAST(doc_id AS VARCHAR) ELSE 'PATH:' || path END AS source_id, path, sha256(text) AS sha256, octet_length(encode(text))::BIGINT AS size_bytes,
+           CASE WHEN doc_id % 6 = 0 THEN 'e' || CAST(doc_id % 40 AS VARCHAR) ELSE 'global' END AS entity,
+           CASE doc_id % 6 WHEN 0 THEN 'bank' WHEN 1 THEN 'creditor' WHEN 2 THEN 'tax' WHEN 3 THEN 'cc' ELSE 'other' END AS domain,
+           CASE doc_id % 6 WHEN 0 THEN 'bank_statement_pdf' WHEN 1 THEN 'supplier_invoice_pdf' WHEN 2 THEN 'etat_compte_TVQ' WHEN 3 THEN 'cc_statement_pdf' END AS document_type,
+           CASE doc_id % 6 WHEN 0 THEN '2024-0' || CAST(1 + doc_id % 9 AS VARCHAR) || '-01' WHEN 2 THEN '2023-11-0' || CAST(1 + doc_id % 9 AS VARCHAR) END AS date_on_document FROM p WHERE doc_id % 6 <> 5"""
+
+
+def _registry(documents: DataFrame) -> DataFrame:
+    """Documents scanned into a registry, every seventh with a source_id."""
+    n = F.col("doc_id")
     text = lambda c: c.cast("string")
     kind, digit = n % 6, text(1 + n % 9)
     paths = (
@@ -373,9 +374,33 @@ def registry_round_trip(documents):
     files = documents.select(F.concat(F.lit("file:/root/docs/"), paths).alias("path"), F.octet_length(content).cast("long").alias("length"), content.alias("content"), n.alias("doc_id"))
     found = registry.scan_documents(files, "/root/docs").join(files.select(F.regexp_replace("path", "^file:/root/docs/", "").alias("path"), "doc_id"), "path")
     found = found.withColumn("source_id", F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("SRC-"), text(F.col("doc_id")))))
-    place = _place(spark, "registry")
-    handoff.write_registry(found.withColumn("document_type", F.nullif("document_type", F.lit(""))), place)
-    return handoff.load_registry(spark, place).select("source_id", "path", "sha256", "size_bytes", "entity", "domain", "document_type", "date_on_document")
+    return found.withColumn("document_type", F.nullif("document_type", F.lit("")))
+
+
+def _registered(documents: DataFrame, kind: str, registry: DataFrame) -> DataFrame:
+    place = _place(documents.sparkSession, "registry")
+    handoff.write_registry(registry, place, kind)
+    return handoff.load_registry(documents.sparkSession, place, kind).select("source_id", "path", "sha256", "size_bytes", "entity", "domain", "document_type", "date_on_document")
+
+
+@register(_REGISTRY, "documents")
+def registry_round_trip(documents):
+    """A registry is written as JSON lines and read back."""
+    return _registered(documents, "json", _registry(documents))
+
+
+@register(_REGISTRY, "documents")
+def registry_object_round_trip(documents):
+    """A registry is written as JSON objects keyed by path and read back."""
+    return _registered(documents, "object", _registry(documents))
+
+
+@register(f"SELECT * FROM ({_REGISTRY}) WHERE source_id NOT LIKE 'PATH:%'", "documents")
+def registry_csv_round_trip(documents):
+    """A registry is written as CSV and read back; rows without a source_id are left out."""
+    found = _registered(documents, "csv", _registry(documents))
+    return found.select(*[F.nullif(c, F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in found.dtypes])
+
 
 
 _REVERSE = """WITH p AS (SELECT id * 10 + k AS id, card, date + CAST(k AS INTEGER) AS date, CASE k WHEN 0 THEN cents // 3 ELSE cents - cents // 3 END AS cents FROM stmt, range(2) r(k){where}),

@@ -92,13 +92,32 @@ def load_cards(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.coalesce(text("description"), F.lit("")).alias("description"), amount.alias("amount"), text("carte").alias("card"), text("date").alias("date"), month.alias("month"), amount.isNull().alias("bad_amount"))
 
 
-def write_registry(registry: DataFrame, path: str) -> None:
-    """The registry as JSON lines, a document each."""
-    _shaped(registry, REGISTRY).write.json(path)
+#: Documents of an object that are put in one file.
+OBJECT_ROWS = 10_000
+
+
+def write_registry(registry: DataFrame, path: str, kind: str = "json") -> None:
+    """The registry as JSON lines, a document each; as JSON objects keyed by path (kind ``object``), or as CSV with a header.
+
+    An object's documents without a path are left out.  Up to OBJECT_ROWS documents make one object in one file, more are
+    dealt by path to a file of their own each, so that no object outgrows a task.
+    """
+    rows = _shaped(registry, REGISTRY)
+    if kind == "csv":
+        rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    elif kind == "object":
+        rows = rows.where("path is not null")
+        parts = max(1, -(-rows.count() // OBJECT_ROWS))
+        entry = F.to_json(F.create_map("path", F.struct(*[n for n in _names(REGISTRY) if n != "path"])))
+        inner = rows.select(F.pmod(F.xxhash64("path"), F.lit(parts)).alias("part"), F.substring(entry, F.lit(2), F.length(entry) - 2).alias("e"))
+        whole = F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list("e")), ",\n"), F.lit("}"))
+        inner.groupBy("part").agg(whole.alias("value")).write.partitionBy("part").text(path)
+    else:
+        rows.write.json(path)
 
 
 def load_registry(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
-    """A registry from JSON lines, from one JSON object keyed by path (kind ``object``), or from CSV.
+    """A registry from JSON lines, from JSON objects keyed by path, one a file (kind ``object``), or from CSV.
 
     A JSON entry without a source_id has ``PATH:`` and its path; a CSV row without one is left out.  An object
     that is no JSON gives no rows.
@@ -110,7 +129,7 @@ def load_registry(spark: SparkSession, path: str, kind: str = "json") -> DataFra
         return _shaped(rows.where("source_id <> ''").withColumn("size_bytes", F.col("size_bytes").try_cast("long")), REGISTRY)
     if kind == "object":
         entry = "struct<" + ", ".join(f"{n}: {'long' if n == 'size_bytes' else 'string'}" for n in names if n != "path") + ">"
-        whole = spark.read.option("wholetext", True).text(path).select(F.from_json("value", f"map<string, {entry}>").alias("m"))
+        whole = spark.read.text(path, wholetext=True).select(F.from_json("value", f"map<string, {entry}>").alias("m"))
         rows = whole.select(F.explode("m").alias("path", "_e")).select("path", "_e.*")
     else:
         rows = spark.read.schema(REGISTRY).json(path)

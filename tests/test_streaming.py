@@ -1,11 +1,13 @@
 """Keyed review state over restarts, files with outcomes, and frames over hot keys."""
 
 import datetime as dt
+import json
 import os
 import random
 from collections import defaultdict
 
 from sparkledger.operators import layout, matching, summaries
+from sparkledger.sources import handoff
 from sparkledger.streaming import incremental
 
 T = lambda day, hour=0: dt.datetime(2024, 1, day, hour)
@@ -105,3 +107,16 @@ def test_holders_stand_in_their_place(spark):
     words = [(1, 0, 1, "ROE", 200.0, 290.0), (1, 0, 0, " JANE ", 170.0, 290.0), (1, 0, 2, "Card", 180.0, 290.0), (1, 0, 3, "JR", 180.0, 290.0), (1, 0, 4, "AWAY", 250.0, 290.0), (1, 1, 5, "NEXT", 200.0, 290.0), (2, 0, 6, None, 200.0, 290.0)]
     got = layout.holders(spark.createDataFrame(words, "doc_id long, page int, word_seq long, text string, x0 double, top double")).collect()
     assert [tuple(r) for r in got] == [(1, "JANE ROE")]
+
+
+def test_a_registry_of_several_objects(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(handoff, "OBJECT_ROWS", 3)
+    rows = [(f"S{k}" if k % 2 else None, f'a "{k}"\\é.csv' if k else None, k) for k in range(11)]
+    df = spark.createDataFrame(rows, "source_id string, path string, size_bytes long")
+    handoff.write_registry(df, str(tmp_path / "o"), "object")
+    files = [p for p in (tmp_path / "o").rglob("*.txt")]
+    assert len(files) > 1 and sum(len(json.loads(p.read_text())) for p in files) == 10
+    got = sorted((r.source_id, r.path, r.size_bytes) for r in handoff.load_registry(spark, str(tmp_path / "o"), "object").collect())
+    assert got == sorted((s or f"PATH:{p}", p, k) for s, p, k in rows if p)
+    handoff.write_registry(df.limit(0), str(tmp_path / "e"), "object")
+    assert handoff.load_registry(spark, str(tmp_path / "o"), "object").where("path = 'none'").count() == 0
