@@ -2,9 +2,13 @@
 
 No piece of the models used here has a white-space marker behind another character, so pieces cannot
 cross into a following marked word, and a text's ids are those of its marked words in a row.  A marked
-word is a run of spaces with what follows it up to the next space; each distinct one of an Arrow batch
-is encoded once and the ids are joined back by position.  Texts that hold the marker character itself
-are encoded whole.
+word is a run of spaces with what follows it up to the next space.
+
+Texts are read in slices.  A slice is written as the list of its distinct marked words and, for its texts
+in a row, each word's number in that list.  The lists meet by word: one task has all slices of a word, in
+order of the words, so each distinct word of the table is segmented once.  Its ids go back to the slices,
+where the numbers put them in their positions.  Texts themselves are not shuffled.  A text that holds the
+marker character itself is one word, whole.
 """
 
 from __future__ import annotations
@@ -14,14 +18,17 @@ from array import array
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from sparkledger.llm import common
 from sparkledger.llm.wordbpe import gather
 
 MARKER = "▁"
-#: Marked words a worker remembers; it bounds memory only.
-REMEMBERED = 300_000
+#: Bytes of text in a slice; a longer text is a slice of its own.
+SLICE_BYTES = 8 << 20
+#: Ids that are turned into Python numbers at once; a text with more is decoded alone.
+DECODED = 1 << 19
 _models: dict[str, "MarkedWords"] = {}
 common.caches["pieces"] = _models.clear
 
@@ -35,31 +42,16 @@ class MarkedWords:
         inside = any(MARKER in self.model.id_to_piece(i).lstrip(MARKER) for i in range(self.model.get_piece_size()))
         self.chunked = not inside and self.model.decode(self.model.encode("a  b ")) == "a  b " and self.model.encode("b c") == self.model.encode("b") + self.model.encode("c")
         self.blank = array("i", [self.model.piece_to_id(MARKER)]).tobytes()
-        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
-
-    def table(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the distinct chunks in a row, with bounds. A chunk may end with the space that parts it from the next."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [c for c in distinct if c not in self.known]
-        words = [c[:-1] if c.endswith(" ") and c.strip(" ") else c for c in new]
-        found = dict(zip(new, (array("i", ids).tobytes() for ids in self.model.encode(words, num_threads=1))))
-        if "" in found:
-            found[""] = self.blank
-        parts = [found[c] if c in found else self.known[c] for c in distinct]
-        self.known.update((k, v) for k, v in found.items() if len(k) < 256)
-        bounds = np.zeros(len(parts) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4, out=bounds[1:])
-        return np.frombuffer(b"".join(parts), np.int32), bounds
 
-    def encode_column(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, with bounds for each text; a null is an empty text."""
-        whole = pc.fill_null(pc.match_substring(text, MARKER), False).to_numpy(zero_copy_only=False)
-        if whole.any() or not self.chunked:
-            lists = self.model.encode(pc.fill_null(text, "").to_pylist(), num_threads=1)
-            bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64)
-            return np.array([i for x in lists for i in x], np.int32), bounds
-        data, offsets = common.text_bytes(text)
+    def split(self, text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The marked words of some texts, the numbers of each text's words in a row, and bounds for each text.
+
+        The last word of a text that ends with a single space is empty.
+        """
+        text = pc.fill_null(text, "")
+        whole = pc.and_(pc.match_substring(text, MARKER) if self.chunked else True, pc.greater(pc.binary_length(text), 0)).to_numpy(zero_copy_only=False)
+        whole_texts = text.filter(pa.array(whole)).to_pylist()
+        data, offsets = common.text_bytes(pc.if_else(pa.array(whole), "", text))
         space = data == 0x20
         cut = space.copy()
         cut[1:] &= ~space[:-1]
@@ -69,13 +61,46 @@ class MarkedWords:
         # The chunk behind a last single space starts where its text ends and has no bytes; it sorts before the next text's first.
         starts = np.sort(np.concatenate((cuts + 1, heads)))
         counts = np.diff(np.searchsorted(cuts, offsets)) + (offsets[:-1] < offsets[1:])
-        rows = np.concatenate(([0], np.cumsum(counts)))
         bounds = np.concatenate((starts, [len(data)])).astype(np.int32)
         chunks = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
         coded = chunks.dictionary_encode()
-        ids, ends = gather(*self.table(coded.dictionary.to_pylist()), coded.indices.to_numpy())
+        # A chunk may end with the space that parts it from the next.
+        words = [c[:-1] if c.endswith(" ") and c.strip(" ") else c for c in coded.dictionary.to_pylist()]
+        rows = np.concatenate(([0], np.cumsum(counts)))
+        numbers = np.insert(coded.indices.to_numpy().astype(np.int64), rows[:-1][whole], len(words) + np.arange(len(whole_texts)))
+        return words + whole_texts, numbers, rows + np.concatenate(([0], np.cumsum(whole)))
+
+    def segment(self, words: list[str]) -> list[bytes]:
+        """Each word's ids as 32-bit numbers."""
+        found = self.model.encode(words, num_threads=1) if words else []
+        return [array("i", ids).tobytes() if word else self.blank for word, ids in zip(words, found)]
+
+    def encode_column(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, with bounds for each text; a null is an empty text."""
+        words, numbers, rows = self.split(text)
+        ids, ends = gather(*_joined(pa.array(self.segment(words), pa.binary())), numbers)
         return ids, ends[rows]
 
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The text of each run of ids, a bounded number of ids at a time."""
+        texts, low = [], 0
+        while low < len(bounds) - 1:
+            high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + DECODED, side="right")) - 1)
+            every, ends = ids[bounds[low] : bounds[high]].tolist(), (bounds[low : high + 1] - bounds[low]).tolist()
+            texts += self.model.decode([every[a:b] for a, b in zip(ends[:-1], ends[1:])])
+            low = high
+        return texts
+
+
+def _joined(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of an array of words' ids in a row, with bounds for each word."""
+    if not len(ids):
+        return np.empty(0, np.int32), np.zeros(1, np.int64)
+    _, offsets, data = ids.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1].astype(np.int64) // 4
+    values = np.frombuffer(data, np.int32)[bounds[0] : bounds[-1]] if data is not None and bounds[-1] > bounds[0] else np.empty(0, np.int32)
+    return values, bounds - bounds[0]
+
 
 def marked_words(path: str) -> MarkedWords:
     if path not in _models:
@@ -83,27 +108,73 @@ def marked_words(path: str) -> MarkedWords:
     return _models[path]
 
 
+def word_lists(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per slice: its number, doc_ids and words of each text, the words' numbers (two bytes each, four if there are more), and the words."""
+
+    def tasks(batches):
+        common.begin("pieces")
+        table, slice = marked_words(model), TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in common.slices(batch, 1, SLICE_BYTES):
+                words, numbers, rows = table.split(part.column(1))
+                packed = numbers.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).tobytes()
+                columns = [
+                    pa.array([slice], pa.int64()), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0)), common.list_array(np.diff(rows), np.array([0, len(rows) - 1]), pa.int32()),
+                    pa.array([packed], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words, pa.string())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["slice", "doc_ids", "counts", "numbers", "words"])
+                slice += 1
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(tasks, "slice long, doc_ids array<long>, counts array<int>, numbers binary, words array<string>")
+
+
+def segmented(lists: DataFrame, model: str) -> DataFrame:
+    """slice, at and ids (32-bit numbers) of every word of every list; all rows of a word meet and share one segmentation."""
+
+    def tasks(batches):
+        common.begin("pieces")
+        table, last, codes = marked_words(model), None, b""
+        for batch in batches:
+            coded = batch.column(2).dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            # Words come in order, so only the first may be one of the batch before.
+            again = bool(words) and words[0] == last
+            ids = [codes] * again + table.segment(words[again:])
+            if words:
+                last, codes = words[-1], ids[-1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()).take(coded.indices)], names=["slice", "at", "ids"])
+
+    pairs = lists.select("slice", F.posexplode("words").alias("at", "word"))
+    return pairs.repartition("word").sortWithinPartitions("word").mapInArrow(tasks, "slice long, at int, ids binary")
+
+
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array of int) and, unless ``decode`` is off, decoded.
 
     A null text is empty and has no ids.  Null and repeated doc_ids are kept as they are; other columns
-    are ignored.  Rows need no exchange: each is encoded in the task that reads it.
+    are ignored.  The lists of words are written below ``spark.checkpoint.dir``; a word that stands in every
+    slice has one small row for each of them in its task.
     """
+    lists = common.materialize(word_lists(docs, model, id_col, text_col), "marked-words")
 
-    def tasks(batches):
+    def join(words: pa.Table, texts: pa.Table) -> pa.Table:
         common.begin("pieces")
-        table = marked_words(model)
-        for batch in batches:
-            for part in common.slices(batch, 1, 4 << 20):
-                ids, bounds = table.encode_column(part.column(1))
-                columns = [part.column(0), common.list_array(ids, bounds, pa.int32())]
-                if decode:
-                    every, ends = ids.tolist(), bounds.tolist()
-                    columns.append(pa.array(table.model.decode([every[a:b] for a, b in zip(ends[:-1], ends[1:])]), pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(tasks, "doc_id long, ids array<int>" + ", decoded string" * decode)
+        order = np.argsort(words.column("at").to_numpy())
+        ids = words.column("ids").take(pa.array(order)).combine_chunks()
+        ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+        packed, counts = texts.column("numbers")[0].as_py(), np.array(texts.column("counts")[0].as_py(), np.int64)
+        rows = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
+        numbers = np.frombuffer(packed, np.uint32 if len(packed) > 2 * rows[-1] else np.uint16)
+        ids, ends = gather(*_joined(ids), numbers)
+        bounds = ends[rows]
+        columns = [pa.array(texts.column("doc_ids")[0].as_py(), pa.int64()), common.list_array(ids, bounds, pa.int32())]
+        if decode:
+            columns.append(pa.array(marked_words(model).decode(ids, bounds), pa.string()))
+        return pa.Table.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
+
+    places = lists.select("slice", "doc_ids", "counts", "numbers").groupBy("slice")
+    return segmented(lists, model).groupBy("slice").cogroup(places).applyInArrow(join, "doc_id long, ids array<int>" + ", decoded string" * decode)
 
 
 def digest(encoded: DataFrame) -> DataFrame:

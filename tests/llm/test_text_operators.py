@@ -128,6 +128,27 @@ def test_piece_codes(spark):
         assert rows[k].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert rows[k].decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
     assert pieces.encode(documents(spark, []), PIECE).count() == 0
+    assert pieces.encode(documents(spark, [None, "", None]), PIECE, decode=False).collect() == [(0, []), (1, []), (2, [])]
+
+
+def test_each_distinct_marked_word_is_segmented_once(spark, monkeypatch):
+    """Slices of a few bytes: a word of all of them has its rows in one task, in a row, and ids go back to their positions."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 40)
+    texts = [*ODD, *["the  hot the word "] * 300, *[prose(k, k) for k in range(60)], " ".join(f"u{k}" for k in range(70_000))]
+    ids = [None, *[k // 2 for k in range(1, len(texts))]]
+    docs = documents(spark, texts, ids).repartition(5)
+    lists = common.materialize(pieces.word_lists(docs, PIECE), "t")
+    coded = common.materialize(pieces.segmented(lists, PIECE), "t")
+    assert lists.selectExpr("sum(size(words))").first()[0] == coded.count()
+    # The wide slice has four bytes a number; one word's rows come from one task.
+    assert lists.where("size(words) > 65536 and length(numbers) = 4 * aggregate(counts, 0, (a, c) -> a + c)").count() == 1
+    hot = coded.join(lists.selectExpr("slice", "posexplode(words) AS (at, word)"), ["slice", "at"]).where("word = ' hot'")
+    assert hot.count() > 100 and hot.select("ids").distinct().count() == 1
+    got = sorted(((r.doc_id, list(r.ids), r.decoded) for r in pieces.encode(docs, PIECE).collect()), key=str)
+    assert got == sorted(((k, model.encode(t or ""), model.decode(model.encode(t or ""))) for k, t in zip(ids, texts)), key=str)
 
 
 def removed_by_hand(docs, window):
