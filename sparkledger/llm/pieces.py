@@ -4,20 +4,22 @@ No piece of the models used here has a white-space marker behind another charact
 cross into a following marked word, and a text's ids are those of its marked words in a row.  A marked
 word is a run of spaces with what follows it up to the next space.
 
-Texts are read in slices.  A slice is written as the list of its distinct marked words and, for its texts
-in a row, each word's number in that list.  The lists meet by word: one task has all slices of a word, in
-order of the words, so each distinct word of the table is segmented once.  Its ids go back to the slices,
-where the numbers put them in their positions.  Texts themselves are not shuffled.  A text that holds the
-marker character itself is one word, whole.
+Texts are read in slices.  A slice is written as its distinct marked words, the commonest first, and, for its
+texts in a row, each word's number among them.  Its words are dealt by hash into packets; one task has the
+packets of one hash from all slices and segments each distinct word once.  The ids go back to the slices, where
+the numbers put them in their positions.  Texts themselves are not shuffled, and packets and numbers are
+compressed.  A text that holds the marker character itself is one word, whole.
 """
 
 from __future__ import annotations
 
+import zlib
 from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,6 +31,8 @@ MARKER = "▁"
 SLICE_BYTES = 8 << 20
 #: Ids that are turned into Python numbers at once; a text with more is decoded alone.
 DECODED = 1 << 19
+#: Words a task remembers before it starts anew, and the bytes of the longest; they bound memory only.
+REMEMBERED, LONGEST = 1_000_000, 256
 _models: dict[str, "MarkedWords"] = {}
 common.caches["pieces"] = _models.clear
 
@@ -108,8 +112,21 @@ def marked_words(path: str) -> MarkedWords:
     return _models[path]
 
 
-def word_lists(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per slice: its number, doc_ids and words of each text, the words' numbers (two bytes each, four if there are more), and the words."""
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32, all their lowest bytes first, compressed."""
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+
+
+def word_lists(docs: DataFrame, model: str, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per slice: its number, doc_ids and words of each text, the words' numbers, each word's bucket, and packets of words by bucket.
+
+    A packet has the lengths and the bytes of its words in order of their numbers.
+    """
 
     def tasks(batches):
         common.begin("pieces")
@@ -117,64 +134,80 @@ def word_lists(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for part in common.slices(batch, 1, SLICE_BYTES):
                 words, numbers, rows = table.split(part.column(1))
-                packed = numbers.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).tobytes()
+                common_first = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
+                rank = np.empty(len(words), np.int64)
+                rank[common_first] = np.arange(len(words))
+                listed = pa.array(words, pa.large_string()).take(pa.array(common_first))
+                dealt = np.array([zlib.crc32(w.encode()) % buckets for w in listed.to_pylist()], np.int64)
+                data, offsets = common.text_bytes(listed.take(pa.array(np.argsort(dealt, kind="stable"))))
+                lengths, bounds = np.diff(offsets), np.concatenate(([0], np.cumsum(np.bincount(dealt, minlength=buckets))))
+                packets = [{"bucket": k, "lengths": pack(lengths[a:b]), "bytes": zstandard.compress(data[offsets[a] : offsets[b]].tobytes(), 3)} for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
+                one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
                 columns = [
-                    pa.array([slice], pa.int64()), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0)), common.list_array(np.diff(rows), np.array([0, len(rows) - 1]), pa.int32()),
-                    pa.array([packed], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words, pa.string())),
+                    pa.array([slice], pa.int64()), one(part.column(0)), pa.array([pack(np.diff(rows))], pa.binary()), pa.array([pack(rank[numbers])], pa.binary()), pa.array([pack(dealt)], pa.binary()),
+                    one(pa.array(packets, pa.struct({"bucket": pa.int32(), "lengths": pa.binary(), "bytes": pa.binary()}))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["slice", "doc_ids", "counts", "numbers", "words"])
+                yield pa.RecordBatch.from_arrays(columns, names=["slice", "doc_ids", "counts", "numbers", "buckets", "packets"])
                 slice += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(tasks, "slice long, doc_ids array<long>, counts array<int>, numbers binary, words array<string>")
+    schema = "slice long, doc_ids array<long>, counts binary, numbers binary, buckets binary, packets array<struct<bucket: int, lengths: binary, bytes: binary>>"
+    return rows.mapInArrow(tasks, schema)
 
 
-def segmented(lists: DataFrame, model: str) -> DataFrame:
-    """slice, at and ids (32-bit numbers) of every word of every list; all rows of a word meet and share one segmentation."""
+def segmented(lists: DataFrame, model: str, buckets: int) -> DataFrame:
+    """slice, bucket, and for the packet's words in a row the number of ids of each and the ids; a distinct word is segmented once."""
 
     def tasks(batches):
         common.begin("pieces")
-        table, last, codes = marked_words(model), None, b""
+        table, known = marked_words(model), {}
         for batch in batches:
-            coded = batch.column(2).dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            # Words come in order, so only the first may be one of the batch before.
-            again = bool(words) and words[0] == last
-            ids = [codes] * again + table.segment(words[again:])
-            if words:
-                last, codes = words[-1], ids[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()).take(coded.indices)], names=["slice", "at", "ids"])
-
-    pairs = lists.select("slice", F.posexplode("words").alias("at", "word"))
-    return pairs.repartition("word").sortWithinPartitions("word").mapInArrow(tasks, "slice long, at int, ids binary")
-
-
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
+            for slice, bucket, lengths, raw in zip(*[column.to_pylist() for column in batch.columns]):
+                ends = np.concatenate(([0], np.cumsum(unpack(lengths), dtype=np.int64))).tolist()
+                raw = zstandard.decompress(raw)
+                words = [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                new = [w for w in words if w not in known]
+                found = dict(zip(new, table.segment([w.decode() for w in new])))
+                ids = [found[w] if w in found else known[w] for w in words]
+                if len(known) > REMEMBERED:
+                    known.clear()
+                known.update((w, i) for w, i in found.items() if len(w) <= LONGEST)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                yield pa.RecordBatch.from_arrays([pa.array([slice], pa.int64()), pa.array([bucket], pa.int32()), pa.array([pack(sizes)], pa.binary()), pa.array([pack(np.frombuffer(b"".join(ids), np.int32))], pa.binary())], names=["slice", "bucket", "sizes", "ids"])
+
+    packets = lists.select("slice", F.explode("packets").alias("p")).select("slice", "p.bucket", "p.lengths", "p.bytes")
+    return packets.repartition(buckets, "bucket").mapInArrow(tasks, "slice long, bucket int, sizes binary, ids binary")
+
+
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True, buckets: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array of int) and, unless ``decode`` is off, decoded.
 
     A null text is empty and has no ids.  Null and repeated doc_ids are kept as they are; other columns
-    are ignored.  The lists of words are written below ``spark.checkpoint.dir``; a word that stands in every
-    slice has one small row for each of them in its task.
+    are ignored.  The lists of words are written below ``spark.checkpoint.dir``.  There are as many ``buckets``
+    of words as shuffle partitions, if not given; a word that stands in every slice is once in a packet of each.
     """
-    lists = common.materialize(word_lists(docs, model, id_col, text_col), "marked-words")
+    buckets = buckets or common.shuffle_width(docs.sparkSession)
+    lists = common.materialize(word_lists(docs, model, buckets, id_col, text_col), "marked-words")
 
-    def join(words: pa.Table, texts: pa.Table) -> pa.Table:
+    def join(packets: pa.Table, texts: pa.Table) -> pa.Table:
         common.begin("pieces")
-        order = np.argsort(words.column("at").to_numpy())
-        ids = words.column("ids").take(pa.array(order)).combine_chunks()
-        ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
-        packed, counts = texts.column("numbers")[0].as_py(), np.array(texts.column("counts")[0].as_py(), np.int64)
-        rows = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
-        numbers = np.frombuffer(packed, np.uint32 if len(packed) > 2 * rows[-1] else np.uint16)
-        ids, ends = gather(*_joined(ids), numbers)
+        order = np.argsort(packets.column("bucket").to_numpy())
+        of = {name: packets.column(name).to_pylist() for name in ("sizes", "ids")}
+        sizes, ids = (np.concatenate([np.empty(0, np.uint32), *[unpack(of[name][k]) for k in order]]) for name in ("sizes", "ids"))
+        counts, numbers, dealt = (unpack(texts.column(name)[0].as_py()) for name in ("counts", "numbers", "buckets"))
+        # Packets in order of their buckets have the words in this order.
+        place = np.empty(len(dealt), np.int64)
+        place[np.argsort(dealt, kind="stable")] = np.arange(len(dealt))
+        rows = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        found, ends = gather(ids.astype(np.int32), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), place[numbers])
         bounds = ends[rows]
-        columns = [pa.array(texts.column("doc_ids")[0].as_py(), pa.int64()), common.list_array(ids, bounds, pa.int32())]
+        columns = [texts.column("doc_ids").combine_chunks().flatten(), common.list_array(found, bounds, pa.int32())]
         if decode:
-            columns.append(pa.array(marked_words(model).decode(ids, bounds), pa.string()))
+            columns.append(pa.array(marked_words(model).decode(found, bounds), pa.string()))
         return pa.Table.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
-    places = lists.select("slice", "doc_ids", "counts", "numbers").groupBy("slice")
-    return segmented(lists, model).groupBy("slice").cogroup(places).applyInArrow(join, "doc_id long, ids array<int>" + ", decoded string" * decode)
+    places = lists.select("slice", "doc_ids", "counts", "numbers", "buckets").groupBy("slice")
+    return segmented(lists, model, buckets).groupBy("slice").cogroup(places).applyInArrow(join, "doc_id long, ids array<int>" + ", decoded string" * decode)
 
 
 def digest(encoded: DataFrame) -> DataFrame:

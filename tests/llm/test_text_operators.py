@@ -132,7 +132,7 @@ def test_piece_codes(spark):
 
 
 def test_each_distinct_marked_word_is_segmented_once(spark, monkeypatch):
-    """Slices of a few bytes: a word of all of them has its rows in one task, in a row, and ids go back to their positions."""
+    """Slices of a few bytes: their words go to buckets and ids come back to their positions, with and without room to remember words."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
@@ -140,15 +140,17 @@ def test_each_distinct_marked_word_is_segmented_once(spark, monkeypatch):
     texts = [*ODD, *["the  hot the word "] * 300, *[prose(k, k) for k in range(60)], " ".join(f"u{k}" for k in range(70_000))]
     ids = [None, *[k // 2 for k in range(1, len(texts))]]
     docs = documents(spark, texts, ids).repartition(5)
-    lists = common.materialize(pieces.word_lists(docs, PIECE), "t")
-    coded = common.materialize(pieces.segmented(lists, PIECE), "t")
-    assert lists.selectExpr("sum(size(words))").first()[0] == coded.count()
-    # The wide slice has four bytes a number; one word's rows come from one task.
-    assert lists.where("size(words) > 65536 and length(numbers) = 4 * aggregate(counts, 0, (a, c) -> a + c)").count() == 1
-    hot = coded.join(lists.selectExpr("slice", "posexplode(words) AS (at, word)"), ["slice", "at"]).where("word = ' hot'")
-    assert hot.count() > 100 and hot.select("ids").distinct().count() == 1
-    got = sorted(((r.doc_id, list(r.ids), r.decoded) for r in pieces.encode(docs, PIECE).collect()), key=str)
-    assert got == sorted(((k, model.encode(t or ""), model.decode(model.encode(t or ""))) for k, t in zip(ids, texts)), key=str)
+    lists = common.materialize(pieces.word_lists(docs, PIECE, 3), "t")
+    packets = common.materialize(pieces.segmented(lists, PIECE, 3), "t").collect()
+    assert len(packets) == lists.selectExpr("sum(size(packets))").first()[0] and {r.bucket for r in packets} == {0, 1, 2}
+    # As many words have ids as are listed; the wide slice has all of its own.
+    sizes = [len(pieces.unpack(r.sizes)) for r in packets]
+    assert sum(sizes) == sum(len(pieces.unpack(r.buckets)) for r in lists.collect()) and max(sizes) > 20_000
+    expected = sorted(((k, model.encode(t or ""), model.decode(model.encode(t or ""))) for k, t in zip(ids, texts)), key=str)
+    for remembered, buckets in ((1_000_000, None), (10, 1)):
+        monkeypatch.setattr(pieces, "REMEMBERED", remembered)
+        got = sorted(((r.doc_id, list(r.ids), r.decoded) for r in pieces.encode(docs, PIECE, buckets=buckets).collect()), key=str)
+        assert got == expected
 
 
 def removed_by_hand(docs, window):
