@@ -4,11 +4,12 @@ No piece of the models used here has a white-space marker behind another charact
 cross into a following marked word, and a text's ids are those of its marked words in a row.  A marked
 word is a run of spaces with what follows it up to the next space.
 
-Texts are read in slices.  A slice is written as its distinct marked words, the commonest first, and, for its
-texts in a row, each word's number among them.  Its words are dealt by hash into packets; one task has the
-packets of one hash from all slices and segments each distinct word once.  The ids go back to the slices, where
-the numbers put them in their positions.  Texts themselves are not shuffled, and packets and numbers are
-compressed.  A text that holds the marker character itself is one word, whole.
+Texts are read in slices.  A slice gives its distinct marked words, the commonest first, and, for its texts
+in a row, each word's number among them.  Its words are dealt by hash into packets; one task has the packets of
+one hash from all slices and segments each distinct word once.  The ids go back to the slices, where the numbers
+put them in their positions.  Numbers ride along with the packets, so one scan feeds one line of two exchanges.
+Texts themselves are not shuffled, and packets and numbers are compressed.  A text that holds the marker
+character itself is one word, whole.
 """
 
 from __future__ import annotations
@@ -113,19 +114,46 @@ def marked_words(path: str) -> MarkedWords:
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32, all their lowest bytes first, compressed."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    """Numbers below 2**32, compressed: their count, a byte each with the number itself or its length, and by length the bits that are left."""
+    numbers = numbers.astype(np.uint32)
+    length = np.frexp(numbers.astype(np.float64))[1] - 1
+    parts = [np.array([len(numbers)], "<u4").view(np.uint8), np.where(length < 7, numbers, length + 121).astype(np.uint8)]
+    for k in range(7, 32):
+        rest = numbers[length == k] - np.uint32(1 << k)
+        parts += [((rest >> np.uint32(shift)) & np.uint32(255)).astype(np.uint8) for shift in range(0, k, 8)]
+    return zstandard.compress(np.concatenate(parts).tobytes(), 3)
 
 
 def unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    n = int(raw[:4].view("<u4")[0])
+    first, at = raw[4 : 4 + n], 4 + n
+    numbers = first.astype(np.uint32)
+    for k in np.unique(first[first >= 128]).astype(int) - 121:
+        chosen = np.flatnonzero(first == k + 121)
+        value = np.full(len(chosen), 1 << k, np.uint32)
+        for shift in range(0, k, 8):
+            value += raw[at : at + len(chosen)].astype(np.uint32) << np.uint32(shift)
+            at += len(chosen)
+        numbers[chosen] = value
+    return numbers
+
+
+#: A row is a slice's texts (bucket -1) or a packet of its words.
+ROWS = "slice long, bucket int, doc_ids array<long>, values array<binary>"
+_NAMES = ["slice", "bucket", "doc_ids", "values"]
+
+
+def _row(slice: int, bucket: int, values: list[bytes], doc_ids: pa.Array | None = None) -> pa.RecordBatch:
+    ids = pa.array([None], pa.list_(pa.int64())) if doc_ids is None else pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids)
+    return pa.RecordBatch.from_arrays([pa.array([slice], pa.int64()), pa.array([bucket], pa.int32()), ids, pa.array([values], pa.list_(pa.binary()))], names=_NAMES)
 
 
 def word_lists(docs: DataFrame, model: str, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per slice: its number, doc_ids and words of each text, the words' numbers, each word's bucket, and packets of words by bucket.
+    """For each slice a row of its texts, bucket -1, and a packet for each bucket that has words of it.
 
-    A packet has the lengths and the bytes of its words in order of their numbers.
+    The row of texts has three packed lists: how many words each text has, the numbers of these words, and the
+    bucket of each distinct word.  A packet has the lengths and the bytes of its words in order of their numbers.
     """
 
     def tasks(batches):
@@ -139,30 +167,28 @@ def word_lists(docs: DataFrame, model: str, buckets: int, id_col: str = "doc_id"
                 rank[common_first] = np.arange(len(words))
                 listed = pa.array(words, pa.large_string()).take(pa.array(common_first))
                 dealt = np.array([zlib.crc32(w.encode()) % buckets for w in listed.to_pylist()], np.int64)
+                yield _row(slice, -1, [pack(np.diff(rows)), pack(rank[numbers]), pack(dealt)], part.column(0))
                 data, offsets = common.text_bytes(listed.take(pa.array(np.argsort(dealt, kind="stable"))))
                 lengths, bounds = np.diff(offsets), np.concatenate(([0], np.cumsum(np.bincount(dealt, minlength=buckets))))
-                packets = [{"bucket": k, "lengths": pack(lengths[a:b]), "bytes": zstandard.compress(data[offsets[a] : offsets[b]].tobytes(), 3)} for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
-                one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-                columns = [
-                    pa.array([slice], pa.int64()), one(part.column(0)), pa.array([pack(np.diff(rows))], pa.binary()), pa.array([pack(rank[numbers])], pa.binary()), pa.array([pack(dealt)], pa.binary()),
-                    one(pa.array(packets, pa.struct({"bucket": pa.int32(), "lengths": pa.binary(), "bytes": pa.binary()}))),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["slice", "doc_ids", "counts", "numbers", "buckets", "packets"])
+                for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+                    if a < b:
+                        yield _row(slice, k, [pack(lengths[a:b]), zstandard.compress(data[offsets[a] : offsets[b]].tobytes(), 3)])
                 slice += 1
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "slice long, doc_ids array<long>, counts binary, numbers binary, buckets binary, packets array<struct<bucket: int, lengths: binary, bytes: binary>>"
-    return rows.mapInArrow(tasks, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tasks, ROWS)
 
 
 def segmented(lists: DataFrame, model: str, buckets: int) -> DataFrame:
-    """slice, bucket, and for the packet's words in a row the number of ids of each and the ids; a distinct word is segmented once."""
+    """The rows of ``word_lists``, packets with the number of ids of each word and the ids; a distinct word is segmented once."""
 
     def tasks(batches):
         common.begin("pieces")
         table, known = marked_words(model), {}
         for batch in batches:
-            for slice, bucket, lengths, raw in zip(*[column.to_pylist() for column in batch.columns]):
+            packets = pc.greater_equal(batch.column(1), 0)
+            yield batch.filter(pc.invert(packets))
+            chosen = batch.filter(packets)
+            for slice, bucket, (lengths, raw) in zip(chosen.column(0).to_pylist(), chosen.column(1).to_pylist(), chosen.column(3).to_pylist()):
                 ends = np.concatenate(([0], np.cumsum(unpack(lengths), dtype=np.int64))).tolist()
                 raw = zstandard.decompress(raw)
                 words = [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
@@ -173,41 +199,41 @@ def segmented(lists: DataFrame, model: str, buckets: int) -> DataFrame:
                     known.clear()
                 known.update((w, i) for w, i in found.items() if len(w) <= LONGEST)
                 sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-                yield pa.RecordBatch.from_arrays([pa.array([slice], pa.int64()), pa.array([bucket], pa.int32()), pa.array([pack(sizes)], pa.binary()), pa.array([pack(np.frombuffer(b"".join(ids), np.int32))], pa.binary())], names=["slice", "bucket", "sizes", "ids"])
+                yield _row(slice, bucket, [pack(sizes), pack(np.frombuffer(b"".join(ids), np.int32))])
 
-    packets = lists.select("slice", F.explode("packets").alias("p")).select("slice", "p.bucket", "p.lengths", "p.bytes")
-    return packets.repartition(buckets, "bucket").mapInArrow(tasks, "slice long, bucket int, sizes binary, ids binary")
+    # Rows of texts are spread by their slices.
+    place = F.when(F.col("bucket") >= 0, F.col("bucket").cast("long")).otherwise(-1 - F.col("slice"))
+    return lists.withColumn("_p", place).repartition(buckets, "_p").drop("_p").mapInArrow(tasks, ROWS)
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True, buckets: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array of int) and, unless ``decode`` is off, decoded.
 
     A null text is empty and has no ids.  Null and repeated doc_ids are kept as they are; other columns
-    are ignored.  The lists of words are written below ``spark.checkpoint.dir``.  There are as many ``buckets``
-    of words as shuffle partitions, if not given; a word that stands in every slice is once in a packet of each.
+    are ignored.  There are as many ``buckets`` of words as shuffle partitions, if not given; a word that
+    stands in every slice is once in a packet of each.
     """
     buckets = buckets or common.shuffle_width(docs.sparkSession)
-    lists = common.materialize(word_lists(docs, model, buckets, id_col, text_col), "marked-words")
 
-    def join(packets: pa.Table, texts: pa.Table) -> pa.Table:
+    def join(rows: pa.Table) -> pa.Table:
         common.begin("pieces")
-        order = np.argsort(packets.column("bucket").to_numpy())
-        of = {name: packets.column(name).to_pylist() for name in ("sizes", "ids")}
-        sizes, ids = (np.concatenate([np.empty(0, np.uint32), *[unpack(of[name][k]) for k in order]]) for name in ("sizes", "ids"))
-        counts, numbers, dealt = (unpack(texts.column(name)[0].as_py()) for name in ("counts", "numbers", "buckets"))
+        of = rows.column("bucket").to_numpy()
+        order = np.argsort(of)
+        (doc_ids, (counts, numbers, dealt)), packets = (rows.column(name)[int(order[0])] for name in ("doc_ids", "values")), [rows.column("values")[int(k)].as_py() for k in order[1:]]
+        counts, numbers, dealt = (unpack(x.as_py()) for x in (counts, numbers, dealt))
+        sizes, ids = (np.concatenate([np.empty(0, np.uint32), *[unpack(p[k]) for p in packets]]) for k in (0, 1))
         # Packets in order of their buckets have the words in this order.
         place = np.empty(len(dealt), np.int64)
         place[np.argsort(dealt, kind="stable")] = np.arange(len(dealt))
-        rows = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
         found, ends = gather(ids.astype(np.int32), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), place[numbers])
-        bounds = ends[rows]
-        columns = [texts.column("doc_ids").combine_chunks().flatten(), common.list_array(found, bounds, pa.int32())]
+        bounds = ends[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
+        columns = [doc_ids.values, common.list_array(found, bounds, pa.int32())]
         if decode:
             columns.append(pa.array(marked_words(model).decode(found, bounds), pa.string()))
         return pa.Table.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
-    places = lists.select("slice", "doc_ids", "counts", "numbers", "buckets").groupBy("slice")
-    return segmented(lists, model, buckets).groupBy("slice").cogroup(places).applyInArrow(join, "doc_id long, ids array<int>" + ", decoded string" * decode)
+    lists = word_lists(docs, model, buckets, id_col, text_col)
+    return segmented(lists, model, buckets).groupBy("slice").applyInArrow(join, "doc_id long, ids array<int>" + ", decoded string" * decode)
 
 
 def digest(encoded: DataFrame) -> DataFrame:

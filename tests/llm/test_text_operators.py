@@ -131,6 +131,11 @@ def test_piece_codes(spark):
     assert pieces.encode(documents(spark, [None, "", None]), PIECE, decode=False).collect() == [(0, []), (1, []), (2, [])]
 
 
+@given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1))))
+def test_packed_numbers_come_back(numbers):
+    assert pieces.unpack(pieces.pack(np.array(numbers, np.int64))).tolist() == numbers
+
+
 def test_each_distinct_marked_word_is_segmented_once(spark, monkeypatch):
     """Slices of a few bytes: their words go to buckets and ids come back to their positions, with and without room to remember words."""
     import sentencepiece
@@ -141,11 +146,12 @@ def test_each_distinct_marked_word_is_segmented_once(spark, monkeypatch):
     ids = [None, *[k // 2 for k in range(1, len(texts))]]
     docs = documents(spark, texts, ids).repartition(5)
     lists = common.materialize(pieces.word_lists(docs, PIECE, 3), "t")
-    packets = common.materialize(pieces.segmented(lists, PIECE, 3), "t").collect()
-    assert len(packets) == lists.selectExpr("sum(size(packets))").first()[0] and {r.bucket for r in packets} == {0, 1, 2}
+    rows = pieces.segmented(lists, PIECE, 3).collect()
+    packets = [r for r in rows if r.bucket >= 0]
+    assert len(rows) == lists.count() and {r.bucket for r in rows} == {-1, 0, 1, 2}
     # As many words have ids as are listed; the wide slice has all of its own.
-    sizes = [len(pieces.unpack(r.sizes)) for r in packets]
-    assert sum(sizes) == sum(len(pieces.unpack(r.buckets)) for r in lists.collect()) and max(sizes) > 20_000
+    sizes = [len(pieces.unpack(r["values"][0])) for r in packets]
+    assert sum(sizes) == sum(len(pieces.unpack(r["values"][2])) for r in rows if r.bucket < 0) and max(sizes) > 20_000
     expected = sorted(((k, model.encode(t or ""), model.decode(model.encode(t or ""))) for k, t in zip(ids, texts)), key=str)
     for remembered, buckets in ((1_000_000, None), (10, 1)):
         monkeypatch.setattr(pieces, "REMEMBERED", remembered)
