@@ -408,29 +408,22 @@ def _splits(stmt: DataFrame) -> DataFrame:
     return found.select("left_id", F.array_join(F.col("part_ids").cast("array<string>"), ",").alias("parts"), "diff")
 
 
-@register(
-    """WITH l AS (SELECT id, card, date, cents, cents // 3 AS t FROM stmt WHERE id % 9 = 0),
+_SPLITS = """WITH l AS (SELECT id, card, date, cents, cents // 3 AS t FROM stmt),
        p AS (SELECT id * 10 + k AS id, card, date, CASE WHEN k = 0 THEN t WHEN id % 2 = 1 THEN cents - t WHEN k = 1 THEN t + 1 ELSE cents - 2 * t - 1 END AS cents FROM l, range(3) r(k) WHERE k < 3 - id % 2),
        near AS (SELECT l.id AS left_id, l.cents AS whole, p.id, p.cents FROM l JOIN p ON l.card = p.card AND abs(l.date - p.date) <= 1 AND p.cents <= l.cents + 5),
        s AS (SELECT a.left_id, [a.id, b.id] AS part_ids, abs(a.cents + b.cents - a.whole) AS diff FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id
              UNION ALL SELECT a.left_id, [a.id, b.id, c.id], abs(a.cents + b.cents + c.cents - a.whole) FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id JOIN near c ON a.left_id = c.left_id AND b.id < c.id)
-       SELECT left_id, array_to_string(part_ids, ',') AS parts, diff FROM s WHERE diff <= 5 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY diff, len(part_ids), part_ids) = 1""",
-    "stmt",
-)
+       SELECT left_id, array_to_string(part_ids, ',') AS parts, diff FROM s WHERE diff <= 5 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY diff, len(part_ids), part_ids) = 1"""
+
+
+@register(_SPLITS, "stmt")
 def split_match(stmt):
-    return _splits(stmt.where("id % 9 = 0"))
+    return _splits(stmt)
 
 
-@register(
-    """WITH l AS (SELECT id, card, date, cents, cents // 3 AS t FROM stmt),
-       p AS (SELECT id * 10 + k AS id, card, date, CASE WHEN k = 0 THEN t WHEN id % 2 = 1 THEN cents - t WHEN k = 1 THEN t + 1 ELSE cents - 2 * t - 1 END AS cents FROM l, range(3) r(k) WHERE k < 3 - id % 2),
-       near AS (SELECT l.id AS left_id, l.cents AS whole, p.id, p.cents FROM l JOIN p ON l.card = p.card AND abs(l.date - p.date) <= 1 AND p.cents <= l.cents + 5),
-       s AS (SELECT a.left_id, [a.id, b.id] AS part_ids, abs(a.cents + b.cents - a.whole) AS diff FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id
-             UNION ALL SELECT a.left_id, [a.id, b.id, c.id], abs(a.cents + b.cents + c.cents - a.whole) FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id JOIN near c ON a.left_id = c.left_id AND b.id < c.id)
-       SELECT left_id, array_to_string(part_ids, ',') AS parts, diff FROM s WHERE diff <= 5 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY diff, len(part_ids), part_ids) = 1""",
-    "stmt",
-)
+@register(_SPLITS, "stmt")
 def split_match_all(stmt):
+    """The same rows, under the name they had while ``split_match`` read a ninth of them."""
     return _splits(stmt)
 
 

@@ -237,6 +237,53 @@ def statement_warnings_by_record(ledger):
     return statements.file_warnings(texts, statements.detect_format(texts))
 
 
+@register(
+    f"""WITH {_DOCS} SELECT path, CASE WHEN there THEN format ELSE 'missing' END AS format, CASE WHEN there AND format <> 'unknown' THEN 'high' ELSE 'low' END AS confidence, CASE WHEN NOT there THEN 'no such file' END AS warning
+        FROM (SELECT *, CAST(right(path, 2) AS INTEGER) % 4 <> 0 AS there FROM d)""",
+    "ledger",
+)
+def statement_files_expected(ledger):
+    """A statement is expected for each account and month with rows; those of every fourth month are not there."""
+    texts = _texts(ledger)
+    files = statements.detect_format(texts.where(F.substring("path", -2, 2).cast("int") % 4 != 0))
+    return statements.with_missing(files.withColumn("warning", F.lit(None).cast("string")), texts.select("path")).select("path", "format", "confidence", "warning")
+
+
+def _package(schedule: DataFrame) -> DataFrame:
+    """The schedule as packages of four files for every twenty ids, columns in their own orders; every second package lacks some."""
+    number, kind = F.floor(F.col("id") / 20).cast("int"), (F.col("id") % 4).cast("int")
+    name = F.element_at(F.array(*[F.lit(n) for n in quality.AMOUNTS]), kind + 1)
+    even, quoted = number % 2 == 0, F.concat(F.lit('"'), F.col("source"), F.lit('"'))
+    money, text = F.col("amount").cast("string"), lambda *c: F.concat_ws(",", *c)
+    heads = [
+        F.lit("id,entity,amount,confidence_status,source_id,source,source_locator"), F.when(even, "entity,amount,note,confidence_status,source_id,source,source_locator").otherwise("entity,balance_owed,note,confidence_status,source_id,source,source_locator"),
+        F.when(even, "source_locator,source_id,source,entity,confidence_status,amount").otherwise("source_id,entity,confidence_status,amount"), F.lit("source,source_locator,source_id,amount,entity,confidence_status"),
+    ]
+    lines = [
+        text(F.col("id").cast("string"), "entity", money, "confidence_status", "source_id", "source", "source_locator"), text("entity", money, F.lit('"a,\n""b"""'), "confidence_status", "source_id", "source", "source_locator"),
+        F.when(even, text("source_locator", "source_id", "source", "entity", "confidence_status", money)).otherwise(text("source_id", "entity", "confidence_status", money)), text(quoted, "source_locator", "source_id", money, "entity", "confidence_status"),
+    ]
+    pick = lambda values: F.element_at(F.array(*values), kind + 1)
+    rows = schedule.select(F.concat(F.lit("p"), number.cast("string"), F.lit("/"), name).alias("path"), pick(heads).alias("head"), "id", pick(lines).alias("line"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "line"))), lambda r: r["line"]), "\n")
+    return rows.groupBy("path", "head").agg(body.alias("body")).select("path", F.concat("head", F.lit("\n"), "body").alias("text"))
+
+
+@register(
+    f"""WITH {catalog._VIOLATIONS},
+        f AS (SELECT id, id % 4 AS kind, id // 20 % 2 = 0 AS even, 'p' || id // 20 || '/' AS folder, CASE id % 4 WHEN 0 THEN 'employee-claims.csv' WHEN 1 THEN 'das-tax-schedule.csv' WHEN 2 THEN 'creditor-schedule.csv' ELSE 'personal-debt-schedule.csv' END AS name FROM schedule),
+        g AS (SELECT *, row_number() OVER (PARTITION BY folder, name ORDER BY id) + 1 AS place FROM f)
+        SELECT folder || name AS deliverable, name || ':row=' || place AS row_id, rule FROM v JOIN g USING (id) WHERE kind = 0 OR kind = 3 OR kind = 1 AND NOT even OR kind = 2 AND even
+        UNION ALL SELECT DISTINCT folder || name, '', 'missing_column balance_owed' FROM f WHERE kind = 1 AND even
+        UNION ALL SELECT DISTINCT folder || name, '', 'missing_column ' || c FROM f, (VALUES ('source'), ('source_locator')) x(c) WHERE kind = 2 AND NOT even""",
+    "schedule", "registry_old",
+)
+def package_files(schedule, old):
+    """Schedules are written as CSV texts and judged from their records: first their columns, then their rows."""
+    found = quality.package_violations(statements.records(_package(schedule)), "handoff", old)
+    return found.select("deliverable", "row_id", F.when(F.col("rule") == "missing_column", F.concat("rule", F.lit(" "), "detail")).otherwise(F.col("rule")).alias("rule"))
+
+
 _KNOWN = {f"{k:07d}": f"NATION_{k % 25}" for k in (12345, 123456)}
 
 
@@ -403,7 +450,7 @@ def registry_csv_round_trip(documents):
 
 
 
-_REVERSE = """WITH p AS (SELECT id * 10 + k AS id, card, date + CAST(k AS INTEGER) AS date, CASE k WHEN 0 THEN cents // 3 ELSE cents - cents // 3 END AS cents FROM stmt, range(2) r(k){where}),
+_REVERSE = """WITH p AS (SELECT id * 10 + k AS id, card, date + CAST(k AS INTEGER) AS date, CASE k WHEN 0 THEN cents // 3 ELSE cents - cents // 3 END AS cents FROM stmt, range(2) r(k)),
             near AS (SELECT b.id AS left_id, b.cents AS whole, p.id, p.cents FROM book b JOIN p ON b.tab = p.card AND abs(b.date - p.date) <= 3 AND p.cents <= b.cents + 5),
             s AS (SELECT a.left_id, [a.id, b.id] AS part_ids, abs(a.cents + b.cents - a.whole) AS diff FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id
                   UNION ALL SELECT a.left_id, [a.id, b.id, c.id], abs(a.cents + b.cents + c.cents - a.whole) FROM near a JOIN near b ON a.left_id = b.left_id AND a.id < b.id JOIN near c ON a.left_id = c.left_id AND b.id < c.id)
@@ -418,15 +465,15 @@ def _reversed(stmt, book):
     return found.select("left_id", F.array_join(F.col("part_ids").cast("array<string>"), ",").alias("parts"), "diff")
 
 
-@register(_REVERSE.format(where=" WHERE id % 2 = 1"), "stmt", "book")
+@register(_REVERSE, "stmt", "book")
 def reverse_split(stmt, book):
-    """Of every second statement row; all rows are in ``reverse_split_all``."""
-    return _reversed(stmt.where("id % 2 = 1"), book)
+    """Statement rows cut in two, on two days, make up book entries within three days."""
+    return _reversed(stmt, book)
 
 
-@register(_REVERSE.format(where=""), "stmt", "book")
+@register(_REVERSE, "stmt", "book")
 def reverse_split_all(stmt, book):
-    """Statement rows cut in two, on two days, make up book entries within three days."""
+    """The same rows, under the name they had while ``reverse_split`` read half of them."""
     return _reversed(stmt, book)
 
 

@@ -20,7 +20,7 @@ EXCEPTION_COLUMNS = ["id", "priority", "entity", "domain", "description", "disco
 DECISION_FIELDS = ["ts", "entity", "field", "value", "basis", "source_id", "source", "source_locator", "confidence_status", "session"]
 
 
-def _found(df: DataFrame, deliverable: str, rule: str, when: Column, detail: Column, severity: str = "error") -> DataFrame:
+def _found(df: DataFrame, deliverable: str | Column, rule: str, when: Column, detail: Column, severity: str = "error") -> DataFrame:
     return df.where(when).select(F.lit(deliverable).alias("deliverable"), F.col("id").cast("string").alias("row_id"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), detail.cast("string").alias("detail"))
 
 
@@ -32,7 +32,7 @@ def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def schedule_violations(df: DataFrame, deliverable: str, mode: str = "package", registry: DataFrame | None = None, entities: DataFrame | None = None, amount: str = "amount") -> DataFrame:
+def schedule_violations(df: DataFrame, deliverable: str | Column, mode: str = "package", registry: DataFrame | None = None, entities: DataFrame | None = None, amount: str = "amount") -> DataFrame:
     """All rules of a schedule in a mode; a stricter mode has the rules of those before it.
 
     BLOCKED rows may lack their sources.  The entity is looked at only if the schedule has one.
@@ -62,6 +62,30 @@ def schedule_violations(df: DataFrame, deliverable: str, mode: str = "package",
     return reduce(DataFrame.unionByName, rules)
 
 
+def package_violations(records: DataFrame, mode: str = "package", registry: DataFrame | None = None, entities: DataFrame | None = None) -> DataFrame:
+    """Columns and rows of all schedules of a package, from parsed records (file_path, row_num from 0, cells, header).
+
+    Files are told apart by name; those of other names are passed over.  A file whose header lacks a required column
+    has a violation for each such column and is judged no further.  Columns are found by name, wherever they stand; a
+    row is named by its file and its place, the header being 1.  A cell that a short row lacks is empty, of columns
+    with one name the last counts, and without a column for it the entity is empty, which a placeholder is too.
+    """
+    name = F.element_at(F.split("file_path", "/"), -1)
+    amount = F.create_map(*[F.lit(x) for item in AMOUNTS.items() for x in item])[name]
+    rows = records.withColumn("_amount", amount).where("_amount is not null")
+    rows = rows.withColumn("_lacking", F.array_except(F.array_append(F.array(*[F.lit(c) for c in ROW_COLUMNS]), F.col("_amount")), "header"))
+    lacking = rows.where("row_num = 0").select("file_path", F.explode("_lacking").alias("column"))
+    columns = lacking.select(F.col("file_path").alias("deliverable"), F.lit("").alias("row_id"), F.lit("missing_column").alias("rule"), F.lit("error").alias("severity"), F.col("column").alias("detail"))
+    if mode == "template":
+        return columns
+    cell = lambda c: F.when(F.array_contains("header", c), F.get("cells", F.size("header") - F.array_position(F.reverse("header"), c).cast("int")))
+    named = [*ROW_COLUMNS, "entity"]
+    judged = rows.where((F.col("row_num") > 0) & (F.size("_lacking") == 0)).select(
+        "file_path", F.concat(name, F.lit(":row="), (F.col("row_num") + 1).cast("string")).alias("id"), F.nullif(F.trim(cell(F.col("_amount"))), F.lit("")).alias("amount"), *[cell(F.lit(c)).alias(c) for c in named]
+    )
+    return columns.unionByName(schedule_violations(judged, F.col("file_path"), mode, registry, entities))
+
+
 def exception_violations(df: DataFrame, deliverable: str = "exception-log.csv") -> DataFrame:
     """Both vocabularies of an exception log, and statuses in the wrong column."""
     confidence = F.upper(F.trim(F.coalesce("confidence_status", F.lit(""))))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkledger.functions import rules
+from sparkledger.sources import statements
 from sparkledger.operators import quality
 
 
@@ -60,3 +61,26 @@ def test_missing_columns_are_violations(spark):
     got = sorted(tuple(r) for r in quality.column_violations(df, "claims.csv", ["id", "amount", "source"]).collect())
     assert got == [("claims.csv", "", "missing_column", "error", "amount"), ("claims.csv", "", "missing_column", "error", "source")]
     assert quality.column_violations(df, "claims.csv", ["id"]).collect() == []
+
+
+def test_a_package_is_judged_by_columns_then_by_rows(spark):
+    texts = spark.createDataFrame([
+        ("a/creditor-schedule.csv", "source,amount,confidence_status,source_locator,source_id\nx,5,BLOCKED\n,7,CONFIRMED,p1,S1\n\n\"a,\n\"\"b\"\"\",8,odd,p,S1"),
+        ("b/creditor-schedule.csv", "source,Amount,confidence_status,source_id\n,7,,,"), ("c/das-tax-schedule.csv", "confidence_status,source_id,source,source_locator,balance_owed"),
+        ("c/notes.csv", "x\n1"), ("d/employee-claims.csv", "entity,amount,amount,source_id,source,source_locator,confidence_status\n<entity-slug>, ,1,,,,INFERRED"),
+    ], "path string, text string")
+    found = statements.records(texts)
+    columns = [("b/creditor-schedule.csv", "", "missing_column", "amount"), ("b/creditor-schedule.csv", "", "missing_column", "source_locator")]
+    rows = [
+        *[("a/creditor-schedule.csv", f"creditor-schedule.csv:row={k}", "placeholder_entity", None) for k in (2, 3, 4)],
+        *[("d/employee-claims.csv", "employee-claims.csv:row=2", f"missing_{c}", c) for c in ("source", "source_id", "source_locator")],
+        ("a/creditor-schedule.csv", "creditor-schedule.csv:row=3", "missing_source", "source"), ("a/creditor-schedule.csv", "creditor-schedule.csv:row=4", "status_unknown", "ODD"),
+        ("d/employee-claims.csv", "employee-claims.csv:row=2", "placeholder_entity", "<entity-slug>"),
+    ]
+    said = lambda **on: sorted((r.deliverable, r.row_id, r.rule, r.detail) for r in quality.package_violations(found, **on).collect())
+    assert said(mode="template") == columns and said() == sorted(columns + rows)
+    late = ("d/employee-claims.csv", "employee-claims.csv:row=2", "inferred_at_handoff", "INFERRED")
+    registry = spark.createDataFrame([("S2",)], "source_id string")
+    stray = ("a/creditor-schedule.csv", "creditor-schedule.csv:row=3", "source_not_registered", "S1")
+    assert said(mode="handoff", registry=registry) == sorted([*columns, *rows, late, stray])
+    assert quality.package_violations(found.where("false"), mode="handoff").count() == 0
