@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -74,6 +75,23 @@ def test_crowded_cores_are_dealt_into_finer_ranges(spark, small, monkeypatch, lo
         check(spark, rows, window)
 
 
+@pytest.mark.parametrize("window", [40, 100])
+def test_windows_of_an_anchor_stay_together_at_ends_of_pieces(spark, small, monkeypatch, window):
+    """Tasks that find anchors and groups that send suffixes cut their bytes into pieces at different places."""
+    r = random.Random(window)
+    text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    passages = [text(window + k % 6) for k in range(60)]
+    rows = [(k, text(r.randrange(2 * window)) + passages[k % 60] + text(r.randrange(2 * window))) for k in range(120)]
+    data, offsets = common.text_bytes(pa.array([t for _, t in rows]))
+    found = []
+    for size in (10**6, 997, 3 * window):
+        monkeypatch.setattr(suffixes, "PIECE", size)
+        parts = [(piece.low, piece.items(suffixes.widths_of(window)[:1], [])[0]) for piece in suffixes.pieces(data, offsets, window)]
+        found.append(sorted(x for low, i in parts for x in zip((i["anchor"] + low).tolist(), i["near"].tolist(), i["far"].tolist(), i["context"].tolist())))
+    assert found[0] == found[1] == found[2]
+    check(spark, rows, window)
+
+
 def test_whole_size(spark):
     check(spark, rows_of(4, 12, "etaoinshrdlu ", 900, 400), 400)
 
