@@ -89,10 +89,11 @@ def review_queue(cards: DataFrame) -> DataFrame:
     return cards.where("class = 'VERIFY'").orderBy(F.desc("cents"), "l_orderkey", "l_linenumber")
 
 
-def match_stats(pairs: DataFrame, outs: DataFrame, ins: DataFrame) -> DataFrame:
-    """Pairs, legs of each side, what stays unmatched and the rate of matched outgoing legs: one row."""
+def match_stats(pairs: DataFrame, outs: DataFrame, ins: DataFrame, each: Column | None = None) -> DataFrame:
+    """Pairs, legs of each side, what stays unmatched and the rate of matched outgoing legs: one row. A row of ``pairs`` stands for ``each`` of them."""
     n = lambda df, name: df.agg(F.count("*").alias(name))
-    row = n(pairs, "n_pairs").crossJoin(n(outs, "n_out")).crossJoin(n(ins, "n_in"))
+    found = n(pairs, "n_pairs") if each is None else pairs.agg(F.coalesce(F.sum(each), F.lit(0)).alias("n_pairs"))
+    row = found.crossJoin(n(outs, "n_out")).crossJoin(n(ins, "n_in"))
     return row.withColumns({"unmatched_out": F.col("n_out") - F.col("n_pairs"), "unmatched_in": F.col("n_in") - F.col("n_pairs"), "rate": F.round(F.try_divide(F.col("n_pairs"), F.col("n_out")), 6)})
 
 
